@@ -1,0 +1,109 @@
+"""Small tables with known answers."""
+
+from datetime import date
+
+from vendaria import schemas
+from vendaria.operators.cdc import Feeds
+from vendaria.sources.files import from_rows
+
+ITEMS = [
+    (1, 6, 481, 92, 77.99),
+    (2, 3, 111, 62, 167.46),
+    (3, 7, 104, 84, 219.84),
+    (4, 4, 316, 62, 48.86),
+]
+
+PURCHASES = [
+    (1, 901, 1, "2021-01-01", "2021-01-01", 10, 1, 6),  # first day of the year
+    (2, 902, 2, "2021-12-31", "2022-01-03", 10, 2, 3),  # last day, released in the next year
+    (3, 903, 3, "2022-01-01", "2022-01-01", 20, 3, 7),  # another year
+    (4, 904, 4, "2021-03-01", None, 20, 4, 4),  # not released
+    (5, 905, 1, "2021-04-01", "2021-04-01", 20, 5, 5),  # no item of this partition
+    (6, 906, 4, "2021-06-30", "2021-07-01", 20, 6, 4),
+    (7, 907, 3, "2021-07-01", "2021-07-01", 10, 7, 7),  # shares its item with purchase 3
+]
+
+PURCHASE_FEED = [
+    ("2023-01-20 22:00:00", "2023-01-20", 55, 15947, 5, "2023-01-20", "2023-01-20", 852852),
+    ("2023-01-26 00:01:00", "2023-01-26", 56, 369798, 746520, "2023-01-25", None, 963963),
+    ("2023-02-05 10:00:00", "2023-02-05", 55, 160001, 5, "2023-01-20", "2023-01-20", 852852),
+    ("2023-02-26 03:00:00", "2023-02-26", 69, 160001, 18, "2023-02-26", "2023-02-28", 96967),
+    ("2023-07-15 09:00:00", "2023-07-15", 55, 160001, 5, "2023-01-20", "2023-03-01", 852852),
+]
+
+ITEM_FEED = [
+    ("2023-01-20 22:02:00", "2023-01-20", 55, 696969, 10, 50.00),
+    ("2023-01-25 23:59:59", "2023-01-25", 56, 808080, 120, 2400.00),
+    ("2023-02-26 03:00:00", "2023-02-26", 69, 373737, 2, 2000.00),
+    ("2023-07-12 09:00:00", "2023-07-12", 55, 696969, 10, 55.00),
+]
+
+EXTRA_FEED = [
+    ("2023-01-23 00:05:00", "2023-01-23", 55, "nacional"),
+    ("2023-01-25 23:59:59", "2023-01-25", 56, "internacional"),
+    ("2023-02-28 01:10:00", "2023-02-28", 69, "nacional"),
+    ("2023-03-12 07:00:00", "2023-03-12", 69, "internacional"),
+]
+
+D = date.fromisoformat
+
+# (cut-off, consolidated purchases, daily value) from the feed rows up to the cut-off.
+CUTOFFS = [
+    (
+        "2023-01-31 00:00:00",
+        [(D("2023-01-20"), "nacional", 50.0), (None, "internacional", 2400.0)],
+        [(D("2023-01-20"), "nacional", 50.0)],
+    ),
+    (
+        "2023-02-27 00:00:00",
+        [(D("2023-01-20"), "nacional", 50.0), (None, "internacional", 2400.0), (D("2023-02-28"), None, 2000.0)],
+        [(D("2023-01-20"), "nacional", 50.0), (D("2023-02-28"), None, 2000.0)],
+    ),
+    (
+        "2023-02-28 23:59:59",
+        [(D("2023-01-20"), "nacional", 50.0), (None, "internacional", 2400.0), (D("2023-02-28"), "nacional", 2000.0)],
+        [(D("2023-01-20"), "nacional", 50.0), (D("2023-02-28"), "nacional", 2000.0)],
+    ),
+    (
+        "2023-03-31 00:00:00",
+        [
+            (D("2023-01-20"), "nacional", 50.0),
+            (None, "internacional", 2400.0),
+            (D("2023-02-28"), "internacional", 2000.0),
+        ],
+        [(D("2023-01-20"), "nacional", 50.0), (D("2023-02-28"), "internacional", 2000.0)],
+    ),
+    (
+        "9999-01-01 00:00:00",
+        [
+            (D("2023-03-01"), "nacional", 55.0),
+            (D("2023-02-28"), "internacional", 2000.0),
+            (None, "internacional", 2400.0),
+        ],
+        [(D("2023-03-01"), "nacional", 55.0), (D("2023-02-28"), "internacional", 2000.0)],
+    ),
+]
+
+
+def feeds(spark, until="9999-01-01 00:00:00", after="0001-01-01 00:00:00"):
+    def one(rows, schema):
+        return from_rows(spark, [r for r in rows if after < r[0] <= until], schema)
+
+    return Feeds(
+        one(PURCHASE_FEED, schemas.PURCHASE_FEED),
+        one(ITEM_FEED, schemas.PRODUCT_ITEM_FEED),
+        one(EXTRA_FEED, schemas.EXTRA_INFO_FEED),
+    )
+
+
+def bag(rows):
+    """Rows in an order that NULL does not upset."""
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().canonicalized().toString()

@@ -1,0 +1,94 @@
+from datetime import date
+
+import pytest
+
+from fixtures import ITEMS, PURCHASES, bag
+from vendaria import schemas
+from vendaria.plans.layers import gold_daily, read_bronze, write_bronze, write_silver
+from vendaria.operators.gmv import gmv_daily
+from vendaria.sources.catalog import publish_view, read_table
+from vendaria.sources.files import from_rows, read_csv, read_parquet, write_partitioned
+from vendaria.sources.scratch import is_complete, scratch_dir
+
+
+def test_csv_binds_by_position_and_blanks_bad_cells(spark, tmp_path):
+    path = tmp_path / "items.csv"
+    path.write_text("item,part,product,quantity,value\n1,6,481,92,77.99\n2,x,111,,oops\n")
+    df = read_csv(spark, str(path), schemas.PRODUCT_ITEM)
+    assert df.schema == schemas.PRODUCT_ITEM
+    assert [tuple(r) for r in df.collect()] == [(1, 6, 481, 92, 77.99), (2, None, 111, None, None)]
+
+
+@pytest.mark.parametrize("rebalance", [True, False])
+def test_partitioned_parquet_keeps_types_order_and_nulls(spark, tmp_path, rebalance):
+    rows = [*PURCHASES, (8, 1, None, None, None, None, None, None)]
+    df = from_rows(spark, rows, schemas.PURCHASE)
+    path = str(tmp_path / "purchase")
+    write_partitioned(df, path, "prod_item_partition", rebalance=rebalance)
+    back = read_parquet(spark, path, schemas.PURCHASE)
+    assert back.schema == schemas.PURCHASE
+    assert bag(back.collect()) == bag(df.collect())
+    names = {p.name for p in (tmp_path / "purchase").iterdir() if p.is_dir()}
+    assert "prod_item_partition=7" in names and "prod_item_partition=__HIVE_DEFAULT_PARTITION__" in names
+
+    write_partitioned(df.filter("prod_item_partition = 6"), path, "prod_item_partition")
+    assert back.sparkSession.read.schema(schemas.PURCHASE).parquet(path).count() == 1
+
+
+def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):
+    """One value holds 90 % of the rows: its files come from several tasks, the small values from one each."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 5).otherwise(7).alias("part"), F.rand(1).alias("a"), F.rand(2).alias("b")
+    )
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "600k")
+    try:
+        write_partitioned(df, str(tmp_path / "out"), "part")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "out").iterdir() if p.is_dir()}
+    assert files["part=7"] >= 3
+    assert files["part=0"] == 1
+
+
+def test_rows_with_text_dates(spark):
+    rows = [("2023-01-20 22:00:00", "2023-01-20", 1, "a")]
+    df = from_rows(spark, rows, schemas.EXTRA_INFO_FEED)
+    assert df.schema.simpleString() == schemas.EXTRA_INFO_FEED.simpleString()
+    assert df.first().transaction_date == date(2023, 1, 20)
+    bad = [("2023-01-20 25:00:00", "2023-13-20", 1, "a")]
+    assert tuple(from_rows(spark, bad, schemas.EXTRA_INFO_FEED, strict=False).first()) == (None, None, 1, "a")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CANNOT_PARSE"):
+        from_rows(spark, bad, schemas.EXTRA_INFO_FEED).collect()
+
+
+def test_views_serve_sql(spark):
+    publish_view(from_rows(spark, ITEMS, schemas.PRODUCT_ITEM), "product_item_gold")
+    publish_view(from_rows(spark, PURCHASES, schemas.PURCHASE), "purchase_gold")
+    assert read_table(spark, "product_item_gold").count() == 4
+    joined = spark.sql(
+        "SELECT count(*) AS n FROM purchase_gold p JOIN product_item_gold i "
+        "ON i.prod_item_id = p.prod_item_id AND i.prod_item_partition = p.prod_item_partition"
+    )
+    assert joined.first().n == 6
+
+
+def test_scratch_is_in_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_dir(spark), scratch_dir(spark)
+    assert first.startswith(shared) and first != second
+    assert not is_complete(spark, first)
+
+
+def test_layers(spark, tmp_path):
+    from fixtures import feeds
+
+    seen = feeds(spark)
+    write_bronze(seen, str(tmp_path))
+    types = {name: df.schema for name, df in seen._asdict().items()}
+    bronze = read_bronze(spark, str(tmp_path), types)
+    for stored, given in zip(bronze, seen):
+        assert bag(stored.collect()) == bag(given.collect())
+    assert bag(gold_daily(write_silver(bronze, str(tmp_path))).collect()) == bag(gmv_daily(seen).collect())

@@ -44,8 +44,25 @@ def latest_per_key(
     )
 
 
-def latest_feeds(feeds: Feeds) -> Feeds:
-    return Feeds(*[latest_per_key(feed, "purchase_id") for feed in feeds])
+# The columns the daily value depends on. Between versions of the same time they decide before all others, so
+# leaving the others out does not change which value is the latest.
+VALUE_COLUMNS = Feeds(("release_date",), ("purchase_value", "item_quantity"), ("subsidiary",))
+
+
+def latest_feeds(feeds: Feeds, only: Feeds | None = None) -> Feeds:
+    """Latest version of every purchase id in each feed.
+
+    `only` names the columns to keep besides id and time. The window needs every column it orders by, so Spark
+    cannot prune them by itself.
+    """
+    latest = []
+    for name, feed in feeds._asdict().items():
+        if only is not None:
+            feed = feed.select("purchase_id", "transaction_datetime", *getattr(only, name))
+        rest = [c for c in feed.columns if c not in ("purchase_id", "transaction_datetime")]
+        first = [c for c in getattr(VALUE_COLUMNS, name) if c in rest]
+        latest.append(latest_per_key(feed, "purchase_id", tiebreak=first + [c for c in rest if c not in first]))
+    return Feeds(*latest)
 
 
 def is_confirmed(status_col: str | None = None, approved: str = APPROVED) -> Column:
@@ -58,11 +75,11 @@ def valid_purchase(latest_purchase: DataFrame, status_col: str | None = None, ap
     """Confirmed purchases and the day their value counts on.
 
     To be applied to the *latest* versions: a purchase whose newest version is not released is not valid, even
-    if an older one was. The filter leaves nothing to fall back on, so the day is the release date.
+    if an older one was. After the filter the day is the release date; the other dates stand in where the input
+    has them, and then never matter.
     """
-    return latest_purchase.filter(is_confirmed(status_col, approved)).withColumn(
-        "gmv_date", F.coalesce("release_date", "transaction_date", "order_date")
-    )
+    dates = [c for c in ("release_date", "transaction_date", "order_date") if c in latest_purchase.columns]
+    return latest_purchase.filter(is_confirmed(status_col, approved)).withColumn("gmv_date", F.coalesce(*dates))
 
 
 def consolidated_purchase(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vendaria.functions import day, in_days, money
-from vendaria.operators.cdc import Feeds, consolidated_purchase, latest_feeds, valid_purchase
+from vendaria.operators.cdc import APPROVED, Feeds, consolidated_purchase, latest_feeds, valid_purchase
 
 
 def gmv_of(consolidated: DataFrame, scale: int | None = 2) -> DataFrame:
@@ -24,19 +24,28 @@ def gmv_of(consolidated: DataFrame, scale: int | None = 2) -> DataFrame:
     )
 
 
-def gmv_of_latest(
-    latest: Feeds, how: str = "left", multiply_quantity: bool = False, scale: int | None = 2
+def gmv_daily(
+    feeds: Feeds,
+    how: str = "left",
+    multiply_quantity: bool = False,
+    scale: int | None = 2,
+    status_col: str | None = None,
+    approved: str = APPROVED,
 ) -> DataFrame:
-    """From the latest versions. `how="full_outer"` gives the same rows; Catalyst turns it into the left joins."""
-    valid = valid_purchase(latest.purchase)
-    return gmv_of(
-        consolidated_purchase(valid, latest.product_item, latest.extra_info, how, multiply_quantity), scale
-    )
-
+    """From raw feeds: latest versions, valid purchases, their value by day and subsidiary.
 
-def gmv_daily(feeds: Feeds, **options) -> DataFrame:
-    """From raw feeds."""
-    return gmv_of_latest(latest_feeds(feeds), **options)
+    Each feed is shuffled once, by purchase id, with the few columns that matter; the joins find all three
+    partitioned and sorted. `how="full_outer"` gives the same rows.
+    """
+    needed = Feeds(
+        ["release_date"] + ([status_col] if status_col else []),
+        ["purchase_value"] + (["item_quantity"] if multiply_quantity else []),
+        ["subsidiary"],
+    )
+    latest = latest_feeds(feeds, only=needed)
+    valid = valid_purchase(latest.purchase, status_col, approved)
+    consolidated = consolidated_purchase(valid, latest.product_item, latest.extra_info, how, multiply_quantity)
+    return gmv_of(consolidated, scale)
 
 
 def gmv_current_full(history: DataFrame) -> DataFrame:

@@ -7,9 +7,12 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vendaria import schemas
+from vendaria.functions import day
 from vendaria.operators.scd2 import KEEP, REMOVE, closed_of, current_of, scd2_changes, stamp
 from vendaria.sources.catalog import ensure_gmv_table, read_table, table_exists
-from vendaria.sources.scratch import materialize, scratch_dir
+from vendaria.sources.files import read_parquet
+from vendaria.sources.scratch import discard, is_complete, materialize, scratch_dir
 
 PARTITION = "transaction_date"
 
@@ -31,40 +34,54 @@ def load_gmv(
     `days` (one column, transaction_date) says that `daily` is complete for those days only, so the rest of
     the table stays as it is.
 
-    The changes are staged in files first: the table is then overwritten from files outside of it, and a lost
-    executor repeats a read, not the whole computation. Partitions are replaced one by one when the job
-    commits; if that is interrupted, running the same `single_pass` load again completes it.
+    The rows of the changed days are staged in files before the table is touched. Partitions are replaced one by
+    one; a load that was interrupted there is finished, not repeated, when it is called again with the same
+    `staging` directory. That directory is removed at the end.
     """
     if not table_exists(spark, table):
         ensure_gmv_table(spark, table, location)
         _replace_days(stamp(daily, as_of, load_ts), table)
         return
 
+    staging = staging or f"{scratch_dir(spark)}/{table}"
+    if not is_complete(spark, f"{staging}/rewritten"):
+        _stage(spark, daily, table, as_of, load_ts, mode, close_missing, days, staging)
+    _apply(spark, table, staging)
+    discard(spark, staging)
+
+
+def _stage(spark, daily, table, as_of, load_ts, mode, close_missing, days, staging) -> None:
     history = read_table(spark, table)
     current = current_of(history)
     if days is not None:
-        current = _on_days(current, days, "left_semi")
-    staging = staging or f"{scratch_dir(spark)}/{table}"
+        current = current.join(days.select(PARTITION), PARTITION, "left_semi")
     changes = materialize(scd2_changes(current, daily, as_of, load_ts, mode, close_missing), f"{staging}/changes")
 
-    touched = changes.filter(F.col("action") != KEEP).select(PARTITION).distinct()
+    # One row per calendar day at most, as many as the table has partitions. As literals they prune the scan.
+    touched = materialize(changes.filter(F.col("action") != KEEP).select(PARTITION).distinct(), f"{staging}/touched")
+    on_touched = _is_one_of(_days(touched))
     kept = changes.filter(F.col("action") != REMOVE).drop("action")
-    rewritten = _on_days(closed_of(history).select(*kept.columns).unionByName(kept), touched, "left_semi")
-    rewritten = materialize(rewritten, f"{staging}/rewritten")
+    closed = closed_of(history).select(*kept.columns)
+    materialize(closed.filter(on_touched).unionByName(kept.filter(on_touched)), f"{staging}/rewritten")
+
+
+def _apply(spark: SparkSession, table: str, staging: str) -> None:
+    rewritten = read_parquet(spark, f"{staging}/rewritten", schemas.GMV_HISTORY)
     _replace_days(rewritten, table)
 
-    # A day without any version left writes no partition, so the old one has to go by itself. There are at
-    # most as many as the table has partitions, which the driver handles anyway.
-    emptied = _on_days(touched, rewritten.select(PARTITION).distinct(), "left_anti")
-    for row in emptied.toLocalIterator():
-        if row[PARTITION] is not None:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION} = DATE'{row[PARTITION]}')")
+    # A day without any version left writes no partition, so the old one has to go by itself.
+    touched = spark.read.schema(f"{PARTITION} date").parquet(f"{staging}/touched")
+    for emptied in set(_days(touched)) - set(_days(rewritten.select(PARTITION).distinct())) - {None}:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION} = DATE'{emptied}')")
+
+
+def _days(df: DataFrame) -> list[date | None]:
+    return [row[PARTITION] for row in df.toLocalIterator()]
 
 
-def _on_days(df: DataFrame, days: DataFrame, how: str) -> DataFrame:
-    return df.alias("l").join(
-        days.select(PARTITION).alias("r"), F.col(f"l.{PARTITION}").eqNullSafe(F.col(f"r.{PARTITION}")), how
-    )
+def _is_one_of(days: list[date | None]):
+    found = F.col(PARTITION).isin([day(d) for d in days if d is not None])
+    return found | F.col(PARTITION).isNull() if None in days else found
 
 
 def _replace_days(df: DataFrame, table: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from vendaria.operators.cdc import Feeds, consolidated_purchase, latest_per_key, valid_purchase
+from vendaria.operators.cdc import Feeds, consolidated_purchase, latest_feeds, valid_purchase
 from vendaria.operators.gmv import gmv_of
 from vendaria.sources.files import read_parquet, write_partitioned
 from vendaria.sources.scratch import materialize
@@ -23,11 +23,8 @@ def read_bronze(spark: SparkSession, base: str, schemas: dict[str, StructType])
 
 def write_silver(bronze: Feeds, base: str) -> Feeds:
     """The valid purchases and, for every id, the latest item and extra information, read back."""
-    silver = Feeds(
-        valid_purchase(latest_per_key(bronze.purchase, "purchase_id")),
-        latest_per_key(bronze.product_item, "purchase_id"),
-        latest_per_key(bronze.extra_info, "purchase_id"),
-    )
+    latest = latest_feeds(bronze)
+    silver = latest._replace(purchase=valid_purchase(latest.purchase))
     return Feeds(*[materialize(df, f"{base}/silver/{name}") for name, df in silver._asdict().items()])
 
 

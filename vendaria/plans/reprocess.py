@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vendaria.operators.cdc import Feeds, latest_per_key
-from vendaria.operators.gmv import gmv_of_latest
+from vendaria.operators.cdc import Feeds
+from vendaria.operators.gmv import gmv_daily
 from vendaria.sources.scratch import materialize
 
 # Most rows of a key list that is sent to every executor (a few ten megabytes of one number or date each).
@@ -64,7 +64,8 @@ def reprocess(feeds: Feeds, changed_ids: DataFrame, staging: str) -> tuple[DataF
         days.of_reduced(releases, DataFrame.distinct).select("purchase_id"), f"{staging}/affected"
     )
 
+    # The affected ids are selected from the feeds as they are if that costs no shuffle; otherwise `gmv_daily`
+    # would shuffle whole feeds twice, so all of them are brought to their latest version once.
+    chosen = Feeds(*[affected.of(feed) for feed in feeds]) if affected.small else feeds
     on_days = Selection(days.keys.withColumnRenamed("release_date", "transaction_date"), days.rows)
-    latest = Feeds(*[affected.of_reduced(feed, lambda df: latest_per_key(df, "purchase_id")) for feed in feeds])
-    daily = gmv_of_latest(latest)
-    return on_days.of(daily), on_days.keys
+    return on_days.of(gmv_daily(chosen)), on_days.keys

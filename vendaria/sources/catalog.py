@@ -19,7 +19,9 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A temp view or a catalog table."""
+    """A temp view or a catalog table, with its files listed anew: another session, such as the one a stream
+    runs its batches in, may have replaced them."""
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 

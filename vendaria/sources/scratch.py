@@ -22,6 +22,26 @@ def scratch_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a job has written `path` to its end."""
+    files, _ = _file_system(spark, path)
+    return files.exists(_path(spark, f"{path}/_SUCCESS"))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    files, directory = _file_system(spark, path)
+    files.delete(directory, True)
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    directory = _path(spark, path)
+    return directory.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), directory
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write `df` once and continue from the files: short lineage, known size, columnar re-reads."""
     df.write.mode("overwrite").parquet(path)

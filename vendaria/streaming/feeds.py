@@ -18,6 +18,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from vendaria.operators.cdc import Feeds
 from vendaria.plans.history import load_gmv
 from vendaria.plans.reprocess import reprocess
+from vendaria.sources.scratch import discard
 
 
 def tagged(feeds: Feeds) -> DataFrame:
@@ -70,11 +71,19 @@ def stream_gmv(
         append_batch(batch, batch_id, store)
         stored = read_store(spark, store, records.schema)
         changed = stored.filter(F.col("batch_id") == batch_id).select("purchase_id")
-        staging = f"{store}-staging"
-        daily, days = reprocess(untagged(stored, schemas), changed, staging)
+        staging = f"{store}-staging/{batch_id}"
+        daily, days = reprocess(untagged(stored, schemas), changed, f"{staging}/keys")
         load_gmv(
-            spark, daily, table, as_of(batch_id), load_ts(batch_id), days=days, location=location, staging=staging
+            spark,
+            daily,
+            table,
+            as_of(batch_id),
+            load_ts(batch_id),
+            days=days,
+            location=location,
+            staging=f"{staging}/load",
         )
+        discard(spark, staging)
 
     return (
         records.writeStream.foreachBatch(load)
