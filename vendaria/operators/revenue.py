@@ -14,6 +14,12 @@ from vendaria.operators.cdc import APPROVED, is_confirmed
 ITEM_KEY = ["prod_item_id", "prod_item_partition"]
 
 
+def is_broadcast_size(df: DataFrame) -> bool:
+    """Whether Spark's estimate of `df` is within the session's limit for broadcast joins."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return 0 <= size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def purchase_counts(
     purchase: DataFrame,
     period: tuple[date, date] | None = None,
@@ -23,10 +29,9 @@ def purchase_counts(
 ) -> DataFrame:
     """How often each producer sold each item, with the flag `counts` for the purchases that earn revenue.
 
-    Purchases of one item by one producer are alike as far as revenue goes, so they are counted before the
-    join: a best-seller shuffles as one row per task, not one per purchase. A later filter on `counts` moves
-    through the aggregation into the scan. Where nearly every purchase has an item of its own there is nothing
-    to combine; `precombine=False` then saves that shuffle.
+    Purchases of one item by one producer are alike as far as revenue goes, so they can be counted before the
+    join: a best-seller is then shuffled as one row per task, not one per purchase. A later filter on `counts`
+    moves through the aggregation into the scan. `precombine=False` returns the purchases one by one.
     """
     counts = is_confirmed(status_col, approved)
     if period:
@@ -47,19 +52,25 @@ def revenue_by(
     approved: str = APPROVED,
     filter_in: str = "where",
     scale: int | None = 2,
-    precombine: bool = True,
+    precombine: bool | None = None,
 ) -> DataFrame:
     """Sum of value x quantity of the purchases that count, by `keys`.
 
     The tables join on item id *and* item partition. `filter_in` places the purchase filter after the join
     ("where") or in its condition ("on"); an inner join gives the same plan for both.
+
+    `precombine` counts purchases before the join, see `purchase_counts`. By default that is done unless the
+    items are few enough for Spark to broadcast them: then no purchase is shuffled, and whatever weighs on one
+    item weighs on no task.
     """
     if filter_in not in ("where", "on"):
         raise ValueError(f"filter_in must be 'where' or 'on', not {filter_in!r}")
-    sold = purchase_counts(purchase, period, status_col, approved, precombine).alias("p")
     price = product_item.select(
         *ITEM_KEY, "product_id", line_value(F.col("purchase_value"), F.col("item_quantity")).alias("line")
     ).alias("i")
+    if precombine is None:
+        precombine = not is_broadcast_size(price)
+    sold = purchase_counts(purchase, period, status_col, approved, precombine).alias("p")
     on = F.lit(True)
     for key in ITEM_KEY:
         on = on & (F.col(f"p.{key}") == F.col(f"i.{key}"))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vendaria import schemas
-from vendaria.functions import day
 from vendaria.operators.scd2 import KEEP, REMOVE, closed_of, current_of, scd2_changes, stamp
 from vendaria.sources.catalog import ensure_gmv_table, read_table, table_exists
 from vendaria.sources.files import read_parquet
@@ -57,9 +56,7 @@ def _stage(spark, daily, table, as_of, load_ts, mode, close_missing, days, stagi
         current = current.join(days.select(PARTITION), PARTITION, "left_semi")
     changes = materialize(scd2_changes(current, daily, as_of, load_ts, mode, close_missing), f"{staging}/changes")
 
-    # One row per calendar day at most, as many as the table has partitions. As literals they prune the scan.
-    touched = materialize(changes.filter(F.col("action") != KEEP).select(PARTITION).distinct(), f"{staging}/touched")
-    on_touched = _is_one_of(_days(touched))
+    on_touched = _is_one_of(_touched_days(changes))
     kept = changes.filter(F.col("action") != REMOVE).drop("action")
     closed = closed_of(history).select(*kept.columns)
     materialize(closed.filter(on_touched).unionByName(kept.filter(on_touched)), f"{staging}/rewritten")
@@ -70,17 +67,22 @@ def _apply(spark: SparkSession, table: str, staging: str) -> None:
     _replace_days(rewritten, table)
 
     # A day without any version left writes no partition, so the old one has to go by itself.
-    touched = spark.read.schema(f"{PARTITION} date").parquet(f"{staging}/touched")
-    for emptied in set(_days(touched)) - set(_days(rewritten.select(PARTITION).distinct())) - {None}:
+    touched = _touched_days(spark.read.schema(f"action string, {PARTITION} date").parquet(f"{staging}/changes"))
+    for emptied in set(touched) - set(_days(rewritten)) - {None}:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION} = DATE'{emptied}')")
 
 
+def _touched_days(changes: DataFrame) -> list[date | None]:
+    return _days(changes.filter(F.col("action") != KEEP))
+
+
 def _days(df: DataFrame) -> list[date | None]:
-    return [row[PARTITION] for row in df.toLocalIterator()]
+    """The calendar days in `df`: at most one row for each partition of the table. As literals they prune it."""
+    return [row[PARTITION] for row in df.select(PARTITION).distinct().collect()]
 
 
 def _is_one_of(days: list[date | None]):
-    found = F.col(PARTITION).isin([day(d) for d in days if d is not None])
+    found = F.col(PARTITION).isin([d for d in days if d is not None])
     return found | F.col(PARTITION).isNull() if None in days else found
 
 
