@@ -148,21 +148,14 @@ def _two_loads(mode: str):
 
 def _streamed(spark: SparkSession, sf_dir: str, table: str, location: str, base: str) -> None:
     """The feeds arrive as files in two deliveries, each picked up by a run of the stream."""
-    everything = star.feeds(spark, sf_dir)._asdict()
-    early = star.feeds(spark, sf_dir, FIRST_UNTIL)._asdict()
-    late = {name: feed.filter(feed.transaction_datetime >= FIRST_UNTIL) for name, feed in everything.items()}
     days = (FIRST_DAY, SECOND_DAY)
-    for delivery in (early, late):
-        for name, feed in delivery.items():
+    for delivery in (star.feeds(spark, sf_dir, until=FIRST_UNTIL), star.feeds(spark, sf_dir, since=FIRST_UNTIL)):
+        arriving = []
+        for name, feed in delivery._asdict().items():
             feed.write.mode("append").parquet(f"{base}/landing/{name}")
-        arriving = Feeds(
-            *[
-                spark.readStream.schema(everything[name].schema).parquet(f"{base}/landing/{name}")
-                for name in Feeds._fields
-            ]
-        )
+            arriving.append(spark.readStream.schema(feed.schema).parquet(f"{base}/landing/{name}"))
         stream_gmv(
-            arriving,
+            Feeds(*arriving),
             table,
             f"{base}/records",
             f"{base}/checkpoint",

@@ -60,6 +60,21 @@ def test_latest_orders_null_times_last_and_takes_the_tiebreak(spark):
     assert first.v == "a"
 
 
+def test_latest_of_rows_with_a_column_that_has_no_order(spark):
+    rows = [(1, 1, "a", {"x": 1}), (1, 2, "a", {"x": 2}), (1, 2, "b", {"x": 3}), (None, None, "c", None)]
+    df = spark.createDataFrame(rows, "k int, t int, v string, m map<string,int>")
+    got = latest_per_key(df, "k", "t")
+    assert got.columns == df.columns
+    assert bag(got.collect()) == bag([rows[2], rows[3]])
+
+
+def test_latest_by_two_keys_keeps_the_columns_in_place(spark):
+    df = spark.createDataFrame([(1, "x", 1, 9), (2, "x", 1, 8), (3, "y", 1, 7)], "t int, a string, b int, c int")
+    got = latest_per_key(df, ["b", "a"], "t")
+    assert got.schema.simpleString() == df.schema.simpleString()
+    assert bag(got.collect()) == [(2, "x", 1, 8), (3, "y", 1, 7)]
+
+
 def test_latest_with_a_hot_key_does_not_depend_on_row_order(spark):
     rng = random.Random(3)
     rows = [(0 if i % 3 == 0 else rng.randrange(200), rng.randrange(500), rng.random()) for i in range(6000)]

@@ -8,7 +8,6 @@ from vendaria.functions.columns import (
     null_count,
     parse_date,
     parse_timestamp,
-    timestamp_ntz,
 )
 
 __all__ = [
@@ -21,5 +20,4 @@ __all__ = [
     "null_count",
     "parse_date",
     "parse_timestamp",
-    "timestamp_ntz",
 ]

@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 from pyspark.sql.window import Window
 
 from vendaria.functions import line_value
@@ -29,19 +30,30 @@ def latest_per_key(
     order_col: str = "transaction_datetime",
     tiebreak: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Newest row of every key.
+    """Newest row of every key; NULL times are the oldest.
 
-    Equal times are ordered by `tiebreak`, by default all other columns, so a recomputed task returns the
-    same row. With the rank filter right after the window Spark keeps one row per key and task before the
-    shuffle (WindowGroupLimit), hence a key that holds much of the feed does not reach one task whole.
+    Rows of equal time are decided by `tiebreak` and then by all other columns, so a recomputed task returns the
+    same row. That makes the newest row the maximum of the row read as a tuple that starts with the time: an
+    aggregate, which Spark applies on both sides of the shuffle, so a key that holds much of the feed is shuffled
+    as one row per task. Rows with a column that has no order, such as a map, are ranked in a window instead, where
+    the rank filter works before the shuffle too.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if tiebreak is None:
-        tiebreak = [c for c in df.columns if c not in keys and c != order_col]
-    newest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [order_col, *tiebreak]])
-    return (
-        df.withColumn("_version", F.row_number().over(newest_first)).filter(F.col("_version") == 1).drop("_version")
-    )
+    columns = [order_col, *(tiebreak or [])]
+    columns += [c for c in df.columns if c not in keys and c not in columns]
+    unordered = {f.name for f in df.schema if _has_no_order(f.dataType)}
+    if unordered:
+        newest_first = Window.partitionBy(*keys).orderBy(
+            *[F.col(c).desc_nulls_last() for c in columns if c not in unordered]
+        )
+        ranked = df.withColumn("_version", F.row_number().over(newest_first))
+        return ranked.filter(F.col("_version") == 1).drop("_version")
+    newest = df.groupBy(*keys).agg(F.max(F.struct(*columns)).alias("_newest"))
+    return newest.select(*keys, "_newest.*").select(*df.columns)
+
+
+def _has_no_order(kind: DataType) -> bool:
+    return any(name in kind.simpleString() for name in ("map<", "variant"))
 
 
 # The columns the daily value depends on. Between versions of the same time they decide before all others, so
@@ -52,16 +64,15 @@ VALUE_COLUMNS = Feeds(("release_date",), ("purchase_value", "item_quantity"), ("
 def latest_feeds(feeds: Feeds, only: Feeds | None = None) -> Feeds:
     """Latest version of every purchase id in each feed.
 
-    `only` names the columns to keep besides id and time. The window needs every column it orders by, so Spark
-    cannot prune them by itself.
+    `only` names the columns to keep besides id and time. All columns take part in the choice, so Spark cannot
+    prune them by itself.
     """
     latest = []
     for name, feed in feeds._asdict().items():
         if only is not None:
             feed = feed.select("purchase_id", "transaction_datetime", *getattr(only, name))
-        rest = [c for c in feed.columns if c not in ("purchase_id", "transaction_datetime")]
-        first = [c for c in getattr(VALUE_COLUMNS, name) if c in rest]
-        latest.append(latest_per_key(feed, "purchase_id", tiebreak=first + [c for c in rest if c not in first]))
+        first = [c for c in getattr(VALUE_COLUMNS, name) if c in feed.columns]
+        latest.append(latest_per_key(feed, "purchase_id", tiebreak=first))
     return Feeds(*latest)
 
 

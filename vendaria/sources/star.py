@@ -7,10 +7,8 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from vendaria.functions import timestamp_ntz
 from vendaria.operators.cdc import Feeds
 
 LINEITEM = (
@@ -33,74 +31,59 @@ def purchase(spark: SparkSession, sf_dir: str, ordered: tuple[date, date] | None
     """`ordered` (inclusive days) bounds the raw timestamp too, as a cast to DATE is not pushed into the scan."""
     lines = _table(spark, sf_dir, "lineitem", LINEITEM)
     if ordered:
-        first, last = ordered
-        shipped = F.col("l_shipdate")
-        lines = lines.filter(
-            (shipped >= timestamp_ntz(f"{first} 00:00:00"))
-            & (shipped < timestamp_ntz(f"{last + timedelta(days=1)} 00:00:00"))
-        )
-    order_date = F.col("l_shipdate").cast("date")
-    return lines.select(
-        F.col("l_orderkey").alias("purchase_id"),
-        F.col("l_orderkey").alias("buyer_id"),
-        F.col("l_partkey").alias("prod_item_id"),
-        order_date.alias("order_date"),
-        F.when(F.col("l_linestatus") == "F", order_date).alias("release_date"),
-        F.col("l_suppkey").alias("producer_id"),
-        (F.col("l_orderkey") % 10).alias("purchase_partition"),
-        (F.col("l_partkey") % 10).alias("prod_item_partition"),
-        _status().alias("status"),
+        first, after = ordered[0], ordered[1] + timedelta(days=1)
+        lines = lines.filter(f"l_shipdate >= TIMESTAMP_NTZ'{first}' AND l_shipdate < TIMESTAMP_NTZ'{after}'")
+    statuses = " ".join(f"WHEN '{flag}' THEN '{status}'" for flag, status in STATUS_OF_FLAG.items())
+    return lines.selectExpr(
+        "l_orderkey AS purchase_id",
+        "l_orderkey AS buyer_id",
+        "l_partkey AS prod_item_id",
+        "CAST(l_shipdate AS DATE) AS order_date",
+        "CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) END AS release_date",
+        "l_suppkey AS producer_id",
+        "l_orderkey % 10 AS purchase_partition",
+        "l_partkey % 10 AS prod_item_partition",
+        f"CASE l_returnflag {statuses} END AS status",
     )
 
 
-def _status() -> Column:
-    column = F.lit(None).cast("string")
-    for flag, status in STATUS_OF_FLAG.items():
-        column = F.when(F.col("l_returnflag") == flag, status).otherwise(column)
-    return column
-
-
 def product_item(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "part", PART).select(
-        F.col("p_partkey").alias("prod_item_id"),
-        (F.col("p_partkey") % 10).alias("prod_item_partition"),
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_size").cast("bigint").alias("item_quantity"),
-        F.col("p_retailprice").alias("purchase_value"),
+    return _table(spark, sf_dir, "part", PART).selectExpr(
+        "p_partkey AS prod_item_id",
+        "p_partkey % 10 AS prod_item_partition",
+        "p_partkey AS product_id",
+        "CAST(p_size AS BIGINT) AS item_quantity",
+        "p_retailprice AS purchase_value",
     )
 
 
-def feeds(spark: SparkSession, sf_dir: str, until: str | None = None) -> Feeds:
-    """The three change feeds; `until` keeps the versions that had arrived before that moment."""
+def feeds(spark: SparkSession, sf_dir: str, until: str | None = None, since: str | None = None) -> Feeds:
+    """The three change feeds; `since` and `until` (excluded) bound the arrival of the versions."""
     events = _table(spark, sf_dir, "events", EVENTS)
+    if since:
+        events = events.filter(f"ts >= TIMESTAMP_NTZ'{since}'")
     if until:
-        events = events.filter(F.col("ts") < timestamp_ntz(until))
-    today = F.col("ts").cast("date")
-    version = [
-        F.col("ts").alias("transaction_datetime"),
-        today.alias("transaction_date"),
-        (F.col("event_id") % PURCHASE_KEYS).alias("purchase_id"),
-    ]
-    kind = F.col("event_type")
+        events = events.filter(f"ts < TIMESTAMP_NTZ'{until}'")
+    version = (
+        "ts AS transaction_datetime",
+        "CAST(ts AS DATE) AS transaction_date",
+        f"event_id % {PURCHASE_KEYS} AS purchase_id",
+    )
     return Feeds(
-        purchase=events.filter(kind.isin("purchase", "signup")).select(
+        purchase=events.filter("event_type IN ('purchase', 'signup')").selectExpr(
             *version,
-            F.col("user_id").alias("buyer_id"),
-            (F.col("user_id") % 50).alias("prod_item_id"),
-            today.alias("order_date"),
-            F.when(F.col("event_id") % 5 != 0, today).alias("release_date"),
-            (F.col("user_id") % 20).alias("producer_id"),
+            "user_id AS buyer_id",
+            "user_id % 50 AS prod_item_id",
+            "CAST(ts AS DATE) AS order_date",
+            "CASE WHEN event_id % 5 <> 0 THEN CAST(ts AS DATE) END AS release_date",
+            "user_id % 20 AS producer_id",
         ),
-        product_item=events.filter(kind.isin("click", "error")).select(
-            *version,
-            F.col("user_id").alias("product_id"),
-            F.lit(1).cast("bigint").alias("item_quantity"),
-            F.col("value").alias("purchase_value"),
+        product_item=events.filter("event_type IN ('click', 'error')").selectExpr(
+            *version, "user_id AS product_id", "1L AS item_quantity", "value AS purchase_value"
         ),
-        extra_info=events.filter(kind == "view").select(
+        extra_info=events.filter("event_type = 'view'").selectExpr(
             *version,
-            F.when(F.get_json_object("props", "$.k").cast("bigint") % 2 == 0, "nacional")
-            .otherwise("internacional")
-            .alias("subsidiary"),
+            "CASE WHEN CAST(get_json_object(props, '$.k') AS BIGINT) % 2 = 0 THEN 'nacional' "
+            "ELSE 'internacional' END AS subsidiary",
         ),
     )
