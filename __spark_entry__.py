@@ -18,12 +18,13 @@ from vendaria.operators.quality import not_null, null_audit, quality_gate, refer
 from vendaria.operators.scd2 import scd2_merge, stamp
 from vendaria.plans.history import load_gmv
 from vendaria.plans.layers import gold_daily, read_bronze, write_bronze, write_silver
+from vendaria.plans.reprocess import reprocess
 from vendaria.plans.sales import top_producers, top_products_per_producer
 from vendaria.sources import star
 from vendaria.sources.catalog import publish_view, read_table
 from vendaria.sources.files import read_csv, read_parquet, write_partitioned
 from vendaria.sources.scratch import materialize, scratch_dir
-from vendaria.streaming.feeds import stream_gmv
+from vendaria.streaming.feeds import stream_gmv, tagged
 
 YEAR = 1997
 IN_YEAR = (date(YEAR, 1, 1), date(YEAR, 12, 31))
@@ -165,6 +166,13 @@ def _streamed(spark: SparkSession, sf_dir: str, table: str, location: str, base:
         ).awaitTermination()
 
 
+def _late_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily value of every day that the records after the first load can have changed."""
+    late = tagged(star.feeds(spark, sf_dir, since=FIRST_UNTIL)).select("purchase_id")
+    daily, _ = reprocess(star.feeds(spark, sf_dir), late, scratch_dir(spark))
+    return daily
+
+
 def _layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark)
     feeds = star.feeds(spark, sf_dir)
@@ -196,6 +204,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gmv_daily_by_subsidiary": _daily(),
         "gmv_daily_by_subsidiary_outer": _daily(how="full_outer"),
         "gmv_layers": _layers,
+        "gmv_late_days": _late_days,
         "gmv_scd2_initial": lambda spark, sf_dir: _first_load(spark, sf_dir).drop("load_timestamp"),
         "gmv_scd2_merge": _history,
         "gmv_scd2_merge_reference": lambda spark, sf_dir: _history(spark, sf_dir, "reference"),
@@ -288,6 +297,10 @@ def _top_products_sql(*conditions: str) -> str:
     """
 
 
+# 1,500 purchases for every 10,000 events in a row.
+_PURCHASE_ID = "(event_id // 10000 * 1500 + event_id % 1500)"
+
+
 def _feeds_sql(prefix: str = "", until: str | None = None) -> str:
     """CTEs up to the daily value; `prefix` tells two loads apart."""
     seen = f"AND ts < TIMESTAMP '{until}'" if until else ""
@@ -312,8 +325,8 @@ def _feeds_sql(prefix: str = "", until: str | None = None) -> str:
         {prefix}{name} AS (
             SELECT * EXCLUDE (version) FROM (
                 SELECT ts AS transaction_datetime, CAST(ts AS DATE) AS transaction_date,
-                       event_id % 1500 AS purchase_id, {columns},
-                       row_number() OVER (PARTITION BY event_id % 1500 ORDER BY ts DESC, event_id DESC) AS version
+                       {_PURCHASE_ID} AS purchase_id, {columns},
+                       row_number() OVER (PARTITION BY {_PURCHASE_ID} ORDER BY ts DESC, event_id DESC) AS version
                 FROM events WHERE {kind} {seen}
             ) WHERE version = 1
         )"""
@@ -398,6 +411,14 @@ def oracle_sql() -> dict[str, str]:
         "SELECT transaction_date, subsidiary, round(sum(gmv_daily), 2) AS gmv FROM history "
         "WHERE {} GROUP BY transaction_date, subsidiary"
     )
+    late_days = f"""
+        daily WHERE transaction_date IN (
+            SELECT CAST(ts AS DATE) FROM events
+            WHERE event_type IN ('purchase', 'signup') AND event_id % 5 <> 0 AND {_PURCHASE_ID} IN (
+                SELECT {_PURCHASE_ID} FROM events
+                WHERE ts >= TIMESTAMP '{FIRST_UNTIL}'
+                  AND event_type IN ('purchase', 'signup', 'click', 'error', 'view')))
+    """
     return {
         "ingest_roundtrip": f"WITH {_SALES} SELECT * FROM product_item",
         "ingest_roundtrip_purchase": f"WITH {_SALES} SELECT {_PURCHASE_COLUMNS} FROM purchase",
@@ -420,6 +441,7 @@ def oracle_sql() -> dict[str, str]:
         "gmv_daily_by_subsidiary": feed + "daily",
         "gmv_daily_by_subsidiary_outer": feed + "daily",
         "gmv_layers": feed + "daily",
+        "gmv_late_days": feed + late_days,
         "gmv_scd2_initial": f"WITH {_feeds_sql('first_', FIRST_UNTIL)}, {_INITIAL} SELECT * FROM first_load",
         "gmv_scd2_merge": _on_history_sql(full),
         "gmv_scd2_merge_reference": _on_history_sql(full, "reference"),

@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
-        .config("spark.checkpoint.dir", str(base / "checkpoint"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fixtures import bag
 from test_scd2 import NEW, OPEN, SOURCE, TARGET, TS, history, plain, source
 from vendaria import schemas
+from vendaria.operators.gmv import gmv_current, gmv_period
 from vendaria.operators.scd2 import scd2_merge, stamp
 from vendaria.plans import history as plans
 from vendaria.plans.history import load_gmv
@@ -138,13 +139,21 @@ def test_overwrite_mode_of_the_session_is_restored(spark, table):
 
 
 def test_period_reads_its_partitions_only(spark, table):
-    from vendaria.operators.gmv import gmv_period
-
     load_gmv(spark, source(spark, NEW), table, D("2023-03-02"), TS)
     read = gmv_period(read_table(spark, table), "2023-02-01", "2023-02-28")
     assert "PartitionFilters: [isnotnull(transaction_date" in read._jdf.queryExecution().executedPlan().toString()
     assert len(read.inputFiles()) >= 2 and read.count() == 2
 
 
+def test_sql_reads_the_stored_table(spark, table):
+    load_gmv(spark, source(spark, NEW), table, D("2023-03-02"), TS)
+    current = spark.sql(
+        f"SELECT transaction_date, subsidiary, gmv_daily FROM {table} "
+        "WHERE is_current = true AND transaction_date IS NOT NULL ORDER BY transaction_date, subsidiary"
+    )
+    assert [(str(r[0]), r[1], r[2]) for r in current.collect()] == sorted(NEW)
+    assert bag(gmv_current(read_table(spark, table)).collect()) == bag(current.collect())
+
+
 def test_stamp_types(spark):
     assert stamp(source(spark, NEW), "2023-03-02", TS).schema.simpleString() == schemas.GMV_HISTORY.simpleString()

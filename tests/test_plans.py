@@ -30,7 +30,7 @@ def query_plan(spark, name):
 
 
 @pytest.mark.parametrize(
-    "name", [n for n in contract.queries() if not re.search("ingest|load|stream|layers", n)]
+    "name", [n for n in contract.queries() if not re.search("ingest|load|stream|layers|late", n)]
 )
 def test_no_cross_join_and_no_python(spark, no_broadcast, name):
     text = query_plan(spark, name)

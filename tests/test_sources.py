@@ -1,14 +1,15 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 
 from fixtures import ITEMS, PURCHASES, bag
 from vendaria import schemas
-from vendaria.plans.layers import gold_daily, read_bronze, write_bronze, write_silver
 from vendaria.operators.gmv import gmv_daily
+from vendaria.plans.layers import gold_daily, read_bronze, write_bronze, write_silver
 from vendaria.sources.catalog import publish_view, read_table
 from vendaria.sources.files import from_rows, read_csv, read_parquet, write_partitioned
-from vendaria.sources.scratch import is_complete, scratch_dir
+from vendaria.sources.scratch import discard, is_complete, materialize, scratch_dir
 
 
 def test_csv_binds_by_position_and_blanks_bad_cells(spark, tmp_path):
@@ -75,13 +76,30 @@ def test_views_serve_sql(spark):
     assert joined.first().n == 6
 
 
-def test_scratch_is_in_the_shared_folder(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
-    first, second = scratch_dir(spark), scratch_dir(spark)
-    assert first.startswith(shared) and first != second
+class Session:
+    """Answers like a session with the given settings."""
+
+    def __init__(self, **settings):
+        self.conf = {key.replace("_", "."): value for key, value in settings.items()}
+
+
+def test_scratch_is_in_the_shared_folder(spark, tmp_path):
+    session = Session(spark_checkpoint_dir=f"{tmp_path}/", spark_master="spark://somewhere:7077")
+    first, second = scratch_dir(session), scratch_dir(session)
+    assert first.startswith(f"{tmp_path}/vendaria-") and first != second
+    assert not is_complete(spark, first)
+    assert materialize(spark.range(3), first).count() == 3
+    assert is_complete(spark, first)
+    discard(spark, first)
     assert not is_complete(spark, first)
 
 
+def test_without_the_shared_folder_only_a_local_session_runs():
+    assert Path(scratch_dir(Session(spark_master="local[2]"))).is_dir()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(spark_master="spark://somewhere:7077"))
+
+
 def test_layers(spark, tmp_path):
     from fixtures import feeds
 

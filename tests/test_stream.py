@@ -65,6 +65,15 @@ def test_golden_feeds_arrive_in_five_deliveries(spark, tmp_path):
         before = plain(read_table(spark, table))
         run(spark, tmp_path, table, LOADED)  # nothing new
         assert plain(read_table(spark, table)) == before
+
+        # The last batch was done but not recorded as such: it runs again and changes nothing.
+        for name in ("4", ".4.crc"):
+            (tmp_path / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+        stored = read_store(spark, f"{tmp_path}/records", tagged(feeds(spark)).schema).count()
+        run(spark, tmp_path, table, LOADED)
+        assert (tmp_path / "checkpoint" / "commits" / "4").exists()
+        assert plain(read_table(spark, table)) == before
+        assert read_store(spark, f"{tmp_path}/records", tagged(feeds(spark)).schema).count() == stored == 13
         assert not any((tmp_path / "records-staging").iterdir())
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")

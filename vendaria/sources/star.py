@@ -18,8 +18,9 @@ LINEITEM = (
 PART = "p_partkey bigint, p_size int, p_retailprice double"
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
-# How many purchases the events are spread over, and how the return flag reads as a status.
-PURCHASE_KEYS = 1500
+# How many events in a row are spread over how many purchases, and how the return flag reads as a
+# status.
+EVENTS_IN_BLOCK, PURCHASES_IN_BLOCK = 10_000, 1_500
 STATUS_OF_FLAG = {"A": "Aprovado", "R": "Reembolsado", "N": "Pendente"}
 
 
@@ -67,7 +68,7 @@ def feeds(spark: SparkSession, sf_dir: str, until: str | None = None, since: str
     version = (
         "ts AS transaction_datetime",
         "CAST(ts AS DATE) AS transaction_date",
-        f"event_id % {PURCHASE_KEYS} AS purchase_id",
+        f"event_id div {EVENTS_IN_BLOCK} * {PURCHASES_IN_BLOCK} + event_id % {PURCHASES_IN_BLOCK} AS purchase_id",
     )
     return Feeds(
         purchase=events.filter("event_type IN ('purchase', 'signup')").selectExpr(
