@@ -99,6 +99,13 @@ def test_a_day_missing_its_date_survives(spark, table):
     )
 
 
+def test_an_emptied_day_without_date_is_dropped(spark, table):
+    rows = [(None, "a", 1.0), (D("2023-01-01"), "a", 2.0)]
+    load_gmv(spark, spark.createDataFrame(rows, SOURCE), table, D("2023-03-01"), TS)
+    load_gmv(spark, spark.createDataFrame(rows[1:], SOURCE), table, D("2023-03-01"), TS)
+    assert plain(read_table(spark, table)) == [("2023-01-01", "a", 2.0, "2023-03-01", OPEN, True)]
+
+
 def test_load_of_some_days_leaves_the_others(spark, table):
     load_gmv(spark, source(spark, NEW), table, D("2023-03-01"), TS)
     days = spark.createDataFrame([(D("2023-01-20"),), (D("2023-02-28"),)], "transaction_date date")
@@ -128,11 +135,33 @@ def test_interrupted_load_is_finished(spark, table, tmp_path, monkeypatch):
         with pytest.raises(RuntimeError):
             load_gmv(spark, source(spark, NEW), table, D("2023-03-02"), TS, staging=staging)
     assert (tmp_path / "staging" / "rewritten" / "_SUCCESS").exists()
+    assert plain(read_table(spark, table)) != expected
     load_gmv(spark, source(spark, NEW), table, D("2023-03-02"), TS, staging=staging)
     assert plain(read_table(spark, table)) == expected
     assert not (tmp_path / "staging").exists()
 
 
+@pytest.mark.parametrize("mode", ["single_pass", "reference"])
+def test_interrupted_load_is_finished_before_another(spark, table, tmp_path, monkeypatch, mode):
+    load_gmv(spark, source(spark, NEW[:1]), table, D("2023-03-01"), TS, mode)
+    expected = scd2_merge(read_table(spark, table), source(spark, NEW[:3]), D("2023-03-02"), TS, mode)
+    if mode == "single_pass":
+        expected = scd2_merge(expected, source(spark, NEW[1:]), D("2023-03-03"), TS, mode)
+    expected = plain(expected)
+
+    def dies(df, name):
+        raise RuntimeError("driver lost")
+
+    staging = str(tmp_path / "staging")
+    with monkeypatch.context() as patch:
+        patch.setattr(plans, "_replace_days", dies)
+        with pytest.raises(RuntimeError):
+            load_gmv(spark, source(spark, NEW[:3]), table, D("2023-03-02"), TS, mode, staging=staging)
+    load_gmv(spark, source(spark, NEW[1:]), table, D("2023-03-03"), TS, mode, staging=staging)
+    assert plain(read_table(spark, table)) == expected
+    assert not (tmp_path / "staging").exists()
+
+
 def test_overwrite_mode_of_the_session_is_restored(spark, table):
     load_gmv(spark, source(spark, NEW), table, D("2023-03-02"), TS)
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"

@@ -33,9 +33,10 @@ def load_gmv(
     `days` (one column, transaction_date) says that `daily` is complete for those days only, so the rest of
     the table stays as it is.
 
-    The rows of the changed days are staged in files before the table is touched. Partitions are replaced one by
-    one; a load that was interrupted there is finished, not repeated, when it is called again with the same
-    `staging` directory. That directory is removed at the end.
+    The rows of the changed days are staged in files before the table is touched, as partitions are replaced one
+    by one. A load that was interrupted there is finished by the next one with the same `staging` directory. That
+    one then does its own work too, which is nothing if it is the same load again; a `reference` load is not
+    neutral when repeated and only finishes. The directory is removed at the end.
     """
     if not table_exists(spark, table):
         ensure_gmv_table(spark, table, location)
@@ -43,10 +44,12 @@ def load_gmv(
         return
 
     staging = staging or f"{scratch_dir(spark)}/{table}"
-    if not is_complete(spark, f"{staging}/rewritten"):
-        _stage(spark, daily, table, as_of, load_ts, mode, close_missing, days, staging)
+    if is_complete(spark, f"{staging}/rewritten"):
+        _apply(spark, table, staging)
+        if mode == "reference":
+            return
+    _stage(spark, daily, table, as_of, load_ts, mode, close_missing, days, staging)
     _apply(spark, table, staging)
-    discard(spark, staging)
 
 
 def _stage(spark, daily, table, as_of, load_ts, mode, close_missing, days, staging) -> None:
@@ -68,8 +71,11 @@ def _apply(spark: SparkSession, table: str, staging: str) -> None:
 
     # A day without any version left writes no partition, so the old one has to go by itself.
     touched = _touched_days(spark.read.schema(f"action string, {PARTITION} date").parquet(f"{staging}/changes"))
-    for emptied in set(touched) - set(_days(rewritten)) - {None}:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION} = DATE'{emptied}')")
+    for emptied in set(touched) - set(_days(rewritten)):
+        value = "NULL" if emptied is None else f"DATE'{emptied}'"
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION} = {value})")
+    discard(spark, f"{staging}/rewritten/_SUCCESS")  # before the files, which may not go all at once
+    discard(spark, staging)
 
 
 def _touched_days(changes: DataFrame) -> list[date | None]:
