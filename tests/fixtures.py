@@ -6,6 +6,7 @@ from vendaria import schemas
 from vendaria.operators.cdc import Feeds
 from vendaria.sources.files import from_rows
 
+# The items and feed rows of the case; the purchases are made up around the items.
 ITEMS = [
     (1, 6, 481, 92, 77.99),
     (2, 3, 111, 62, 167.46),

@@ -1,4 +1,4 @@
-"""Column layouts of the marketplace tables."""
+"""Column layouts of the marketplace tables: fixed values, as the files and feeds have them."""
 
 from pyspark.sql.types import (
     BooleanType,
