@@ -10,6 +10,7 @@ from fixtures import plan
 from vendaria import schemas
 from vendaria.operators.cdc import latest_per_key
 from vendaria.operators.gmv import gmv_daily
+from vendaria.operators.revenue import revenue_by
 from vendaria.plans.sales import top_producers
 from vendaria.sources import star
 
@@ -103,3 +104,38 @@ def test_merge_is_one_join(spark, no_broadcast):
     text = query_plan(spark, "gmv_scd2_merge")
     assert text.count("FullOuter") == 1
     assert text.count("FileScan") == 6
+
+
+@pytest.mark.parametrize("precombine", [True, False])
+def test_what_is_left_of_a_popular_item_is_split(spark, no_broadcast, precombine):
+    """A third of all purchases are of one item, each by a producer of its own, so counting merges none of them."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    item = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).cast("bigint")
+    purchase = spark.range(0, 300_000, 1, 16).select(
+        item.alias("prod_item_id"),
+        F.lit(0).cast("bigint").alias("prod_item_partition"),
+        F.col("id").alias("producer_id"),
+        F.current_date().alias("release_date"),
+    )
+    items = spark.range(5000).select(
+        F.col("id").alias("prod_item_id"),
+        F.lit(0).cast("bigint").alias("prod_item_partition"),
+        F.col("id").alias("product_id"),
+        F.lit(2).cast("bigint").alias("item_quantity"),
+        F.lit(1.5).alias("purchase_value"),
+    )
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        total = revenue_by(purchase, items, ["producer_id"], "t", precombine=precombine).agg(F.sum("t"), F.count("*"))
+        assert tuple(total.first()) == (900_000.0, 300_000)
+        total.collect()
+        assert "SortMergeJoin(skew=true)" in plan(total)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
