@@ -26,6 +26,14 @@ from vendaria.sources.files import read_csv, read_parquet, write_partitioned
 from vendaria.sources.scratch import materialize, scratch_dir
 from vendaria.streaming.feeds import stream_gmv, tagged
 
+try:
+    import vendaria.llm.registry as corpus
+except ModuleNotFoundError as missing:
+    # The corpus operators are optional; an import that fails inside them is an error.
+    if missing.name not in ("vendaria.llm", "vendaria.llm.registry"):
+        raise
+    corpus = None
+
 YEAR = 1997
 IN_YEAR = (date(YEAR, 1, 1), date(YEAR, 12, 31))
 
@@ -182,6 +190,10 @@ def _layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _sales_queries() | (corpus.queries() if corpus else {})
+
+
+def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ingest_roundtrip": _roundtrip("product_item"),
         "ingest_roundtrip_purchase": _roundtrip("purchase"),
@@ -401,6 +413,10 @@ def _on_history_sql(select: str, mode: str = "single_pass") -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _sales_sql() | (corpus.oracle_sql() if corpus else {})
+
+
+def _sales_sql() -> dict[str, str]:
     in_year = f"p.order_date BETWEEN DATE '{IN_YEAR[0]}' AND DATE '{IN_YEAR[1]}'"
     approved = "p.status = 'Aprovado'"
     feed = f"WITH {_feeds_sql()} SELECT * FROM "

@@ -16,10 +16,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    """The corpus queries that SQL cannot express have tests of their own."""
+    corpus = set(contract.corpus.queries()) if contract.corpus else set()
+    assert set(contract.queries()) - corpus == set(contract.oracle_sql()) - corpus
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(contract.oracle_sql()))
 def test_same_rows(spark, con, name):
     rows, difference = oracle.compare(spark, con, contract.queries()[name], contract.oracle_sql()[name], SF_DIR)
     assert not difference
