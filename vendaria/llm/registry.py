@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vendaria.llm.bpe import encode, load_tokenizer
+from vendaria.llm.mixing import mix
 from vendaria.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls
+from vendaria.llm.words import n_words
+from vendaria.sources.scratch import materialize, scratch_dir
 
 URL_RULES = (
     Rule(ALLOW, "org", "/"),
@@ -24,6 +27,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document the mix takes."""
+    docs = _table(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    sized = materialize(sized, f"{scratch_dir(spark)}/sized")  # the texts are read once
+    return mix(sized, F.col("size")).select(
+        "doc_id",
+        "mix.size",
+        "mix.source_size",
+        "mix.target",
+        (F.col("mix.size") * F.col("mix.copies")).alias("taken"),
+    )
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document's ids and decoded text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,6 +62,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_mixing": op2_mixing,
         "op4_bpe": op4_bpe,
         "op5_url_filter": op5_url_filter,
     }
