@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vendaria.llm import toxicity
 from vendaria.llm.bpe import encode, load_tokenizer
+from vendaria.llm.labels import held_out
 from vendaria.llm.mixing import mix
 from vendaria.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls
 from vendaria.llm.words import n_words
@@ -60,11 +62,24 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, URL_RULES).select("page_id", "url_verdict.*")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learnt from the labels that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_mixing": op2_mixing,
         "op4_bpe": op4_bpe,
         "op5_url_filter": op5_url_filter,
+        "op10_toxicity": op10_toxicity,
     }
 
 
