@@ -12,6 +12,7 @@ from vendaria.llm import toxicity
 from vendaria.llm.bpe import encode, load_tokenizer
 from vendaria.llm.labels import held_out
 from vendaria.llm.mixing import mix
+from vendaria.llm.topk import top_k
 from vendaria.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls
 from vendaria.llm.words import n_words
 from vendaria.sources.scratch import materialize, scratch_dir
@@ -62,6 +63,12 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, URL_RULES).select("page_id", "url_verdict.*")
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten largest inner products for every hundredth embedding."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity, learnt from the labels that are not held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -79,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mixing": op2_mixing,
         "op4_bpe": op4_bpe,
         "op5_url_filter": op5_url_filter,
+        "op7_topk": op7_topk,
         "op10_toxicity": op10_toxicity,
     }
 
@@ -88,6 +96,22 @@ _URL_RULES_SQL = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in U
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op7_topk": """
+            WITH vectors AS (
+                SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+                FROM embeddings
+                WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            ),
+            scored AS (
+                SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+                FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+            ),
+            ranked AS (
+                SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank
+                FROM scored
+            )
+            SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+        """,
         "op5_url_filter": f"""
             WITH rules(verdict, host, path) AS (VALUES {_URL_RULES_SQL}),
             cut AS (
