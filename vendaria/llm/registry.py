@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendaria.llm import toxicity
+from vendaria.llm import quality_rules, toxicity
 from vendaria.llm.bpe import encode, load_tokenizer
 from vendaria.llm.labels import held_out
 from vendaria.llm.mixing import mix
@@ -69,6 +69,14 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's statistics, base rules and verdict."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = quality_rules.train(docs, _table(spark, sf_dir, "labels"))
+    columns = (*quality_rules.COUNTS, "base_failed", "kept", "score")
+    return quality_rules.judge(docs, trees).select("doc_id", *[f"quality.{c}" for c in columns])
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity, learnt from the labels that are not held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -87,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_bpe": op4_bpe,
         "op5_url_filter": op5_url_filter,
         "op7_topk": op7_topk,
+        "op8_quality_rules": op8_quality_rules,
         "op10_toxicity": op10_toxicity,
     }
 
