@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendaria.llm import quality_rules, toxicity
+from vendaria.llm import cotraining, quality_rules, toxicity
 from vendaria.llm.bpe import encode, load_tokenizer
 from vendaria.llm.labels import held_out
 from vendaria.llm.mixing import mix
@@ -30,6 +30,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality by both views and combined."""
+    docs = _table(spark, sf_dir, "documents")
+    model = cotraining.train(docs, _table(spark, sf_dir, "labels"))
+    return cotraining.score(docs, model).select("doc_id", "quality.*")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of every document the mix takes."""
     docs = _table(spark, sf_dir, "documents")
@@ -91,6 +98,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_cotraining": op1_cotraining,
         "op2_mixing": op2_mixing,
         "op4_bpe": op4_bpe,
         "op5_url_filter": op5_url_filter,
