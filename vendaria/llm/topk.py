@@ -25,12 +25,12 @@ from pyspark.sql import functions as F
 
 from vendaria.sources.scratch import materialize, scratch_dir
 
-#: Queries that are broadcast at a time, candidates that give them their first thresholds, and candidates that are
-#: held against them at a time: 4 MB of queries and matrices of 1024 x 4096 numbers.
+#: Queries that are broadcast at a time, candidates that give them their first thresholds, and how many of either are
+#: held against each other at a time: some MB of queries, and matrices of 4 MB.
 QUERY_BLOCK = 8192
-SEEDS = 4096
-CANDIDATE_BLOCK = 4096
-QUERY_ROWS = 1024
+SEEDS = 2048
+CANDIDATE_BLOCK = 2048
+QUERY_ROWS = 256
 
 
 def whole_vector(embedding: Column, scale: int = 1024) -> Column:
@@ -161,35 +161,45 @@ class _Queries:
     def _meet(self, ids: np.ndarray, x: np.ndarray) -> None:
         rotated = x @ self.rotation
         norm = _lengths(rotated)
-        # Room for the rounding of floating-point sums; a bound has to be too large rather than too small.
         longest = float(norm.max())
-        for at in range(0, len(self.ids), QUERY_ROWS):
-            rows = at + np.flatnonzero(
-                self.norm[at : at + QUERY_ROWS] * longest * (1 + 1e-9) + 1 >= self.least[at : at + QUERY_ROWS]
-            )
+        distinct = len(np.unique(ids)) == len(ids)
+        # Products are exact in floating point as long as no partial sum can reach 2^53.
+        exact = float(self.norm.max(initial=0)) * longest < 2**52
+        for at in range(0, len(self.ids), QUERY_ROWS if exact and distinct else QUERY_ROWS // 16):
+            size = QUERY_ROWS if exact and distinct else QUERY_ROWS // 16
+            # Room for rounding: a bound may be too large, never too small.
+            reach = self.norm[at : at + size] * longest * (1 + 1e-9) + 1
+            rows = at + np.flatnonzero(reach >= self.least[at : at + size])
             if not len(rows):
                 continue
-            q, c = self._candidates(rows, rotated, norm)
-            own = self.ids[q] != ids[c]
-            q, c = q[own], c[own]
-            self._keep(q, ids[c], np.einsum("ij,ij->i", self.x[q], x[c]))
-
-    def _candidates(self, rows: np.ndarray, rotated: np.ndarray, norm: np.ndarray):
-        """Pairs whose bound reaches the query's threshold, by heads of an eighth, a quarter and half of the dimensions."""
-        dims = rotated.shape[1]
+            alive = self._alive(rows, rotated, norm) & (self.ids[rows][:, None] != ids)
+            if exact and distinct and alive.sum() > 4 * self.k * len(rows):
+                scores = np.where(alive, self.x[rows].astype(float) @ x.T.astype(float), -np.inf)
+                if len(ids) > self.k:  # a candidate below k others of its block is out
+                    alive &= scores >= np.partition(scores, -self.k, axis=1)[:, -self.k :].min(axis=1)[:, None]
+                q, c = np.nonzero(alive)
+                scores = scores[q, c].astype(np.int64)
+            else:
+                q, c = np.nonzero(alive)
+                scores = np.einsum("ij,ij->i", self.x[rows[q]], x[c])
+            self._keep(rows[q], ids[c], scores)
+
+    def _alive(self, rows: np.ndarray, rotated: np.ndarray, norm: np.ndarray) -> np.ndarray:
+        """Which candidates' bounds reach the queries' thresholds, by heads of an eighth, a quarter, half the dimensions."""
+        own, dims = self.rotated[rows], rotated.shape[1]
         slack = 1e-9 * np.outer(self.norm[rows], norm) + 1
         least = self.least[rows][:, None]
         partial = np.zeros((len(rows), len(norm)))
-        done, open_rows, open_columns = 0, np.arange(len(rows)), np.arange(len(norm))
+        alive = np.outer(self.norm[rows], norm) + slack >= least
+        done = 0
         for head in sorted({max(1, dims // 8), max(1, dims // 4), max(1, dims // 2)}):
-            partial += self.rotated[rows][:, done:head] @ rotated[:, done:head].T
-            done = head
-            tails = np.outer(_lengths(self.rotated[rows][:, head:]), _lengths(rotated[:, head:]))
-            alive = partial + tails + slack >= least
             if alive.mean() < 0.05:
                 break
-        open_rows, open_columns = np.nonzero(alive)
-        return rows[open_rows], open_columns
+            partial += own[:, done:head] @ rotated[:, done:head].T
+            done = head
+            tails = np.outer(_lengths(own[:, head:]), _lengths(rotated[:, head:]))
+            alive &= partial + tails + slack >= least
+        return alive
 
     def _keep(self, q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         good = scores >= self.least[q]
