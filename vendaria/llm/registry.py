@@ -12,6 +12,7 @@ from vendaria.llm import cotraining, quality_rules, toxicity
 from vendaria.llm.bpe import encode, load_tokenizer
 from vendaria.llm.labels import held_out
 from vendaria.llm.mixing import mix
+from vendaria.llm.ngram_join import ngram_components
 from vendaria.llm.topk import top_k
 from vendaria.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls
 from vendaria.llm.words import n_words
@@ -70,6 +71,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, URL_RULES).select("page_id", "url_verdict.*")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component under shingle similarity."""
+    return ngram_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten largest inner products for every hundredth embedding."""
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -102,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mixing": op2_mixing,
         "op4_bpe": op4_bpe,
         "op5_url_filter": op5_url_filter,
+        "op6_ngram_join": op6_ngram_join,
         "op7_topk": op7_topk,
         "op8_quality_rules": op8_quality_rules,
         "op10_toxicity": op10_toxicity,

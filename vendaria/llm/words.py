@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """The words in UTF-8. `bytes.split` knows exactly these six separators, and its `lower` only A-Z."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
+def words_of(text: str | None, lower: bool = False) -> list[bytes]:
+    """The words in UTF-8, with A-Z in lower case if asked for.
+
+    `bytes.split` knows exactly these six separators, and `bytes.lower` only A-Z.
+    """
+    if not text:
+        return []
+    encoded = text.encode("utf-8", "surrogatepass")
+    return encoded.lower().split() if lower else encoded.split()
 
 
 def n_words(text: Column) -> Column:
