@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vendaria.llm import cotraining, quality_rules, toxicity
 from vendaria.llm.bpe import encode, load_tokenizer
 from vendaria.llm.labels import held_out
+from vendaria.llm.line_dedup import repeated_lines
 from vendaria.llm.mixing import mix
 from vendaria.llm.ngram_join import ngram_components
 from vendaria.llm.topk import top_k
@@ -52,6 +53,13 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of every document that repeat an earlier line."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_removed = F.size("removed").cast("long").alias("n_removed")
+    return repeated_lines(docs).select("doc_id", "n_lines", n_removed, "removed")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document's ids and decoded text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -106,6 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_cotraining": op1_cotraining,
         "op2_mixing": op2_mixing,
+        "op3_line_dedup": op3_line_dedup,
         "op4_bpe": op4_bpe,
         "op5_url_filter": op5_url_filter,
         "op6_ngram_join": op6_ngram_join,
