@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendaria.llm import cotraining, quality_rules, toxicity
+from vendaria.llm import cotraining, pii, quality_rules, toxicity
 from vendaria.llm.bpe import encode, load_tokenizer
 from vendaria.llm.labels import held_out
 from vendaria.llm.line_dedup import repeated_lines
@@ -98,6 +98,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, trees).select("doc_id", *[f"quality.{c}" for c in columns])
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of every document's base spans, and all spans."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_private(docs, pii.train(docs))
+    base = F.filter("private", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    digest = F.sha2(pii.as_text(base), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.as_text(F.col("private")).alias("spans"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity, learnt from the labels that are not held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -120,6 +130,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_ngram_join": op6_ngram_join,
         "op7_topk": op7_topk,
         "op8_quality_rules": op8_quality_rules,
+        "op9_pii": op9_pii,
         "op10_toxicity": op10_toxicity,
     }
 
