@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vendaria.llm.labels import labelled_sample
+from vendaria.llm.labels import first_ids, first_rows, labelled_sample
 
 #: The fit's bounds: labelled documents of each class, characters of a document to learn from, and unlabelled
 #: documents of a round's pool.
@@ -272,7 +272,7 @@ def train(
     The executors turn texts into features; only those come to the driver. Without labels of both classes every
     document has the score of the class that there is.
     """
-    seen = docs.filter(F.length("text") <= MAX_CHARS)
+    seen = F.length("text") <= MAX_CHARS
     views = {"text": _text_features("text"), "facts": page_facts()}
     counts = labels.filter(F.col("quality").isin(0, 1)).groupBy("quality").count().collect()
     known = {int(r["quality"]): r["count"] for r in counts}
@@ -282,14 +282,14 @@ def train(
         odds = float(np.log(prior / (1 - prior)))
         flat = [Linear(np.zeros(n), odds) for n in (TEXT_FEATURES, PAGE_FEATURES)]
         return CoTrained(*flat, prior)
-    sample = labelled_sample(seen, labels, "quality", per_class, views)
+    sample = labelled_sample(docs, labels, "quality", per_class, views, seen)
     # Each class comes in the order of a hash; together they are put in one order, so that any fourth is a fair part.
     sample = sample.sort_values("doc_id", key=lambda ids: ids.map(lambda i: zlib.crc32(str(i).encode())), kind="stable")
 
-    unlabelled = seen.join(labels.select("doc_id").distinct(), "doc_id", "left_anti").filter("doc_id IS NOT NULL")
-    ids = unlabelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rounds * pool)
-    fresh = seen.join(F.broadcast(ids), "doc_id").select("doc_id", *[c.alias(n) for n, c in views.items()])
-    fresh = fresh.orderBy(F.xxhash64("doc_id"), "doc_id", "facts").limit(rounds * pool).toPandas()
+    every = docs.filter(seen).filter("doc_id IS NOT NULL")
+    unlabelled = every.select("doc_id").distinct().join(labels.select("doc_id").distinct(), "doc_id", "left_anti")
+    fresh = first_rows(every.join(F.broadcast(first_ids(unlabelled, rounds * pool)), "doc_id"), rounds * pool)
+    fresh = fresh.select("doc_id", *[c.alias(n) for n, c in views.items()]).toPandas()
 
     def rows_of(frame: pd.DataFrame) -> list[Rows]:
         text = Rows.of([t["feature"] for t in frame["text"]], [t["share"] for t in frame["text"]])

@@ -20,18 +20,25 @@ def labelled_sample(
     Only labels of 0 and 1 count. An id that is labelled twice has the larger label; an id that several documents
     share brings the label to each of them, so the rows are bounded once more after the join. The sample is the
     first ones by a hash of the id, whatever the size of the tables, and comes in that order. `keep` filters the
-    documents that are fit to learn from.
+    documents that are fit to learn from. `columns` are computed for the sample alone.
     """
     wanted = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     wanted = wanted.groupBy("doc_id").agg(F.max(label).cast("int").alias("__label"))
-    order = F.xxhash64("doc_id"), F.col("doc_id")
-    texts = docs.filter(keep) if keep is not None else docs
-    texts = texts.select("doc_id", *[c.alias(name) for name, c in columns.items()])
+    fit = docs.filter(keep) if keep is not None else docs
     parts = []
     for value in (0, 1):
-        of_class = wanted.filter(F.col("__label") == value)
         # Twice as many as are wanted, as some may have no document that is fit.
-        ids = of_class.orderBy(*order).limit(2 * per_class)
-        found = texts.join(F.broadcast(ids), "doc_id").orderBy(*order, *columns).limit(per_class)
-        parts.append(found.toPandas())
+        ids = first_ids(wanted.filter(F.col("__label") == value), 2 * per_class)
+        found = first_rows(fit.join(F.broadcast(ids), "doc_id"), per_class)
+        parts.append(found.select("doc_id", "__label", *[c.alias(name) for name, c in columns.items()]).toPandas())
     return pd.concat(parts, ignore_index=True).rename(columns={"__label": label})
+
+
+def first_ids(rows: DataFrame, n: int) -> DataFrame:
+    """The first `n` rows of a table without texts, by a hash of the id."""
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+
+
+def first_rows(docs: DataFrame, n: int) -> DataFrame:
+    """The first `n` documents by a hash of the id, and of the text where several share an id."""
+    return docs.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(n)

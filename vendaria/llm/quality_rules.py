@@ -16,7 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -232,10 +232,11 @@ def _gain(g, h, value, decay: float):
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Trees:
     """Fit on the statistics of a bounded sample; they are counted by the executors, no text comes to the driver."""
-    counted = with_stats(docs.select("doc_id", "text").filter(F.length("text") <= max_chars))
-    sample = labelled_sample(counted, labels, "quality", per_class, {c: F.col(f"stats.{c}") for c in (*COUNTS, *MORE)})
-    sample = sample[~base_failed(sample)]
-    return fit_trees(features_of(sample), sample["quality"].to_numpy(dtype=float))
+    short = F.length("text") <= max_chars
+    sample = labelled_sample(docs, labels, "quality", per_class, {"stats": stats_of(F.col("text"))}, short)
+    stats = pd.DataFrame(list(sample["stats"]), columns=[*COUNTS, *MORE])
+    judged = ~base_failed(stats).to_numpy(dtype=bool)
+    return fit_trees(features_of(stats[judged]), sample["quality"].to_numpy(dtype=float)[judged])
 
 
 _STATS = T.StructType([T.StructField(c, T.LongType()) for c in (*COUNTS, *MORE)])
@@ -244,12 +245,14 @@ _JUDGED = T.StructType(
 )
 
 
-def with_stats(docs: DataFrame, text_col: str = "text", output: str = "stats") -> DataFrame:
+def stats_of(text: Column) -> Column:
+    """`COUNTS` and `MORE` as a struct."""
+
     @F.pandas_udf(_STATS)
     def counted(texts: pd.Series) -> pd.DataFrame:
         return text_stats(texts)
 
-    return docs.withColumn(output, counted(F.col(f"`{text_col}`")))
+    return counted(text)
 
 
 def judge(docs: DataFrame, trees: Trees, least: float = 0.5, text_col: str = "text", output: str = "quality") -> DataFrame:
