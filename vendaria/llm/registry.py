@@ -123,6 +123,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus that the stages make of the documents."""
+    import corpus_pipeline  # it imports this package, so it is not loaded with it
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_cotraining": op1_cotraining,
@@ -135,6 +142,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_pii": op9_pii,
         "op10_toxicity": op10_toxicity,
+        "pipeline": pipeline,
     }
 
 
