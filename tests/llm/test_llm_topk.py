@@ -1,0 +1,82 @@
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from vendaria.llm.topk import _Queries, top_k
+
+
+def brute(rows, is_query, k):
+    vectors = {}
+    for vec_id, v in rows:
+        if vec_id is None or not v or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        vectors.setdefault(vec_id, []).append([math.floor(1024 * x) for x in v])
+    out = []
+    for q in filter(is_query, vectors):
+        best = {
+            c: max(sum(a * b for a, b in zip(x, y)) for x in vectors[q] for y in vectors[c]) for c in vectors if c != q
+        }
+        top = sorted((-s, c) for c, s in best.items())[:k]
+        out += [(q, i, c, -s) for i, (s, c) in enumerate(top, 1)]
+    return sorted(out)
+
+
+def searched(spark, rows, k, **options):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("own"))
+    return sorted(map(tuple, top_k(frame, F.col("vec_id") % 3 == 0, k, **options).collect()))
+
+
+def test_against_all_products(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(150, 6)) * rng.uniform(0.1, 3, (150, 1))
+    x[20:40] = x[20]  # copies, so ties
+    rows = [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(x)]
+    rows[7] = (7, [0.0] * 6)
+    expected = brute(rows, lambda i: i % 3 == 0, 5)
+    assert searched(spark, rows, 5) == expected
+    assert searched(spark, rows, 5, query_block=7) == expected
+
+
+def test_edge_cases(spark):
+    rows = [
+        (0, [1.0, 2.0]),
+        (1, None),
+        (2, [1.0, None]),
+        (3, [float("nan"), 1.0]),
+        (4, [float("inf"), 1.0]),
+        (5, []),
+        (None, [1.0, 1.0]),
+        (6, [-0.5, 0.25]),
+        (6, [-0.5, 0.25]),  # a repeated row
+        (7, [3.0]),  # a shorter vector
+        (8, [0.0, 0.0]),
+        (9, [2.0, -1.0]),
+        (9, [0.5, 1.0]),  # another vector of the same id
+    ]
+    assert searched(spark, rows, 3) == brute(rows, lambda i: i % 3 == 0, 3)
+    assert searched(spark, rows, 50) == brute(rows, lambda i: i % 3 == 0, 50)  # fewer than k
+    assert searched(spark, [], 3) == []
+    assert searched(spark, [(1, [1.0])], 3) == []
+    assert searched(spark, [(3, [1.0])], 3) == []
+
+
+def test_bounds_never_lose_a_candidate():
+    rng = np.random.default_rng(1)
+    for trial in range(150):
+        d, n, n_queries, k = (int(rng.integers(1, m)) for m in (9, 60, 8, 12))
+        x, q = rng.integers(-5, 6, (n, d)), rng.integers(-5, 6, (n_queries, d))
+        ids = np.arange(n) if trial % 3 == 0 else rng.integers(0, 40, n)
+        query_ids = rng.choice(40, n_queries, replace=False)
+        rotation = np.linalg.eigh(x.T.astype(float) @ x)[1][:, ::-1]
+        asked = _Queries(query_ids, q, rotation, k)
+        for at in range(0, n, 7):
+            asked.meet(ids[at : at + 7], x[at : at + 7])
+        got = asked.best()
+        for i, query in enumerate(query_ids):
+            best = {}
+            for j in np.flatnonzero(ids != query):
+                best[ids[j]] = max(best.get(ids[j], -(10**9)), int(q[i] @ x[j]))
+            expected = sorted((-s, v) for v, s in best.items())[:k]
+            own = got[got["query_id"] == query]
+            assert sorted(zip(-own["score"], own["vec_id"], strict=True)) == expected

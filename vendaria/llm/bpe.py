@@ -167,21 +167,26 @@ def encode(
     if decoded_col:
         added.append(T.StructField(decoded_col, T.StringType()))
     shared = docs.sparkSession.sparkContext.broadcast(bpe)
-    given, copied = "__bpe_text", [f.name for f in kept]
+    # Columns go by number, as their names may hold anything.
+    copied = [f"c{i}" for i in range(len(kept))]
+    fields = [T.StructField(c, f.dataType, f.nullable) for c, f in zip(copied, kept, strict=True)]
+    schema = T.StructType([*fields, *[T.StructField(f"new{i}", f.dataType) for i, f in enumerate(added)]])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = shared.value
         to_ids, to_text = tokenizer.encoder(), tokenizer.decode
         for batch in batches:
-            for rows in _by_size(batch, given):
+            for rows in _by_size(batch, "text"):
                 out = rows[copied].copy()
-                out[ids_col] = [to_ids(t) for t in rows[given]]
+                out["new0"] = [to_ids(t) for t in rows["text"]]
                 if decoded_col:
-                    out[decoded_col] = [to_text(ids) for ids in out[ids_col]]
+                    out["new1"] = [to_text(ids) for ids in out["new0"]]
                 yield out
 
-    rows = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text_col}`").alias(given))
-    return rows.mapInPandas(run, T.StructType([*kept, *added]))
+    rows = docs.select(
+        *[F.col(f"`{f.name}`").alias(c) for f, c in zip(kept, copied, strict=True)], F.col(f"`{text_col}`").alias("text")
+    )
+    return rows.mapInPandas(run, schema).toDF(*[f.name for f in [*kept, *added]])
 
 
 def _by_size(batch: pd.DataFrame, column: str) -> Iterator[pd.DataFrame]:

@@ -220,7 +220,7 @@ def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
         rows = rows.withColumn("n_chars", F.when(changed, size).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _without(text: str | None, removed) -> str | None:

@@ -228,8 +228,9 @@ def without_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     copies = materialize(found.filter("doc_id <> component_id").select("doc_id").distinct(), f"{base}/copies")
     kept = found.filter("doc_id = component_id AND n_shingles > 0").groupBy("doc_id").count()
     again = materialize(kept.filter("count > 1").select("doc_id"), f"{base}/again")
-    stay = docs.join(within_bound(copies), "doc_id", "left_anti").select(*docs.columns)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    stay = docs.join(within_bound(copies), "doc_id", "left_anti").select(*own)
     if again.isEmpty():
         return stay
-    once = stay.join(within_bound(again), "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return stay.join(within_bound(again), "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    once = stay.join(within_bound(again), "doc_id", "left_semi").select(*own).dropDuplicates(["doc_id"])
+    return stay.join(within_bound(again), "doc_id", "left_anti").select(*own).unionByName(once)
