@@ -175,24 +175,30 @@ def fit_linear(rows: Rows, y: np.ndarray, size: int, steps: int = 150, rate: flo
 
 
 def calibrate(model: Linear, rows: Rows, y: np.ndarray, prior: float, steps: int = 30) -> Linear:
-    """Platt's line, by Newton steps, with classes weighed as they occur and targets pulled in from 0 and 1."""
+    """Platt's line, by damped Newton steps, with classes weighed as they occur and targets pulled in from 0 and 1."""
     x = rows.margins(model.weights) + model.bias
     n1, n0 = int((y == 1).sum()), int((y == 0).sum())
     if not n1 or not n0:
         return model
     weight = np.where(y == 1, prior / n1, (1 - prior) / n0) * len(y)
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    a, c = 1.0, 0.0
+
+    def loss(line: np.ndarray) -> float:
+        z = line[0] * x + line[1]
+        return float(weight @ (np.logaddexp(0, z) - target * z) + 5e-4 * line @ line)
+
+    line = np.array([1.0, 0.0])
     for _ in range(steps):
-        p = sigmoid(a * x + c)
-        g = weight * (p - target)
-        h = weight * p * (1 - p) + 1e-9
-        gradient = np.array([g @ x + 1e-3 * (a - 1), g.sum()])
-        hessian = np.array([[h @ (x * x) + 1e-3, h @ x], [h @ x, h.sum() + 1e-3]])
-        da, dc = np.linalg.solve(hessian, gradient)
-        scale = min(1.0, 2.0 / max(1e-9, abs(da), abs(dc)))
-        a, c = max(0.0, a - scale * da), c - scale * dc  # a view that tells nothing has a flat line
-    return model._replace(slope=float(a), shift=float(c))
+        p = sigmoid(line[0] * x + line[1])
+        g, h = weight * (p - target), weight * p * (1 - p)
+        gradient = np.array([g @ x, g.sum()]) + 1e-3 * line
+        hessian = np.array([[h @ (x * x), h @ x], [h @ x, h.sum()]]) + 1e-3 * np.eye(2)
+        step, size = np.linalg.solve(hessian, gradient), 1.0
+        while size > 1e-6 and loss(line - size * step) > loss(line):
+            size /= 2
+        line = line - size * step
+    # A view that tells nothing, or the wrong way round, has a flat line.
+    return model._replace(slope=float(max(0.0, line[0])), shift=float(line[1]))
 
 
 class CoTrained(NamedTuple):
