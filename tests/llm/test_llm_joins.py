@@ -1,0 +1,235 @@
+"""The two set-similarity joins against comparing all pairs, and connected components against union-find."""
+
+import random
+
+import numpy as np
+import pytest
+from edge_cases import documents, prose
+
+from vendaria.llm import line_dedup, ngram_join, setjoin
+from vendaria.llm.components import components
+from vendaria.llm.line_dedup import repeated_lines, without_repeated_lines
+from vendaria.llm.ngram_join import ngram_components, without_copies
+from vendaria.llm.registry import op3_line_dedup, op6_ngram_join
+
+
+def roots_of(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(n):
+        while parent[n] != n:
+            parent[n] = parent[parent[n]]
+            n = parent[n]
+        return n
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+@pytest.mark.parametrize("shape", ["random", "path", "star", "none"])
+def test_components(spark, tmp_path, shape):
+    rng = random.Random(1)
+    nodes = rng.sample(range(10**12), 120)
+    links = {
+        "random": [tuple(rng.sample(nodes, 2)) for _ in range(70)],
+        "path": list(zip(sorted(nodes)[:-1], sorted(nodes)[1:], strict=True)),
+        "star": [(nodes[0], n) for n in nodes],
+        "none": [],
+    }[shape]
+    frame = spark.createDataFrame([*links, *links[:5]], "a long, b long")
+    found = {r["node"]: r["root"] for r in components(frame, str(tmp_path / "c")).collect()}
+    expected = roots_of(nodes, links)
+    assert all(found.get(n, n) == r for n, r in expected.items())
+    assert len(found) == len({n for a, b in links if a != b for n in (a, b)})
+
+
+def shingle_sets(texts):
+    out = {}
+    for doc_id, text in texts:
+        words = (text or "").encode().lower().split()
+        out[doc_id] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    return out
+
+
+def linked(sets, percent):
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                yield a, b
+
+
+def near_copies(n: int, edits: int, words: int = 60, seed: int = 0):
+    """Texts that differ from one text in a few words, so only some pairs of them are similar."""
+    rng = random.Random(seed)
+    base = prose(words, seed).split()
+    for _ in range(n):
+        own = list(base)
+        for _ in range(rng.randrange(edits + 1)):
+            own[rng.randrange(words)] = f"edit{rng.randrange(1000)}"
+        yield " ".join(own)
+
+
+def corpus():
+    texts = [prose(30 + k % 40, k) for k in range(60)]
+    texts += near_copies(50, 3, seed=3)
+    texts += near_copies(30, 5, words=25, seed=8)
+    texts += [prose(20, 4) + " " + prose(n, 50 + n) for n in range(1, 12)]  # a shared passage
+    texts += ["one two three", "One TWO three", "one two", "É one two three four", "é one two three four"] * 2
+    texts += [texts[5]] * 4 + ["", None, " \n"]
+    return list(enumerate(texts))
+
+
+@pytest.fixture
+def no_broadcasts(monkeypatch):
+    monkeypatch.setattr(setjoin, "BROADCAST_ROWS", 0)
+
+
+@pytest.mark.parametrize("percent", [50, 75, 100])
+def test_ngram_join_equals_all_pairs(spark, percent):
+    texts = corpus()
+    sets = shingle_sets(texts)
+    expected = roots_of(sets, linked(sets, percent))
+    rows = ngram_components(documents(spark, [(i, t, "en", "s") for i, t in texts]).repartition(5), percent).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == expected
+    assert {r["doc_id"]: r["n_shingles"] for r in rows} == {i: len(s) for i, s in sets.items()}
+    assert any(i != c for i, c in expected.items())
+
+
+def test_ngram_join_without_hubs_or_broadcasts(spark, monkeypatch, no_broadcasts):
+    """All pairs through the multi-match filters alone."""
+    monkeypatch.setattr(ngram_join, "MOST_ROUNDS", 0)
+    texts = corpus()
+    sets = shingle_sets(texts)
+    rows = ngram_components(documents(spark, [(i, t, "en", "s") for i, t in texts])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == roots_of(sets, linked(sets, 75))
+
+
+def test_multi_match_prefixes_hold_enough_common_tokens():
+    """For each level of the larger set, similar sets share so many tokens of their prefixes at that level."""
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        n = int(rng.integers(2, 60))
+        a = np.sort(rng.choice(200, n, replace=False))
+        b = np.unique(np.concatenate([rng.permutation(a)[: max(1, int(n * 0.9))], rng.choice(200, int(n * 0.1))]))
+        both = len(np.intersect1d(a, b))
+        if 100 * both < 75 * (len(a) + len(b) - both):
+            continue
+        larger = max(len(a), len(b))
+        for level in range(1, min(ngram_join.MOST_MATCHES, (75 * larger + 99) // 100) + 1):
+            prefixes = [x[: ngram_join.first_prefix(len(x), 75) + level - 1] for x in (a, b)]
+            assert len(np.intersect1d(*prefixes)) >= level
+
+
+def test_levels_follow_the_cost():
+    prefix = ngram_join.adaptive_prefix(75)
+    sizes = np.array([40, 40, 1])
+    owner = np.repeat(np.arange(3), sizes)
+    place = np.concatenate([np.arange(n) for n in sizes])
+    rare = np.ones(40)
+    common_first = np.where(np.arange(40) < 11, 500.0, 501.0)
+    inside, level = prefix(sizes, owner, place, np.concatenate([rare, common_first, [1.0]]))
+    assert level[0] == 1 and level[1] > 1 and level[2] == 1
+    assert np.bincount(owner, inside).tolist() == [14, 14, 1]
+
+
+def test_sorted_sets_when_keys_agree():
+    """Tokens that differ only in their lowest bits still come in one order, and once."""
+    token = np.array([7, 5, 7, 1 << 40, 6, 5], np.uint64)
+    owner = np.array([0, 0, 0, 1, 1, 1])
+    assert [x.tolist() for x in setjoin.sorted_sets(owner, token)] == [[0, 0, 1, 1, 1], [5, 7, 5, 6, 1 << 40]]
+    assert [len(x) for x in setjoin.sorted_sets(owner[:0], token[:0])] == [0, 0]
+
+
+def test_ngram_edge_cases(spark):
+    docs = documents(spark)
+    rows = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_components(docs).collect()}
+    assert {(1, 36, 1), (2, 36, 1), (3, 0, 3), (4, 0, 4), (5, 0, 5), (6, 1, 6), (7, 1, 6), (8, 1, 8)} <= rows
+    kept = without_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [
+        *[(False, i) for i in (1, 3, 4, 5, 6, 8, 9, 10, 11)], (True, 0)
+    ]
+    assert ngram_components(documents(spark, [])).count() == 0
+    assert without_copies(documents(spark, [])).count() == 0
+
+
+def kept_lines(texts, percent):
+    """For each document the numbers of lines that have a similar earlier one."""
+    earlier, removed = [], {}
+    for doc_id, text in sorted(texts):
+        removed[doc_id] = []
+        for k, line in enumerate((text or "").split("\n")):
+            words = set(line.encode().split())
+            if not words:
+                continue
+            if any(100 * len(words & e) >= percent * len(words | e) for e in earlier):
+                removed[doc_id].append(k)
+            earlier.append(words)
+    return removed
+
+
+def lined(n: int = 60):
+    rng = random.Random(7)
+    lines = [prose(rng.randrange(1, 40), k) for k in range(80)] + list(near_copies(40, 3, words=30, seed=5))
+    lines += ["a", "b a", "a  b", "\tA b ", "", "  ", "é à", "the licence of this text"] * 3
+    return [(k, "\n".join(rng.choice(lines) for _ in range(rng.randrange(0, 9)))) for k in range(n)]
+
+
+@pytest.mark.parametrize("percent", [60, 90])
+def test_line_dedup_equals_all_pairs(spark, percent):
+    texts = lined()
+    rows = repeated_lines(documents(spark, [(i, t, "en", "s") for i, t in texts]).repartition(4), percent).collect()
+    assert {r["doc_id"]: r["removed"] for r in rows} == kept_lines(texts, percent)
+
+
+def test_line_dedup_without_hubs_or_broadcasts(spark, monkeypatch, no_broadcasts):
+    monkeypatch.setattr(line_dedup, "MOST_ROUNDS", 0)
+    texts = lined()
+    docs = documents(spark, [(i, t, "en", "s") for i, t in texts])
+    expected = kept_lines(texts, 80)
+    assert {r["doc_id"]: r["removed"] for r in repeated_lines(docs, 80).collect()} == expected
+    cleaned = {r["doc_id"]: r["text"] for r in without_repeated_lines(docs, 80).collect()}
+    for i, t in texts:
+        assert cleaned[i] == "\n".join(x for k, x in enumerate(t.split("\n")) if k not in expected[i])
+
+
+def test_line_edge_cases(spark):
+    rows = [
+        (2, "x y z\nfresh line", "en", "s"),
+        (1, "x y z\n\nz y x\n", "en", "s"),
+        (3, None, None, None),
+        (4, "", "en", "s"),
+        (None, "fresh line\nonly here", "en", "s"),
+        (5, "own words\nx y z", "en", "s"),
+        (5, "own words\nx y z", "en", "s"),  # a repeated row
+        (6, "long " * 50_000 + "\nlast", "en", "s"),
+    ]
+    docs = documents(spark, rows)
+    found = {r["doc_id"]: (r["n_lines"], r["removed"]) for r in repeated_lines(docs).collect()}
+    assert found == {
+        1: (2, [2]), 2: (2, [0]), 3: (0, []), 4: (0, []), 5: (2, [1]), 6: (2, []), None: (2, [0])
+    }
+    out = without_repeated_lines(docs)
+    assert out.columns == docs.columns
+    texts = sorted(((r["doc_id"] or 99, r["text"], r["n_chars"]) for r in out.collect()), key=str)
+    assert texts == sorted([
+        (1, "x y z\n\n", 7), (2, "fresh line", 10), (3, None, None), (4, "", 0), (99, "only here", 9),
+        (5, "own words", 9), (5, "own words", 9), (6, "long " * 50_000 + "\nlast", 250_005),
+    ], key=str)
+    assert repeated_lines(documents(spark, [])).count() == 0
+    assert without_repeated_lines(documents(spark, [])).count() == 0
+
+
+def test_queries(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    sets = shingle_sets(texts)
+    rows = op6_ngram_join(spark, sf_dir).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == roots_of(sets, linked(sets, 75))
+    assert {r["doc_id"]: r["n_shingles"] for r in rows} == {i: len(s) for i, s in sets.items()}
+    removed = kept_lines(texts, line_dedup.PERCENT)
+    assert {r["doc_id"]: r["removed"] for r in op3_line_dedup(spark, sf_dir).collect()} == removed
