@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vendaria.llm.memo import Memo
-from vendaria.llm.ngram_join import first_prefix
+from vendaria.llm.ngram_join import first_prefix, may_match
 from vendaria.llm.setjoin import (
     Items,
     entries,
@@ -82,15 +82,6 @@ def position() -> Column:
     return F.struct(F.col("item_key").isNull().alias("no_id"), "item_key", "text_key", "number")
 
 
-def _may_match(percent: int) -> Column:
-    """Length and positional filter for a word that sets a and b share."""
-    n_a, n_b = F.col("n_a"), F.col("n_b")
-    lengths = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
-    after = F.least(n_a - F.col("place_a"), n_b - F.col("place_b"))
-    most = F.least("place_a", "place_b") + after
-    return lengths & ((100 + percent) * most >= percent * (n_a + n_b))
-
-
 def repeated_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent: int) -> DataFrame:
     """The sets (column `set`) for which a similar, different set comes earlier."""
     found = entries(docs, lines, sketch, plain_prefix(percent))
@@ -134,7 +125,7 @@ def _hub_pairs(state: DataFrame, by: list, percent: int) -> DataFrame:
         F.col("hub.set").alias("set_a"), F.col("hub.n").alias("n_a"), F.col("hub.place").alias("place_a"),
         F.col("set").alias("set_b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"),
     )
-    rows = rows.filter(_may_match(percent))
+    rows = rows.filter(may_match("n_a", "place_a", "n_b", "place_b", percent))
     return rows.select(F.least("set_a", "set_b").alias("a"), F.greatest("set_a", "set_b").alias("b")).distinct()
 
 
@@ -149,7 +140,7 @@ def _other_pairs(state: DataFrame, percent: int) -> DataFrame:
     rows = state.join(open_tokens, "token").filter(F.col("at") <= F.col("last"))
     one = rows.select("token", *[F.col(c).alias(f"{c}_a") for c in ("set", "n", "place", "at")])
     two = rows.filter(~F.col("gone")).select("token", *[F.col(c).alias(f"{c}_b") for c in ("set", "n", "place", "at")])
-    both = one.join(two, "token").filter("at_a < at_b").filter(_may_match(percent))
+    both = one.join(two, "token").filter("at_a < at_b").filter(may_match("n_a", "place_a", "n_b", "place_b", percent))
     pairs = both.groupBy(F.least("set_a", "set_b").alias("a"), F.greatest("set_a", "set_b").alias("b"))
     pairs = pairs.agg(
         F.count(F.lit(1)).alias("common"),

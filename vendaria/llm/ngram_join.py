@@ -16,7 +16,7 @@ similar pair is passed over: it is either verified, or both are already known to
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vendaria.llm.components import components
@@ -102,8 +102,16 @@ def adaptive_prefix(percent: int):
     return prefix
 
 
-def _compatible(a: str, b: str, percent: int) -> F.Column:
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def may_match(n_a: str, place_a: str, n_b: str, place_b: str, percent: int) -> Column:
+    """Length and positional filter for a token that two sets share.
+
+    Sizes differ by the threshold at most. Before the token there are at most as many shared ones as the smaller of
+    its places, and from it on at most as many as the shorter rest has.
+    """
+    lengths = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    after = F.least(F.col(n_a) - F.col(place_a), F.col(n_b) - F.col(place_b))
+    most = F.least(place_a, place_b) + after
+    return lengths & ((100 + percent) * most >= percent * (F.col(n_a) + F.col(n_b)))
 
 
 def similar_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent: int = PERCENT) -> DataFrame:
@@ -119,7 +127,7 @@ def similar_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent:
             break
         found, labelled = _joined(docs, sizes, shared, pairs, found, f"{base}/round-{step}", percent)
         tried = materialize(tried.unionByName(pairs), f"{base}/tried-{step}")
-        before, left = left, _pairs_across(labelled)
+        before, left = left, _pairs_across(labelled, percent)
         if left <= PAIRS_PER_ENTRY * total or before is not None and left > 0.9 * before:
             break
     rest = materialize(_multi_match(labelled, percent).join(tried, ["a", "b"], "left_anti"), f"{base}/pairs-rest")
@@ -131,26 +139,34 @@ def _no_links(shared: DataFrame) -> DataFrame:
     return shared.filter("false").select(F.col("set").alias("a"), F.col("set").alias("b"))
 
 
-def _pair(one, two) -> list[F.Column]:
+def _pair(one: Column, two: Column) -> list[Column]:
     return [F.least(one, two).alias("a"), F.greatest(one, two).alias("b")]
 
 
 def _hub_pairs(labelled: DataFrame, tried: DataFrame, path: str, step: int, percent: int) -> tuple[DataFrame, int]:
     """Every entry with its token's hub, unless both are in one component or have been compared."""
-    order = F.struct(F.xxhash64("set", F.lit(step)).alias("order"), "set", "n", "c")
+    order = F.struct(F.xxhash64("set", F.lit(step)).alias("order"), "set", "n", "place", "c")
     pairs = labelled.withColumn("hub", F.min(order).over(Window.partitionBy("token")))
-    pairs = pairs.filter(F.col("c") != F.col("hub.c")).filter(_compatible("n", "hub.n", percent))
+    pairs = pairs.filter(F.col("c") != F.col("hub.c"))
+    pairs = pairs.filter(may_match("n", "place", "hub.n", "hub.place", percent))
     pairs = pairs.select(*_pair(F.col("hub.set"), F.col("set"))).distinct()
     pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), path)
     return pairs, pairs.count()
 
 
-def _pairs_across(labelled: DataFrame) -> int:
-    """How many pairs of entries share a token and are in different components."""
-    each = labelled.groupBy("token", "c").count().groupBy("token")
-    n = F.col("count").cast("double")
-    pairs = each.agg(((F.sum(n) * F.sum(n) - F.sum(n * n)) / 2).alias("pairs"))
-    return int(pairs.agg(F.sum("pairs")).first()[0] or 0)
+def _is_indexed(percent: int) -> Column:
+    """Whether a token is in the part of the prefix that a set needs for those of its own size or larger."""
+    needed = F.ceil(2 * percent * F.col("n") / (100 + percent))
+    return F.col("place") <= F.col("n") - needed + MOST_MATCHES - 1
+
+
+def _pairs_across(labelled: DataFrame, percent: int) -> int:
+    """How many pairs of entries share a token, are in different components, and hold one that is indexed."""
+    each = labelled.groupBy("token", "c").agg(
+        F.count(F.lit(1)).cast("double").alias("every"), F.count_if(_is_indexed(percent)).cast("double").alias("indexed")
+    )
+    across = F.sum("every") * F.sum("indexed") - F.sum(F.col("every") * F.col("indexed"))
+    return int(each.groupBy("token").agg(across.alias("pairs")).agg(F.sum("pairs")).first()[0] or 0)
 
 
 def _joined(docs, sizes, shared, pairs, found, base: str, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -167,27 +183,34 @@ def _joined(docs, sizes, shared, pairs, found, base: str, percent: int) -> tuple
 def _multi_match(labelled: DataFrame, percent: int) -> DataFrame:
     """Pairs across components that share enough prefix tokens to be similar.
 
-    Both sets' prefixes are read up to the level that the larger set asks for. Shared tokens up to the last one that
-    was found, and the fewer of what follows in either set, bound the intersection.
+    The larger set of a pair asks for its number of matches l. If both have a tokens in common, the l-th of them is at
+    place n - a + l - 1 at most in either set, so only tokens up to there count, with the least a that makes the sets
+    similar. For the smaller set that is the indexed part of its prefix. Shared tokens up to the last one that was
+    found, and the fewer of what follows in either set, bound the intersection.
     """
     apart = labelled.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
-    level = F.greatest(F.lit(1), F.col("place") - (F.col("n") - F.ceil(percent * F.col("n") / 100)) + 1).cast("int")
-    rows = labelled.join(apart.select("token"), "token", "left_semi").withColumn("level", level)
-    columns = ["set", "n", "place", "own", "level", "c"]
-    one = rows.select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
-    two = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in columns])
-    both = one.join(two, "token").filter("set_a < set_b AND c_a <> c_b").filter(_compatible("n_a", "n_b", percent))
-    larger = F.struct("n_a", "set_a") > F.struct("n_b", "set_b")
-    both = both.withColumn("needed", F.when(larger, F.col("own_a")).otherwise(F.col("own_b")))
-    pairs = both.groupBy(F.col("set_a").alias("a"), F.col("set_b").alias("b"), "n_a", "n_b", "needed").agg(
-        F.count_if(F.greatest("level_a", "level_b") <= F.col("needed")).alias("matches"),
+    rows = labelled.join(apart.select("token"), "token", "left_semi")
+    columns = ["set", "n", "place", "own", "c"]
+    small = rows.filter(_is_indexed(percent)).select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
+    large = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in columns])
+    least = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    matched = (
+        (F.struct("n_a", "set_a") < F.struct("n_b", "set_b"))
+        & (F.col("c_a") != F.col("c_b"))
+        & (100 * F.col("n_a") >= percent * F.col("n_b"))
+        & (F.col("place_a") <= F.col("n_a") - least + F.col("own_b") - 1)
+        & (F.col("place_b") <= F.col("n_b") - least + F.col("own_b") - 1)
+    )
+    both = small.join(large, "token").filter(matched)
+    pairs = both.groupBy("set_a", "set_b").agg(
         F.count(F.lit(1)).alias("common"),
-        F.max("place_a").alias("last_a"),
-        F.max("place_b").alias("last_b"),
+        F.max(F.struct("place_a", "place_b")).alias("last"),
+        *[F.first(c).alias(c) for c in ("n_a", "n_b", "own_b")],
     )
-    follow = F.least(F.col("n_a") - F.col("last_a"), F.col("n_b") - F.col("last_b")) - 1
+    follow = F.least(F.col("n_a") - F.col("last.place_a"), F.col("n_b") - F.col("last.place_b")) - 1
     enough = (100 + percent) * (F.col("common") + follow) >= percent * (F.col("n_a") + F.col("n_b"))
-    return pairs.filter((F.col("matches") >= F.col("needed")) & enough).select("a", "b")
+    pairs = pairs.filter((F.col("common") >= F.col("own_b")) & enough)
+    return pairs.select(*_pair(F.col("set_a"), F.col("set_b")))
 
 
 def ngram_components(
