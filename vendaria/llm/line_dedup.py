@@ -18,21 +18,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vendaria.llm.memo import Memo
-from vendaria.llm.ngram_join import first_prefix, may_match
+from vendaria.llm.ngram_join import first_prefix
 from vendaria.llm.setjoin import (
     Items,
     entries,
-    hashed,
     keyed,
+    may_be_similar,
     measured,
     shared_entries,
-    sorted_sets,
     texts_of,
     verified,
     within_bound,
 )
-from vendaria.llm.words import words_of
+from vendaria.llm.words import hashed_words
 from vendaria.sources.scratch import materialize, scratch_dir
 
 #: Two lines of 40 words are similar if they differ in two.
@@ -46,33 +44,26 @@ MOST_ROUNDS = 6
 NO_LINE = -1
 
 
-def lines(texts: list[str], memo: Memo) -> Items:
+def lines(texts: list[str]) -> Items:
     """The hashed words of each line that has any; a text without such a line is one empty item."""
-    text, number, lengths, words = [], [], [], []
-    for i, value in enumerate(texts):
-        before = len(text)
-        for k, line in enumerate(value.encode("utf-8", "surrogatepass").split(b"\n")):
-            if own := line.split():
-                text.append(i)
-                number.append(k)
-                lengths.append(len(own))
-                words += own
-        if len(text) == before:
-            text.append(i)
-            number.append(NO_LINE)
-            lengths.append(0)
-    owner = np.repeat(np.arange(len(text)), lengths)
-    return Items(np.array(text, np.int64), np.array(number, np.int64), owner, hashed(words, memo))
-
-
-def line_set(line: str, memo: Memo) -> np.ndarray:
-    token = hashed(words_of(line), memo)
-    return sorted_sets(np.zeros(len(token), np.int64), token)[1]
+    words = hashed_words(texts)
+    new = np.ones(len(words.line), bool)
+    new[1:] = words.line[1:] != words.line[:-1]
+    text, number = words.text[new], (words.line - words.first_line[words.text])[new]
+    without = np.setdiff1d(np.arange(len(texts)), text)
+    place = np.argsort(np.concatenate([text, without]), kind="stable")
+    moved = np.empty(len(place), np.int64)
+    moved[place] = np.arange(len(place))
+    owner = moved[np.cumsum(new) - 1] if len(new) else np.zeros(0, np.int64)
+    numbers = np.concatenate([number, np.full(len(without), NO_LINE)])
+    return Items(np.concatenate([text, without])[place], numbers[place], owner, words.token)
 
 
 def plain_prefix(percent: int):
     def prefix(sizes, owner, place, count):
-        return place < first_prefix(sizes, percent)[owner], np.zeros(len(sizes), np.int64)
+        # A different set of at least its size and of enough similarity has to be possible.
+        large = 100 * sizes >= percent * (sizes + 1)
+        return (place < first_prefix(sizes, percent)[owner]) & large[owner], np.zeros(len(sizes), np.int64)
 
     return prefix
 
@@ -85,7 +76,7 @@ def position() -> Column:
 def repeated_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent: int) -> DataFrame:
     """The sets (column `set`) for which a similar, different set comes earlier."""
     found = entries(docs, lines, sketch, plain_prefix(percent))
-    shared = shared_entries(found, f"{base}/shared").drop("own")
+    shared = shared_entries(found, percent, f"{base}/shared").drop("own")
     names = materialize(shared.select("set").distinct(), f"{base}/names")
     firsts = sizes.filter("n > 0").join(within_bound(names), "set", "left_semi").groupBy("set")
     firsts = materialize(firsts.agg(F.min(position()).alias("at"), F.count(F.lit(1)).alias("times")), f"{base}/firsts")
@@ -115,17 +106,18 @@ def _with_state(shared: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def _hub_pairs(state: DataFrame, by: list, percent: int) -> DataFrame:
-    """Every entry whose line may still stay, with its word's hub; and the hub, if it may, with those before it."""
-    keys = [(-F.col("times")).alias("often") if k == "-times" else F.col(k) if isinstance(k, str)
-            else F.xxhash64("set", F.lit(k)).alias("any") for k in by]
-    hub = F.min(F.struct(*keys, F.struct("set", "n", "place", "at", "gone").alias("hub"))).over(Window.partitionBy("token"))
-    rows = state.withColumn("hub", hub["hub"]).filter("set <> hub.set")
-    later_gone = F.when(F.col("at") > F.col("hub.at"), F.col("gone")).otherwise(F.col("hub.gone"))
-    rows = rows.filter(~later_gone).select(
-        F.col("hub.set").alias("set_a"), F.col("hub.n").alias("n_a"), F.col("hub.place").alias("place_a"),
-        F.col("set").alias("set_b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"),
-    )
-    rows = rows.filter(may_match("n_a", "place_a", "n_b", "place_b", percent))
+    """Every entry with its word's hub, unless the later line of the two is known to go."""
+    names = {"at": F.col("at"), "-times": (-F.col("times")).alias("often")}
+    keys = [names[k] if k in names else F.xxhash64("set", F.lit(k)).alias("any") for k in by]
+    columns = ["set", "n", "place", "bits", "at", "gone"]
+    hub = F.min(F.struct(*keys, F.struct(*columns).alias("hub"))).over(Window.partitionBy("token"))
+    rows = state.withColumn("hub", hub["hub"])
+    rows = rows.select(*[F.col(c).alias(f"{c}_a") for c in columns], *[F.col(f"hub.{c}").alias(f"{c}_b") for c in columns])
+    later_goes = F.when(F.col("at_a") > F.col("at_b"), F.col("gone_a")).otherwise(F.col("gone_b"))
+    return _distinct_pairs(rows.filter((F.col("set_a") != F.col("set_b")) & ~later_goes & may_be_similar(percent)))
+
+
+def _distinct_pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("set_a", "set_b").alias("a"), F.greatest("set_a", "set_b").alias("b")).distinct()
 
 
@@ -135,27 +127,26 @@ def _pairs_left(state: DataFrame) -> int:
 
 
 def _other_pairs(state: DataFrame, percent: int) -> DataFrame:
-    """Every line that may still stay with all earlier ones that share a prefix word, by the three filters."""
+    """Every line that may still stay with all earlier ones that share a prefix word, by the filters.
+
+    The first word that two similar lines share is at place n - a at most in either, if they have to share a words.
+    """
     open_tokens = state.filter(~F.col("gone")).groupBy("token").agg(F.max("at").alias("last"))
+    columns = ["set", "n", "place", "bits", "at"]
     rows = state.join(open_tokens, "token").filter(F.col("at") <= F.col("last"))
-    one = rows.select("token", *[F.col(c).alias(f"{c}_a") for c in ("set", "n", "place", "at")])
-    two = rows.filter(~F.col("gone")).select("token", *[F.col(c).alias(f"{c}_b") for c in ("set", "n", "place", "at")])
-    both = one.join(two, "token").filter("at_a < at_b").filter(may_match("n_a", "place_a", "n_b", "place_b", percent))
-    pairs = both.groupBy(F.least("set_a", "set_b").alias("a"), F.greatest("set_a", "set_b").alias("b"))
-    pairs = pairs.agg(
-        F.count(F.lit(1)).alias("common"),
-        F.first(F.col("n_a") + F.col("n_b")).alias("sizes"),
-        F.max(F.struct("place_a", F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")))).alias("end"),
-    )
-    most = F.col("common") + F.col("end.col2") - 1
-    return pairs.filter((100 + percent) * most >= percent * F.col("sizes")).select("a", "b")
+    one = rows.select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
+    two = state.filter(~F.col("gone")).select("token", *[F.col(c).alias(f"{c}_b") for c in columns])
+    least = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    first = (F.col("place_a") <= F.col("n_a") - least) & (F.col("place_b") <= F.col("n_b") - least)
+    both = one.join(two, "token").filter((F.col("at_a") < F.col("at_b")) & first & may_be_similar(percent))
+    return _distinct_pairs(both)
 
 
 def _gone(docs, sizes, firsts, pairs, gone, base: str, percent: int) -> DataFrame:
     """Verify pairs; the later set of a similar pair goes."""
     wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
     texts = texts_of(docs, sizes, wanted, f"{base}-texts", lambda text, number: F.get(F.split(text, "\n"), number))
-    links = materialize(verified(pairs, texts, line_set, percent), f"{base}-verified")
+    links = materialize(verified(pairs, texts, lines, percent), f"{base}-verified")
     of_a = firsts.select(F.col("set").alias("a"), F.col("at").alias("at_a"))
     of_b = firsts.select(F.col("set").alias("b"), F.col("at").alias("at_b"))
     ends = within_bound(links).join(of_a, "a").join(of_b, "b")

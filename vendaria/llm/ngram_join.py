@@ -20,21 +20,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vendaria.llm.components import components
-from vendaria.llm.memo import Memo
 from vendaria.llm.setjoin import (
     Items,
     entries,
     folded,
-    hashed,
     keyed,
+    may_be_similar,
     measured,
     shared_entries,
-    sorted_sets,
     texts_of,
     verified,
     within_bound,
 )
-from vendaria.llm.words import words_of
+from vendaria.llm.words import hashed_words
 from vendaria.sources.scratch import materialize, scratch_dir
 
 WIDTH = 5
@@ -49,12 +47,11 @@ PAIRS_PER_ENTRY = 4
 MOST_ROUNDS = 8
 
 
-def shingles(texts: list[str], memo: Memo) -> Items:
+def shingles(texts: list[str]) -> Items:
     """The hashed word 5-grams of each text in lower case (A-Z); a shorter text is one shingle."""
-    words = [words_of(t, lower=True) for t in texts]
-    lengths = np.array([len(w) for w in words], np.int64)
-    values = hashed([w for ws in words for w in ws], memo)
-    owner = np.repeat(np.arange(len(texts)), lengths)
+    words = hashed_words(texts, lower=True)
+    values, owner = words.token, words.text
+    lengths = np.bincount(owner, minlength=len(texts))
     first = np.cumsum(lengths) - lengths
     offset = np.arange(len(values)) - first[owner]
     at = np.flatnonzero(offset + WIDTH <= lengths[owner])
@@ -65,13 +62,7 @@ def shingles(texts: list[str], memo: Memo) -> Items:
         tokens.append(folded(values, first[short], width))
     owners, tokens = np.concatenate(owners), np.concatenate(tokens)
     order = np.argsort(owners, kind="stable")
-    every = np.arange(len(texts))
-    return Items(every, np.zeros(len(texts), np.int64), owners[order], tokens[order])
-
-
-def shingle_set(text: str, memo: Memo) -> np.ndarray:
-    items = shingles([text], memo)
-    return sorted_sets(items.owner, items.token)[1]
+    return Items(np.arange(len(texts)), np.zeros(len(texts), np.int64), owners[order], tokens[order])
 
 
 def first_prefix(n, percent: int):
@@ -97,26 +88,16 @@ def adaptive_prefix(percent: int):
             cost = found * (1 + VERIFY_COST / level)
             better = (cost < best) & (level <= (percent * sizes + 99) // 100)
             best, matches = np.where(better, cost, best), np.where(better, level, matches)
-        return place < (length + MOST_MATCHES - 1)[owner], matches
+        # A different set of at least its size and of enough similarity has to be possible.
+        large = 100 * sizes >= percent * (sizes + 1)
+        return (place < (length + MOST_MATCHES - 1)[owner]) & large[owner], matches
 
     return prefix
 
 
-def may_match(n_a: str, place_a: str, n_b: str, place_b: str, percent: int) -> Column:
-    """Length and positional filter for a token that two sets share.
-
-    Sizes differ by the threshold at most. Before the token there are at most as many shared ones as the smaller of
-    its places, and from it on at most as many as the shorter rest has.
-    """
-    lengths = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
-    after = F.least(F.col(n_a) - F.col(place_a), F.col(n_b) - F.col(place_b))
-    most = F.least(place_a, place_b) + after
-    return lengths & ((100 + percent) * most >= percent * (F.col(n_a) + F.col(n_b)))
-
-
 def similar_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent: int = PERCENT) -> DataFrame:
     """`node` and `root` of all sets that are similar to another. `docs` and `sizes` as in `setjoin`."""
-    shared = shared_entries(entries(docs, shingles, sketch, adaptive_prefix(percent)), f"{base}/shared")
+    shared = shared_entries(entries(docs, shingles, sketch, adaptive_prefix(percent)), percent, f"{base}/shared")
     found = materialize(_no_links(shared), f"{base}/links-0")
     tried = materialize(_no_links(shared), f"{base}/tried-0")
     labelled = shared.withColumn("c", F.col("set"))
@@ -145,11 +126,11 @@ def _pair(one: Column, two: Column) -> list[Column]:
 
 def _hub_pairs(labelled: DataFrame, tried: DataFrame, path: str, step: int, percent: int) -> tuple[DataFrame, int]:
     """Every entry with its token's hub, unless both are in one component or have been compared."""
-    order = F.struct(F.xxhash64("set", F.lit(step)).alias("order"), "set", "n", "place", "c")
-    pairs = labelled.withColumn("hub", F.min(order).over(Window.partitionBy("token")))
-    pairs = pairs.filter(F.col("c") != F.col("hub.c"))
-    pairs = pairs.filter(may_match("n", "place", "hub.n", "hub.place", percent))
-    pairs = pairs.select(*_pair(F.col("hub.set"), F.col("set"))).distinct()
+    order = F.struct(F.xxhash64("set", F.lit(step)).alias("order"), "set", "n", "place", "bits", "c")
+    pairs = labelled.withColumn("hub", F.min(order).over(Window.partitionBy("token"))).filter("c <> hub.c")
+    columns = ["set", "n", "place", "bits"]
+    pairs = pairs.select(*[F.col(c).alias(f"{c}_a") for c in columns], *[F.col(f"hub.{c}").alias(f"{c}_b") for c in columns])
+    pairs = pairs.filter(may_be_similar(percent)).select(*_pair(F.col("set_a"), F.col("set_b"))).distinct()
     pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), path)
     return pairs, pairs.count()
 
@@ -173,7 +154,7 @@ def _joined(docs, sizes, shared, pairs, found, base: str, percent: int) -> tuple
     """Verify pairs; all links so far, and the entries with their components."""
     wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
     texts = texts_of(docs, sizes, wanted, f"{base}-texts")
-    links = materialize(verified(pairs, texts, shingle_set, percent), f"{base}-verified")
+    links = materialize(verified(pairs, texts, shingles, percent), f"{base}-verified")
     found = materialize(found.unionByName(links), f"{base}-links")
     roots = components(found, f"{base}-components").withColumnsRenamed({"node": "set", "root": "c"})
     labelled = shared.join(within_bound(roots), "set", "left").withColumn("c", F.coalesce("c", "set"))
@@ -190,14 +171,14 @@ def _multi_match(labelled: DataFrame, percent: int) -> DataFrame:
     """
     apart = labelled.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
     rows = labelled.join(apart.select("token"), "token", "left_semi")
-    columns = ["set", "n", "place", "own", "c"]
+    columns = ["set", "n", "place", "own", "bits", "c"]
     small = rows.filter(_is_indexed(percent)).select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
     large = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in columns])
     least = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
     matched = (
         (F.struct("n_a", "set_a") < F.struct("n_b", "set_b"))
         & (F.col("c_a") != F.col("c_b"))
-        & (100 * F.col("n_a") >= percent * F.col("n_b"))
+        & may_be_similar(percent)
         & (F.col("place_a") <= F.col("n_a") - least + F.col("own_b") - 1)
         & (F.col("place_b") <= F.col("n_b") - least + F.col("own_b") - 1)
     )

@@ -14,11 +14,10 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vendaria.llm.memo import Memo
+from vendaria.llm.words import mixed
 from vendaria.sources.scratch import materialize
 
 SKETCH_BITS = 21
@@ -27,12 +26,9 @@ CHUNK = 1 << 13
 
 #: Sets (at most 2^16, see `sorted_sets`) and characters that a task holds as arrays at a time.
 BLOCK_SETS = 1 << 16
-BLOCK_CHARS = 4_000_000
-
-MEMO_SIZE = 1 << 18
+BLOCK_CHARS = 2_000_000
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_FINAL = np.uint64(0xBF58476D1CE4E5B9)
 
 
 class Items(NamedTuple):
@@ -47,20 +43,7 @@ class Items(NamedTuple):
     token: np.ndarray
 
 
-Tokenizer = Callable[[list[str], Memo], Items]
-
-
-def word_memo() -> Memo:
-    return Memo(xxhash.xxh3_64_intdigest, MEMO_SIZE)
-
-
-def hashed(words: list[bytes], memo: Memo) -> np.ndarray:
-    return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-
-
-def mixed(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(30))) * _FINAL
-    return values ^ (values >> np.uint64(31))
+Tokenizer = Callable[[list[str]], Items]
 
 
 def folded(values: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
@@ -101,6 +84,33 @@ def fingerprints(owner: np.ndarray, token: np.ndarray, n_sets: int) -> tuple[np.
     return sizes, names.view(np.int64)
 
 
+def parity(owner: np.ndarray, token: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64 bits for each set: whether an odd number of its tokens falls on the bit.
+
+    Sets that differ in d tokens differ in d bits at most, however large they are.
+    """
+    out = np.zeros(len(sizes), np.uint64)
+    full = np.flatnonzero(sizes)
+    if len(full):
+        bit = np.uint64(1) << (mixed(token) & np.uint64(63))
+        out[full] = np.bitwise_xor.reduceat(bit, (np.cumsum(sizes) - sizes)[full])
+    return out.view(np.int64)
+
+
+def may_be_similar(percent: int, a: str = "_a", b: str = "_b") -> Column:
+    """Filters for two sets that share a token, by the suffixes of their columns n, place and bits.
+
+    Sizes differ by the threshold at most. Before the token there are at most as many shared ones as the smaller of
+    its places, and from it on at most as many as the shorter rest has. And similar sets differ in few bits.
+    """
+    n_a, n_b, place_a, place_b = (F.col(c) for c in (f"n{a}", f"n{b}", f"place{a}", f"place{b}"))
+    both = n_a + n_b
+    lengths = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    most = F.least(place_a, place_b) + F.least(n_a - place_a, n_b - place_b)
+    differ = F.bit_count(F.col(f"bits{a}").bitwiseXOR(F.col(f"bits{b}")))
+    return lengths & ((100 + percent) * most >= percent * both) & ((100 + percent) * differ <= (100 - percent) * both)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Rows of at most so many characters, or one row, with their texts."""
     for batch in batches:
@@ -167,10 +177,9 @@ def measured(docs: DataFrame, tokenize: Tokenizer, path: str) -> tuple[DataFrame
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, counts = word_memo(), np.zeros(1 << SKETCH_BITS, np.int64)
+        counts = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch, texts in blocks(batches, "text"):
-            items = tokenize(texts, memo)
-            for part in parts_of(items):
+            for part in parts_of(tokenize(texts)):
                 owner, token = sorted_sets(part.owner, part.token)
                 counts += np.bincount(_slots(token), minlength=len(counts))
                 sizes, names = fingerprints(owner, token, len(part.text))
@@ -225,14 +234,14 @@ def _summed(pieces: DataFrame, *by: str) -> DataFrame:
     return pieces.repartition(*by).mapInPandas(run, "chunk int, salt int, counts binary")
 
 
-_ENTRIES_ARROW = pa.schema([("token", pa.int64()), ("set", pa.int64()), ("info", pa.int64())])
+_ENTRIES_ARROW = pa.schema([(c, pa.int64()) for c in ("token", "set", "info", "bits")])
 
 #: Parts of `info`: a set's size, the token's place in it, and a small number of the join's own.
 PLACE_BITS, OWN_BITS = 28, 6
 
 
 def entries(docs: DataFrame, tokenize: Tokenizer, sketch: Sketch, prefix: Callable) -> DataFrame:
-    """token, set (its fingerprint) and info of the tokens in each set's prefix, in the order by rarity.
+    """token, set (its fingerprint), info and bits of the tokens in each set's prefix, in the order by rarity.
 
     `prefix(sizes, owner, place, count)` says for every token whether it belongs and, for every set, its own number.
     A task sends the tokens of each different set once.
@@ -240,9 +249,9 @@ def entries(docs: DataFrame, tokenize: Tokenizer, sketch: Sketch, prefix: Callab
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, known, sent = word_memo(), shared.value, set()
+        known, sent = shared.value, set()
         for _, texts in blocks(batches, "text"):
-            for part in parts_of(tokenize(texts, memo)):
+            for part in parts_of(tokenize(texts)):
                 if not len(part.token):
                     continue
                 owner, token = sorted_sets(part.owner, part.token, known.rank(known.count(part.token)))
@@ -252,20 +261,29 @@ def entries(docs: DataFrame, tokenize: Tokenizer, sketch: Sketch, prefix: Callab
                 inside, own = prefix(sizes, owner, place, known.count(token))
                 at = np.flatnonzero(inside & fresh[owner])
                 info = (sizes[owner[at]] << (PLACE_BITS + OWN_BITS)) | (place[at] << OWN_BITS) | own[owner[at]]
-                columns = [token[at].view(np.int64), names[owner[at]], info.astype(np.int64)]
+                columns = [token[at].view(np.int64), names[owner[at]], info, parity(owner, token, sizes)[owner[at]]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_ENTRIES_ARROW)
 
-    return docs.select("text").mapInArrow(run, "token long, set long, info long")
+    return docs.select("text").mapInArrow(run, "token long, set long, info long, bits long")
+
 
+def shared_entries(found: DataFrame, percent: int, path: str) -> DataFrame:
+    """The entries that may have a partner, once for each set: token, set, n, place, own, bits.
 
-def shared_entries(found: DataFrame, path: str) -> DataFrame:
-    """The entries of tokens that more than one set has, once for each set: token, set, n, place, own."""
-    of_token = Window.partitionBy("token")
-    found = found.withColumns({"low": F.min("set").over(of_token), "high": F.max("set").over(of_token)})
-    found = found.filter("low <> high").groupBy("token", "set").agg(F.first("info").alias("info"))
+    A token's sets are sorted by size. A set may have a partner if the next smaller or larger one is similar in size.
+    """
     info = F.col("info")
     parts = {"n": n_of(info), "place": place_of(info), "own": own_of(info)}
-    return materialize(found.select("token", "set", *[c.cast("int").alias(k) for k, c in parts.items()]), path)
+    by_size = Window.partitionBy("token").orderBy("n", "set")
+    found = found.withColumns({k: c.cast("int") for k, c in parts.items()}).drop("info")
+    found = found.withColumns({"before": F.lag("set").over(by_size), "smaller": F.lag("n").over(by_size)})
+    found = found.withColumns({"after": F.lead("set").over(by_size), "larger": F.lead("n").over(by_size)})
+    # The same set, sent by several tasks, comes several times in a row: the first one stays and looks beyond.
+    first = F.col("before").isNull() | (F.col("before") != F.col("set"))
+    alike = (100 * F.col("smaller") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("larger"))
+    repeated = F.col("after") == F.col("set")
+    found = found.filter(first & F.coalesce(alike | repeated, F.lit(False)))
+    return materialize(found.select("token", "set", "n", "place", "own", "bits"), path)
 
 
 #: A table of so many rows, of a few numbers each, is broadcast; a larger one is joined by a shuffle.
@@ -288,38 +306,46 @@ def texts_of(docs: DataFrame, sizes: DataFrame, wanted: DataFrame, path: str, pa
     return materialize(found.groupBy("set").agg(F.first("text").alias("text")), path)
 
 
-def n_of(info) -> F.Column:
+def n_of(info: Column) -> Column:
     return F.shiftright(info, PLACE_BITS + OWN_BITS)
 
 
-def place_of(info) -> F.Column:
+def place_of(info: Column) -> Column:
     return F.shiftright(info, OWN_BITS).bitwiseAND((1 << PLACE_BITS) - 1)
 
 
-def own_of(info) -> F.Column:
+def own_of(info: Column) -> Column:
     return info.bitwiseAND((1 << OWN_BITS) - 1)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, set_of: Callable, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, tokenize: Tokenizer, percent: int) -> DataFrame:
     """Those `pairs` (a, b) whose sets have 100 * intersection >= percent * union.
 
-    `texts` holds the text of each set. The larger number of pairs with one `a` come one after another, so a task
-    makes that set once.
+    `texts` holds the text of each set, with one item in it.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = word_memo()
-        key, left = None, None
         for batch in batches:
-            good = np.zeros(len(batch), bool)
-            for i, (a, one, two) in enumerate(zip(batch["a"], batch["text_a"], batch["text_b"], strict=True)):
-                if key is None or a != key:
-                    key, left = a, set_of(one, memo)
-                right = set_of(two, memo)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                good[i] = 100 * both >= percent * (len(left) + len(right) - both)
-            yield batch.loc[good, ["a", "b"]]
+            size = (batch["text_a"].str.len() + batch["text_b"].str.len()).cumsum() // BLOCK_CHARS
+            for _, rows in batch.groupby(size, sort=False):
+                good = [_similar(rows.iloc[i : i + BLOCK_SETS], tokenize, percent) for i in range(0, len(rows), BLOCK_SETS)]
+                yield rows.loc[np.concatenate(good), ["a", "b"]]
 
     of_b = texts.select(F.col("set").alias("b"), F.col("text").alias("text_b"))
     of_a = texts.select(F.col("set").alias("a"), F.col("text").alias("text_a"))
     return pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long")
+
+
+def _similar(rows: pd.DataFrame, tokenize: Tokenizer, percent: int) -> np.ndarray:
+    """The sets of both sides by pair; a token that comes twice is in both."""
+    sides = []
+    for column in ("text_a", "text_b"):
+        items = tokenize(rows[column].tolist())
+        sides.append(sorted_sets(items.owner, items.token))
+    sizes = sum(np.bincount(owner, minlength=len(rows)) for owner, _ in sides)
+    owner, token = (np.concatenate(x) for x in zip(*sides, strict=True))
+    order = np.lexsort((token, owner))
+    owner, token = owner[order], token[order]
+    twice = (owner[1:] == owner[:-1]) & (token[1:] == token[:-1])
+    both = np.bincount(owner[1:][twice], minlength=len(rows))
+    return 100 * both >= percent * (sizes - both)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,3 +31,54 @@ def n_words(text: Column) -> Column:
     blanks = F.trim(F.regexp_replace(F.translate(text, "\t\n\x0b\x0c\r", "     "), " +", " "))
     between = F.length(blanks) - F.length(F.replace(blanks, F.lit(" "), F.lit("")))
     return F.when(F.length(blanks) > 0, between + 1).otherwise(0).cast("long")
+
+
+_IS_SEPARATOR = np.zeros(256, bool)
+_IS_SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_FINAL = np.uint64(0xBF58476D1CE4E5B9)
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(30))) * _FINAL
+    return values ^ (values >> np.uint64(31))
+
+
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * _FACTOR)
+
+
+class Words(NamedTuple):
+    """The hashed words of some texts, in order, with the text and the line (counted over all texts) each is in."""
+
+    token: np.ndarray
+    text: np.ndarray
+    line: np.ndarray
+    #: The first line of each text.
+    first_line: np.ndarray
+
+
+def hashed_words(texts: list[str], lower: bool = False) -> Words:
+    """All words at a time: a word's hash is a polynomial of its bytes with the powers of an odd factor."""
+    encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"\n".join([*encoded, b""]), np.uint8)
+    if lower:
+        data = _LOWER[data]
+    apart = _IS_SEPARATOR[data]
+    change = np.flatnonzero(np.diff(apart, prepend=True))
+    starts, lengths = change[::2], np.diff(change)[::2]  # every text ends with a separator
+    text_ends = np.cumsum([len(e) + 1 for e in encoded], dtype=np.int64)
+    text = np.searchsorted(text_ends, starts, side="right")
+    breaks = np.flatnonzero(data == 10)
+    line = np.searchsorted(breaks, starts)
+    first_line = np.searchsorted(breaks, text_ends - 1) + 1
+    first_line = np.concatenate([[0], first_line])[: len(texts)]
+    if not len(starts):
+        return Words(np.zeros(0, np.uint64), text, line, first_line)
+    begin = np.cumsum(lengths) - lengths
+    offset = np.arange(int(lengths.sum()), dtype=np.int32) - np.repeat(begin.astype(np.int32), lengths)
+    powers = np.multiply.accumulate(np.full(int(lengths.max()), _FACTOR))
+    values = _BYTES[data[~apart]] * powers[offset]
+    token = mixed(np.add.reduceat(values, begin) + lengths.astype(np.uint64))
+    return Words(token, text, line, first_line)
