@@ -188,6 +188,7 @@ def test_line_dedup_equals_all_pairs(spark, percent):
 
 def test_line_dedup_without_hubs_or_broadcasts(spark, monkeypatch, no_broadcasts):
     monkeypatch.setattr(line_dedup, "MOST_ROUNDS", 0)
+    monkeypatch.setattr(line_dedup, "SHORT", 1)
     texts = lined()
     docs = documents(spark, [(i, t, "en", "s") for i, t in texts])
     expected = kept_lines(texts, 80)
@@ -197,6 +198,19 @@ def test_line_dedup_without_hubs_or_broadcasts(spark, monkeypatch, no_broadcasts
         assert cleaned[i] == "\n".join(x for k, x in enumerate(t.split("\n")) if k not in expected[i])
 
 
+def test_line_dedup_with_short_and_long_lists(spark, monkeypatch):
+    """Lists that run over the ends of batches, and hubs for the long ones."""
+    monkeypatch.setattr(line_dedup, "SHORT", 3)
+    texts = lined()
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        rows = repeated_lines(documents(spark, [(i, t, "en", "s") for i, t in texts]).repartition(3), 70).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {r["doc_id"]: r["removed"] for r in rows} == kept_lines(texts, 70)
+
+
 def test_line_edge_cases(spark):
     rows = [
         (2, "x y z\nfresh line", "en", "s"),

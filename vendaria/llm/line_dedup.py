@@ -6,15 +6,19 @@ most min(i, j) shared words before and as many after as the shorter rest has (po
 by the factor t (length filter). What passes is verified on the whole lines.
 
 A line is removed if an earlier line is similar to it: earlier by document id, then by its number in the document.
-Equal sets are joined by their fingerprint. Of the others, first each word's lines are only compared with one of them,
-the earliest, then the most frequent, then any. A line that is known to be removed needs no more partners, so what is
-left to compare pair by pair are the lines that stay and the few that such hubs did not find.
+Equal sets are joined by their fingerprint. Most words' lists are short, and their lines are compared one by one. In
+a long list lines are first only compared with one of them, the earliest, then the most frequent, then any. A line
+that is known to be removed needs no more partners, so what is left to compare pair by pair are the lines that stay
+and the few that such hubs did not find.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +29,8 @@ from vendaria.llm.setjoin import (
     keyed,
     may_be_similar,
     measured,
-    shared_entries,
+    n_of,
+    place_of,
     texts_of,
     verified,
     within_bound,
@@ -40,6 +45,9 @@ PERCENT = 90
 PAIRS_PER_ENTRY = 4
 MOST_ROUNDS = 6
 
+#: Lists of so many lines or fewer are compared line by line.
+SHORT = 32
+
 #: Stands for the one item of a text without any line of words.
 NO_LINE = -1
 
@@ -73,31 +81,134 @@ def position() -> Column:
     return F.struct(F.col("item_key").isNull().alias("no_id"), "item_key", "text_key", "number")
 
 
+_PAIRS_ARROW = pa.schema([(c, pa.int64()) for c in ("a", "b", "token", "set", "n", "place", "bits")])
+
+
+def short_lists(found: DataFrame, percent: int, path: str) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) that pass the filters in words' lists of at most `SHORT` lines; the entries of longer lists.
+
+    Entries come sorted by word and size, in Arrow batches. Each is held against the next one of its list, the one
+    after that, and so on, all lists at a time. No more than one short list is carried from batch to batch.
+    """
+
+    def pairs_of(rows: np.ndarray) -> pa.RecordBatch | None:
+        token = rows[0]
+        group = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]]))
+        ends = np.searchsorted(group, group, side="right")
+        one, two = [], []
+        left = np.flatnonzero(ends - np.searchsorted(group, group) <= SHORT)
+        for step in range(1, SHORT):
+            left = left[left + step < ends[left]]
+            if not len(left):
+                break
+            a, b = rows[:, left], rows[:, left + step]
+            good = _passes(a[2], a[3], a[4], b[2], b[3], b[4], percent)
+            one.append(a[1][good])
+            two.append(b[1][good])
+        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (one, two))
+        return _record({"a": np.minimum(a, b), "b": np.maximum(a, b)}) if len(a) else None
+
+    def long_rows(rows: np.ndarray) -> pa.RecordBatch:
+        return _record(dict(zip(("token", "set", "n", "place", "bits"), rows, strict=True)))
+
+    def split(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Whole lists: the long ones as entries, the others as pairs."""
+        if not rows.shape[1]:
+            return
+        _, place, times = np.unique(rows[0], return_inverse=True, return_counts=True)
+        long = times[place] > SHORT
+        if long.any():
+            yield long_rows(rows[:, long])
+        if (found := pairs_of(rows[:, ~long]) if (~long).any() else None) is not None:
+            yield found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carry, long_token, last = np.zeros((5, 0), np.int64), None, None
+        for batch in batches:
+            rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
+            if not rows.shape[1]:
+                continue
+            key = rows[:2]
+            fresh = np.ones(rows.shape[1], bool)  # several tasks may have sent the same set
+            fresh[1:] = (key[:, 1:] != key[:, :-1]).any(axis=0)
+            fresh[0] = last is None or tuple(key[:, 0]) != last
+            last = tuple(key[:, -1])
+            rows = rows[:, fresh]
+            if long_token is not None:
+                same = rows[0] == long_token
+                if same.any():
+                    yield long_rows(rows[:, same])
+                    rows = rows[:, ~same]
+            if not rows.shape[1]:
+                continue
+            rows = np.concatenate([carry, rows], axis=1)
+            open_ = rows[0] == rows[0, -1]
+            yield from split(rows[:, ~open_])
+            carry = rows[:, open_]
+            if carry.shape[1] > SHORT:
+                long_token = carry[0, 0]
+                yield long_rows(carry)
+                carry = carry[:, :0]
+        yield from split(carry)
+
+    ordered = found.select("token", "set", n_of(F.col("info")).alias("n"), place_of(F.col("info")).alias("place"), "bits")
+    ordered = ordered.repartition("token").sortWithinPartitions("token", "n", "set")
+    rows = ordered.mapInArrow(run, ", ".join(f"{c} long" for c in _PAIRS_ARROW.names))
+    rows = materialize(rows, path)
+    return rows.filter("a IS NOT NULL").select("a", "b").distinct(), rows.filter("token IS NOT NULL").drop("a", "b")
+
+
+def _record(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    arrays = [pa.array(columns[c]) if c in columns else pa.nulls(n, pa.int64()) for c in _PAIRS_ARROW.names]
+    return pa.RecordBatch.from_arrays(arrays, schema=_PAIRS_ARROW)
+
+
+def _passes(n_a, place_a, bits_a, n_b, place_b, bits_b, percent: int) -> np.ndarray:
+    """Length, prefix, positional and bit filters, as in `may_be_similar` and `_other_pairs`."""
+    both = n_a + n_b
+    least = -(-percent * both // (100 + percent))
+    lengths = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+    first = (place_a <= n_a - least) & (place_b <= n_b - least)
+    most = np.minimum(place_a, place_b) + np.minimum(n_a - place_a, n_b - place_b)
+    differ = np.bitwise_count((bits_a ^ bits_b).view(np.uint64)).astype(np.int64)
+    return lengths & first & (most >= least) & ((100 + percent) * differ <= (100 - percent) * both)
+
+
 def repeated_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent: int) -> DataFrame:
     """The sets (column `set`) for which a similar, different set comes earlier."""
     found = entries(docs, lines, sketch, plain_prefix(percent))
-    shared = shared_entries(found, percent, f"{base}/shared").drop("own")
+    pairs, shared = short_lists(found, percent, f"{base}/lists")
+    none = shared.select("set").filter("false")
+    pairs = materialize(pairs, f"{base}/pairs-0")
+    gone = materialize(none, f"{base}/gone-none")
+    gone = _gone(docs, sizes, pairs, gone, f"{base}/round-0", percent)
+    if shared.isEmpty():
+        return gone
+    tried = pairs
     names = materialize(shared.select("set").distinct(), f"{base}/names")
-    firsts = sizes.filter("n > 0").join(within_bound(names), "set", "left_semi").groupBy("set")
-    firsts = materialize(firsts.agg(F.min(position()).alias("at"), F.count(F.lit(1)).alias("times")), f"{base}/firsts")
+    firsts = materialize(_firsts(sizes, names), f"{base}/firsts")
     shared = materialize(shared.join(within_bound(firsts), "set"), f"{base}/placed")
     total, left = shared.count(), None
-    none = names.filter("false")
-    gone = materialize(none, f"{base}/gone-0")
-    tried = materialize(none.select(F.col("set").alias("a"), F.col("set").alias("b")), f"{base}/tried-0")
     hubs = [["at"], ["-times", "at"]]
     for step in range(1, MOST_ROUNDS + 1):
         by = hubs[step - 1] if step <= len(hubs) else [step]
         state = materialize(_with_state(shared, gone), f"{base}/state-{step}")
         pairs = materialize(_hub_pairs(state, by, percent).join(tried, ["a", "b"], "left_anti"), f"{base}/pairs-{step}")
-        gone = _gone(docs, sizes, firsts, pairs, gone, f"{base}/round-{step}", percent)
+        gone = _gone(docs, sizes, pairs, gone, f"{base}/round-{step}", percent)
         tried = materialize(tried.unionByName(pairs), f"{base}/tried-{step}")
         before, left = left, _pairs_left(_with_state(shared, gone))
         if step >= len(hubs) and (left <= PAIRS_PER_ENTRY * total or before is not None and left > 0.9 * before):
             break
     state = materialize(_with_state(shared, gone), f"{base}/state-rest")
     rest = materialize(_other_pairs(state, percent).join(tried, ["a", "b"], "left_anti"), f"{base}/pairs-rest")
-    return _gone(docs, sizes, firsts, rest, gone, f"{base}/rest", percent)
+    return _gone(docs, sizes, rest, gone, f"{base}/rest", percent)
+
+
+def _firsts(sizes: DataFrame, names: DataFrame) -> DataFrame:
+    """Where each of the named sets comes first, and how often it comes."""
+    rows = sizes.filter("n > 0").join(within_bound(names), "set", "left_semi").groupBy("set")
+    return rows.agg(F.min(position()).alias("at"), F.count(F.lit(1)).alias("times"))
 
 
 def _with_state(shared: DataFrame, gone: DataFrame) -> DataFrame:
@@ -142,14 +253,18 @@ def _other_pairs(state: DataFrame, percent: int) -> DataFrame:
     return _distinct_pairs(both)
 
 
-def _gone(docs, sizes, firsts, pairs, gone, base: str, percent: int) -> DataFrame:
+def _gone(docs, sizes, pairs, gone, base: str, percent: int) -> DataFrame:
     """Verify pairs; the later set of a similar pair goes."""
+    if pairs.isEmpty():
+        return gone
     wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
     texts = texts_of(docs, sizes, wanted, f"{base}-texts", lambda text, number: F.get(F.split(text, "\n"), number))
     links = materialize(verified(pairs, texts, lines, percent), f"{base}-verified")
+    both = links.select(F.col("a").alias("set")).unionByName(links.select(F.col("b").alias("set"))).distinct()
+    firsts = materialize(_firsts(sizes, materialize(both, f"{base}-linked")), f"{base}-places")
     of_a = firsts.select(F.col("set").alias("a"), F.col("at").alias("at_a"))
     of_b = firsts.select(F.col("set").alias("b"), F.col("at").alias("at_b"))
-    ends = within_bound(links).join(of_a, "a").join(of_b, "b")
+    ends = links.join(within_bound(of_a), "a").join(within_bound(of_b), "b")
     later = ends.select(F.when(F.col("at_a") > F.col("at_b"), F.col("a")).otherwise(F.col("b")).alias("set"))
     return materialize(gone.unionByName(later).distinct(), f"{base}-gone")
 

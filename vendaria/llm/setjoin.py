@@ -26,7 +26,7 @@ CHUNK = 1 << 13
 
 #: Sets (at most 2^16, see `sorted_sets`) and characters that a task holds as arrays at a time.
 BLOCK_SETS = 1 << 16
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 1_000_000
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
