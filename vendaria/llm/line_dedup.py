@@ -81,7 +81,7 @@ def position() -> Column:
     return F.struct(F.col("item_key").isNull().alias("no_id"), "item_key", "text_key", "number")
 
 
-_PAIRS_ARROW = pa.schema([(c, pa.int64()) for c in ("a", "b", "token", "set", "n", "place", "bits")])
+_PAIRS_ARROW = pa.schema([(c, pa.int64()) for c in ("a", "b", "token", "set", "n", "place", "bits0")])
 
 
 def short_lists(found: DataFrame, percent: int, path: str) -> tuple[DataFrame, DataFrame]:
@@ -109,7 +109,7 @@ def short_lists(found: DataFrame, percent: int, path: str) -> tuple[DataFrame, D
         return _record({"a": np.minimum(a, b), "b": np.maximum(a, b)}) if len(a) else None
 
     def long_rows(rows: np.ndarray) -> pa.RecordBatch:
-        return _record(dict(zip(("token", "set", "n", "place", "bits"), rows, strict=True)))
+        return _record(dict(zip(("token", "set", "n", "place", "bits0"), rows, strict=True)))
 
     def split(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Whole lists: the long ones as entries, the others as pairs."""
@@ -151,7 +151,7 @@ def short_lists(found: DataFrame, percent: int, path: str) -> tuple[DataFrame, D
                 carry = carry[:, :0]
         yield from split(carry)
 
-    ordered = found.select("token", "set", n_of(F.col("info")).alias("n"), place_of(F.col("info")).alias("place"), "bits")
+    ordered = found.select("token", "set", n_of(F.col("info")).alias("n"), place_of(F.col("info")).alias("place"), "bits0")
     ordered = ordered.repartition("token").sortWithinPartitions("token", "n", "set")
     rows = ordered.mapInArrow(run, ", ".join(f"{c} long" for c in _PAIRS_ARROW.names))
     rows = materialize(rows, path)
@@ -177,7 +177,7 @@ def _passes(n_a, place_a, bits_a, n_b, place_b, bits_b, percent: int) -> np.ndar
 
 def repeated_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent: int) -> DataFrame:
     """The sets (column `set`) for which a similar, different set comes earlier."""
-    found = entries(docs, lines, sketch, plain_prefix(percent))
+    found = entries(docs, lines, sketch, plain_prefix(percent), n_longs=1)
     pairs, shared = short_lists(found, percent, f"{base}/lists")
     none = shared.select("set").filter("false")
     pairs = materialize(pairs, f"{base}/pairs-0")
@@ -220,12 +220,12 @@ def _hub_pairs(state: DataFrame, by: list, percent: int) -> DataFrame:
     """Every entry with its word's hub, unless the later line of the two is known to go."""
     names = {"at": F.col("at"), "-times": (-F.col("times")).alias("often")}
     keys = [names[k] if k in names else F.xxhash64("set", F.lit(k)).alias("any") for k in by]
-    columns = ["set", "n", "place", "bits", "at", "gone"]
+    columns = ["set", "n", "place", "bits0", "at", "gone"]
     hub = F.min(F.struct(*keys, F.struct(*columns).alias("hub"))).over(Window.partitionBy("token"))
     rows = state.withColumn("hub", hub["hub"])
     rows = rows.select(*[F.col(c).alias(f"{c}_a") for c in columns], *[F.col(f"hub.{c}").alias(f"{c}_b") for c in columns])
     later_goes = F.when(F.col("at_a") > F.col("at_b"), F.col("gone_a")).otherwise(F.col("gone_b"))
-    return _distinct_pairs(rows.filter((F.col("set_a") != F.col("set_b")) & ~later_goes & may_be_similar(percent)))
+    return _distinct_pairs(rows.filter((F.col("set_a") != F.col("set_b")) & ~later_goes & may_be_similar(percent, 1)))
 
 
 def _distinct_pairs(rows: DataFrame) -> DataFrame:
@@ -243,13 +243,13 @@ def _other_pairs(state: DataFrame, percent: int) -> DataFrame:
     The first word that two similar lines share is at place n - a at most in either, if they have to share a words.
     """
     open_tokens = state.filter(~F.col("gone")).groupBy("token").agg(F.max("at").alias("last"))
-    columns = ["set", "n", "place", "bits", "at"]
+    columns = ["set", "n", "place", "bits0", "at"]
     rows = state.join(open_tokens, "token").filter(F.col("at") <= F.col("last"))
     one = rows.select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
     two = state.filter(~F.col("gone")).select("token", *[F.col(c).alias(f"{c}_b") for c in columns])
     least = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
     first = (F.col("place_a") <= F.col("n_a") - least) & (F.col("place_b") <= F.col("n_b") - least)
-    both = one.join(two, "token").filter((F.col("at_a") < F.col("at_b")) & first & may_be_similar(percent))
+    both = one.join(two, "token").filter((F.col("at_a") < F.col("at_b")) & first & may_be_similar(percent, 1))
     return _distinct_pairs(both)
 
 

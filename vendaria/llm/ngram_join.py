@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from vendaria.llm.components import components
 from vendaria.llm.setjoin import (
     Items,
+    bit_columns,
     entries,
     folded,
     keyed,
@@ -42,9 +43,12 @@ PERCENT = 75
 MOST_MATCHES = 4
 VERIFY_COST = 16
 
-#: Rounds of hubs go on while pairs across components are more than so many for each entry.
-PAIRS_PER_ENTRY = 4
-MOST_ROUNDS = 8
+#: Bits that tell sets apart before their texts are read, in longs: two sets of some hundred shingles that are just
+#: not similar enough differ in more of 512 bits than similar ones can.
+N_LONGS = 8
+
+#: Rounds of hubs go on while they join components and more pairs across components are left than entries.
+MOST_ROUNDS = 4
 
 
 def shingles(texts: list[str]) -> Items:
@@ -97,19 +101,23 @@ def adaptive_prefix(percent: int):
 
 def similar_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent: int = PERCENT) -> DataFrame:
     """`node` and `root` of all sets that are similar to another. `docs` and `sizes` as in `setjoin`."""
-    shared = shared_entries(entries(docs, shingles, sketch, adaptive_prefix(percent)), percent, f"{base}/shared")
+    shared = shared_entries(entries(docs, shingles, sketch, adaptive_prefix(percent)), percent, f"{base}/entries")
+    names = materialize(shared.select("set").distinct(), f"{base}/sets")
+    bits = sizes.join(within_bound(names), "set", "left_semi").groupBy("set")
+    bits = materialize(bits.agg(*[F.first(c).alias(c) for c in bit_columns(N_LONGS)]), f"{base}/bits")
+    shared = materialize(shared.join(within_bound(bits), "set"), f"{base}/shared")
     found = materialize(_no_links(shared), f"{base}/links-0")
     tried = materialize(_no_links(shared), f"{base}/tried-0")
     labelled = shared.withColumn("c", F.col("set"))
-    total, left = shared.count(), None
+    total, n_found = shared.count(), 0
     for step in range(1, MOST_ROUNDS + 1):
         pairs, size = _hub_pairs(labelled, tried, f"{base}/pairs-{step}", step, percent)
         if not size:
             break
         found, labelled = _joined(docs, sizes, shared, pairs, found, f"{base}/round-{step}", percent)
         tried = materialize(tried.unionByName(pairs), f"{base}/tried-{step}")
-        before, left = left, _pairs_across(labelled, percent)
-        if left <= PAIRS_PER_ENTRY * total or before is not None and left > 0.9 * before:
+        before, n_found = n_found, found.count()
+        if n_found == before or _pairs_across(labelled, percent) <= total:
             break
     rest = materialize(_multi_match(labelled, percent).join(tried, ["a", "b"], "left_anti"), f"{base}/pairs-rest")
     found, _ = _joined(docs, sizes, shared, rest, found, f"{base}/rest", percent)
@@ -126,11 +134,11 @@ def _pair(one: Column, two: Column) -> list[Column]:
 
 def _hub_pairs(labelled: DataFrame, tried: DataFrame, path: str, step: int, percent: int) -> tuple[DataFrame, int]:
     """Every entry with its token's hub, unless both are in one component or have been compared."""
-    order = F.struct(F.xxhash64("set", F.lit(step)).alias("order"), "set", "n", "place", "bits", "c")
+    columns = ["set", "n", "place", *bit_columns(N_LONGS)]
+    order = F.struct(F.xxhash64("set", F.lit(step)).alias("order"), *columns, "c")
     pairs = labelled.withColumn("hub", F.min(order).over(Window.partitionBy("token"))).filter("c <> hub.c")
-    columns = ["set", "n", "place", "bits"]
     pairs = pairs.select(*[F.col(c).alias(f"{c}_a") for c in columns], *[F.col(f"hub.{c}").alias(f"{c}_b") for c in columns])
-    pairs = pairs.filter(may_be_similar(percent)).select(*_pair(F.col("set_a"), F.col("set_b"))).distinct()
+    pairs = pairs.filter(may_be_similar(percent, N_LONGS)).select(*_pair(F.col("set_a"), F.col("set_b"))).distinct()
     pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), path)
     return pairs, pairs.count()
 
@@ -171,14 +179,14 @@ def _multi_match(labelled: DataFrame, percent: int) -> DataFrame:
     """
     apart = labelled.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
     rows = labelled.join(apart.select("token"), "token", "left_semi")
-    columns = ["set", "n", "place", "own", "bits", "c"]
+    columns = ["set", "n", "place", "own", "c", *bit_columns(N_LONGS)]
     small = rows.filter(_is_indexed(percent)).select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
     large = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in columns])
     least = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
     matched = (
         (F.struct("n_a", "set_a") < F.struct("n_b", "set_b"))
         & (F.col("c_a") != F.col("c_b"))
-        & may_be_similar(percent)
+        & may_be_similar(percent, N_LONGS)
         & (F.col("place_a") <= F.col("n_a") - least + F.col("own_b") - 1)
         & (F.col("place_b") <= F.col("n_b") - least + F.col("own_b") - 1)
     )
@@ -206,7 +214,7 @@ def ngram_components(
     """
     base = scratch_dir(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
-    sizes, sketch = measured(rows, shingles, f"{base}/sizes")
+    sizes, sketch = measured(rows, shingles, f"{base}/sizes", N_LONGS)
     roots = similar_sets(rows, sizes, sketch, base, percent).withColumnsRenamed({"node": "set", "root": "c"})
     placed = sizes.join(within_bound(roots), "set", "left").withColumn("c", F.coalesce("c", "set"))
     placed = placed.select(F.col("item_key").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "c")

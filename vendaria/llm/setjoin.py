@@ -9,6 +9,8 @@ same result. Equal sets have one 64-bit fingerprint, which names them, and only
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import add
 from typing import NamedTuple
 
 import numpy as np
@@ -84,21 +86,29 @@ def fingerprints(owner: np.ndarray, token: np.ndarray, n_sets: int) -> tuple[np.
     return sizes, names.view(np.int64)
 
 
-def parity(owner: np.ndarray, token: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """64 bits for each set: whether an odd number of its tokens falls on the bit.
+def parity(token: np.ndarray, sizes: np.ndarray, n_longs: int) -> np.ndarray:
+    """Rows of 64 bits for each set: whether an odd number of its tokens falls on the bit.
 
     Sets that differ in d tokens differ in d bits at most, however large they are.
     """
-    out = np.zeros(len(sizes), np.uint64)
+    out = np.zeros((n_longs, len(sizes)), np.uint64)
     full = np.flatnonzero(sizes)
-    if len(full):
-        bit = np.uint64(1) << (mixed(token) & np.uint64(63))
-        out[full] = np.bitwise_xor.reduceat(bit, (np.cumsum(sizes) - sizes)[full])
+    if len(full) and n_longs:
+        starts = (np.cumsum(sizes) - sizes)[full]
+        place = mixed(token)
+        bit = np.uint64(1) << (place & np.uint64(63))
+        row = (place >> np.uint64(6)) % np.uint64(n_longs)
+        for k in range(n_longs):
+            out[k, full] = np.bitwise_xor.reduceat(np.where(row == k, bit, np.uint64(0)), starts)
     return out.view(np.int64)
 
 
-def may_be_similar(percent: int, a: str = "_a", b: str = "_b") -> Column:
-    """Filters for two sets that share a token, by the suffixes of their columns n, place and bits.
+def bit_columns(n_longs: int) -> list[str]:
+    return [f"bits{k}" for k in range(n_longs)]
+
+
+def may_be_similar(percent: int, n_longs: int, a: str = "_a", b: str = "_b") -> Column:
+    """Filters for two sets that share a token, by the suffixes of their columns n, place and the bits.
 
     Sizes differ by the threshold at most. Before the token there are at most as many shared ones as the smaller of
     its places, and from it on at most as many as the shorter rest has. And similar sets differ in few bits.
@@ -107,7 +117,9 @@ def may_be_similar(percent: int, a: str = "_a", b: str = "_b") -> Column:
     both = n_a + n_b
     lengths = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
     most = F.least(place_a, place_b) + F.least(n_a - place_a, n_b - place_b)
-    differ = F.bit_count(F.col(f"bits{a}").bitwiseXOR(F.col(f"bits{b}")))
+    differ = reduce(
+        add, [F.bit_count(F.col(f"{c}{a}").bitwiseXOR(F.col(f"{c}{b}"))) for c in bit_columns(n_longs)]
+    )
     return lengths & ((100 + percent) * most >= percent * both) & ((100 + percent) * differ <= (100 - percent) * both)
 
 
@@ -148,18 +160,15 @@ class Sketch(NamedTuple):
         return np.minimum(63, 2 * np.log2(np.maximum(1, count))).astype(np.uint64)
 
 
-_SIZES = "item_key long, text_key long, number int, n int, set long, chunk int, counts binary"
-_SIZES_ARROW = pa.schema(
-    [
-        ("item_key", pa.int64()),
-        ("text_key", pa.int64()),
-        ("number", pa.int32()),
-        ("n", pa.int32()),
-        ("set", pa.int64()),
-        ("chunk", pa.int32()),
-        ("counts", pa.binary()),
-    ]
-)
+_SIZES = [
+    ("item_key", pa.int64()),
+    ("text_key", pa.int64()),
+    ("number", pa.int32()),
+    ("n", pa.int32()),
+    ("set", pa.int64()),
+]
+_COUNTS = [("chunk", pa.int32()), ("counts", pa.binary())]
+_SQL_TYPES = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -170,11 +179,13 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def measured(docs: DataFrame, tokenize: Tokenizer, path: str) -> tuple[DataFrame, Sketch]:
+def measured(docs: DataFrame, tokenize: Tokenizer, path: str, n_longs: int = 0) -> tuple[DataFrame, Sketch]:
     """One pass over all texts: every set's size and fingerprint, as a table, and the sketch of all tokens.
 
-    `docs` is what `keyed` returns. Rows of the table: item_key, text_key, number (of the set in its text), n, set.
+    `docs` is what `keyed` returns. Rows of the table: item_key, text_key, number (of the set in its text), n, set, and
+    as many longs of `parity` as are asked for.
     """
+    schema = pa.schema([*_SIZES, *[(c, pa.int64()) for c in bit_columns(n_longs)], *_COUNTS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -190,21 +201,23 @@ def measured(docs: DataFrame, tokenize: Tokenizer, path: str) -> tuple[DataFrame
                     pa.array(part.number, pa.int32()),
                     pa.array(sizes, pa.int32()),
                     pa.array(names),
+                    *[pa.array(bits) for bits in parity(token, sizes, n_longs)],
                     pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, schema=_SIZES_ARROW)
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
         pieces = counts.reshape(-1, CHUNK)
         filled = np.flatnonzero(pieces.any(axis=1))
         small = np.uint16 if counts.max() < 1 << 16 else np.int64
-        columns = [pa.nulls(len(filled), t) for t in _SIZES_ARROW.types[:5]]
+        columns = [pa.nulls(len(filled), t) for t in schema.types[:-2]]
         columns += [
             pa.array(filled, pa.int32()),
             pa.array([pieces[c].astype(small).tobytes() for c in filled], pa.binary()),
         ]
-        yield pa.RecordBatch.from_arrays(columns, schema=_SIZES_ARROW)
+        yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    rows = materialize(docs.select("item_key", "text_key", "text").mapInArrow(run, _SIZES), path)
+    types = ", ".join(f"{f.name} {_SQL_TYPES[f.type]}" for f in schema)
+    rows = materialize(docs.select("item_key", "text_key", "text").mapInArrow(run, types), path)
     sizes = rows.filter("chunk IS NULL").drop("chunk", "counts")
     pieces = rows.filter("chunk IS NOT NULL").select("chunk", "counts", F.spark_partition_id().alias("salt"))
     pieces = pieces.withColumn("salt", F.col("salt") % 16)
@@ -234,19 +247,18 @@ def _summed(pieces: DataFrame, *by: str) -> DataFrame:
     return pieces.repartition(*by).mapInPandas(run, "chunk int, salt int, counts binary")
 
 
-_ENTRIES_ARROW = pa.schema([(c, pa.int64()) for c in ("token", "set", "info", "bits")])
-
 #: Parts of `info`: a set's size, the token's place in it, and a small number of the join's own.
 PLACE_BITS, OWN_BITS = 28, 6
 
 
-def entries(docs: DataFrame, tokenize: Tokenizer, sketch: Sketch, prefix: Callable) -> DataFrame:
-    """token, set (its fingerprint), info and bits of the tokens in each set's prefix, in the order by rarity.
+def entries(docs: DataFrame, tokenize: Tokenizer, sketch: Sketch, prefix: Callable, n_longs: int = 0) -> DataFrame:
+    """token, set (its fingerprint), info and `n_longs` of bits of the tokens in each set's prefix, rarest first.
 
     `prefix(sizes, owner, place, count)` says for every token whether it belongs and, for every set, its own number.
     A task sends the tokens of each different set once.
     """
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
+    schema = pa.schema([(c, pa.int64()) for c in ("token", "set", "info", *bit_columns(n_longs))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, sent = shared.value, set()
@@ -261,14 +273,14 @@ def entries(docs: DataFrame, tokenize: Tokenizer, sketch: Sketch, prefix: Callab
                 inside, own = prefix(sizes, owner, place, known.count(token))
                 at = np.flatnonzero(inside & fresh[owner])
                 info = (sizes[owner[at]] << (PLACE_BITS + OWN_BITS)) | (place[at] << OWN_BITS) | own[owner[at]]
-                columns = [token[at].view(np.int64), names[owner[at]], info, parity(owner, token, sizes)[owner[at]]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_ENTRIES_ARROW)
+                columns = [token[at].view(np.int64), names[owner[at]], info, *parity(token, sizes, n_longs)[:, owner[at]]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
 
-    return docs.select("text").mapInArrow(run, "token long, set long, info long, bits long")
+    return docs.select("text").mapInArrow(run, ", ".join(f"{c} long" for c in schema.names))
 
 
 def shared_entries(found: DataFrame, percent: int, path: str) -> DataFrame:
-    """The entries that may have a partner, once for each set: token, set, n, place, own, bits.
+    """The entries that may have a partner, once for each set: token, set, n, place, own.
 
     A token's sets are sorted by size. A set may have a partner if the next smaller or larger one is similar in size.
     """
@@ -283,7 +295,7 @@ def shared_entries(found: DataFrame, percent: int, path: str) -> DataFrame:
     alike = (100 * F.col("smaller") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("larger"))
     repeated = F.col("after") == F.col("set")
     found = found.filter(first & F.coalesce(alike | repeated, F.lit(False)))
-    return materialize(found.select("token", "set", "n", "place", "own", "bits"), path)
+    return materialize(found.select("token", "set", "n", "place", "own"), path)
 
 
 #: A table of so many rows, of a few numbers each, is broadcast; a larger one is joined by a shuffle.
