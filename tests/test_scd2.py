@@ -133,6 +133,20 @@ def test_older_load_is_refused(spark):
         merged(spark, target, source(spark, [("2023-03-05", "a", 2.0)]), "single_pass").collect()
 
 
+@pytest.mark.parametrize("mode", ["single_pass", "reference"])
+def test_a_key_twice_in_the_source_is_refused(spark, mode):
+    target = history(spark, [("2023-03-05", "a", 1.0, "2023-03-01", OPEN, True)])
+    for values in ((2.0, 3.0), (1.0, 1.0)):
+        new = source(spark, [("2023-03-05", "a", v) for v in values])
+        with pytest.raises(Exception, match="key twice.*2023-03-05"):
+            merged(spark, target, new, mode).collect()
+
+
+def test_reference_inserts_every_key_with_a_null(spark):
+    got = merged(spark, history(spark, []), source(spark, [("2023-03-05", None, v) for v in (2.0, 3.0)]), "reference")
+    assert got.count() == 2
+
+
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         scd2_merge(history(spark, TARGET), source(spark, NEW), AS_OF, TS, "merge")

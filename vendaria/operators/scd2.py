@@ -1,7 +1,7 @@
 """Type-2 history: keep every version of a value with the days it was valid.
 
-`MERGE` needs a table format that Spark does not bring along, so a load is expressed as one null-aware full
-outer join of the current versions with the new values. Nothing is written here.
+`MERGE` needs a table format that Spark does not bring along, so a load is expressed as a window over the current
+versions and the new values of each key: one shuffle, and no join. Nothing is written here.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ TRACKED = ("gmv_daily",)
 # What a load does to a version.
 KEEP, CLOSE, REMOVE, INSERT = "keep", "close", "remove", "insert"
 
+_NEW = "_new"
+
 
 def stamp(df: DataFrame, as_of: date | str, load_ts: datetime) -> DataFrame:
     """New versions, valid from `as_of` on."""
@@ -62,6 +64,8 @@ def scd2_changes(
     is replaced, so repeating a load changes nothing. Surplus current versions of a key, as `reference` loads
     leave behind, are retired. Loads must come in the order of their days.
 
+    A source that holds a key twice is refused, as no single value could replace the old one.
+
     `reference`: the plain merge. NULL keys never match and are inserted by every load, a NULL value never
     differs, a changed key is closed only (the next load inserts it) and missing keys stay.
     """
@@ -70,54 +74,63 @@ def scd2_changes(
     single_pass = mode == "single_pass"
     columns = [*keys, *tracked, "valid_from", "valid_to", "is_current", "load_timestamp"]
 
-    old = current.select(*columns)
-    if single_pass:
-        newest_first = Window.partitionBy(*keys).orderBy(
-            F.col("valid_from").desc(), F.col("load_timestamp").desc(), *[F.col(c).desc() for c in tracked]
-        )
-        old = old.withColumn("rank", F.row_number().over(newest_first))
-    else:
-        old = old.withColumn("rank", F.lit(1))
-    new = stamp(source.select(*keys, *tracked), as_of, load_ts).select(*columns)
+    old = current.select(*columns, F.lit(False).alias(_NEW))
+    new = stamp(source.select(*keys, *tracked), as_of, load_ts).select(*columns, F.lit(True).alias(_NEW))
+    is_new, value = F.col(_NEW), F.struct(*tracked)
 
-    # A surplus version may not match, or the source row would be taken as already present.
-    old = old.select(F.struct(*columns).alias("t"), F.col("rank"))
-    new = new.select(F.struct(*columns).alias("s"))
-    on = [_same(F.col(f"t.{k}"), F.col(f"s.{k}"), single_pass) for k in keys]
-    if single_pass:
-        on.append(F.col("rank") == 1)
-    joined = old.join(new, reduce(and_, on), "full_outer")
+    # All versions of a key meet in one window: the old ones first, the newest of them at the top.
+    of_key = Window.partitionBy(*keys)
+    newest_first = of_key.orderBy(
+        _NEW, F.col("valid_from").desc(), F.col("load_timestamp").desc(), *[F.col(c).desc() for c in tracked]
+    )
+    matches = F.lit(True) if single_pass else reduce(and_, [F.col(k).isNotNull() for k in keys])
+    rows = old.unionByName(new).withColumns(
+        {
+            "_n_new": F.when(matches, F.count_if(is_new).over(of_key)).otherwise(0),
+            "_n_old": F.when(matches, F.count_if(~is_new).over(of_key)).otherwise(0),
+            "_new_value": F.max(F.when(is_new, value)).over(of_key),
+            "_top": F.first(F.when(~is_new, value)).over(newest_first),
+            "_rank": F.row_number().over(newest_first),
+        }
+    )
+
+    def differs(one: str, other: Sequence[str] | str) -> Column:
+        pairs = [(F.col(f"{one}.{c}"), F.col(c if other is tracked else f"{other}.{c}")) for c in tracked]
+        return reduce(or_, [_differs(a, b, single_pass) for a, b in pairs])
 
-    has_old, has_new = F.col("t").isNotNull(), F.col("s").isNotNull()
-    differs = reduce(or_, [_differs(F.col(f"t.{c}"), F.col(f"s.{c}"), single_pass) for c in tracked])
+    has_old, has_new = F.col("_n_old") > 0, F.col("_n_new") > 0
+    changed = differs("_new_value", tracked)
     if single_pass:
-        retire = F.col("rank") > 1
-        retire = retire | F.when(has_new, differs).otherwise(F.lit(close_missing))
-        opened = F.col("t.valid_from")
+        # A surplus version may not match, or the source row would be taken as already present.
+        retire = (F.col("_rank") > 1) | F.when(has_new, changed).otherwise(F.lit(close_missing))
+        opened = F.col("valid_from")
         old_action = (
             F.when(~retire, KEEP)
             .when(opened < day(as_of), CLOSE)
             .when(opened == day(as_of), REMOVE)
             .otherwise(F.raise_error(F.concat(F.lit("load is older than a version opened on "), opened.cast("string"))))
         )
-        insert = has_new & (~has_old | differs)
+        insert = ~has_old | differs("_new_value", "_top")
     else:
-        old_action = F.when(has_new & differs, CLOSE).otherwise(KEEP)
-        insert = has_new & ~has_old
-
-    closing = old_action == CLOSE
-    end = F.when(closing, day_before(as_of)).otherwise(F.col("t.valid_to"))
-    still = F.when(closing, F.lit(False)).otherwise(F.col("t.is_current"))
-    old_row = F.struct(
-        old_action.alias("action"),
-        *[
-            {"valid_to": end, "is_current": still}.get(c, F.col(f"t.{c}")).alias(c)
-            for c in columns
-        ],
+        old_action = F.when(has_new & changed, CLOSE).otherwise(KEEP)
+        insert = ~has_old
+    twice = F.concat(F.lit("the source has a key twice: "), F.to_json(F.struct(*keys)))
+    action = (
+        F.when(F.col("_n_new") > 1, F.raise_error(twice).cast("string"))
+        .when(is_new, F.when(insert, INSERT))
+        .otherwise(old_action)
+    )
+    rows = rows.withColumn("action", action).filter(F.col("action").isNotNull())
+    closing = F.col("action") == CLOSE
+    return rows.select(
+        "action",
+        *keys,
+        *tracked,
+        "valid_from",
+        F.when(closing, day_before(as_of)).otherwise(F.col("valid_to")).alias("valid_to"),
+        F.when(closing, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
+        "load_timestamp",
     )
-    new_row = F.struct(F.lit(INSERT).alias("action"), *[F.col(f"s.{c}").alias(c) for c in columns])
-    versions = F.array_compact(F.array(F.when(has_old, old_row), F.when(insert, new_row)))
-    return joined.select(F.inline(versions))
 
 
 def scd2_merge(
@@ -136,9 +149,5 @@ def scd2_merge(
     return closed_of(history).select(*kept.columns).unionByName(kept)
 
 
-def _same(a: Column, b: Column, null_safe: bool) -> Column:
-    return a.eqNullSafe(b) if null_safe else a == b
-
-
 def _differs(a: Column, b: Column, null_safe: bool) -> Column:
     return ~a.eqNullSafe(b) if null_safe else F.coalesce(a != b, F.lit(False))
