@@ -3,9 +3,11 @@ from collections import defaultdict
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import ITEMS, PURCHASES, bag, optimized
 from vendaria import schemas
+from vendaria.operators.gmv import gmv_of
 from vendaria.operators.quality import null_audit
 from vendaria.operators.revenue import revenue_by
 from vendaria.plans.sales import top_producers, top_products_per_producer
@@ -115,3 +117,29 @@ def test_hot_item_and_producer_by_brute_force(spark, precombine):
         precombine=precombine,
     )
     assert bag(got.collect()) == bag((*key, total) for key, total in expected.items())
+
+
+def test_totals_do_not_depend_on_the_order_of_rows(spark):
+    """Two-decimal values up to a million, enough of them that a sum of doubles differs in the cents."""
+    cents = (F.xxhash64("id") % 100_000_000 / 100).alias("purchase_value")
+    rows = spark.range(0, 4_000_000, 1, 16).select(F.lit(date(2024, 1, 1)).alias("transaction_date"), F.lit("a").alias("subsidiary"), cents)
+    totals, raw = set(), set()
+    for n in (1, 3, 7, 16):
+        part = rows.coalesce(n) if n < 16 else rows
+        totals.add(gmv_of(part).first()["gmv_daily"])
+        raw.add(part.agg(F.sum("purchase_value")).first()[0])
+    exact = rows.agg(F.sum((F.col("purchase_value") * 100).cast("decimal(20,0)"))).first()[0]
+    assert totals == {float(exact) / 100} and len(raw) > 1
+    purchase = spark.range(0, 200_000, 1, 8).selectExpr(
+        "id % 5000 AS prod_item_id", "0L AS prod_item_partition", "id % 3 AS producer_id", "current_date() AS release_date"
+    )
+    items = spark.range(5000).selectExpr(
+        "id AS prod_item_id", "0L AS prod_item_partition", "id AS product_id", "7L AS item_quantity",
+        "CAST(xxhash64(id) % 100000000 / 100 AS DOUBLE) AS purchase_value",
+    )
+    found = {
+        tuple(sorted(map(tuple, revenue_by(purchase.coalesce(n), items, ["producer_id"], "t", precombine=p).collect())))
+        for n in (1, 3, 8)
+        for p in (True, False)
+    }
+    assert len(found) == 1

@@ -29,9 +29,19 @@ def line_value(value: Column, quantity: Column) -> Column:
     return value * quantity
 
 
-def money(column: Column, scale: int | None = 2) -> Column:
-    """Rounded HALF_UP, which also hides the summation order of doubles; `None` leaves the raw double."""
-    return column if scale is None else F.round(column, scale)
+def exact(column: Column) -> Column:
+    """As a decimal, so that a sum does not depend on the order of addition: up to 16 digits before the point."""
+    return column.cast("decimal(24,8)")
+
+
+def times(amount: Column, count: Column) -> Column:
+    """An exact amount taken `count` times, still exact."""
+    return amount * count.cast("decimal(12,0)")
+
+
+def money(total: Column, scale: int | None = 2) -> Column:
+    """An exact total as a double, rounded HALF_UP; `None` leaves all its digits."""
+    return (total if scale is None else F.round(total, scale)).cast("double")
 
 
 def null_count(column: Column) -> Column:

@@ -7,20 +7,20 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vendaria.functions import day, in_days, money
+from vendaria.functions import day, exact, in_days, money
 from vendaria.operators.cdc import APPROVED, Feeds, consolidated_purchase, latest_feeds, valid_purchase
 
 
 def gmv_of(consolidated: DataFrame, scale: int | None = 2) -> DataFrame:
     """Value by day and subsidiary of the rows that have a day, i.e. a valid purchase.
 
-    NULL if no purchase of the group has a value. Rounding keeps the last bits of a double sum, which depend
-    on the order of addition, from looking like a change of value to the history.
+    NULL if no purchase of the group has a value. Values are added as decimals: a sum of doubles depends on the
+    order of addition, and at size also in the cents, which would look like a change of value to the history.
     """
     return (
         consolidated.filter(F.col("transaction_date").isNotNull())
         .groupBy("transaction_date", "subsidiary")
-        .agg(money(F.sum("purchase_value"), scale).alias("gmv_daily"))
+        .agg(money(F.sum(exact(F.col("purchase_value"))), scale).alias("gmv_daily"))
     )
 
 
@@ -42,7 +42,7 @@ def gmv_daily(
         ["purchase_value"] + (["item_quantity"] if multiply_quantity else []),
         ["subsidiary"],
     )
-    latest = latest_feeds(feeds, only=needed)
+    latest = latest_feeds(feeds, only=needed, status_col=status_col)
     valid = valid_purchase(latest.purchase, status_col, approved)
     consolidated = consolidated_purchase(valid, latest.product_item, latest.extra_info, how, multiply_quantity)
     return gmv_of(consolidated, scale)
@@ -68,7 +68,7 @@ def gmv_period(
     rows = history.filter(in_days(F.col("transaction_date"), first, last))
     if current_only:
         rows = rows.filter(F.col("is_current"))
-    return rows.groupBy("transaction_date", "subsidiary").agg(money(F.sum("gmv_daily"), scale).alias("gmv"))
+    return rows.groupBy("transaction_date", "subsidiary").agg(money(F.sum(exact(F.col("gmv_daily"))), scale).alias("gmv"))
 
 
 def gmv_as_of(history: DataFrame, when: date | str) -> DataFrame:

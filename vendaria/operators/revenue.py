@@ -8,30 +8,24 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vendaria.functions import in_days, line_value, money
+from vendaria.functions import exact, in_days, line_value, money, times
 from vendaria.operators.cdc import APPROVED, is_confirmed
 
 ITEM_KEY = ["prod_item_id", "prod_item_partition"]
 
 
-def is_broadcast_size(df: DataFrame) -> bool:
-    """Whether Spark's estimate of `df` is within the session's limit for broadcast joins."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return 0 <= size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-
-
 def purchase_counts(
     purchase: DataFrame,
     period: tuple[date, date] | None = None,
     status_col: str | None = None,
     approved: str = APPROVED,
-    precombine: bool = True,
+    precombine: bool = False,
 ) -> DataFrame:
     """How often each producer sold each item, with the flag `counts` for the purchases that earn revenue.
 
-    Purchases of one item by one producer are alike as far as revenue goes, so they can be counted before the
-    join: a best-seller is then shuffled as one row per task, not one per purchase. A later filter on `counts`
-    moves through the aggregation into the scan. `precombine=False` returns the purchases one by one.
+    A later filter on `counts` moves into the scan. Purchases come one by one. `precombine` counts those of one item
+    by one producer, which are alike as far as revenue goes: a best-seller is then shuffled as one row per task, at
+    the price of one more shuffle. The filter moves through that aggregation too.
     """
     counts = is_confirmed(status_col, approved)
     if period:
@@ -52,24 +46,22 @@ def revenue_by(
     approved: str = APPROVED,
     filter_in: str = "where",
     scale: int | None = 2,
-    precombine: bool | None = None,
+    precombine: bool = False,
 ) -> DataFrame:
     """Sum of value x quantity of the purchases that count, by `keys`.
 
     The tables join on item id *and* item partition. `filter_in` places the purchase filter after the join
     ("where") or in its condition ("on"); an inner join gives the same plan for both.
 
-    `precombine` counts purchases before the join, see `purchase_counts`. By default that is done unless the
-    items are few enough for Spark to broadcast them: then no purchase is shuffled, and whatever weighs on one
-    item weighs on no task.
+    One plan for every size: Spark broadcasts the items if they are small, and its skew join splits a popular item if
+    they are not. `precombine` counts purchases before the join, see `purchase_counts`. Amounts are added as decimals,
+    so totals do not depend on the order of rows.
     """
     if filter_in not in ("where", "on"):
         raise ValueError(f"filter_in must be 'where' or 'on', not {filter_in!r}")
     price = product_item.select(
-        *ITEM_KEY, "product_id", line_value(F.col("purchase_value"), F.col("item_quantity")).alias("line")
+        *ITEM_KEY, "product_id", exact(line_value(F.col("purchase_value"), F.col("item_quantity"))).alias("line")
     ).alias("i")
-    if precombine is None:
-        precombine = not is_broadcast_size(price)
     sold = purchase_counts(purchase, period, status_col, approved, precombine).alias("p")
     on = F.lit(True)
     for key in ITEM_KEY:
@@ -78,4 +70,4 @@ def revenue_by(
         lines = sold.join(price, on & F.col("p.counts"), "inner")
     else:
         lines = sold.join(price, on, "inner").filter(F.col("p.counts"))
-    return lines.groupBy(*keys).agg(money(F.sum(F.col("line") * F.col("n_purchases")), scale).alias(total))
+    return lines.groupBy(*keys).agg(money(F.sum(times(F.col("line"), F.col("n_purchases"))), scale).alias(total))
