@@ -1,5 +1,6 @@
 """The stored history: created, merged into, interrupted."""
 
+import re
 import uuid
 from datetime import date, datetime
 from pathlib import Path
@@ -11,6 +12,7 @@ from fixtures import bag
 from test_scd2 import NEW, OPEN, SOURCE, TARGET, TS, history, plain, source
 from vendaria import schemas
 from vendaria.operators.gmv import gmv_current, gmv_period
+from vendaria.operators.quality import not_null, quality_gate, unique
 from vendaria.operators.scd2 import scd2_merge, stamp
 from vendaria.plans import history as plans
 from vendaria.plans.history import load_gmv
@@ -120,46 +122,101 @@ def test_load_of_some_days_leaves_the_others(spark, table):
     )
 
 
-def test_interrupted_load_is_finished(spark, table, tmp_path, monkeypatch):
-    """The table loses a partition half-way; the staged rows bring it back with its closed versions."""
-    load_gmv(spark, source(spark, [("2023-01-20", "nacional", 50.0)]), table, D("2023-03-01"), TS)
-    expected = plain(scd2_merge(read_table(spark, table), source(spark, NEW), D("2023-03-02"), TS))
+def interrupted(spark, monkeypatch, rows, table, day, mode="single_pass", half=False):
+    """A load that dies after staging, or after it has lost one day of the table."""
 
-    def dies(df, name):
-        spark.sql(f"ALTER TABLE {name} DROP PARTITION (transaction_date = DATE'2023-01-20')")
+    def dies(session, path, name):
+        if half:
+            spark.sql(f"ALTER TABLE {name} DROP PARTITION (transaction_date = DATE'2023-01-20')")
         raise RuntimeError("driver lost")
 
-    staging = str(tmp_path / "staging")
     with monkeypatch.context() as patch:
         patch.setattr(plans, "_replace_days", dies)
         with pytest.raises(RuntimeError):
-            load_gmv(spark, source(spark, NEW), table, D("2023-03-02"), TS, staging=staging)
-    assert (tmp_path / "staging" / "rewritten" / "_SUCCESS").exists()
+            load_gmv(spark, source(spark, rows), table, D(day), TS, mode)
+
+
+def nothing_staged(spark, table):
+    return not Path(plans._staging(spark, table).removeprefix("file:")).exists()
+
+
+@pytest.mark.parametrize("mode", ["single_pass", "reference"])
+@pytest.mark.parametrize("half", [True, False])
+def test_interrupted_load_is_finished_by_its_repetition(spark, table, monkeypatch, mode, half):
+    """The table loses a partition half-way; the staged rows bring it back with its closed versions."""
+    load_gmv(spark, source(spark, [("2023-01-20", "nacional", 50.0)]), table, D("2023-03-01"), TS, mode)
+    expected = plain(scd2_merge(read_table(spark, table), source(spark, NEW), D("2023-03-02"), TS, mode))
+    interrupted(spark, monkeypatch, NEW, table, "2023-03-02", mode, half)
     assert plain(read_table(spark, table)) != expected
-    load_gmv(spark, source(spark, NEW), table, D("2023-03-02"), TS, staging=staging)
+    load_gmv(spark, source(spark, NEW), table, D("2023-03-02"), TS, mode)
     assert plain(read_table(spark, table)) == expected
-    assert not (tmp_path / "staging").exists()
+    assert nothing_staged(spark, table)
 
 
 @pytest.mark.parametrize("mode", ["single_pass", "reference"])
-def test_interrupted_load_is_finished_before_another(spark, table, tmp_path, monkeypatch, mode):
+def test_another_load_finishes_the_interrupted_one_and_does_its_own(spark, table, monkeypatch, mode):
     load_gmv(spark, source(spark, NEW[:1]), table, D("2023-03-01"), TS, mode)
     expected = scd2_merge(read_table(spark, table), source(spark, NEW[:3]), D("2023-03-02"), TS, mode)
-    if mode == "single_pass":
-        expected = scd2_merge(expected, source(spark, NEW[1:]), D("2023-03-03"), TS, mode)
-    expected = plain(expected)
+    expected = plain(scd2_merge(expected, source(spark, NEW[1:]), D("2023-03-03"), TS, mode))
+    interrupted(spark, monkeypatch, NEW[:3], table, "2023-03-02", mode)
+    load_gmv(spark, source(spark, NEW[1:]), table, D("2023-03-03"), TS, mode)
+    assert plain(read_table(spark, table)) == expected
+    assert nothing_staged(spark, table)
+
+
+def test_staged_rows_of_an_older_table_are_dropped(spark, table, monkeypatch):
+    """Load A is interrupted, its files are put back after B has changed the table: C must not bring A's rows in."""
+    load_gmv(spark, source(spark, [("2023-01-20", "a", 1.0)]), table, D("2023-03-01"), TS)
+    interrupted(spark, monkeypatch, [("2023-01-20", "a", 2.0)], table, "2023-03-02")
+    staging = Path(plans._staging(spark, table).removeprefix("file:"))
+    aside = staging.with_name("aside")
+    staging.rename(aside)
+    load_gmv(spark, source(spark, [("2023-01-20", "a", 3.0)]), table, D("2023-03-03"), TS)
+    aside.rename(staging)
+    load_gmv(spark, source(spark, [("2023-01-20", "a", 4.0)]), table, D("2023-03-04"), TS)
+    assert plain(read_table(spark, table)) == bag(
+        [
+            ("2023-01-20", "a", 1.0, "2023-03-01", "2023-03-02", False),
+            ("2023-01-20", "a", 3.0, "2023-03-03", "2023-03-03", False),
+            ("2023-01-20", "a", 4.0, "2023-03-04", OPEN, True),
+        ]
+    )
+    assert nothing_staged(spark, table)
 
-    def dies(df, name):
-        raise RuntimeError("driver lost")
 
-    staging = str(tmp_path / "staging")
-    with monkeypatch.context() as patch:
-        patch.setattr(plans, "_replace_days", dies)
-        with pytest.raises(RuntimeError):
-            load_gmv(spark, source(spark, NEW[:3]), table, D("2023-03-02"), TS, mode, staging=staging)
-    load_gmv(spark, source(spark, NEW[1:]), table, D("2023-03-03"), TS, mode, staging=staging)
-    assert plain(read_table(spark, table)) == expected
-    assert not (tmp_path / "staging").exists()
+def test_half_staged_rows_are_not_used(spark, table, monkeypatch):
+    load_gmv(spark, source(spark, NEW[:1]), table, D("2023-03-01"), TS)
+    interrupted(spark, monkeypatch, NEW[1:], table, "2023-03-02")
+    (Path(plans._staging(spark, table).removeprefix("file:")) / "manifest" / "_SUCCESS").unlink()
+    load_gmv(spark, source(spark, NEW[:2]), table, D("2023-03-03"), TS)
+    assert plain(read_table(spark, table)) == bag(
+        [(*NEW[0], "2023-03-01", OPEN, True), (*NEW[1], "2023-03-03", OPEN, True)]
+    )
+
+
+def test_failing_check_stops_a_load_before_the_table_changes(spark, table):
+    def checks(rows):
+        return quality_gate(not_null(rows, ["gmv_daily"]), unique(rows, ["transaction_date", "subsidiary"]))
+
+    bad = [("2023-01-20", "a", None)]
+    with pytest.raises(ValueError, match="gmv_daily"):
+        load_gmv(spark, source(spark, bad), table, D("2023-03-01"), TS, checks=checks)
+    assert not table_exists(spark, table)
+    load_gmv(spark, source(spark, NEW), table, D("2023-03-01"), TS, checks=checks)
+    before = plain(read_table(spark, table))
+    with pytest.raises(ValueError, match="gmv_daily"):
+        load_gmv(spark, source(spark, [*NEW, *bad]), table, D("2023-03-02"), TS, checks=checks)
+    assert plain(read_table(spark, table)) == before
+
+
+def test_days_of_a_load_prune_the_history(spark, table, monkeypatch):
+    load_gmv(spark, source(spark, NEW), table, D("2023-03-01"), TS)
+    read = []
+    current = plans.current_of
+    monkeypatch.setattr(plans, "current_of", lambda history: read.append(history) or current(history))
+    days = spark.createDataFrame([(D("2023-02-28"),)], "transaction_date date")
+    load_gmv(spark, source(spark, [("2023-02-28", None, 11.0)]), table, D("2023-03-02"), TS, days=days)
+    assert re.search(r"PartitionFilters: \[[^]]*transaction_date", read[0]._jdf.queryExecution().executedPlan().toString())
 
 
 def test_overwrite_mode_of_the_session_is_restored(spark, table):

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DateType, LongType, StringType, StructField, StructType
 
 from vendaria import schemas
+from vendaria.operators.quality import enforce
 from vendaria.operators.scd2 import KEEP, REMOVE, closed_of, current_of, scd2_changes, stamp
 from vendaria.sources.catalog import ensure_gmv_table, read_table, table_exists
 from vendaria.sources.files import read_parquet
@@ -26,56 +29,128 @@ def load_gmv(
     close_missing: bool = True,
     days: DataFrame | None = None,
     location: str | None = None,
-    staging: str | None = None,
+    load_id: str | None = None,
+    checks: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """First load if `table` is missing, else a merge that rewrites only the days it changes.
 
     `days` (one column, transaction_date) says that `daily` is complete for those days only, so the rest of
-    the table stays as it is.
-
-    The rows of the changed days are staged in files before the table is touched, as partitions are replaced one
-    by one. A load that was interrupted there is finished by the next one with the same `staging` directory. That
-    one then does its own work too, which is nothing if it is the same load again; a `reference` load is not
-    neutral when repeated and only finishes. The directory is removed at the end.
+    the table stays as it is. `checks` makes a quality gate (see `quality_gate`) of the rows to be loaded; a rule that
+    fails stops the load before the table changes.
+
+    The rows of the changed days are staged beside the table, under the load's id and the version of the table they
+    were computed from, before the table is touched, as partitions are replaced one by one. The next load looks
+    there first. Rows of a load that was interrupted are brought in, unless the table has changed since: then they
+    are of no use and go. After that the load does its own work, in both modes; only where it is the very load
+    that was interrupted, by its id, it has been done. Without a `load_id` a load is known by its day, time and
+    mode.
     """
+    load_id = load_id or f"{as_of} {load_ts.isoformat()} {mode}"
     if not table_exists(spark, table):
+        if checks is not None:
+            daily = _checked(daily, checks, scratch_dir(spark))
         ensure_gmv_table(spark, table, location)
-        _replace_days(stamp(daily, as_of, load_ts), table)
+        rows = stamp(daily, as_of, load_ts).select(*spark.table(table).columns)
+        rows.hint("rebalance", F.col(PARTITION)).write.insertInto(table)
+        _set_version(spark, table, 1)
         return
-
-    staging = staging or f"{scratch_dir(spark)}/{table}"
-    if is_complete(spark, f"{staging}/rewritten"):
-        _apply(spark, table, staging)
-        if mode == "reference":
-            return
-    _stage(spark, daily, table, as_of, load_ts, mode, close_missing, days, staging)
-    _apply(spark, table, staging)
+    if finish_interrupted(spark, table) == load_id:
+        return
+    stage_gmv(spark, daily, table, as_of, load_ts, mode, close_missing, days, load_id, checks)
+    finish_interrupted(spark, table)
 
 
-def _stage(spark, daily, table, as_of, load_ts, mode, close_missing, days, staging) -> None:
+def stage_gmv(
+    spark: SparkSession,
+    daily: DataFrame,
+    table: str,
+    as_of: date | str,
+    load_ts: datetime,
+    mode: str = "single_pass",
+    close_missing: bool = True,
+    days: DataFrame | None = None,
+    load_id: str | None = None,
+    checks: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """The first half of a load: what the table's changed days will hold. The table stays as it is."""
+    staging = _staging(spark, table)
+    discard(spark, staging)
     history = read_table(spark, table)
-    current = current_of(history)
     if days is not None:
-        current = current.join(days.select(PARTITION), PARTITION, "left_semi")
+        # Literals prune the partitions that are read; a semi-join with a table of days would not.
+        history = history.filter(_is_one_of(_days(days)))
+    current = current_of(history)
+    if checks is not None:
+        daily = _checked(daily, checks, staging)
     changes = materialize(scd2_changes(current, daily, as_of, load_ts, mode, close_missing), f"{staging}/changes")
 
-    on_touched = _is_one_of(_touched_days(changes))
+    touched = _touched_days(changes)
     kept = changes.filter(F.col("action") != REMOVE).drop("action")
     closed = closed_of(history).select(*kept.columns)
+    on_touched = _is_one_of(touched)
     materialize(closed.filter(on_touched).unionByName(kept.filter(on_touched)), f"{staging}/rewritten")
+    manifest = [(load_id or f"{as_of} {load_ts.isoformat()} {mode}", _version(spark, table), touched)]
+    manifest = spark.createDataFrame(manifest, MANIFEST).coalesce(1)
+    materialize(manifest, f"{staging}/manifest")  # last: what is staged is complete
 
 
-def _apply(spark: SparkSession, table: str, staging: str) -> None:
-    rewritten = read_parquet(spark, f"{staging}/rewritten", schemas.GMV_HISTORY)
-    _replace_days(rewritten, table)
+def finish_interrupted(spark: SparkSession, table: str) -> str | None:
+    """The second half of a load: bring staged rows into the table. The id of that load, None if there was none.
 
-    # A day without any version left writes no partition, so the old one has to go by itself.
-    touched = _touched_days(spark.read.schema(f"action string, {PARTITION} date").parquet(f"{staging}/changes"))
-    for emptied in set(touched) - set(_days(rewritten)):
-        value = "NULL" if emptied is None else f"DATE'{emptied}'"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION} = {value})")
-    discard(spark, f"{staging}/rewritten/_SUCCESS")  # before the files, which may not go all at once
+    Rows computed from another version of the table are dropped. Replacing the days once more, after an
+    interruption between two of them, does no harm.
+    """
+    staging = _staging(spark, table)
+    if not is_complete(spark, f"{staging}/manifest"):
+        return None
+    load_id, version, touched = read_parquet(spark, f"{staging}/manifest", MANIFEST).first()
+    done = None
+    if version == _version(spark, table):
+        _replace_days(spark, f"{staging}/rewritten", table)
+        rewritten = read_parquet(spark, f"{staging}/rewritten", schemas.GMV_HISTORY)
+        # A day without any version left writes no partition, so the old one has to go by itself.
+        for emptied in set(touched) - set(_days(rewritten)):
+            value = "NULL" if emptied is None else f"DATE'{emptied}'"
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION} = {value})")
+        _set_version(spark, table, version + 1)
+        done = load_id
+    discard(spark, f"{staging}/manifest/_SUCCESS")  # before the files, which may not go all at once
     discard(spark, staging)
+    return done
+
+
+MANIFEST = StructType(
+    [
+        StructField("load_id", StringType()),
+        StructField("version", LongType()),
+        StructField("touched", ArrayType(DateType())),
+    ]
+)
+
+# Counts the loads of a table, in its properties.
+VERSION = "vendaria.loads"
+
+
+def _version(spark: SparkSession, table: str) -> int:
+    found = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return int(found.get(VERSION, 0))
+
+
+def _set_version(spark: SparkSession, table: str, version: int) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{VERSION}' = '{version}')")
+
+
+def _staging(spark: SparkSession, table: str) -> str:
+    """Beside the table's own files, so that whoever loads the table next finds it."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Location")
+    return described.first()["data_type"].rstrip("/") + "-load"
+
+
+def _checked(rows: DataFrame, checks: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
+    """The rows, computed once, if they pass."""
+    rows = materialize(rows, f"{path}/checked")
+    enforce(checks(rows))
+    return rows
 
 
 def _touched_days(changes: DataFrame) -> list[date | None]:
@@ -92,15 +167,12 @@ def _is_one_of(days: list[date | None]):
     return found | F.col(PARTITION).isNull() if None in days else found
 
 
-def _replace_days(df: DataFrame, table: str) -> None:
-    """Overwrite the partitions that `df` has rows for and leave the others alone."""
-    spark = df.sparkSession
-    names = spark.table(table).columns
-    out = df.select(*names).hint("rebalance", F.col(PARTITION))
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        out.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(setting, before)
+def _replace_days(spark: SparkSession, path: str, table: str) -> None:
+    """Overwrite the partitions that the rows in `path` have and leave the others alone.
+
+    In a session of its own, so that the setting reaches no other write of the caller's.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows = read_parquet(own, path, schemas.GMV_HISTORY).select(*own.table(table).columns)
+    rows.hint("rebalance", F.col(PARTITION)).write.insertInto(table, overwrite=True)
