@@ -1,13 +1,17 @@
+import subprocess
+import sys
 from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import ITEMS, PURCHASES, bag
 from vendaria import schemas
 from vendaria.operators.gmv import gmv_daily
-from vendaria.plans.layers import gold_daily, read_bronze, write_bronze, write_silver
-from vendaria.sources.catalog import publish_view, read_table
+from vendaria.operators.quality import audit, quality_gate
+from vendaria.plans.layers import read_bronze, write_bronze, write_gold, write_silver
+from vendaria.sources.catalog import ensure_database, publish_view, read_table
 from vendaria.sources.files import from_rows, read_csv, read_parquet, write_partitioned
 from vendaria.sources.scratch import discard, is_complete, materialize, scratch_dir
 
@@ -85,6 +89,7 @@ class Session:
 
 def test_scratch_is_in_the_shared_folder(spark, tmp_path):
     session = Session(spark_checkpoint_dir=f"{tmp_path}/", spark_master="spark://somewhere:7077")
+    session.sparkContext = spark.sparkContext
     first, second = scratch_dir(session), scratch_dir(session)
     assert first.startswith(f"{tmp_path}/vendaria-") and first != second
     assert not is_complete(spark, first)
@@ -94,6 +99,32 @@ def test_scratch_is_in_the_shared_folder(spark, tmp_path):
     assert not is_complete(spark, first)
 
 
+@pytest.mark.parametrize("shared", [True, False])
+def test_scratch_goes_with_the_driver(tmp_path, shared):
+    setting = f'.config("spark.checkpoint.dir", {str(tmp_path)!r})' if shared else ""
+    script = f"""
+import sys
+from pyspark.sql import SparkSession
+from vendaria.sources.scratch import materialize, scratch_dir
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false"){setting}.getOrCreate()
+path = scratch_dir(spark)
+assert materialize(spark.range(3), path + "/rows").count() == 3
+print("PATH " + path)
+"""
+    root = Path(__file__).resolve().parent.parent
+    done = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, timeout=120, check=True)
+    path = Path(done.stdout.split("PATH ")[1].strip())
+    assert (path.parent == tmp_path) == shared and not path.exists()
+
+
+def test_database_location_is_quoted(spark, tmp_path):
+    ensure_database(spark, "quoted_location", f"{tmp_path}/it's here")
+    try:
+        assert "it's here" in spark.catalog.getDatabase("quoted_location").locationUri.replace("%20", " ")
+    finally:
+        spark.sql("DROP DATABASE quoted_location")
+
+
 def test_without_the_shared_folder_only_a_local_session_runs():
     assert Path(scratch_dir(Session(spark_master="local[2]"))).is_dir()
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
@@ -109,4 +140,18 @@ def test_layers(spark, tmp_path):
     bronze = read_bronze(spark, str(tmp_path), types)
     for stored, given in zip(bronze, seen):
         assert bag(stored.collect()) == bag(given.collect())
-    assert bag(gold_daily(write_silver(bronze, str(tmp_path))).collect()) == bag(gmv_daily(seen).collect())
+    silver = write_silver(bronze, str(tmp_path))
+    gold = write_gold(silver, str(tmp_path), checks=lambda daily: quality_gate(audit(daily, ["transaction_date"], ["subsidiary", "transaction_date"])))
+    assert bag(gold.collect()) == bag(gmv_daily(seen).collect())
+    assert all(Path(f).parent.name.startswith("transaction_date=") for f in gold.inputFiles())
+    assert all("gmv_date=" in f for f in silver.purchase.inputFiles())
+
+
+def test_gate_stops_the_gold_layer(spark, tmp_path):
+    from fixtures import feeds
+
+    seen = feeds(spark)
+    seen = seen._replace(product_item=seen.product_item.withColumn("purchase_value", F.lit(None).cast("double")))
+    with pytest.raises(ValueError, match="gmv_daily"):
+        write_gold(write_silver(seen, str(tmp_path)), str(tmp_path))
+    assert not (tmp_path / "gold").exists()

@@ -10,7 +10,8 @@ def publish_view(df: DataFrame, name: str) -> None:
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
+    quoted = location.replace("\\", "\\\\").replace("'", "\\'") if location else ""
+    where = f" LOCATION '{quoted}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 

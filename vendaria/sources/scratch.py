@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,16 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh directory in the shared folder named by `spark.checkpoint.dir`.
+    """A fresh directory in the shared folder named by `spark.checkpoint.dir`; it goes when the driver ends.
 
     Only a local session may do without the setting and gets a temporary folder: executors on other machines
-    could not read it.
+    could not read it. Whether the folder that a cluster names is shared is the cluster's word.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/vendaria-{uuid.uuid4().hex}"
+        path = f"{shared.rstrip('/')}/vendaria-{uuid.uuid4().hex}"
+        files, directory = _file_system(spark, path)
+        files.mkdirs(directory)
+        files.deleteOnExit(directory)  # results may read it lazily, so not before
+        return path
     if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="vendaria-")
+        path = tempfile.mkdtemp(prefix="vendaria-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+        return path
     raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 
