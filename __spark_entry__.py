@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from vendaria import schemas
 from vendaria.operators.cdc import Feeds, consolidated_purchase, latest_feeds, latest_per_key, valid_purchase
 from vendaria.operators.gmv import gmv_as_of, gmv_current, gmv_current_full, gmv_daily, gmv_period
-from vendaria.operators.quality import not_null, null_audit, quality_gate, refers_to, unique
+from vendaria.operators.quality import audit, null_audit, quality_gate, refers_to
 from vendaria.operators.scd2 import scd2_merge, stamp
-from vendaria.plans.history import load_gmv
-from vendaria.plans.layers import gold_daily, read_bronze, write_bronze, write_silver
+from vendaria.plans.history import load_gmv, stage_gmv
+from vendaria.plans.layers import read_bronze, write_bronze, write_gold, write_silver
 from vendaria.plans.reprocess import reprocess
 from vendaria.plans.sales import top_producers, top_products_per_producer
 from vendaria.sources import star
@@ -89,9 +89,8 @@ def _quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     purchase, item = _purchase(spark, sf_dir), star.product_item(spark, sf_dir)
     item_key = ["prod_item_id", "prod_item_partition"]
     return quality_gate(
-        not_null(purchase, schemas.PURCHASE.names),
-        unique(item, item_key),
-        unique(purchase, ["purchase_id"]),
+        audit(purchase, schemas.PURCHASE.names, ["purchase_id"]),
+        audit(item, [], item_key),
         refers_to(purchase, item_key, item, "product_item"),
     )
 
@@ -150,7 +149,19 @@ def _two_loads(mode: str):
     def load(spark, sf_dir, table, location, base):
         for until, as_of in ((FIRST_UNTIL, FIRST_DAY), (None, SECOND_DAY)):
             daily = gmv_daily(star.feeds(spark, sf_dir, until))
-            load_gmv(spark, daily, table, as_of, LOAD_TS, mode, location=location, staging=f"{base}/staging")
+            load_gmv(spark, daily, table, as_of, LOAD_TS, mode, location=location)
+
+    return load
+
+
+def _recovered(mode: str):
+    """The second load dies when its rows are staged, and is repeated."""
+
+    def load(spark, sf_dir, table, location, base):
+        first, second = (gmv_daily(star.feeds(spark, sf_dir, until)) for until in (FIRST_UNTIL, None))
+        load_gmv(spark, first, table, FIRST_DAY, LOAD_TS, mode, location=location)
+        stage_gmv(spark, second, table, SECOND_DAY, LOAD_TS, mode)
+        load_gmv(spark, second, table, SECOND_DAY, LOAD_TS, mode)
 
     return load
 
@@ -181,12 +192,17 @@ def _late_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_dir(spark)
-    feeds = star.feeds(spark, sf_dir)
-    write_bronze(feeds, base)
-    bronze = read_bronze(spark, base, {name: df.schema for name, df in feeds._asdict().items()})
-    return gold_daily(write_silver(bronze, base))
+def _layers(status_col: str | None = None):
+    def query(spark, sf_dir):
+        base = scratch_dir(spark)
+        feeds = star.feeds(spark, sf_dir, status=status_col is not None)
+        write_bronze(feeds, base)
+        bronze = read_bronze(spark, base, {name: df.schema for name, df in feeds._asdict().items()})
+        # A day of which no purchase has a value is stored, so the gate of the query asks for the keys only.
+        gate = lambda daily: quality_gate(audit(daily, ["transaction_date"], ["transaction_date", "subsidiary"]))
+        return write_gold(write_silver(bronze, base, status_col), base, checks=gate)
+
+    return query
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -215,13 +231,19 @@ def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "consolidated_purchase_left": _consolidated("left"),
         "gmv_daily_by_subsidiary": _daily(),
         "gmv_daily_by_subsidiary_outer": _daily(how="full_outer"),
-        "gmv_layers": _layers,
+        "gmv_daily_approved": lambda spark, sf_dir: gmv_daily(
+            star.feeds(spark, sf_dir, status=True), status_col="status"
+        ),
+        "gmv_layers": _layers(),
+        "gmv_layers_approved": _layers("status"),
         "gmv_late_days": _late_days,
         "gmv_scd2_initial": lambda spark, sf_dir: _first_load(spark, sf_dir).drop("load_timestamp"),
         "gmv_scd2_merge": _history,
         "gmv_scd2_merge_reference": lambda spark, sf_dir: _history(spark, sf_dir, "reference"),
         "gmv_scd2_load": _stored_history(_two_loads("single_pass")),
         "gmv_scd2_load_reference": _stored_history(_two_loads("reference")),
+        "gmv_scd2_load_recovered": _stored_history(_recovered("single_pass")),
+        "gmv_scd2_load_recovered_reference": _stored_history(_recovered("reference")),
         "gmv_scd2_stream": _stored_history(_streamed),
         "gmv_current": _on_history(gmv_current),
         "gmv_current_full": _on_history(gmv_current_full),
@@ -313,14 +335,16 @@ def _top_products_sql(*conditions: str) -> str:
 _PURCHASE_ID = "(event_id // 10000 * 1500 + event_id % 1500)"
 
 
-def _feeds_sql(prefix: str = "", until: str | None = None) -> str:
-    """CTEs up to the daily value; `prefix` tells two loads apart."""
+def _feeds_sql(prefix: str = "", until: str | None = None, approved: bool = False) -> str:
+    """CTEs up to the daily value; `prefix` tells two loads apart, `approved` asks for the status too."""
+    status = ", CASE WHEN event_id % 7 < 5 THEN 'Aprovado' ELSE 'Pendente' END AS status" if approved else ""
+    is_approved = "AND status = 'Aprovado'" if approved else ""
     seen = f"AND ts < TIMESTAMP '{until}'" if until else ""
     feeds = {
         "purchase": (
             "event_type IN ('purchase', 'signup')",
             "user_id AS buyer_id, user_id % 50 AS prod_item_id, CAST(ts AS DATE) AS order_date, "
-            "CASE WHEN event_id % 5 <> 0 THEN CAST(ts AS DATE) END AS release_date, user_id % 20 AS producer_id",
+            "CASE WHEN event_id % 5 <> 0 THEN CAST(ts AS DATE) END AS release_date, user_id % 20 AS producer_id" + status,
         ),
         "item": (
             "event_type IN ('click', 'error')",
@@ -348,7 +372,7 @@ def _feeds_sql(prefix: str = "", until: str | None = None) -> str:
         f"""
         {prefix}valid AS (
             SELECT *, coalesce(release_date, transaction_date, order_date) AS gmv_date
-            FROM {prefix}purchase WHERE release_date IS NOT NULL
+            FROM {prefix}purchase WHERE release_date IS NOT NULL {is_approved}
         ),
         {prefix}daily AS (
             SELECT v.gmv_date AS transaction_date, x.subsidiary, round(sum(i.purchase_value), 2) AS gmv_daily
@@ -456,12 +480,16 @@ def _sales_sql() -> dict[str, str]:
         "consolidated_purchase_left": _consolidated_sql("LEFT"),
         "gmv_daily_by_subsidiary": feed + "daily",
         "gmv_daily_by_subsidiary_outer": feed + "daily",
+        "gmv_daily_approved": f"WITH {_feeds_sql(approved=True)} SELECT * FROM daily",
         "gmv_layers": feed + "daily",
+        "gmv_layers_approved": f"WITH {_feeds_sql(approved=True)} SELECT * FROM daily",
         "gmv_late_days": feed + late_days,
         "gmv_scd2_initial": f"WITH {_feeds_sql('first_', FIRST_UNTIL)}, {_INITIAL} SELECT * FROM first_load",
         "gmv_scd2_merge": _on_history_sql(full),
         "gmv_scd2_merge_reference": _on_history_sql(full, "reference"),
         "gmv_scd2_load": _on_history_sql(full),
+        "gmv_scd2_load_recovered": _on_history_sql(full),
+        "gmv_scd2_load_recovered_reference": _on_history_sql(full, "reference"),
         "gmv_scd2_load_reference": _on_history_sql(full, "reference"),
         "gmv_scd2_stream": _on_history_sql(full),
         "gmv_current": _on_history_sql(current),

@@ -7,6 +7,8 @@ from fixtures import CUTOFFS, bag, feeds
 from vendaria import schemas
 from vendaria.operators.cdc import Feeds, consolidated_purchase, latest_feeds, latest_per_key, valid_purchase
 from vendaria.operators.gmv import gmv_daily
+from vendaria.plans.layers import write_gold, write_silver
+from vendaria.plans.reprocess import reprocess
 from vendaria.sources.files import from_rows
 
 
@@ -87,6 +89,25 @@ def test_latest_with_a_hot_key_does_not_depend_on_row_order(spark):
         assert {r.k: (r.t, r.v) for r in latest_per_key(df, "k", "t").collect()} == expected
 
 
+def test_a_status_decides_between_versions_of_one_time_in_every_path(spark, tmp_path):
+    rows = [("2023-01-01 00:00:00", "2023-01-01", 1, b, 1, "2023-01-01", "2023-02-01", 1) for b in (5, 9)]
+    purchase = from_rows(spark, rows, schemas.PURCHASE_FEED)
+    status = F.when(F.col("buyer_id") == 5, "Pendente").otherwise("Aprovado")
+    for swapped in (False, True):
+        given = F.when(status == "Aprovado", "Pendente").otherwise("Aprovado") if swapped else status
+        item = from_rows(spark, [("2023-01-01 00:00:00", "2023-01-01", 1, 2, 3, 4.0)], schemas.PRODUCT_ITEM_FEED)
+        extra = from_rows(spark, [("2023-01-01 00:00:00", "2023-01-01", 1, "a")], schemas.EXTRA_INFO_FEED)
+        seen = Feeds(purchase.withColumn("status", given), item, extra)
+        pruned = bag(gmv_daily(seen, status_col="status").collect())
+        silver = write_silver(seen, str(tmp_path / f"layers-{swapped}"), status_col="status")
+        stored = bag(write_gold(silver, str(tmp_path / f"layers-{swapped}")).collect())
+        changed = spark.createDataFrame([(1,)], "purchase_id bigint")
+        late, _ = reprocess(seen, changed, str(tmp_path / f"late-{swapped}"), status_col="status")
+        # The greater status is the later one: Pendente, so nothing counts.
+        assert pruned == stored == bag(late.collect()) == []
+        assert bag(gmv_daily(seen, status_col="status", approved="Pendente").collect()) != []
+
+
 def test_pruned_feeds_choose_the_same_values_on_equal_times(spark):
     rng = random.Random(5)
 

@@ -2,7 +2,7 @@ import pytest
 
 from fixtures import ITEMS, PURCHASES
 from vendaria import schemas
-from vendaria.operators.quality import enforce, not_null, quality_gate, refers_to, unique
+from vendaria.operators.quality import audit, enforce, not_null, quality_gate, refers_to, unique
 from vendaria.sources.files import from_rows
 
 
@@ -28,6 +28,16 @@ def test_gate(spark):
     enforce(quality_gate(unique(purchase, ["purchase_id"])))
 
 
+def test_one_pass_finds_the_same(spark):
+    rows = [*ITEMS, ITEMS[0], ITEMS[0], (None, 1, 1, 1, 1.0), (None, 1, None, 1, 1.0), (None, 1, 1, 1, None)]
+    item = from_rows(spark, rows, schemas.PRODUCT_ITEM)
+    columns, key = item.columns, ["prod_item_id", "prod_item_partition"]
+    for table in (item, item.limit(0)):
+        apart = quality_gate(not_null(table, columns), unique(table, key))
+        assert sorted(quality_gate(audit(table, columns, key)).collect()) == sorted(apart.collect())
+    assert audit(item, [], key).count() == 1
+
+
 def test_empty_input_passes(spark):
     nothing = from_rows(spark, PURCHASES, schemas.PURCHASE).limit(0)
     gate = quality_gate(not_null(nothing, ["buyer_id"]), unique(nothing, ["purchase_id"]))

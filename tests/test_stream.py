@@ -12,7 +12,6 @@ from vendaria import schemas
 from vendaria.operators.cdc import Feeds
 from vendaria.operators.gmv import gmv_current, gmv_daily
 from vendaria.operators.scd2 import scd2_merge, stamp
-from vendaria.plans import reprocess as reprocessing
 from vendaria.plans.reprocess import reprocess
 from vendaria.sources.catalog import read_table
 from vendaria.sources.files import from_rows
@@ -107,10 +106,17 @@ def random_feeds(spark, seed, n=600):
     return between
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_reprocessed_days_equal_a_full_recomputation(spark, tmp_path, monkeypatch, limit):
-    """With a hot and a missing id; with key lists sent to all executors and with shuffled ones."""
-    monkeypatch.setattr(reprocessing, "BROADCAST_ROWS", limit)
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_reprocessed_days_equal_a_full_recomputation(spark, tmp_path, limit):
+    """With a hot and a missing id; with key lists that Spark broadcasts and with shuffled ones."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        _compare_reprocessed(spark, tmp_path)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _compare_reprocessed(spark, tmp_path):
     between = random_feeds(spark, 1)
     cut, end = "2023-01-26 12:00:00", "2023-02-01"
     everything, late = between("", end), between(cut, end)

@@ -61,17 +61,21 @@ def _has_no_order(kind: DataType) -> bool:
 VALUE_COLUMNS = Feeds(("release_date",), ("purchase_value", "item_quantity"), ("subsidiary",))
 
 
-def latest_feeds(feeds: Feeds, only: Feeds | None = None) -> Feeds:
+def latest_feeds(feeds: Feeds, only: Feeds | None = None, status_col: str | None = None) -> Feeds:
     """Latest version of every purchase id in each feed.
 
     `only` names the columns to keep besides id and time. All columns take part in the choice, so Spark cannot
-    prune them by itself.
+    prune them by itself. A status that decides whether a purchase counts takes part before the columns that only
+    some of the callers keep, so that all choose the same version.
     """
+    decisive = VALUE_COLUMNS
+    if status_col is not None:
+        decisive = decisive._replace(purchase=(*decisive.purchase, status_col))
     latest = []
     for name, feed in feeds._asdict().items():
         if only is not None:
             feed = feed.select("purchase_id", "transaction_datetime", *getattr(only, name))
-        first = [c for c in getattr(VALUE_COLUMNS, name) if c in feed.columns]
+        first = [c for c in getattr(decisive, name) if c in feed.columns]
         latest.append(latest_per_key(feed, "purchase_id", tiebreak=first))
     return Feeds(*latest)
 

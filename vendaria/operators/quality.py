@@ -32,6 +32,24 @@ def unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def audit(df: DataFrame, columns: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """(rule, violations) of `not_null` for `columns` and `unique` for `key`, from one pass over `df`.
+
+    Null counts are added up per key, so that both kinds of rules come out of the same aggregation.
+    """
+    names = [f"_null_{i}" for i in range(len(columns))]
+    nulls = [F.count_if(F.col(c).isNull()).alias(n) for c, n in zip(columns, names, strict=True)]
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"), *nulls)
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    counted = per_key.agg(
+        F.coalesce(F.sum(F.when(complete, F.col("_rows") - 1)), F.lit(0)).alias("_again"),
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names],
+    )
+    rules = [(f"not_null({c})", n) for c, n in zip(columns, names, strict=True)]
+    rules.append((f"unique({', '.join(key)})", "_again"))
+    return counted.select(F.inline(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(c).alias("violations")) for r, c in rules])))
+
+
 def refers_to(df: DataFrame, columns: Sequence[str], parent: DataFrame, parent_name: str) -> DataFrame:
     """(rule, violations): rows with a complete key that `parent` lacks.
 

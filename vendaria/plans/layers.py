@@ -1,33 +1,62 @@
-"""The feeds, their latest state and the daily value as stored layers."""
+"""The feeds, their latest state and the daily value as stored layers, each partitioned by day."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from vendaria.operators.cdc import Feeds, consolidated_purchase, latest_feeds, valid_purchase
+from vendaria.operators.cdc import APPROVED, Feeds, consolidated_purchase, latest_feeds, valid_purchase
 from vendaria.operators.gmv import gmv_of
+from vendaria.operators.quality import audit, enforce, quality_gate
 from vendaria.sources.files import read_parquet, write_partitioned
 from vendaria.sources.scratch import materialize
 
+DAY = "transaction_date"
+
 
 def write_bronze(feeds: Feeds, base: str) -> None:
     """The feeds as they came, by day of transaction."""
     for name, feed in feeds._asdict().items():
-        write_partitioned(feed, f"{base}/bronze/{name}", "transaction_date")
+        write_partitioned(feed, f"{base}/bronze/{name}", DAY)
 
 
 def read_bronze(spark: SparkSession, base: str, schemas: dict[str, StructType]) -> Feeds:
     return Feeds(**{name: read_parquet(spark, f"{base}/bronze/{name}", schemas[name]) for name in Feeds._fields})
 
 
-def write_silver(bronze: Feeds, base: str) -> Feeds:
-    """The valid purchases and, for every id, the latest item and extra information, read back."""
-    latest = latest_feeds(bronze)
-    silver = latest._replace(purchase=valid_purchase(latest.purchase))
-    return Feeds(*[materialize(df, f"{base}/silver/{name}") for name, df in silver._asdict().items()])
-
-
-def gold_daily(silver: Feeds) -> DataFrame:
-    """Daily value from the silver layer."""
-    return gmv_of(consolidated_purchase(*silver, how="left"))
+def write_silver(
+    bronze: Feeds, base: str, status_col: str | None = None, approved: str = APPROVED
+) -> Feeds:
+    """The valid purchases, by the day they count on, and for every id the latest item and extra information."""
+    latest = latest_feeds(bronze, status_col=status_col)
+    silver = latest._replace(purchase=valid_purchase(latest.purchase, status_col, approved))
+    days = Feeds("gmv_date", DAY, DAY)
+    return Feeds(
+        *[_stored(df, f"{base}/silver/{name}", getattr(days, name)) for name, df in silver._asdict().items()]
+    )
+
+
+def gmv_gate(daily: DataFrame) -> DataFrame:
+    """What a daily value has to fulfil before it is stored: a day, a value, and one row for a day and subsidiary."""
+    return quality_gate(audit(daily, [DAY, "gmv_daily"], [DAY, "subsidiary"]))
+
+
+def write_gold(
+    silver: Feeds,
+    base: str,
+    multiply_quantity: bool = False,
+    scale: int | None = 2,
+    checks: Callable[[DataFrame], DataFrame] = gmv_gate,
+) -> DataFrame:
+    """The daily value, stored by day and read back. A rule that fails stops it before anything is stored."""
+    daily = gmv_of(consolidated_purchase(*silver, how="left", multiply_quantity=multiply_quantity), scale)
+    daily = materialize(daily, f"{base}/gold-staged")
+    enforce(checks(daily))
+    return _stored(daily, f"{base}/gold/gmv_daily", DAY)
+
+
+def _stored(df: DataFrame, path: str, day: str) -> DataFrame:
+    write_partitioned(df, path, day)
+    return read_parquet(df.sparkSession, path, df.schema)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,60 +9,31 @@ from vendaria.operators.cdc import Feeds
 from vendaria.operators.gmv import gmv_daily
 from vendaria.sources.scratch import materialize
 
-# Most rows of a key list that is sent to every executor (a few ten megabytes of one number or date each).
-BROADCAST_ROWS = 1_000_000
-
-
-@dataclass
-class Selection:
-    """A distinct, stored list of keys in one column, and how many there are. NULL is a key like any other."""
-
-    keys: DataFrame
-    rows: int
-
-    @classmethod
-    def store(cls, df: DataFrame, path: str) -> Selection:
-        keys = materialize(df.distinct(), path)
-        return cls(keys, keys.count())
-
-    @property
-    def small(self) -> bool:
-        return self.rows <= BROADCAST_ROWS
-
-    def of(self, df: DataFrame) -> DataFrame:
-        """The rows of `df` whose key is selected."""
-        (name,) = self.keys.columns
-        keys = F.broadcast(self.keys) if self.small else self.keys
-        on = F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}"))
-        return df.alias("l").join(keys.alias("r"), on, "left_semi")
 
-    def of_reduced(self, df: DataFrame, reduce: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Select, and reduce the rows of each key.
-
-        A short list filters the scan, so nothing else is shuffled. With a long one the rows are reduced first,
-        which takes the weight off a key with many rows before they meet the list.
-        """
-        return reduce(self.of(df)) if self.small else self.of(reduce(df))
-
-
-def reprocess(feeds: Feeds, changed_ids: DataFrame, staging: str) -> tuple[DataFrame, DataFrame]:
+def reprocess(feeds: Feeds, changed_ids: DataFrame, staging: str, **options) -> tuple[DataFrame, DataFrame]:
     """(daily value, days) after some purchase ids changed: the value is complete for the returned days.
 
     `feeds` are the stored feeds, the changed records included. A purchase counts on the release date of one of
     its versions, so the days a changed id can enter or leave are the release dates of all its versions; and
     whoever counts on such a day has a version released on it. Only those purchases are consolidated again.
+
+    The lists of ids and days are written once, so Spark knows their size and broadcasts them where they are small:
+    then they filter the scans of the feeds. Releases are made distinct before they meet a list, which takes the
+    weight off an id with many versions. `options` are those of `gmv_daily`.
     """
     releases = feeds.purchase.select("purchase_id", "release_date").filter(F.col("release_date").isNotNull())
-    changed = Selection.store(changed_ids.select("purchase_id"), f"{staging}/changed")
-    days = Selection.store(
-        changed.of_reduced(releases, DataFrame.distinct).select("release_date"), f"{staging}/days"
-    )
-    affected = Selection.store(
-        days.of_reduced(releases, DataFrame.distinct).select("purchase_id"), f"{staging}/affected"
-    )
+    releases = releases.distinct()
+    changed = materialize(changed_ids.select("purchase_id").distinct(), f"{staging}/changed")
+    days = _of(releases, changed).select("release_date").distinct()
+    days = materialize(days, f"{staging}/days")
+    affected = materialize(_of(releases, days).select("purchase_id").distinct(), f"{staging}/affected")
+
+    chosen = Feeds(*[_of(feed, affected) for feed in feeds])
+    on_days = days.withColumnRenamed("release_date", "transaction_date")
+    return _of(gmv_daily(chosen, **options), on_days), on_days
+
 
-    # The affected ids are selected from the feeds as they are if that costs no shuffle; otherwise `gmv_daily`
-    # would shuffle whole feeds twice, so all of them are brought to their latest version once.
-    chosen = Feeds(*[affected.of(feed) for feed in feeds]) if affected.small else feeds
-    on_days = Selection(days.keys.withColumnRenamed("release_date", "transaction_date"), days.rows)
-    return on_days.of(gmv_daily(chosen)), on_days.keys
+def _of(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of `df` whose key is in the list; NULL is a key like any other."""
+    (name,) = keys.columns
+    return df.alias("l").join(keys.alias("r"), F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}")), "left_semi")

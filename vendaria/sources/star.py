@@ -18,9 +18,10 @@ LINEITEM = (
 PART = "p_partkey bigint, p_size int, p_retailprice double"
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
-# How many events in a row are spread over how many purchases, and how the return flag reads as a
-# status.
+# How many events in a row are spread over how many purchases, the status that a purchase event plays,
+# and how the return flag reads as a status.
 EVENTS_IN_BLOCK, PURCHASES_IN_BLOCK = 10_000, 1_500
+EVENT_STATUS = "CASE WHEN event_id % 7 < 5 THEN 'Aprovado' ELSE 'Pendente' END"
 STATUS_OF_FLAG = {"A": "Aprovado", "R": "Reembolsado", "N": "Pendente"}
 
 
@@ -58,8 +59,13 @@ def product_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def feeds(spark: SparkSession, sf_dir: str, until: str | None = None, since: str | None = None) -> Feeds:
-    """The three change feeds; `since` and `until` (excluded) bound the arrival of the versions."""
+def feeds(
+    spark: SparkSession, sf_dir: str, until: str | None = None, since: str | None = None, status: bool = False
+) -> Feeds:
+    """The three change feeds; `since` and `until` (excluded) bound the arrival of the versions.
+
+    `status` gives the purchases a status by their event.
+    """
     events = _table(spark, sf_dir, "events", EVENTS)
     if since:
         events = events.filter(f"ts >= TIMESTAMP_NTZ'{since}'")
@@ -78,6 +84,7 @@ def feeds(spark: SparkSession, sf_dir: str, until: str | None = None, since: str
             "CAST(ts AS DATE) AS order_date",
             "CASE WHEN event_id % 5 <> 0 THEN CAST(ts AS DATE) END AS release_date",
             "user_id % 20 AS producer_id",
+            *([f"{EVENT_STATUS} AS status"] if status else []),
         ),
         product_item=events.filter("event_type IN ('click', 'error')").selectExpr(
             *version, "user_id AS product_id", "1L AS item_quantity", "value AS purchase_value"

@@ -57,11 +57,14 @@ def stream_gmv(
     load_ts: Callable[[int], datetime],
     location: str | None = None,
     trigger: dict | None = None,
+    checks: Callable[[DataFrame], DataFrame] | None = None,
+    **options,
 ) -> StreamingQuery:
     """Start a query that stores the records of the streaming `feeds` and merges what they change into `table`.
 
     `as_of` and `load_ts` give the day and time of a load by micro-batch; days must not go back. A batch that is
-    repeated after a failure stores the same files and, with the same day, leaves the same history.
+    repeated after a failure stores the same files and, with the same day, leaves the same history. `checks` is the
+    gate of each load; `options` are those of `gmv_daily`, such as `status_col`.
     """
     schemas = {name: df.schema for name, df in feeds._asdict().items()}
     records = tagged(feeds)
@@ -72,7 +75,7 @@ def stream_gmv(
         stored = read_store(spark, store, records.schema)
         changed = stored.filter(F.col("batch_id") == batch_id).select("purchase_id")
         staging = f"{store}-staging/{batch_id}"
-        daily, days = reprocess(untagged(stored, schemas), changed, f"{staging}/keys")
+        daily, days = reprocess(untagged(stored, schemas), changed, f"{staging}/keys", **options)
         load_gmv(
             spark,
             daily,
@@ -81,7 +84,8 @@ def stream_gmv(
             load_ts(batch_id),
             days=days,
             location=location,
-            staging=f"{staging}/load",
+            load_id=f"batch {batch_id}",
+            checks=checks,
         )
         discard(spark, staging)
 
