@@ -1,0 +1,79 @@
+import public_tokenizers
+from edge_cases import documents, prose
+from test_llm_joins import kept_lines, linked, roots_of, shingle_sets
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from vendaria.llm import line_dedup, registry, toxicity
+from vendaria.sources.scratch import materialize
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_stages_in_order():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "ngram_join", "mixing", "bpe"]
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_every_operator_has_a_query():
+    names = list(registry.queries())
+    assert [n.split("_")[0] for n in names] == [*[f"op{k}" for k in range(1, 11)], "pipeline"]
+    assert set(registry.oracle_sql()) <= set(names)
+
+
+def test_each_stage_does_its_work_on_what_the_last_one_kept(spark, tmp_path):
+    """Every stage against a plain version of itself, on the whole of its own input."""
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    inputs, docs = {}, given
+    for name, stage in corpus_pipeline.STAGES:
+        inputs[name] = [r.asDict() for r in docs.collect()]
+        docs = materialize(stage(spark, docs, SF_DIR), str(tmp_path / name))
+        if name != "bpe":
+            assert docs.columns == given.columns
+    out = [r.asDict() for r in docs.collect()]
+
+    model = toxicity.train(given, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    scores = model.scores([r["text"] for r in inputs["toxicity"]])
+    kept = [r for r, s in zip(inputs["toxicity"], scores, strict=True) if s < toxicity.THRESHOLD]
+    assert by_id(kept) == by_id(inputs["line_dedup"])
+
+    removed = kept_lines([(r["doc_id"], r["text"]) for r in kept], line_dedup.PERCENT)
+    for r in kept:
+        r["text"] = "\n".join(x for k, x in enumerate(r["text"].split("\n")) if k not in removed[r["doc_id"]])
+        r["n_chars"] = len(r["text"]) if removed[r["doc_id"]] else r["n_chars"]
+    assert by_id(kept) == by_id(inputs["ngram_join"])
+
+    sets = shingle_sets([(r["doc_id"], r["text"]) for r in kept])
+    roots = roots_of(sets, linked(sets, 75))
+    kept = [r for r in kept if roots[r["doc_id"]] == r["doc_id"]]
+    assert by_id(kept) == by_id(inputs["mixing"])
+
+    mixed = inputs["bpe"]
+    assert {tuple(r.items()) for r in mixed} <= {tuple(r.items()) for r in kept}
+    assert max(mixed.count(r) for r in mixed) <= 2
+    words = sum(len(r["text"].encode().split()) for r in kept)
+    assert abs(sum(len(r["text"].encode().split()) for r in mixed) - 1.5 * words) < 0.15 * words
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert sorted(r["doc_id"] for r in out) == sorted(r["doc_id"] for r in mixed)
+    for r in out:
+        assert r["token_ids"] == library.encode(r["text"], add_special_tokens=False).ids
+        assert r["n_tokens"] == len(r["token_ids"])
+
+
+def by_id(rows):
+    return sorted((tuple(r.items()) for r in rows), key=str)
+
+
+def test_odd_documents_pass_through(spark, tmp_path):
+    docs = documents(spark, [(1, prose(40), "en", "a"), (2, None, None, None), (3, "", "en", "a"), (None, prose(30, 4), "en", None), (4, prose(40), "en", "a")])
+    for name, stage in corpus_pipeline.STAGES:
+        docs = materialize(stage(spark, docs, SF_DIR), str(tmp_path / name))
+    rows = docs.collect()
+    assert {r["doc_id"] for r in rows} <= {1, 4, None} and rows  # without words a document takes no part in a mix
+    assert "0 odd.name" in docs.columns
+
+
+def test_run_over_the_documents(spark):
+    out = registry.pipeline(spark, SF_DIR)
+    assert out.columns[-2:] == ["token_ids", "n_tokens"] and out.count() > 100
