@@ -142,19 +142,17 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 150, rate: float = 0
         return ToxicityModel(np.zeros(BUCKETS), 50.0 if known else -50.0)
 
     number = defaultdict(count().__next__)
-    doc_words = [np.fromiter(map(number.__getitem__, spoken(t)), np.int64) for t in texts]
-    flat, gram_word = grams_of(list(number))
+    doc_words = [np.fromiter(map(number.__getitem__, spoken(t)), np.int32) for t in texts]
+    flat, gram_word = _grams_by_word(list(number))
     divisor = np.maximum(1, np.bincount(gram_word, minlength=len(number)))
-
-    by_word = np.argsort(gram_word, kind="stable")
-    flat, gram_word = flat[by_word], gram_word[by_word]
-    first = np.searchsorted(gram_word, np.arange(len(number) + 1))
+    n_words = len(number)
+    first = np.searchsorted(gram_word, np.arange(n_words + 1))
     seen = np.zeros(BUCKETS, np.int32)
     for own in doc_words:
         own = np.unique(own)
         seen[np.unique(flat[np.repeat(first[own], divisor[own]) + _within(divisor[own])])] += 1
     used = np.flatnonzero(seen >= MIN_DOCUMENTS)
-    place = np.full(BUCKETS, -1)
+    place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used))
     known = place[flat] >= 0
     flat, gram_word = place[flat[known]], gram_word[known]
@@ -162,6 +160,7 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 150, rate: float = 0
     # Passages of all documents, one after another: where they begin and end among all words, and whose they are.
     offsets = np.concatenate([[0], np.cumsum([len(d) for d in doc_words])])
     words = np.concatenate(doc_words)
+    del number
     starts = [_starts(len(d)) if len(d) else np.zeros(0, int) for d in doc_words]
     counts = np.array([len(at) for at in starts])
     owner = np.repeat(np.arange(len(doc_words)), counts)
@@ -184,7 +183,7 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 150, rate: float = 0
 
     for step in range(1, epochs + 1):
         direction = softmax[1] - softmax[0]
-        worth = np.bincount(gram_word, (vectors @ direction)[flat], len(number)) / divisor
+        worth = _summed(vectors @ direction, flat, gram_word, n_words) / divisor
         through = np.concatenate([[0.0], np.cumsum(worth[words])])
         odds = (through[ends] - through[begins]) / WINDOW + bias[1] - bias[0]
         lean = np.exp(SHARPEST * step / epochs * (odds - np.repeat(np.maximum.reduceat(odds, group), counts)))
@@ -194,8 +193,8 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 150, rate: float = 0
 
         pushed = lean * np.repeat(error, counts) / WINDOW
         change = np.bincount(begins, pushed, len(words) + 1) - np.bincount(ends, pushed, len(words) + 1)
-        per_word = np.bincount(words, np.cumsum(change)[:-1], len(number)) / divisor
-        slope = np.bincount(flat, per_word[gram_word], len(used))
+        per_word = np.bincount(words, np.cumsum(change)[:-1], n_words) / divisor
+        slope = _summed(per_word, gram_word, flat, len(used))
         pull = slope @ vectors
         gradients = [
             slope[:, None] * direction + DECAY * vectors,
@@ -213,6 +212,26 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 150, rate: float = 0
     return ToxicityModel(bucket, float(bias[1] - bias[0]))
 
 
+def _grams_by_word(words: list[str], at_once: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """As `grams_of`, in the order of the words, and with no more than so many words' arrays at a time."""
+    flat, owners = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for start in range(0, len(words), at_once):
+        buckets, owner = grams_of(words[start : start + at_once])
+        order = np.argsort(owner, kind="stable")
+        flat.append(buckets[order].astype(np.int32))
+        owners.append((owner[order] + start).astype(np.int32))
+    return np.concatenate(flat), np.concatenate(owners)
+
+
+def _summed(values: np.ndarray, source: np.ndarray, target: np.ndarray, size: int, at_once: int = 1 << 19) -> np.ndarray:
+    """The sum of `values[source]` for each target, without an array as long as these."""
+    total = np.zeros(size)
+    for start in range(0, len(source), at_once):
+        part = slice(start, start + at_once)
+        total += np.bincount(target[part], values[source[part]], size)
+    return total
+
+
 def _within(lengths: np.ndarray) -> np.ndarray:
     """0, 1, ... for each of the given lengths, one after another."""
     return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
