@@ -41,12 +41,12 @@ from vendaria.sources.scratch import materialize, scratch_dir
 #: Two lines of 40 words are similar if they differ in two.
 PERCENT = 90
 
-#: Rounds of hubs go on while the pairs left are more than so many for each entry.
+#: Rounds of hubs go on while the pairs left are more than so many for each entry, and get fewer by a tenth at least.
 PAIRS_PER_ENTRY = 4
 MOST_ROUNDS = 6
 
 #: Lists of so many lines or fewer are compared line by line.
-SHORT = 32
+SHORT = 128
 
 #: Stands for the one item of a text without any line of words.
 NO_LINE = -1
@@ -99,6 +99,8 @@ def short_lists(found: DataFrame, percent: int, path: str) -> tuple[DataFrame, D
         left = np.flatnonzero(ends - np.searchsorted(group, group) <= SHORT)
         for step in range(1, SHORT):
             left = left[left + step < ends[left]]
+            # Sorted by size: whoever is too large for a line is followed by larger ones.
+            left = left[100 * rows[2, left] >= percent * rows[2, left + step]]
             if not len(left):
                 break
             a, b = rows[:, left], rows[:, left + step]
@@ -189,17 +191,18 @@ def repeated_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent:
     names = materialize(shared.select("set").distinct(), f"{base}/names")
     firsts = materialize(_firsts(sizes, names), f"{base}/firsts")
     shared = materialize(shared.join(within_bound(firsts), "set"), f"{base}/placed")
-    total, left = shared.count(), None
+    total, before = shared.count(), float("inf")
+    left = _pairs_left(_with_state(shared, gone))
     hubs = [["at"], ["-times", "at"]]
     for step in range(1, MOST_ROUNDS + 1):
+        if left <= PAIRS_PER_ENTRY * total or left > 0.9 * before:
+            break
         by = hubs[step - 1] if step <= len(hubs) else [step]
         state = materialize(_with_state(shared, gone), f"{base}/state-{step}")
         pairs = materialize(_hub_pairs(state, by, percent).join(tried, ["a", "b"], "left_anti"), f"{base}/pairs-{step}")
         gone = _gone(docs, sizes, pairs, gone, f"{base}/round-{step}", percent)
         tried = materialize(tried.unionByName(pairs), f"{base}/tried-{step}")
         before, left = left, _pairs_left(_with_state(shared, gone))
-        if step >= len(hubs) and (left <= PAIRS_PER_ENTRY * total or before is not None and left > 0.9 * before):
-            break
     state = materialize(_with_state(shared, gone), f"{base}/state-rest")
     rest = materialize(_other_pairs(state, percent).join(tried, ["a", "b"], "left_anti"), f"{base}/pairs-rest")
     return _gone(docs, sizes, rest, gone, f"{base}/rest", percent)
@@ -287,9 +290,16 @@ def repeated_lines(
     often = materialize(often.filter("times > 1").drop("times"), f"{base}/often")
     marked = sizes.join(within_bound(often), "set", "left").join(within_bound(gone), "set", "left")
     removed = (F.col("n") > 0) & (F.coalesce(position() > F.col("first"), F.lit(False)) | F.col("gone").isNotNull())
-    return marked.groupBy(F.col("item_key").alias("doc_id"), "text_key").agg(
-        F.count_distinct(F.when(F.col("n") > 0, F.col("number"))).alias("n_lines"),
-        F.sort_array(F.collect_set(F.when(removed, F.col("number")))).alias("removed"),
+    per_doc = marked.groupBy(F.col("item_key").alias("doc_id"), "text_key").agg(
+        F.collect_list(F.when(F.col("n") > 0, F.col("number"))).alias("lines"),
+        F.collect_list(F.when(removed, F.col("number"))).alias("removed"),
+    )
+    # Each line once, also where a document's row is repeated.
+    return per_doc.select(
+        "doc_id",
+        "text_key",
+        F.size(F.array_distinct("lines")).cast("long").alias("n_lines"),
+        F.sort_array(F.array_distinct("removed")).alias("removed"),
     )
 
 
