@@ -1,7 +1,7 @@
 """The library against the same questions as plain Spark SQL, on the same tables and session.
 
-The plain text joins first and aggregates after, keeps every column of a feed in its window and consolidates with
-full outer joins. `BENCH_SF_DIR` and `BENCH_CPUS` as in `bench.py`; prints one line per query and table size limit
+Both break ties the same way, add amounts as decimals and round. The plain text ranks all columns of a feed in a
+window. `BENCH_SF_DIR` and `BENCH_CPUS` as in `bench.py`; prints one line per query and table size limit
 for broadcasts (the session's default, and none, which is how large tables are planned).
 """
 
@@ -18,35 +18,51 @@ from vendaria.operators.gmv import gmv_daily
 from vendaria.plans.sales import top_producers, top_products_per_producer
 from vendaria.sources import star
 
-_LATEST = (
-    "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY purchase_id ORDER BY transaction_datetime DESC) AS rn "
-    "FROM {}) WHERE rn = 1"
-)
+# The questions that the library answers, ties, rounding and exact sums included, as one would first write them.
+_LATEST = """
+    SELECT * EXCEPT (place) FROM (
+        SELECT *, row_number() OVER (
+            PARTITION BY purchase_id ORDER BY transaction_datetime DESC NULLS LAST, {ties}) AS place FROM {feed}
+    ) WHERE place = 1
+"""
 
-_REVENUE = """
-    FROM purchase p JOIN item i ON i.prod_item_id = p.prod_item_id AND i.prod_item_partition = p.prod_item_partition
-    WHERE p.release_date IS NOT NULL
+_SOLD = """
+    SELECT p.producer_id, i.product_id, p.order_date,
+           CAST(i.purchase_value * i.item_quantity AS DECIMAL(24, 8)) AS amount
+    FROM item i JOIN purchase p
+      ON p.prod_item_partition = i.prod_item_partition AND p.prod_item_id = i.prod_item_id
+     AND p.release_date IS NOT NULL
 """
 
 PLAIN = {
     "top_producers": f"""
-        SELECT p.producer_id, round(sum(i.purchase_value * i.item_quantity), 2) AS total_sale {_REVENUE}
-        AND p.order_date BETWEEN '1997-01-01' AND '1997-12-31'
-        GROUP BY p.producer_id ORDER BY total_sale DESC LIMIT 50
+        WITH sold AS ({_SOLD})
+        SELECT producer_id, CAST(round(sum(amount), 2) AS DOUBLE) AS total_sale
+        FROM sold WHERE year(order_date) = 1997
+        GROUP BY producer_id ORDER BY total_sale DESC NULLS LAST, producer_id LIMIT 50
     """,
     "top_products_per_producer": f"""
-        SELECT * FROM (
-            SELECT *, row_number() OVER (PARTITION BY producer_id ORDER BY total_sales DESC) AS rank_sales
-            FROM (SELECT p.producer_id, i.product_id, round(sum(i.purchase_value * i.item_quantity), 2) AS total_sales
-                  {_REVENUE} GROUP BY p.producer_id, i.product_id)
-        ) WHERE rank_sales <= 2 ORDER BY producer_id
+        WITH sold AS ({_SOLD}),
+        totals AS (
+            SELECT producer_id, product_id, CAST(round(sum(amount), 2) AS DOUBLE) AS total_sales
+            FROM sold GROUP BY ALL
+        ),
+        places AS (
+            SELECT *, row_number() OVER (
+                PARTITION BY producer_id ORDER BY total_sales DESC NULLS LAST, product_id) AS rank_sales
+            FROM totals
+        )
+        SELECT * FROM places WHERE rank_sales < 3 ORDER BY producer_id, rank_sales
     """,
     "gmv_daily_by_subsidiary": f"""
-        SELECT v.release_date AS transaction_date, x.subsidiary, sum(i.purchase_value) AS gmv_daily
-        FROM (SELECT * FROM ({_LATEST.format('purchase_feed')}) WHERE release_date IS NOT NULL) v
-        FULL JOIN ({_LATEST.format('item_feed')}) i USING (purchase_id)
-        FULL JOIN ({_LATEST.format('extra_feed')}) x USING (purchase_id)
-        WHERE v.release_date IS NOT NULL GROUP BY v.release_date, x.subsidiary
+        WITH sale AS ({_LATEST.format(feed="purchase_feed", ties="release_date DESC NULLS LAST")}),
+        price AS ({_LATEST.format(feed="item_feed", ties="purchase_value DESC NULLS LAST")}),
+        place AS ({_LATEST.format(feed="extra_feed", ties="subsidiary DESC NULLS LAST")})
+        SELECT sale.release_date AS transaction_date, place.subsidiary,
+               CAST(round(sum(CAST(price.purchase_value AS DECIMAL(24, 8))), 2) AS DOUBLE) AS gmv_daily
+        FROM sale LEFT JOIN price USING (purchase_id) LEFT JOIN place USING (purchase_id)
+        WHERE sale.release_date IS NOT NULL
+        GROUP BY ALL
     """,
 }
 
