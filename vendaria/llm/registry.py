@@ -149,8 +149,81 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _URL_RULES_SQL = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
 
 
+# Shares `total` among rows by weight, at most twice each row's size: rows reach that in the order of size over weight.
+_RESHARED = """
+    SELECT * EXCLUDE (level, is_full), CASE WHEN is_full THEN 2.0 * size
+           ELSE min(CASE WHEN NOT is_full THEN (ratio, level) END) OVER ({by})[2] * weight END AS target
+    FROM (
+        SELECT *, 2.0 * size <= level * weight AS is_full
+        FROM (
+            SELECT *, size / weight AS ratio, (total - coalesce(sum(2.0 * size) OVER (
+                       {by} ORDER BY size / weight, {ties} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+                   / sum(weight) OVER (
+                       {by} ORDER BY size / weight, {ties} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM ({rows})
+        )
+    )
+"""
+
+_SOURCES = _RESHARED.format(
+    by="",
+    ties="weight, source",
+    rows="""SELECT source, size, sum(size) OVER () * 1.5 AS total,
+                   [3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS weight
+            FROM (SELECT source, sum(size)::BIGINT AS size FROM sized GROUP BY source)""",
+)
+_CLASSES = _RESHARED.format(
+    by="PARTITION BY source",
+    ties="class",
+    rows="""SELECT c.source, c.class, c.size, c.class * c.size AS weight, s.target AS total, s.size AS source_size
+            FROM (SELECT source, class, sum(size)::BIGINT AS size FROM sized GROUP BY source, class) c
+            JOIN sources s ON s.source IS NOT DISTINCT FROM c.source
+            WHERE c.size > 0""",
+)
+
+# No bins here: all documents of a source are ranked at once.
+_MIX_SQL = f"""
+    WITH counted AS (
+        SELECT doc_id, source,
+               CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
+        FROM documents
+    ),
+    sized AS (
+        SELECT *, CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS class,
+               (('0x' || md5('mix:' || coalesce(doc_id::VARCHAR, 'null'))[1:12])::BIGINT::DOUBLE + 0.5)
+               / 281474976710656.0 AS u
+        FROM counted
+    ),
+    sources AS ({_SOURCES}),
+    classes AS ({_CLASSES}),
+    plan AS (
+        SELECT source, class, floor(target / size) AS whole, target / size - floor(target / size) AS chance,
+               total - sum(floor(target / size) * size) OVER (PARTITION BY source) AS lacks
+        FROM classes
+    ),
+    ranked AS (
+        SELECT d.*, p.whole, p.lacks, s.size AS source_size, s.target,
+               CASE WHEN p.chance > 0 THEN (u / (1 - u)) / (p.chance / (1 - p.chance)) END AS odds
+        FROM sized d
+        LEFT JOIN plan p ON p.source IS NOT DISTINCT FROM d.source AND p.class = d.class
+        LEFT JOIN sources s ON s.source IS NOT DISTINCT FROM d.source
+    ),
+    placed AS (
+        SELECT *, sum(size) OVER (
+            PARTITION BY source, odds IS NULL ORDER BY odds, doc_id, size ROWS UNBOUNDED PRECEDING) - size / 2 AS middle
+        FROM ranked
+    )
+    SELECT doc_id, size, source_size, target,
+           CASE WHEN size > 0
+                THEN CAST(size * (whole + CASE WHEN odds IS NOT NULL AND middle <= lacks THEN 1 ELSE 0 END) AS BIGINT)
+                ELSE 0 END AS taken
+    FROM placed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_mixing": _MIX_SQL,
         "op7_topk": """
             WITH vectors AS (
                 SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
