@@ -23,6 +23,7 @@ from vendaria.llm.components import components
 from vendaria.llm.setjoin import (
     Items,
     bit_columns,
+    bits_may_be_similar,
     entries,
     folded,
     keyed,
@@ -34,7 +35,7 @@ from vendaria.llm.setjoin import (
     within_bound,
 )
 from vendaria.llm.words import hashed_words
-from vendaria.sources.scratch import materialize, scratch_dir
+from vendaria.sources.scratch import discard, materialize, scratch_dir
 
 WIDTH = 5
 PERCENT = 75
@@ -101,25 +102,25 @@ def adaptive_prefix(percent: int):
 
 def similar_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent: int = PERCENT) -> DataFrame:
     """`node` and `root` of all sets that are similar to another. `docs` and `sizes` as in `setjoin`."""
-    shared = shared_entries(entries(docs, shingles, sketch, adaptive_prefix(percent)), percent, f"{base}/entries")
+    shared = shared_entries(entries(docs, shingles, sketch, adaptive_prefix(percent)), percent, f"{base}/shared")
     names = materialize(shared.select("set").distinct(), f"{base}/sets")
     bits = sizes.join(within_bound(names), "set", "left_semi").groupBy("set")
-    bits = materialize(bits.agg(*[F.first(c).alias(c) for c in bit_columns(N_LONGS)]), f"{base}/bits")
-    shared = materialize(shared.join(within_bound(bits), "set"), f"{base}/shared")
+    bits = materialize(bits.agg(*[F.first(c).alias(c) for c in ("n", *bit_columns(N_LONGS))]), f"{base}/bits")
     found = materialize(_no_links(shared), f"{base}/links-0")
     tried = materialize(_no_links(shared), f"{base}/tried-0")
     labelled = shared.withColumn("c", F.col("set"))
     total, n_found = shared.count(), 0
     for step in range(1, MOST_ROUNDS + 1):
-        pairs, size = _hub_pairs(labelled, tried, f"{base}/pairs-{step}", step, percent)
+        pairs, size = _hub_pairs(labelled, bits, tried, f"{base}/pairs-{step}", step, percent)
         if not size:
             break
         found, labelled = _joined(docs, sizes, shared, pairs, found, f"{base}/round-{step}", percent)
+        discard(docs.sparkSession, f"{base}/round-{step - 1}-labelled")  # nothing reads the last round's any more
         tried = materialize(tried.unionByName(pairs), f"{base}/tried-{step}")
         before, n_found = n_found, found.count()
         if n_found == before or _pairs_across(labelled, percent) <= total:
             break
-    rest = materialize(_multi_match(labelled, percent).join(tried, ["a", "b"], "left_anti"), f"{base}/pairs-rest")
+    rest = materialize(_multi_match(labelled, bits, percent).join(tried, ["a", "b"], "left_anti"), f"{base}/pairs-rest")
     found, _ = _joined(docs, sizes, shared, rest, found, f"{base}/rest", percent)
     return components(found, f"{base}/components")
 
@@ -132,13 +133,19 @@ def _pair(one: Column, two: Column) -> list[Column]:
     return [F.least(one, two).alias("a"), F.greatest(one, two).alias("b")]
 
 
-def _hub_pairs(labelled: DataFrame, tried: DataFrame, path: str, step: int, percent: int) -> tuple[DataFrame, int]:
+def _hub_pairs(
+    labelled: DataFrame, bits: DataFrame, tried: DataFrame, path: str, step: int, percent: int
+) -> tuple[DataFrame, int]:
     """Every entry with its token's hub, unless both are in one component or have been compared."""
-    columns = ["set", "n", "place", *bit_columns(N_LONGS)]
+    columns = ["set", "n", "place"]
     order = F.struct(F.xxhash64("set", F.lit(step)).alias("order"), *columns, "c")
     pairs = labelled.withColumn("hub", F.min(order).over(Window.partitionBy("token"))).filter("c <> hub.c")
     pairs = pairs.select(*[F.col(c).alias(f"{c}_a") for c in columns], *[F.col(f"hub.{c}").alias(f"{c}_b") for c in columns])
-    pairs = pairs.filter(may_be_similar(percent, N_LONGS)).select(*_pair(F.col("set_a"), F.col("set_b"))).distinct()
+    pairs = pairs.filter(may_be_similar(percent, 0)).select(*_pair(F.col("set_a"), F.col("set_b"))).distinct()
+    for side in ("a", "b"):
+        own = bits.select(F.col("set").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", *bit_columns(N_LONGS))])
+        pairs = pairs.join(own, side)
+    pairs = pairs.filter(bits_may_be_similar(percent, N_LONGS)).select("a", "b")
     pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), path)
     return pairs, pairs.count()
 
@@ -169,7 +176,7 @@ def _joined(docs, sizes, shared, pairs, found, base: str, percent: int) -> tuple
     return found, materialize(labelled, f"{base}-labelled")
 
 
-def _multi_match(labelled: DataFrame, percent: int) -> DataFrame:
+def _multi_match(labelled: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Pairs across components that share enough prefix tokens to be similar.
 
     The larger set of a pair asks for its number of matches l. If both have a tokens in common, the l-th of them is at
@@ -178,7 +185,7 @@ def _multi_match(labelled: DataFrame, percent: int) -> DataFrame:
     found, and the fewer of what follows in either set, bound the intersection.
     """
     apart = labelled.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
-    rows = labelled.join(apart.select("token"), "token", "left_semi")
+    rows = labelled.join(apart.select("token"), "token", "left_semi").join(within_bound(bits.drop("n")), "set")
     columns = ["set", "n", "place", "own", "c", *bit_columns(N_LONGS)]
     small = rows.filter(_is_indexed(percent)).select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
     large = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in columns])

@@ -117,10 +117,15 @@ def may_be_similar(percent: int, n_longs: int, a: str = "_a", b: str = "_b") ->
     both = n_a + n_b
     lengths = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
     most = F.least(place_a, place_b) + F.least(n_a - place_a, n_b - place_b)
-    differ = reduce(
-        add, [F.bit_count(F.col(f"{c}{a}").bitwiseXOR(F.col(f"{c}{b}"))) for c in bit_columns(n_longs)]
-    )
-    return lengths & ((100 + percent) * most >= percent * both) & ((100 + percent) * differ <= (100 - percent) * both)
+    passes = lengths & ((100 + percent) * most >= percent * both)
+    return passes & bits_may_be_similar(percent, n_longs, a, b) if n_longs else passes
+
+
+def bits_may_be_similar(percent: int, n_longs: int, a: str = "_a", b: str = "_b") -> Column:
+    """The filter by bits alone."""
+    both = [(F.col(f"{c}{a}"), F.col(f"{c}{b}")) for c in bit_columns(n_longs)]
+    differ = reduce(add, [F.bit_count(one.bitwiseXOR(two)) for one, two in both])
+    return (100 + percent) * differ <= (100 - percent) * (F.col(f"n{a}") + F.col(f"n{b}"))
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
