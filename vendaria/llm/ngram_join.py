@@ -7,9 +7,9 @@ the tokens' frequencies add up to what a prefix finds, and l of them are needed
 set's l counts, and the other's prefix is read up to that level. What is left is filtered by size and by the tokens
 that can still follow, and verified on the whole texts.
 
-Groups of near copies would make all pairs within the group candidates. So first each token's sets are only compared
-with one of them, the hub, and what is found similar is joined to components; this is repeated with other hubs while
-it saves pairs. Then all pairs that share a prefix token and are not yet in one component go through the filters. No
+Groups of near copies would make all pairs within the group candidates. So where many sets share a token, they are
+first only compared with one of them, the hub, and what is found similar is joined to components; this is repeated
+with other hubs while it saves pairs. Then all pairs that share a prefix token and are not yet in one component go through the filters. No
 similar pair is passed over: it is either verified, or both are already known to be reachable from each other.
 """
 
@@ -35,7 +35,7 @@ from vendaria.llm.setjoin import (
     within_bound,
 )
 from vendaria.llm.words import hashed_words
-from vendaria.sources.scratch import discard, materialize, scratch_dir
+from vendaria.sources.scratch import materialize, scratch_dir
 
 WIDTH = 5
 PERCENT = 75
@@ -48,6 +48,9 @@ VERIFY_COST = 16
 #: not similar enough differ in more of 512 bits than similar ones can.
 N_LONGS = 8
 
+#: Lists of more sets than this have hubs.
+SHORT = 32
+
 #: Rounds of hubs go on while they join components and more pairs across components are left than entries.
 MOST_ROUNDS = 4
 
@@ -108,20 +111,23 @@ def similar_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent:
     bits = materialize(bits.agg(*[F.first(c).alias(c) for c in ("n", *bit_columns(N_LONGS))]), f"{base}/bits")
     found = materialize(_no_links(shared), f"{base}/links-0")
     tried = materialize(_no_links(shared), f"{base}/tried-0")
-    labelled = shared.withColumn("c", F.col("set"))
-    total, n_found = shared.count(), 0
+    # Hubs are for long lists; a short one has few pairs.
+    lengths = shared.groupBy("token").count().filter(F.col("count") > SHORT)
+    long = materialize(shared.join(lengths.select("token"), "token", "left_semi"), f"{base}/long")
+    total, n_found, labelled = long.count(), 0, long.withColumn("c", F.col("set"))
     for step in range(1, MOST_ROUNDS + 1):
         pairs, size = _hub_pairs(labelled, bits, tried, f"{base}/pairs-{step}", step, percent)
         if not size:
             break
-        found, labelled = _joined(docs, sizes, shared, pairs, found, f"{base}/round-{step}", percent)
-        discard(docs.sparkSession, f"{base}/round-{step - 1}-labelled")  # nothing reads the last round's any more
+        found = _verified_links(docs, sizes, pairs, found, f"{base}/round-{step}", percent)
+        labelled = _labelled(long, found, f"{base}/round-{step}")
         tried = materialize(tried.unionByName(pairs), f"{base}/tried-{step}")
         before, n_found = n_found, found.count()
         if n_found == before or _pairs_across(labelled, percent) <= total:
             break
+    labelled = _labelled(shared, found, f"{base}/all")
     rest = materialize(_multi_match(labelled, bits, percent).join(tried, ["a", "b"], "left_anti"), f"{base}/pairs-rest")
-    found, _ = _joined(docs, sizes, shared, rest, found, f"{base}/rest", percent)
+    found = _verified_links(docs, sizes, rest, found, f"{base}/rest", percent)
     return components(found, f"{base}/components")
 
 
@@ -165,15 +171,19 @@ def _pairs_across(labelled: DataFrame, percent: int) -> int:
     return int(each.groupBy("token").agg(across.alias("pairs")).agg(F.sum("pairs")).first()[0] or 0)
 
 
-def _joined(docs, sizes, shared, pairs, found, base: str, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Verify pairs; all links so far, and the entries with their components."""
+def _verified_links(docs, sizes, pairs, found, base: str, percent: int) -> DataFrame:
+    """All links so far and those among the pairs."""
     wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
     texts = texts_of(docs, sizes, wanted, f"{base}-texts")
     links = materialize(verified(pairs, texts, shingles, percent), f"{base}-verified")
-    found = materialize(found.unionByName(links), f"{base}-links")
+    return materialize(found.unionByName(links), f"{base}-links")
+
+
+def _labelled(rows: DataFrame, found: DataFrame, base: str) -> DataFrame:
+    """The entries with the components that the links make."""
     roots = components(found, f"{base}-components").withColumnsRenamed({"node": "set", "root": "c"})
-    labelled = shared.join(within_bound(roots), "set", "left").withColumn("c", F.coalesce("c", "set"))
-    return found, materialize(labelled, f"{base}-labelled")
+    labelled = rows.join(within_bound(roots), "set", "left").withColumn("c", F.coalesce("c", "set"))
+    return materialize(labelled, f"{base}-labelled")
 
 
 def _multi_match(labelled: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
