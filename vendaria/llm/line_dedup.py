@@ -322,7 +322,7 @@ def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame
     on = (F.col("__own_key") == F.col("__key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
     rows = rows.join(within_bound(found), on, "left")
     changed = F.col("__removed").isNotNull()
-    text = F.when(changed, without(F.col("text"), F.col("__removed"))).otherwise(F.col("text"))
+    text = F.when(changed, without(F.when(changed, F.col("text")), F.col("__removed"))).otherwise(F.col("text"))
     rows = rows.withColumn("text", text)
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
