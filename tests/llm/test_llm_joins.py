@@ -109,6 +109,37 @@ def test_ngram_join_without_hubs_or_broadcasts(spark, monkeypatch, no_broadcasts
     assert {r["doc_id"]: r["component_id"] for r in rows} == roots_of(sets, linked(sets, 75))
 
 
+def without_ids():
+    """Near copies, and rows without an id that are near copies of them or hold the very text of one."""
+    texts = list(near_copies(24, 3, seed=11)) + [prose(30 + k, 70 + k) for k in range(4)]
+    rows = list(enumerate(texts, 1))
+    rows += [(None, t) for t in texts[::3]] + [(None, texts[0])] * 2
+    rows += [(None, t) for t in near_copies(6, 3, seed=11)]
+    return rows + [(None, t) for t in near_copies(5, 2, words=40, seed=29)]
+
+
+@pytest.mark.parametrize("short", [2, 10**6])
+def test_ngram_join_with_rows_without_ids(spark, monkeypatch, short):
+    monkeypatch.setattr(ngram_join, "SHORT", short)
+    rows = without_ids()
+    sets = shingle_sets(enumerate(t for _, t in rows))
+    roots = roots_of(sets, linked(sets, 75))
+    ids = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            ids[roots[k]] = min(i, ids.get(roots[k], i))
+    expected = sorted(((i, len(sets[k]), ids.get(roots[k])) for k, (i, _) in enumerate(rows)), key=str)
+    docs = documents(spark, [(i, t, "en", "s") for i, t in rows]).repartition(4)
+    assert sorted((tuple(r) for r in ngram_components(docs).collect()), key=str) == expected
+
+
+def test_an_exact_copy_without_id_costs_no_link(spark):
+    one, two = prose(60), prose(60).rsplit(" ", 1)[0] + " other"
+    docs = documents(spark, [(1, one, "en", "s"), (2, two, "en", "s"), (None, one, "en", "s")])
+    assert {(r["doc_id"], r["component_id"]) for r in ngram_components(docs).collect()} == {(1, 1), (2, 1), (None, 1)}
+    assert 2 not in {r["doc_id"] for r in without_copies(docs).collect()}
+
+
 def test_multi_match_prefixes_hold_enough_common_tokens():
     """For each level of the larger set, similar sets share so many tokens of their prefixes at that level."""
     rng = np.random.default_rng(2)
@@ -212,6 +243,22 @@ def test_line_dedup_with_short_and_long_lists(spark, monkeypatch):
     assert {r["doc_id"]: r["removed"] for r in rows} == kept_lines(texts, 70)
 
 
+@pytest.mark.parametrize("short", [2, 128])
+def test_line_dedup_with_rows_without_ids(spark, monkeypatch, short):
+    """Documents without an id come last, by their texts' hash."""
+    monkeypatch.setattr(line_dedup, "SHORT", short)
+    texts = lined()
+    rows = texts + [(None, t) for _, t in texts[::4]]
+    rows += [(None, line) for line in near_copies(12, 3, words=30, seed=5)]
+    docs = documents(spark, [(i, t, "en", "s") for i, t in rows]).repartition(4)
+    keys = {r["text"]: r["text_key"] for r in setjoin.keyed(docs, "doc_id", "text").collect()}
+    ordered = {(i is None, i or 0, keys[t]): t for i, t in rows}
+    found = repeated_lines(docs, 80).collect()
+    assert {(r["doc_id"] is None, r["doc_id"] or 0, r["text_key"]): r["removed"] for r in found} == kept_lines(
+        list(ordered.items()), 80
+    )
+
+
 def test_line_edge_cases(spark):
     rows = [
         (2, "x y z\nfresh line", "en", "s"),

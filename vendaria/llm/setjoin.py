@@ -313,12 +313,17 @@ def within_bound(table: DataFrame) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, sizes: DataFrame, wanted: DataFrame, path: str, part=None) -> DataFrame:
-    """set and text, from any one document, of the `wanted` sets (column `set`). `part` picks the item's own text."""
+    """set and text, from any one document, of the `wanted` sets (column `set`). `part` picks the item's own text.
+
+    A document may have no id, so ids are compared with nulls.
+    """
     places = sizes.join(wanted.distinct(), "set", "left_semi").groupBy("set")
-    places = places.agg(F.min(F.struct("item_key", "text_key", "number")).alias("at")).select("set", "at.*")
+    places = places.agg(F.min(F.struct("item_key", "text_key", "number")).alias("at"))
+    places = places.select("set", F.col("at.item_key").alias("at_item"), F.col("at.text_key").alias("at_text"), "at.number")
     places = materialize(places, f"{path}-places")
     text = F.col("text") if part is None else part(F.col("text"), F.col("number"))
-    found = docs.join(within_bound(places), ["item_key", "text_key"]).select("set", text.alias("text"))
+    on = (F.col("text_key") == F.col("at_text")) & F.col("item_key").eqNullSafe(F.col("at_item"))
+    found = docs.join(within_bound(places), on).select("set", text.alias("text"))
     # Rows that repeat in the input give their text twice.
     return materialize(found.groupBy("set").agg(F.first("text").alias("text")), path)
 
