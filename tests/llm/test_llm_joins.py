@@ -189,6 +189,25 @@ def test_ngram_edge_cases(spark):
     assert without_copies(documents(spark, [])).count() == 0
 
 
+def test_without_copies_by_id_and_text(spark):
+    """Texts under one id are documents of their own; a group without ids leaves one."""
+    one, two, three, four = (prose(40, k) for k in (0, 30, 60, 90))
+    rows = [(1, one), (2, one), (2, two), (3, three), (3, two), (4, four), (4, four + " end"), (None, three)]
+    rows += [(None, prose(30, 500))] * 3 + [(None, prose(30, 500) + " end"), (None, ""), (None, ""), (5, None), (5, None)]
+    docs = documents(spark, [(i, t, "en", "s") for i, t in rows]).repartition(3)
+    keys = {r["text"]: r["text_key"] for r in setjoin.keyed(docs, "doc_id", "text").collect()}
+    position = [(i is None, i or 0, keys[t or ""]) for i, t in rows]
+    sets = shingle_sets(enumerate(t for _, t in rows))
+    roots, firsts = roots_of(sets, linked(sets, 75)), {}
+    for k in sets:
+        firsts[roots[k]] = min(firsts.get(roots[k], position[k]), position[k])
+    kept = {(i, t) for k, (i, t) in enumerate(rows) if sets[k] and firsts[roots[k]] == position[k]}
+    expected = [*kept, *[r for k, r in enumerate(rows) if not sets[k]]]
+    found = [(r["doc_id"], r["text"]) for r in without_copies(docs).collect()]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+    assert {(1, one), (2, two), (3, three)} <= set(found) and (2, one) not in found
+
+
 def kept_lines(texts, percent):
     """For each document the numbers of lines that have a similar earlier one."""
     earlier, removed = [], {}

@@ -230,12 +230,7 @@ def ngram_components(
     gives no rows. Other columns are ignored.
     """
     base = scratch_dir(docs.sparkSession)
-    rows = keyed(docs, id_col, text_col)
-    sizes, sketch = measured(rows, shingles, f"{base}/sizes", N_LONGS)
-    roots = similar_sets(rows, sizes, sketch, base, percent).withColumnsRenamed({"node": "set", "root": "c"})
-    placed = sizes.join(within_bound(roots), "set", "left").withColumn("c", F.coalesce("c", "set"))
-    placed = placed.select(F.col("item_key").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "c")
-    placed = materialize(placed, f"{base}/placed")
+    placed = _placed(docs, percent, id_col, text_col, base).drop("text_key")
     smallest = placed.filter("n_shingles > 0").groupBy("c").agg(
         F.min("doc_id").alias("smallest"), F.count(F.lit(1)).alias("rows")
     )
@@ -246,20 +241,38 @@ def ngram_components(
     return result.select("doc_id", "n_shingles", F.coalesce(own, "doc_id").alias("component_id"))
 
 
+def _placed(docs: DataFrame, percent: int, id_col: str, text_col: str, base: str) -> DataFrame:
+    """doc_id, text_key, n_shingles and c, which names the component, for every row of `docs`."""
+    rows = keyed(docs, id_col, text_col)
+    sizes, sketch = measured(rows, shingles, f"{base}/sizes", N_LONGS)
+    roots = similar_sets(rows, sizes, sketch, base, percent).withColumnsRenamed({"node": "set", "root": "c"})
+    placed = sizes.join(within_bound(roots), "set", "left").withColumn("c", F.coalesce("c", "set"))
+    placed = placed.select(F.col("item_key").alias("doc_id"), "text_key", F.col("n").cast("long").alias("n_shingles"), "c")
+    return materialize(placed, f"{base}/placed")
+
+
 def without_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each group of linked ones, that with the smallest id, as it came.
 
-    Documents without shingles are no copies and all stay, as do rows without an id. Of repeated rows of an id that
-    stays, one is kept.
+    Rows of an id with different texts are different documents, ordered by the texts' hash, and rows without an id come
+    last, as in line dedup. Documents without shingles are no copies and all stay. Of rows that repeat the id and text
+    of the one that stays, one is kept.
     """
     base = scratch_dir(docs.sparkSession)
-    found = materialize(ngram_components(docs, percent), f"{base}/components")
-    copies = materialize(found.filter("doc_id <> component_id").select("doc_id").distinct(), f"{base}/copies")
-    kept = found.filter("doc_id = component_id AND n_shingles > 0").groupBy("doc_id").count()
-    again = materialize(kept.filter("count > 1").select("doc_id"), f"{base}/again")
+    placed = _placed(docs, percent, "doc_id", "text", base).filter("n_shingles > 0")
+    position = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    # Most components are one document; only the others have to be looked up.
+    firsts = placed.groupBy("c").agg(F.min(position).alias("first"), F.count(F.lit(1)).alias("rows"))
+    firsts = materialize(firsts.filter("rows > 1").drop("rows"), f"{base}/firsts")
+    linked = placed.join(within_bound(firsts), "c").withColumn("later", position > F.col("first"))
+    linked = linked.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "later").count()
+    linked = materialize(linked.filter("later OR count > 1"), f"{base}/copies")
+    copies, again = linked.filter("later").drop("later", "count"), linked.filter("NOT later").drop("later", "count")
     own = [F.col(f"`{c}`") for c in docs.columns]
-    stay = docs.join(within_bound(copies), "doc_id", "left_anti").select(*own)
+    rows = docs.withColumn("__own_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    on = (F.col("__own_key") == F.col("__key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+    stay = rows.join(within_bound(copies), on, "left_anti")
     if again.isEmpty():
-        return stay
-    once = stay.join(within_bound(again), "doc_id", "left_semi").select(*own).dropDuplicates(["doc_id"])
-    return stay.join(within_bound(again), "doc_id", "left_anti").select(*own).unionByName(once)
+        return stay.select(*own)
+    once = stay.join(within_bound(again), on, "left_semi").dropDuplicates(["doc_id", "__own_key"]).select(*own)
+    return stay.join(within_bound(again), on, "left_anti").select(*own).unionByName(once)
