@@ -278,6 +278,24 @@ def test_line_dedup_with_rows_without_ids(spark, monkeypatch, short):
     )
 
 
+def test_long_arrays_of_removed_lines_are_not_broadcast(spark, monkeypatch):
+    """One row, but many numbers; and repeated rows do not make the arrays longer."""
+    text = "\n".join(["x y z"] * 300)
+    docs = documents(spark, [(1, text, "en", "s")] * 5)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for rows, expected in ((301, True), (200, False)):
+            monkeypatch.setattr(setjoin, "BROADCAST_ROWS", rows)
+            out = without_repeated_lines(docs)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert ("BroadcastHashJoin" in plan) == expected
+            assert [r["text"] for r in out.collect()] == ["x y z"] * 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "collect_list" not in repeated_lines(docs)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_line_edge_cases(spark):
     rows = [
         (2, "x y z\nfresh line", "en", "s"),

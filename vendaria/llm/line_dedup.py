@@ -291,15 +291,15 @@ def repeated_lines(
     marked = sizes.join(within_bound(often), "set", "left").join(within_bound(gone), "set", "left")
     removed = (F.col("n") > 0) & (F.coalesce(position() > F.col("first"), F.lit(False)) | F.col("gone").isNotNull())
     per_doc = marked.groupBy(F.col("item_key").alias("doc_id"), "text_key").agg(
-        F.collect_list(F.when(F.col("n") > 0, F.col("number"))).alias("lines"),
-        F.collect_list(F.when(removed, F.col("number"))).alias("removed"),
+        # Sets: each line once, also where a document's row is repeated.
+        F.collect_set(F.when(F.col("n") > 0, F.col("number"))).alias("lines"),
+        F.collect_set(F.when(removed, F.col("number"))).alias("removed"),
     )
-    # Each line once, also where a document's row is repeated.
     return per_doc.select(
         "doc_id",
         "text_key",
-        F.size(F.array_distinct("lines")).cast("long").alias("n_lines"),
-        F.sort_array(F.array_distinct("removed")).alias("removed"),
+        F.size("lines").cast("long").alias("n_lines"),
+        F.sort_array("removed").alias("removed"),
     )
 
 
@@ -320,7 +320,7 @@ def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     rows = docs.withColumn("__own_key", key)
     on = (F.col("__own_key") == F.col("__key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-    rows = rows.join(within_bound(found), on, "left")
+    rows = rows.join(within_bound(found, F.size("__removed")), on, "left")
     changed = F.col("__removed").isNotNull()
     text = F.when(changed, without(F.when(changed, F.col("text")), F.col("__removed"))).otherwise(F.col("text"))
     rows = rows.withColumn("text", text)

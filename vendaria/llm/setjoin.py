@@ -307,9 +307,13 @@ def shared_entries(found: DataFrame, percent: int, path: str) -> DataFrame:
 BROADCAST_ROWS = 250_000
 
 
-def within_bound(table: DataFrame) -> DataFrame:
-    """`table`, a written one, marked for a broadcast if it has few enough rows."""
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+def within_bound(table: DataFrame, length: Column | None = None) -> DataFrame:
+    """`table`, a written one, marked for a broadcast if it has few enough rows.
+
+    `length` is the length of an array in each row: its numbers count as rows too.
+    """
+    size = F.count(F.lit(1)) if length is None else F.coalesce(F.sum(length + 1), F.lit(0))
+    return F.broadcast(table) if table.agg(size).first()[0] <= BROADCAST_ROWS else table
 
 
 def texts_of(docs: DataFrame, sizes: DataFrame, wanted: DataFrame, path: str, part=None) -> DataFrame:
