@@ -164,6 +164,48 @@ def test_another_load_finishes_the_interrupted_one_and_does_its_own(spark, table
     assert nothing_staged(spark, table)
 
 
+@pytest.mark.parametrize("second", ["days", "all"])
+def test_a_load_of_other_days_is_not_taken_for_the_interrupted_one(spark, table, monkeypatch, second):
+    """Same day, time and mode: only the days differ."""
+    load_gmv(spark, source(spark, NEW[:1]), table, D("2023-03-01"), TS)
+    of = {d: spark.createDataFrame([(D(d),)], "transaction_date date") for d in ("2023-02-01", "2023-02-02")}
+    one, two = ("2023-02-01", "a", 1.0), ("2023-02-02", "b", 2.0)
+    with monkeypatch.context() as patch:
+        patch.setattr(plans, "_replace_days", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load_gmv(spark, source(spark, [one]), table, D("2023-03-02"), TS, days=of["2023-02-01"])
+    days = of["2023-02-02"] if second == "days" else None
+    load_gmv(spark, source(spark, [two]), table, D("2023-03-02"), TS, close_missing=False, days=days)
+    found = {r[:3] for r in plain(read_table(spark, table)) if r[-1]}
+    assert {one, two} <= found
+    assert nothing_staged(spark, table)
+
+
+@pytest.mark.parametrize("mode", ["single_pass", "reference"])
+@pytest.mark.parametrize("again", [True, False])
+def test_a_finished_load_whose_files_were_left_is_not_applied_again(spark, table, monkeypatch, mode, again):
+    load_gmv(spark, source(spark, [("2023-01-20", "nacional", 50.0)]), table, D("2023-03-01"), TS, mode)
+    expected = scd2_merge(read_table(spark, table), source(spark, NEW), D("2023-03-02"), TS, mode)
+    other = plain(scd2_merge(expected, source(spark, NEW[1:]), D("2023-03-03"), TS, mode))
+    expected, discard = plain(expected), plans.discard
+
+    def dies(session, path):
+        if path.endswith("_SUCCESS"):
+            raise RuntimeError("driver lost")
+        discard(session, path)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(plans, "discard", dies)
+        with pytest.raises(RuntimeError):
+            load_gmv(spark, source(spark, NEW), table, D("2023-03-02"), TS, mode)
+    if again:
+        load_gmv(spark, source(spark, NEW), table, D("2023-03-02"), TS, mode)
+    else:
+        load_gmv(spark, source(spark, NEW[1:]), table, D("2023-03-03"), TS, mode)
+    assert plain(read_table(spark, table)) == (expected if again else other)
+    assert nothing_staged(spark, table)
+
+
 def test_staged_rows_of_an_older_table_are_dropped(spark, table, monkeypatch):
     """Load A is interrupted, its files are put back after B has changed the table: C must not bring A's rows in."""
     load_gmv(spark, source(spark, [("2023-01-20", "a", 1.0)]), table, D("2023-03-01"), TS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -42,17 +43,17 @@ def load_gmv(
     were computed from, before the table is touched, as partitions are replaced one by one. The next load looks
     there first. Rows of a load that was interrupted are brought in, unless the table has changed since: then they
     are of no use and go. After that the load does its own work, in both modes; only where it is the very load
-    that was interrupted, by its id, it has been done. Without a `load_id` a load is known by its day, time and
-    mode.
+    that was interrupted, by its id, it has been done. Without a `load_id` a load is known by its day, time, mode,
+    `close_missing` and `days`.
     """
-    load_id = load_id or f"{as_of} {load_ts.isoformat()} {mode}"
+    load_id = load_id or _load_id(as_of, load_ts, mode, close_missing, days)
     if not table_exists(spark, table):
         if checks is not None:
             daily = _checked(daily, checks, scratch_dir(spark))
         ensure_gmv_table(spark, table, location)
         rows = stamp(daily, as_of, load_ts).select(*spark.table(table).columns)
         rows.hint("rebalance", F.col(PARTITION)).write.insertInto(table)
-        _set_version(spark, table, 1)
+        _set_version(spark, table, 1, load_id)
         return
     if finish_interrupted(spark, table) == load_id:
         return
@@ -89,7 +90,8 @@ def stage_gmv(
     closed = closed_of(history).select(*kept.columns)
     on_touched = _is_one_of(touched)
     materialize(closed.filter(on_touched).unionByName(kept.filter(on_touched)), f"{staging}/rewritten")
-    manifest = [(load_id or f"{as_of} {load_ts.isoformat()} {mode}", _version(spark, table), touched)]
+    load_id = load_id or _load_id(as_of, load_ts, mode, close_missing, days)
+    manifest = [(load_id, _version(spark, table)[0], touched)]
     manifest = spark.createDataFrame(manifest, MANIFEST).coalesce(1)
     materialize(manifest, f"{staging}/manifest")  # last: what is staged is complete
 
@@ -97,22 +99,24 @@ def stage_gmv(
 def finish_interrupted(spark: SparkSession, table: str) -> str | None:
     """The second half of a load: bring staged rows into the table. The id of that load, None if there was none.
 
-    Rows computed from another version of the table are dropped. Replacing the days once more, after an
-    interruption between two of them, does no harm.
+    Rows computed from another version of the table are dropped; if the table's last load is that very one, it had
+    come to its end and only its files were left. Replacing the days once more, after an interruption between two of
+    them, does no harm.
     """
     staging = _staging(spark, table)
     if not is_complete(spark, f"{staging}/manifest"):
         return None
     load_id, version, touched = read_parquet(spark, f"{staging}/manifest", MANIFEST).first()
-    done = None
-    if version == _version(spark, table):
+    now, last = _version(spark, table)
+    done = load_id if (now, last) == (version + 1, _digest(load_id)) else None
+    if version == now:
         _replace_days(spark, f"{staging}/rewritten", table)
         rewritten = read_parquet(spark, f"{staging}/rewritten", schemas.GMV_HISTORY)
         # A day without any version left writes no partition, so the old one has to go by itself.
         for emptied in set(touched) - set(_days(rewritten)):
             value = "NULL" if emptied is None else f"DATE'{emptied}'"
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION} = {value})")
-        _set_version(spark, table, version + 1)
+        _set_version(spark, table, version + 1, load_id)
         done = load_id
     discard(spark, f"{staging}/manifest/_SUCCESS")  # before the files, which may not go all at once
     discard(spark, staging)
@@ -127,17 +131,28 @@ MANIFEST = StructType(
     ]
 )
 
-# Counts the loads of a table, in its properties.
+# Counts the loads of a table, in its properties, and names the last one by a digest, which needs no quotes.
 VERSION = "vendaria.loads"
+LAST = "vendaria.last"
 
 
-def _version(spark: SparkSession, table: str) -> int:
+def _load_id(as_of, load_ts: datetime, mode: str, close_missing: bool, days: DataFrame | None) -> str:
+    covered = "all" if days is None else _digest(" ".join(sorted(str(d) for d in _days(days))))
+    return f"{as_of} {load_ts.isoformat()} {mode} {close_missing} {covered}"
+
+
+def _digest(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _version(spark: SparkSession, table: str) -> tuple[int, str | None]:
+    """The number of loads and the digest of the last one's id."""
     found = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    return int(found.get(VERSION, 0))
+    return int(found.get(VERSION, 0)), found.get(LAST)
 
 
-def _set_version(spark: SparkSession, table: str, version: int) -> None:
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{VERSION}' = '{version}')")
+def _set_version(spark: SparkSession, table: str, version: int, load_id: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{VERSION}' = '{version}', '{LAST}' = '{_digest(load_id)}')")
 
 
 def _staging(spark: SparkSession, table: str) -> str:
