@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from vendaria.llm import cotraining, pii, quality_rules, toxicity
 from vendaria.llm.bpe import encode, load_tokenizer
+from vendaria.llm.decontamination import WINDOW, find_passages
+from vendaria.llm.decontamination import WORD as BENCHMARK_WORD
 from vendaria.llm.labels import held_out
 from vendaria.llm.line_dedup import repeated_lines
 from vendaria.llm.mixing import mix
@@ -123,6 +125,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document passages of the benchmark cover, and the items they are of."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_passages(docs, _table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("passages.spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "passages.n_words",
+        n_hit.alias("n_hit"),
+        F.size("passages.items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "passages.items"), 256).alias("items_sha256"),
+        (F.size("passages.spans") > 0).alias("contaminated"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus that the stages make of the documents."""
     import corpus_pipeline  # it imports this package, so it is not loaded with it
@@ -142,6 +159,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_pii": op9_pii,
         "op10_toxicity": op10_toxicity,
+        "op13_decontamination": op13_decontamination,
         "pipeline": pipeline,
     }
 
@@ -221,8 +239,36 @@ _MIX_SQL = f"""
 """
 
 
+# Windows and the documents' runs of as many words are joined; the last word of each is found by its place.
+_DECONTAMINATION_SQL = f"""
+    WITH docs AS (SELECT row_number() OVER () AS d, doc_id, {{words}} AS w FROM documents),
+    items AS (SELECT item_id::VARCHAR AS item, {{words}} AS w FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+        FROM (SELECT item, w, least(len(w), {WINDOW}) AS n, unnest(range(1, greatest(len(w) - {WINDOW}, 0) + 2)) AS i
+              FROM items WHERE len(w) > 0)
+    ),
+    runs AS (
+        SELECT d, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+        FROM (SELECT d, w, n, unnest(range(1, len(w) - n + 2)) AS i
+              FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+    ),
+    found AS (SELECT d, i, runs.n, item FROM runs JOIN windows USING (phrase)),
+    hit AS (SELECT d, count(DISTINCT j) AS n_hit FROM (SELECT d, unnest(range(i, i + n)) AS j FROM found) GROUP BY d),
+    named AS (SELECT d, list_sort(list(DISTINCT item) FILTER (item IS NOT NULL)) AS names FROM found GROUP BY d)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+           coalesce(len(names), 0)::BIGINT AS n_items,
+           sha256(coalesce(array_to_string(names, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM docs LEFT JOIN hit USING (d) LEFT JOIN named USING (d)
+""".format(
+    words="regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    f"'{BENCHMARK_WORD}')"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op13_decontamination": _DECONTAMINATION_SQL,
         "op2_mixing": _MIX_SQL,
         "op7_topk": """
             WITH vectors AS (
