@@ -1,0 +1,166 @@
+import hashlib
+import zlib
+
+import numpy as np
+import pytest
+from edge_cases import documents, prose
+from hypothesis import example, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from vendaria.llm import periodic, registry, repair
+from vendaria.llm.periodic import collapse_runs, find_runs, runs_of
+from vendaria.llm.words import words_of
+
+
+def plain(words):
+    """(start, length, period) of all runs: for each period the stretches of equal words, shortest periods first."""
+    found, squares = [], []
+    n = len(words)
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            length = j + q - i
+            # Not the smallest period if a shorter one holds all of it.
+            if length >= 2 * q and not any(a <= i and b >= i + length and q % p == 0 for a, b, p in squares):
+                squares.append((i, i + length, q))
+                if length >= max(6, 4 * q):
+                    found.append((i, length, q))
+            i = j
+    return sorted(found)
+
+
+def fast(texts):
+    words = [w for t in texts for w in t]
+    text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    names = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    found = runs_of(np.array([names[w] for w in words], np.int64), text, max(1, len(names)))
+    begins = np.cumsum([0, *[len(t) for t in texts]])
+    out = [[] for _ in texts]
+    for s, e, q in zip(found.start.tolist(), found.end.tolist(), found.period.tolist(), strict=True):
+        out[text[s]].append((s - int(begins[text[s]]), e - s, q))
+    return out
+
+
+@st.composite
+def repetitive(draw):
+    """Pieces that are repeated, some within others, with words in between."""
+    words = draw(st.lists(st.integers(0, 2), max_size=12))
+    for _ in range(draw(st.integers(0, 4))):
+        piece = draw(st.lists(st.integers(0, 3), min_size=1, max_size=20))
+        words = (words if draw(st.booleans()) else words * draw(st.integers(1, 5))) + piece * draw(st.integers(1, 8))
+    return words[:1500]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(repetitive(), min_size=1, max_size=4))
+@example([[0] * 5, [0] * 6, [1, 0] * 4, [1, 0] * 3 + [1], []])
+def test_same_runs_as_plain_comparison(texts):
+    assert fast(texts) == [plain(t) for t in texts]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(repetitive(), min_size=1, max_size=3), st.integers(2, 5), st.integers(1, 50))
+def test_same_runs_for_any_constants(texts, gram, at_once):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(repair, "GRAM", gram)
+        patch.setattr(repair, "AT_ONCE", at_once)
+        assert fast(texts) == [plain(t) for t in texts]
+
+
+def test_hashes_that_agree_do_not_matter(monkeypatch):
+    monkeypatch.setattr(repair._Search, "_hash", lambda self, a, b: np.zeros(len(a), np.uint64))
+    texts = [[1, 2, 3] * 7 + [4, 4, 5], [7] * 40, [1, 2, 1, 3] * 5, list(range(50))]
+    assert fast(texts) == [plain(t) for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(repetitive(), min_size=1, max_size=3))
+def test_grammar_derives_the_words(texts):
+    words = np.array([w for t in texts for w in t], np.int64)
+    stretch = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    if not len(words):
+        return
+    g = repair.repair(words, stretch, 4)
+    for rule in np.unique(g.rule):
+        size = int(g.length[g.n_symbols + rule])
+        expansions = {tuple(words[p : p + size]) for p in g.place[g.rule == rule]}
+        assert len(expansions) == 1 and np.sum(g.rule == rule) > 1
+    ends = np.append(g.top[1:], len(words))
+    assert (ends > g.top).all() and g.top[0] == 0
+    assert (np.diff(stretch) == 0)[np.setdiff1d(np.arange(len(words) - 1), ends - 1)].all()
+
+
+def test_long_documents():
+    rng = np.random.default_rng(3)
+    block = rng.integers(0, 500, 700).tolist()
+    texts = [block * 9 + [3], [5] * 20_000, ([1, 2] * 40 + [9]) * 60, rng.integers(0, 2, 3000).tolist()]
+    expected = [plain(t) for t in texts[2:]]
+    got = fast(texts)
+    assert got[0][0][1:] == (6300, 700) and got[1] == [(0, 20_000, 1)]
+    assert got[2:] == expected
+
+
+def planted(doc_id, text):
+    words = words_of(text)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 == 0 and words:
+        g, n = h // 10, len(words)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    return words
+
+
+def expected_row(doc_id, text):
+    words = planted(doc_id, text)
+    found = plain(words)
+    dropped = {i for s, n, q in found for i in range(s + q, s + n)}
+    kept = b" ".join(w for i, w in enumerate(words) if i not in dropped)
+    lines = "".join(f"{s},{n},{q}\n" for s, n, q in found)
+    best = min(found, key=lambda r: (-r[1], r[0], r[2])) if found else None
+    first = (best[0], best[1], best[2], 1000 * best[1] // best[2]) if best else (None,) * 4
+    return doc_id, len(found), *first, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept).hexdigest()
+
+
+def test_query_same_as_plain_comparison(spark, tmp_path):
+    docs = [(k, prose(10 + 17 * (k % 40), k)) for k in range(300)]
+    docs += [(1000, None), (1001, ""), (1002, " \t "), (None, "a b " * 9), (1003, "x " * 6 + "y"), (1003, "x " * 5)]
+    docs += [(1004, f"start {'one two three. ' * 12}\nend {'q ' * 40}é é"), (None, "é " * 7)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = registry.op11_periodic_runs(spark, str(tmp_path))
+    names = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    assert rows.columns == names
+    got = sorted(map(tuple, rows.collect()), key=str)
+    assert got == sorted((expected_row(*d) for d in docs), key=str)
+    assert sum(row[1] > 0 for row in got) > 10
+
+
+def test_edge_cases(spark):
+    docs = documents(spark).withColumn("periodic", F.lit("own")).withColumn("row", F.lit("own"))
+    found = find_runs(docs)
+    assert found.columns == docs.columns
+    rows = {r.doc_id: r.periodic for r in found.collect()}
+    assert rows[3] == rows[4] == rows[5] == (0, [], "")
+    assert rows[8] == (1, [], "x" * 200_000)
+    assert find_runs(docs.limit(0)).count() == 0
+    assert collapse_runs(docs.limit(0)).columns == docs.columns
+
+
+def test_collapsed_texts(spark):
+    rows = [(1, "a  b\n" * 9 + "c"), (2, "no  run\there"), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(1))
+    assert [tuple(r)[1] for r in collapse_runs(docs).orderBy("doc_id").collect()] == ["a b c", rows[1][1], None, ""]
+    assert collapse_runs(docs).columns == docs.columns
+
+
+def test_counters_may_be_shared(monkeypatch):
+    monkeypatch.setattr(periodic, "SPREAD", 0)  # one counter: every place is looked at
+    texts = [list("abcabcabcabcx"), list("qwertyuiop")]
+    assert fast(texts) == [plain(t) for t in texts]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,10 @@ from vendaria.llm.labels import held_out
 from vendaria.llm.line_dedup import repeated_lines
 from vendaria.llm.mixing import mix
 from vendaria.llm.ngram_join import ngram_components
+from vendaria.llm.periodic import find_runs
 from vendaria.llm.topk import top_k
 from vendaria.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls
-from vendaria.llm.words import n_words
+from vendaria.llm.words import n_words, words_of
 from vendaria.sources.scratch import materialize, scratch_dir
 
 URL_RULES = (
@@ -125,6 +127,47 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, by the checksum h of the id, go on in periods from some word on."""
+
+    @F.pandas_udf("string")
+    def periodic_text(texts: pd.Series, g: pd.Series) -> pd.Series:
+        out = []
+        for text, number in zip(texts, g, strict=True):
+            words = words_of(text)
+            if words:
+                n, number = len(words), int(number)
+                a = number % n
+                p = 1 + (n - a) // (3 + number % 8)
+                words = words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+            out.append(b" ".join(words).decode())
+        return pd.Series(out)
+
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    planted = (h % 10 == 0) & F.col("text").isNotNull()
+    # The others are sent as nulls.
+    changed = periodic_text(F.when(planted, F.col("text")), F.when(planted, F.floor(h / 10)).otherwise(0))
+    return docs.withColumn("text", F.when(planted, changed).otherwise(F.col("text")))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's runs, the longest of them, and digests of all runs and of the text without repetitions."""
+    docs = _with_planted_runs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = find_runs(docs).select("doc_id", "periodic.*")
+    first = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-first["col2"]).alias("start"),
+        first["length"].alias("length"),
+        (-first["col3"]).alias("period"),
+        F.floor(1000 * first["length"] / -first["col3"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document passages of the benchmark cover, and the items they are of."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -159,6 +202,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_pii": op9_pii,
         "op10_toxicity": op10_toxicity,
+        "op11_periodic_runs": op11_periodic_runs,
         "op13_decontamination": op13_decontamination,
         "pipeline": pipeline,
     }
