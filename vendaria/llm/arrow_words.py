@@ -33,14 +33,19 @@ def blocks_of(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
         yield int(start), texts[start:end]
 
 
-def replaced(texts: pa.Array, table: np.ndarray) -> pa.Array:
-    """Texts (large strings without nulls) whose bytes are looked up in `table`, which leaves those of 128 on."""
+def bytes_of(texts: pa.Array) -> np.ndarray:
+    """All bytes of texts (large strings without nulls), one text after another."""
     _, offsets, data = texts.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    if data is None or offsets[0] == offsets[-1]:
-        return texts
-    new = table[np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]]
-    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets - offsets[0]), pa.py_buffer(new))
+    if data is None:
+        return np.zeros(0, np.uint8)
+    offsets = np.frombuffer(offsets, np.int64)
+    return np.frombuffer(data, np.uint8)[offsets[texts.offset] : offsets[texts.offset + len(texts)]]
+
+
+def with_bytes(texts: pa.Array, data: np.ndarray) -> pa.Array:
+    """Texts of the same lengths with other bytes."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets - offsets[0]), pa.py_buffer(data))
 
 
 def split(texts: pa.Array) -> Split:

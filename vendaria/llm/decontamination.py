@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vendaria.llm.arrow_words import blocks_of, replaced, split
+from vendaria.llm.arrow_words import blocks_of, bytes_of, split, with_bytes
 from vendaria.llm.fm_index import FmIndex
 from vendaria.sources.scratch import materialize, scratch_dir
 
@@ -32,7 +32,7 @@ WINDOW = 10
 BLOCK_WINDOWS = 1 << 19
 
 _TABLE = np.arange(256, dtype=np.uint8)
-_TABLE[:128] = 32
+_TABLE[:128] = 32  # A blank ends a word; bytes from 128 on are of other characters and stay.
 _TABLE[48:58] = np.arange(48, 58)
 _TABLE[97:123] = np.arange(97, 123)
 _TABLE[65:91] = np.arange(97, 123)
@@ -66,7 +66,7 @@ class Hits(NamedTuple):
 
 def words(texts: pa.Array):
     """The words of texts (large strings without nulls), in lower case."""
-    return split(replaced(texts, _TABLE))
+    return split(with_bytes(texts, _TABLE[bytes_of(texts)]))
 
 
 def phrases_of(rows: pd.DataFrame) -> Phrases:

@@ -20,6 +20,7 @@ from vendaria.llm.ngram_join import ngram_components
 from vendaria.llm.periodic import find_runs
 from vendaria.llm.topk import top_k
 from vendaria.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls
+from vendaria.llm.variants import group_variants, word_counts
 from vendaria.llm.words import n_words, words_of
 from vendaria.sources.scratch import materialize, scratch_dir
 
@@ -168,6 +169,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents, one in 97 with a planted typing error, and the variants among them."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return group_variants(word_counts(docs, typo_every=97))
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document passages of the benchmark cover, and the items they are of."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -203,6 +210,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_pii": op9_pii,
         "op10_toxicity": op10_toxicity,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_spelling_variants": op12_spelling_variants,
         "op13_decontamination": op13_decontamination,
         "pipeline": pipeline,
     }
