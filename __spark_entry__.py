@@ -10,6 +10,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DateType
 
 from vendaria import schemas
 from vendaria.operators.cdc import Feeds, consolidated_purchase, latest_feeds, latest_per_key, valid_purchase
@@ -20,11 +21,13 @@ from vendaria.plans.history import load_gmv, stage_gmv
 from vendaria.plans.layers import read_bronze, write_bronze, write_gold, write_silver
 from vendaria.plans.reprocess import reprocess
 from vendaria.plans.sales import top_producers, top_products_per_producer
+from vendaria.plans.state import Kept, apply_batch, daily_totals
 from vendaria.sources import star
 from vendaria.sources.catalog import publish_view, read_table
 from vendaria.sources.files import read_csv, read_parquet, write_partitioned
 from vendaria.sources.scratch import materialize, scratch_dir
 from vendaria.streaming.feeds import stream_gmv, tagged
+from vendaria.streaming.state import stream_gmv_by_state
 
 try:
     import vendaria.llm.registry as corpus
@@ -43,6 +46,8 @@ FIRST_DAY, SECOND_DAY = date(2024, 1, 28), date(2024, 2, 1)
 LOAD_TS = datetime(2024, 2, 1, 6, 0, 0)
 PERIOD = (date(2024, 1, 10), date(2024, 1, 20))
 PAST_DAY = date(2024, 1, 30)
+# Purchases of the star schema that share a block of the kept state.
+IDS_PER_BLOCK = 500
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -166,23 +171,44 @@ def _recovered(mode: str):
     return load
 
 
-def _streamed(spark: SparkSession, sf_dir: str, table: str, location: str, base: str) -> None:
-    """The feeds arrive as files in two deliveries, each picked up by a run of the stream."""
-    days = (FIRST_DAY, SECOND_DAY)
-    for delivery in (star.feeds(spark, sf_dir, until=FIRST_UNTIL), star.feeds(spark, sf_dir, since=FIRST_UNTIL)):
-        arriving = []
-        for name, feed in delivery._asdict().items():
-            feed.write.mode("append").parquet(f"{base}/landing/{name}")
-            arriving.append(spark.readStream.schema(feed.schema).parquet(f"{base}/landing/{name}"))
-        stream_gmv(
-            Feeds(*arriving),
-            table,
-            f"{base}/records",
-            f"{base}/checkpoint",
-            as_of=lambda batch: days[min(batch, 1)],
-            load_ts=lambda batch: LOAD_TS,
-            location=location,
-        ).awaitTermination()
+def _streamed(start: Callable):
+    """The feeds arrive as files in two deliveries, each picked up by a run of the stream that `start` begins."""
+
+    def load(spark, sf_dir, table, location, base):
+        days = (FIRST_DAY, SECOND_DAY)
+        options = {"as_of": lambda batch: days[min(batch, 1)], "load_ts": lambda batch: LOAD_TS, "location": location}
+        for delivery in (star.feeds(spark, sf_dir, until=FIRST_UNTIL), star.feeds(spark, sf_dir, since=FIRST_UNTIL)):
+            arriving = []
+            for name, feed in delivery._asdict().items():
+                feed.write.mode("append").parquet(f"{base}/landing/{name}")
+                arriving.append(spark.readStream.schema(feed.schema).parquet(f"{base}/landing/{name}"))
+            start(Feeds(*arriving), table, base, f"{base}/checkpoint", **options).awaitTermination()
+
+    return load
+
+
+def _from_store(feeds, table, base, checkpoint, **options):
+    return stream_gmv(feeds, table, f"{base}/records", checkpoint, **options)
+
+
+def _from_kept_state(feeds, table, base, checkpoint, **options):
+    kept = Kept(f"{base}/kept", ids_per_block=IDS_PER_BLOCK)
+    return stream_gmv(feeds, table, f"{base}/records", checkpoint, kept=kept, **options)
+
+
+def _from_stream_state(feeds, table, base, checkpoint, **options):
+    return stream_gmv_by_state(feeds, table, Kept(f"{base}/kept"), checkpoint, **options)
+
+
+def _two_batches(result: Callable[[SparkSession, Kept, tuple[DataFrame, DataFrame]], DataFrame]):
+    """The records up to the first load are one batch, the later ones another."""
+
+    def query(spark, sf_dir):
+        kept = Kept(scratch_dir(spark), ids_per_block=IDS_PER_BLOCK)
+        apply_batch(spark, star.feeds(spark, sf_dir, until=FIRST_UNTIL), kept, 0)
+        return result(spark, kept, apply_batch(spark, star.feeds(spark, sf_dir, since=FIRST_UNTIL), kept, 1))
+
+    return query
 
 
 def _late_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,6 +263,8 @@ def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gmv_layers": _layers(),
         "gmv_layers_approved": _layers("status"),
         "gmv_late_days": _late_days,
+        "gmv_late_days_kept": _two_batches(lambda spark, kept, changed: changed[0]),
+        "gmv_daily_kept": _two_batches(lambda spark, kept, changed: daily_totals(spark, kept, DateType())),
         "gmv_scd2_initial": lambda spark, sf_dir: _first_load(spark, sf_dir).drop("load_timestamp"),
         "gmv_scd2_merge": _history,
         "gmv_scd2_merge_reference": lambda spark, sf_dir: _history(spark, sf_dir, "reference"),
@@ -244,7 +272,9 @@ def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gmv_scd2_load_reference": _stored_history(_two_loads("reference")),
         "gmv_scd2_load_recovered": _stored_history(_recovered("single_pass")),
         "gmv_scd2_load_recovered_reference": _stored_history(_recovered("reference")),
-        "gmv_scd2_stream": _stored_history(_streamed),
+        "gmv_scd2_stream": _stored_history(_streamed(_from_store)),
+        "gmv_scd2_stream_kept": _stored_history(_streamed(_from_kept_state)),
+        "gmv_scd2_stream_state": _stored_history(_streamed(_from_stream_state)),
         "gmv_current": _on_history(gmv_current),
         "gmv_current_full": _on_history(gmv_current_full),
         "gmv_current_reference": _on_history(gmv_current, "reference"),
@@ -385,6 +415,16 @@ def _feeds_sql(prefix: str = "", until: str | None = None, approved: bool = Fals
     return ",".join(ctes)
 
 
+def _counted_sql(prefix: str = "") -> str:
+    """What each purchase adds to a day and subsidiary."""
+    return f"""
+        SELECT v.purchase_id, v.gmv_date, x.subsidiary, i.purchase_value
+        FROM {prefix}valid v
+        LEFT JOIN {prefix}item i ON i.purchase_id = v.purchase_id
+        LEFT JOIN {prefix}extra x ON x.purchase_id = v.purchase_id
+    """
+
+
 def _consolidated_sql(how: str) -> str:
     return f"""
         WITH {_feeds_sql()}
@@ -484,6 +524,13 @@ def _sales_sql() -> dict[str, str]:
         "gmv_layers": feed + "daily",
         "gmv_layers_approved": f"WITH {_feeds_sql(approved=True)} SELECT * FROM daily",
         "gmv_late_days": feed + late_days,
+        "gmv_late_days_kept": f"""
+            WITH {_feeds_sql("first_", FIRST_UNTIL)}, {_feeds_sql()},
+            counted AS ({_counted_sql()}), first_counted AS ({_counted_sql("first_")}),
+            changed AS ((TABLE counted EXCEPT TABLE first_counted) UNION (TABLE first_counted EXCEPT TABLE counted))
+            SELECT * FROM daily WHERE transaction_date IN (SELECT gmv_date FROM changed)
+        """,
+        "gmv_daily_kept": feed + "daily",
         "gmv_scd2_initial": f"WITH {_feeds_sql('first_', FIRST_UNTIL)}, {_INITIAL} SELECT * FROM first_load",
         "gmv_scd2_merge": _on_history_sql(full),
         "gmv_scd2_merge_reference": _on_history_sql(full, "reference"),
@@ -492,6 +539,8 @@ def _sales_sql() -> dict[str, str]:
         "gmv_scd2_load_recovered_reference": _on_history_sql(full, "reference"),
         "gmv_scd2_load_reference": _on_history_sql(full, "reference"),
         "gmv_scd2_stream": _on_history_sql(full),
+        "gmv_scd2_stream_kept": _on_history_sql(full),
+        "gmv_scd2_stream_state": _on_history_sql(full),
         "gmv_current": _on_history_sql(current),
         "gmv_current_full": _on_history_sql(full + " WHERE is_current"),
         "gmv_current_reference": _on_history_sql(current, "reference"),

@@ -41,6 +41,20 @@ def discard(spark: SparkSession, path: str) -> None:
     files.delete(directory, True)
 
 
+def directories(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(name, path) of the partition folders in `path`; none if it does not exist."""
+    files, directory = _file_system(spark, path)
+    if not files.exists(directory):
+        return []
+    found = [s.getPath() for s in files.listStatus(directory) if s.isDirectory()]
+    return sorted((p.getName(), p.toString()) for p in found if "=" in p.getName())
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    files, directory = _file_system(spark, path)
+    return files.exists(directory)
+
+
 def _path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
