@@ -8,22 +8,34 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from vendaria import schemas
 from vendaria.operators.cdc import Feeds, consolidated_purchase, latest_feeds, latest_per_key, valid_purchase
-from vendaria.operators.gmv import gmv_as_of, gmv_current, gmv_current_full, gmv_daily, gmv_period
+from vendaria.operators.gmv import (
+    gmv_as_of,
+    gmv_current,
+    gmv_current_full,
+    gmv_daily,
+    gmv_known,
+    gmv_known_at_correction,
+    gmv_known_totals,
+    gmv_period,
+)
+from vendaria.operators.history_audit import audit_history
 from vendaria.operators.quality import audit, null_audit, quality_gate, refers_to
 from vendaria.operators.scd2 import scd2_merge, stamp
-from vendaria.plans.history import load_gmv, stage_gmv
+from vendaria.plans.history import gmv_as_known, history_at, load_gmv, stage_gmv
 from vendaria.plans.layers import read_bronze, write_bronze, write_gold, write_silver
 from vendaria.plans.reprocess import reprocess
 from vendaria.plans.sales import top_producers, top_products_per_producer
 from vendaria.plans.state import Kept, apply_batch, daily_totals
 from vendaria.sources import star
-from vendaria.sources.catalog import publish_view, read_table
+from vendaria.sources.catalog import ensure_gmv_table, publish_view, read_table
 from vendaria.sources.files import read_csv, read_parquet, write_partitioned
 from vendaria.sources.scratch import materialize, scratch_dir
 from vendaria.streaming.feeds import stream_gmv, tagged
@@ -46,6 +58,10 @@ FIRST_DAY, SECOND_DAY = date(2024, 1, 28), date(2024, 2, 1)
 LOAD_TS = datetime(2024, 2, 1, 6, 0, 0)
 PERIOD = (date(2024, 1, 10), date(2024, 1, 20))
 PAST_DAY = date(2024, 1, 30)
+# Three loads, where two are too few; and days on which values are asked for.
+THREE_LOADS = (("2024-01-16 00:00:00", date(2024, 1, 16)), (FIRST_UNTIL, FIRST_DAY), (None, SECOND_DAY))
+KNOWN = (date(2024, 1, 26), date(2024, 2, 3))
+KNOWN_DAY = date(2024, 1, 27)
 # Purchases of the star schema that share a block of the kept state.
 IDS_PER_BLOCK = 500
 
@@ -171,6 +187,64 @@ def _recovered(mode: str):
     return load
 
 
+def _first_load_recovered(mode: str):
+    """The first load dies when its rows are staged, and is repeated."""
+
+    def load(spark, sf_dir, table, location, base):
+        first = gmv_daily(star.feeds(spark, sf_dir, FIRST_UNTIL))
+        ensure_gmv_table(spark, table, location)
+        stage_gmv(spark, first, table, FIRST_DAY, LOAD_TS, mode)
+        load_gmv(spark, first, table, FIRST_DAY, LOAD_TS, mode, location=location)
+
+    return load
+
+
+def _three_loads(mode: str, result: Callable[[SparkSession, str], DataFrame]):
+    """What `result(spark, table)` reads after three loads, without the times of loading."""
+
+    def query(spark, sf_dir):
+        base = scratch_dir(spark)
+        database = f"vendaria_{uuid.uuid4().hex}"
+        table = f"{database}.fact_gmv_daily_scd2"
+        try:
+            for until, as_of in THREE_LOADS:
+                daily = gmv_daily(star.feeds(spark, sf_dir, until))
+                load_gmv(spark, daily, table, as_of, _load_time(as_of), mode, location=f"{base}/warehouse")
+            return materialize(result(spark, table), f"{base}/result")
+        finally:
+            spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+    return query
+
+
+def _load_time(as_of: date) -> datetime:
+    return datetime(as_of.year, as_of.month, as_of.day, 6)
+
+
+def _after_each_load(read: Callable[[SparkSession, str, int], DataFrame]):
+    def result(spark, table):
+        loads = [
+            read(spark, table, n).drop("load_timestamp").withColumn("load", F.lit(n).cast("long"))
+            for n in range(1, len(THREE_LOADS) + 1)
+        ]
+        return reduce(DataFrame.unionByName, loads)
+
+    return result
+
+
+def _as_known(spark: SparkSession, table: str, number: int) -> DataFrame:
+    """By the time of the load."""
+    return gmv_as_known(spark, table, KNOWN_DAY, _load_time(THREE_LOADS[number - 1][1]))
+
+
+def _audited(mode: str):
+    return _three_loads(mode, lambda spark, table: audit_history(read_table(spark, table)))
+
+
+def _known_at_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gmv_known_at_correction(_history(spark, sf_dir), star.feeds(spark, sf_dir).purchase)
+
+
 def _streamed(start: Callable):
     """The feeds arrive as files in two deliveries, each picked up by a run of the stream that `start` begins."""
 
@@ -282,6 +356,16 @@ def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gmv_period_current": _on_history(lambda history: gmv_period(history, *PERIOD, current_only=True)),
         "gmv_period_reference": _on_history(lambda history: gmv_period(history, *PERIOD), "reference"),
         "gmv_as_of": _on_history(lambda history: gmv_as_of(history, PAST_DAY)),
+        "gmv_known": _on_history(lambda history: gmv_known(history, *KNOWN)),
+        "gmv_known_totals": _on_history(lambda history: gmv_known_totals(history, *KNOWN)),
+        "gmv_known_at_correction": _known_at_correction,
+        "gmv_scd2_first_load_recovered": _stored_history(_first_load_recovered("single_pass")),
+        "gmv_scd2_first_load_recovered_reference": _stored_history(_first_load_recovered("reference")),
+        "gmv_history_loads": _three_loads("single_pass", _after_each_load(history_at)),
+        "gmv_history_loads_reference": _three_loads("reference", _after_each_load(history_at)),
+        "gmv_as_known_loads": _three_loads("single_pass", _after_each_load(_as_known)),
+        "gmv_history_audit_loads": _audited("single_pass"),
+        "gmv_history_audit_loads_reference": _audited("reference"),
     }
 
 
@@ -472,6 +556,75 @@ def _history_sql(mode: str = "single_pass") -> str:
     """
 
 
+_DAYS = f"(SELECT CAST(unnest(range(DATE '{KNOWN[0]}', DATE '{KNOWN[1]}' + 1, INTERVAL 1 DAY)) AS DATE) AS as_of)"
+
+
+def _merge_sql(name: str, before: str, daily: str, as_of: date, mode: str) -> str:
+    """A CTE: the history `before` after a load of `daily`."""
+    sub = "s.subsidiary IS NOT DISTINCT FROM t.subsidiary" if mode == "single_pass" else "s.subsidiary = t.subsidiary"
+    match = f"s.transaction_date = t.transaction_date AND {sub}"
+    if mode == "single_pass":
+        closes = "s.transaction_date IS NULL OR s.gmv_daily IS DISTINCT FROM t.gmv_daily"
+        inserts = "t.transaction_date IS NULL OR s.gmv_daily IS DISTINCT FROM t.gmv_daily"
+    else:
+        closes = "s.transaction_date IS NOT NULL AND s.gmv_daily <> t.gmv_daily"
+        inserts = "t.transaction_date IS NULL"
+    return f"""
+        {name} AS (
+            SELECT * FROM {before} WHERE NOT is_current
+            UNION ALL
+            SELECT t.transaction_date, t.subsidiary, t.gmv_daily, t.valid_from,
+                   CASE WHEN {closes} THEN DATE '{as_of}' - 1 ELSE t.valid_to END AS valid_to,
+                   NOT coalesce({closes}, FALSE) AS is_current
+            FROM (SELECT * FROM {before} WHERE is_current) t LEFT JOIN {daily} s ON {match}
+            UNION ALL
+            SELECT s.transaction_date, s.subsidiary, s.gmv_daily, DATE '{as_of}', DATE '9999-12-31', TRUE
+            FROM {daily} s LEFT JOIN (SELECT * FROM {before} WHERE is_current) t ON {match}
+            WHERE {inserts}
+        )
+    """
+
+
+def _three_loads_sql(mode: str) -> str:
+    """CTEs up to `after1`, `after2` and `after3`."""
+    ctes = ["after0 AS (SELECT NULL::DATE AS transaction_date, NULL AS subsidiary, NULL::DOUBLE AS gmv_daily, "
+            "NULL::DATE AS valid_from, NULL::DATE AS valid_to, NULL::BOOLEAN AS is_current LIMIT 0)"]
+    for n, (until, as_of) in enumerate(THREE_LOADS, 1):
+        ctes += [_feeds_sql(f"l{n}_", until), _merge_sql(f"after{n}", f"after{n - 1}", f"l{n}_daily", as_of, mode)]
+    return ", ".join(ctes)
+
+
+def _after_each_load_sql(mode: str, where: str = "TRUE") -> str:
+    loads = " UNION ALL ".join(f"SELECT *, {n}::BIGINT AS load FROM after{n} WHERE {where}" for n in (1, 2, 3))
+    return f"WITH {_three_loads_sql(mode)} {loads}"
+
+
+def _audit_sql(mode: str) -> str:
+    """Each rule by comparing the versions of a key with each other."""
+    same = (
+        "b.transaction_date IS NOT DISTINCT FROM a.transaction_date AND b.subsidiary IS NOT DISTINCT FROM a.subsidiary"
+    )
+    place = "(b.valid_from, b.valid_to, b.is_current, coalesce(b.gmv_daily, -1e300), b.n)"
+    earlier = f"{same} AND {place} < {place.replace('b.', 'a.')}"
+    until = f"(SELECT max(b.valid_to) FROM h b WHERE {earlier})"
+    rules = {
+        "ends before it begins": "a.valid_to < a.valid_from",
+        "overlaps an earlier version": f"a.valid_from <= {until}",
+        "leaves a gap": f"a.valid_from - 1 > {until}",
+        "repeats the version before": f"EXISTS (SELECT 1 FROM h b WHERE {earlier} AND b.valid_to = a.valid_from - 1 "
+        f"AND b.gmv_daily IS NOT DISTINCT FROM a.gmv_daily)",
+        "more than one is current": f"a.is_current AND EXISTS (SELECT 1 FROM h b WHERE {earlier} AND b.is_current)",
+        "current does not mean open": "a.is_current <> (a.valid_to = DATE '9999-12-31')",
+        "not the last but current": f"a.is_current AND EXISTS (SELECT 1 FROM h b WHERE {same} "
+        f"AND {place} > {place.replace('b.', 'a.')})",
+    }
+    counts = " UNION ALL ".join(f"SELECT '{r}' AS rule, count(*) AS violations FROM h a WHERE {c}" for r, c in rules.items())
+    return (
+        f"WITH {_three_loads_sql(mode)}, h AS (SELECT *, row_number() OVER () AS n FROM after3) "
+        f"SELECT rule, violations, violations = 0 AS passed FROM ({counts})"
+    )
+
+
 def _on_history_sql(select: str, mode: str = "single_pass") -> str:
     return f"WITH {_history_sql(mode)} {select}"
 
@@ -486,6 +639,8 @@ def _sales_sql() -> dict[str, str]:
     feed = f"WITH {_feeds_sql()} SELECT * FROM "
     full = "SELECT * FROM history"
     current = "SELECT transaction_date, subsidiary, gmv_daily FROM history WHERE is_current"
+    valid = "as_of BETWEEN valid_from AND valid_to"
+    initial = f"WITH {_feeds_sql('first_', FIRST_UNTIL)}, {_INITIAL} SELECT * FROM first_load"
     in_period = f"transaction_date BETWEEN DATE '{PERIOD[0]}' AND DATE '{PERIOD[1]}'"
     period = (
         "SELECT transaction_date, subsidiary, round(sum(gmv_daily), 2) AS gmv FROM history "
@@ -531,7 +686,7 @@ def _sales_sql() -> dict[str, str]:
             SELECT * FROM daily WHERE transaction_date IN (SELECT gmv_date FROM changed)
         """,
         "gmv_daily_kept": feed + "daily",
-        "gmv_scd2_initial": f"WITH {_feeds_sql('first_', FIRST_UNTIL)}, {_INITIAL} SELECT * FROM first_load",
+        "gmv_scd2_initial": initial,
         "gmv_scd2_merge": _on_history_sql(full),
         "gmv_scd2_merge_reference": _on_history_sql(full, "reference"),
         "gmv_scd2_load": _on_history_sql(full),
@@ -548,4 +703,23 @@ def _sales_sql() -> dict[str, str]:
         "gmv_period_current": _on_history_sql(period.format(f"{in_period} AND is_current")),
         "gmv_period_reference": _on_history_sql(period.format(in_period), "reference"),
         "gmv_as_of": _on_history_sql(f"{full} WHERE DATE '{PAST_DAY}' BETWEEN valid_from AND valid_to"),
+        "gmv_known": _on_history_sql(f"SELECT as_of, history.* FROM history JOIN {_DAYS} ON {valid}"),
+        "gmv_known_totals": _on_history_sql(
+            f"SELECT as_of, subsidiary, round(sum(gmv_daily), 2) AS gmv FROM history JOIN {_DAYS} ON {valid} GROUP BY ALL"
+        ),
+        "gmv_known_at_correction": _on_history_sql(f"""
+            SELECT purchase_id, as_of AS arrived, transaction_date, subsidiary, gmv_daily
+            FROM (SELECT {_PURCHASE_ID} AS purchase_id, CAST(ts AS DATE) AS as_of,
+                         lag(CASE WHEN event_id % 5 <> 0 THEN CAST(ts AS DATE) END) OVER (
+                             PARTITION BY {_PURCHASE_ID} ORDER BY ts) AS released
+                  FROM events WHERE event_type IN ('purchase', 'signup'))
+            JOIN history ON transaction_date = released AND {valid}
+        """),
+        "gmv_scd2_first_load_recovered": initial,
+        "gmv_scd2_first_load_recovered_reference": initial,
+        "gmv_history_loads": _after_each_load_sql("single_pass"),
+        "gmv_history_loads_reference": _after_each_load_sql("reference"),
+        "gmv_as_known_loads": _after_each_load_sql("single_pass", f"DATE '{KNOWN_DAY}' BETWEEN valid_from AND valid_to"),
+        "gmv_history_audit_loads": _audit_sql("single_pass"),
+        "gmv_history_audit_loads_reference": _audit_sql("reference"),
     }

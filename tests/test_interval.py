@@ -1,0 +1,90 @@
+"""Days joined with the versions that hold them."""
+
+import random
+import re
+from datetime import date, timedelta
+
+import pytest
+
+from fixtures import bag, plan
+from test_scd2 import OPEN, TARGET, history
+from vendaria.operators.gmv import gmv_as_of, gmv_known, gmv_known_totals
+from vendaria.operators.interval import interval_join
+
+D = date.fromisoformat
+FIRST = D("2023-01-01")
+
+
+def random_rows(seed, n, span):
+    rng = random.Random(seed)
+    moment = lambda: rng.choice([None, *[FIRST + timedelta(rng.randrange(-5, span + 5))] * 20])
+    points = [(i, rng.choice("ab") if i % 9 else None, moment()) for i in range(n)]
+    intervals = []
+    for i in range(n):
+        start = moment()
+        end = rng.choice([None, D("9999-12-31"), D("0001-01-01"), *[start and start + timedelta(rng.randrange(-2, 40))] * 9])
+        intervals.append((1000 + i, rng.choice("ab") if i % 7 else None, start, end))
+    return points, intervals
+
+
+@pytest.mark.parametrize("span", [1, 2, 31, 64, 500])
+@pytest.mark.parametrize("keyed", [True, False])
+def test_same_pairs_as_comparing_each_with_each(spark, span, keyed):
+    points, intervals = random_rows(span, 60, span)
+    left = spark.createDataFrame(points, "p long, k string, d date")
+    right = spark.createDataFrame(intervals, "i long, k string, a date, b date")
+    right = right if keyed else right.withColumnRenamed("k", "k2")
+    expected = [
+        (p, i)
+        for p, k, d in points
+        for i, k2, a, b in intervals
+        if (not keyed or k == k2) and None not in (d, a, b) and a <= d <= b
+    ]
+    got = interval_join(left, right, "d", "a", "b", ["k"] if keyed else [])
+    assert bag(got.select("p", "i").collect()) == bag(expected)
+    period = (FIRST + timedelta(3), FIRST + timedelta(span))
+    got = interval_join(left, right, "d", "a", "b", ["k"] if keyed else [], period=period)
+    days = {p: d for p, _, d in points}
+    assert bag(got.select("p", "i").collect()) == bag(e for e in expected if period[0] <= days[e[0]] <= period[1])
+
+
+def test_a_point_meets_an_interval_in_few_nodes(spark):
+    """Equal keys only, no nested loop and nothing to filter afterwards; a version without an end is one row."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(gmv_known(history(spark, TARGET), "2023-01-01", "2023-12-31"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"(SortMergeJoin|ShuffledHashJoin) \[[^]]*_node[^]]*\], \[[^]]*_node[^]]*\], Inner\n", text)
+    right = spark.createDataFrame([(D("2020-01-01"), D(OPEN)), (D("2023-01-02"), D("2023-12-30"))], "a date, b date")
+    left = spark.createDataFrame([(FIRST,), (D("2023-12-31"),)], "d date")
+    assert interval_join(left, right, "d", "a", "b").count() == 2
+
+
+def test_columns_and_empty_tables(spark):
+    left = spark.createDataFrame([(FIRST, 1)], "d date, x int")
+    right = spark.createDataFrame([(FIRST, FIRST, 2)], "a date, b date, x int")
+    with pytest.raises(ValueError, match="x"):
+        interval_join(left, right, "d", "a", "b")
+    right = right.withColumnRenamed("x", "odd.name")
+    found = interval_join(left, right, "d", "a", "b")
+    assert found.columns == ["d", "x", "a", "b", "odd.name"] and found.count() == 1
+    assert interval_join(left.limit(0), right, "d", "a", "b").count() == 0
+    assert interval_join(left, right.limit(0), "d", "a", "b").count() == 0
+
+
+def test_known_on_each_day_is_as_of_that_day(spark):
+    rows = [*TARGET, ("2023-01-05", None, 4.0, "2023-02-01", "2023-02-27", False), ("2023-01-05", None, 5.0, "2023-02-28", OPEN, True)]
+    stored = history(spark, rows)
+    first, n = D("2023-02-20"), 15
+    known = gmv_known(stored, first, first + timedelta(n - 1))
+    assert known.columns == ["as_of", *stored.columns]
+    got = bag(known.collect())
+    expected = [(d, *r) for d in (first + timedelta(k) for k in range(n)) for r in gmv_as_of(stored, d).collect()]
+    assert got == bag(expected) and len(got) > n
+    totals = {}
+    for d, _, sub, value, *_ in expected:
+        totals[d, sub] = totals.get((d, sub), 0) + value
+    got = gmv_known_totals(stored, str(first), str(first + timedelta(n - 1))).collect()
+    assert bag(got) == bag((d, s, v) for (d, s), v in totals.items())

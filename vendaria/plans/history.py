@@ -1,4 +1,4 @@
-"""Load the daily value into the stored history."""
+"""Load the daily value into the stored history, and read it as it was after an earlier load."""
 
 from __future__ import annotations
 
@@ -8,14 +8,25 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DateType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DateType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from vendaria import schemas
+from vendaria.functions import OPEN_END
+from vendaria.operators.gmv import gmv_as_of
 from vendaria.operators.quality import enforce
-from vendaria.operators.scd2 import KEEP, REMOVE, closed_of, current_of, scd2_changes, stamp
+from vendaria.operators.scd2 import CLOSE, INSERT, KEEP, REMOVE, closed_of, current_of, scd2_changes
 from vendaria.sources.catalog import ensure_gmv_table, read_table, table_exists
 from vendaria.sources.files import read_parquet
-from vendaria.sources.scratch import discard, is_complete, materialize, scratch_dir
+from vendaria.sources.scratch import discard, is_complete, is_folder, materialize, scratch_dir
 
 PARTITION = "transaction_date"
 
@@ -33,7 +44,7 @@ def load_gmv(
     load_id: str | None = None,
     checks: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
-    """First load if `table` is missing, else a merge that rewrites only the days it changes.
+    """A merge that rewrites only the days it changes; into an empty table if `table` is missing.
 
     `days` (one column, transaction_date) says that `daily` is complete for those days only, so the rest of
     the table stays as it is. `checks` makes a quality gate (see `quality_gate`) of the rows to be loaded; a rule that
@@ -45,16 +56,14 @@ def load_gmv(
     are of no use and go. After that the load does its own work, in both modes; only where it is the very load
     that was interrupted, by its id, it has been done. Without a `load_id` a load is known by its day, time, mode,
     `close_missing` and `days`.
+
+    What a load does to the rows is logged beside the table too, see `history_at`.
     """
     load_id = load_id or _load_id(as_of, load_ts, mode, close_missing, days)
     if not table_exists(spark, table):
         if checks is not None:
-            daily = _checked(daily, checks, scratch_dir(spark))
+            daily, checks = _checked(daily, checks, scratch_dir(spark)), None
         ensure_gmv_table(spark, table, location)
-        rows = stamp(daily, as_of, load_ts).select(*spark.table(table).columns)
-        rows.hint("rebalance", F.col(PARTITION)).write.insertInto(table)
-        _set_version(spark, table, 1, load_id)
-        return
     if finish_interrupted(spark, table) == load_id:
         return
     stage_gmv(spark, daily, table, as_of, load_ts, mode, close_missing, days, load_id, checks)
@@ -91,7 +100,7 @@ def stage_gmv(
     on_touched = _is_one_of(touched)
     materialize(closed.filter(on_touched).unionByName(kept.filter(on_touched)), f"{staging}/rewritten")
     load_id = load_id or _load_id(as_of, load_ts, mode, close_missing, days)
-    manifest = [(load_id, _version(spark, table)[0], touched)]
+    manifest = [(load_id, _version(spark, table)[0], touched, load_ts)]
     manifest = spark.createDataFrame(manifest, MANIFEST).coalesce(1)
     materialize(manifest, f"{staging}/manifest")  # last: what is staged is complete
 
@@ -106,7 +115,7 @@ def finish_interrupted(spark: SparkSession, table: str) -> str | None:
     staging = _staging(spark, table)
     if not is_complete(spark, f"{staging}/manifest"):
         return None
-    load_id, version, touched = read_parquet(spark, f"{staging}/manifest", MANIFEST).first()
+    load_id, version, touched, load_ts = read_parquet(spark, f"{staging}/manifest", MANIFEST).first()
     now, last = _version(spark, table)
     done = load_id if (now, last) == (version + 1, _digest(load_id)) else None
     if version == now:
@@ -116,6 +125,7 @@ def finish_interrupted(spark: SparkSession, table: str) -> str | None:
         for emptied in set(touched) - set(_days(rewritten)):
             value = "NULL" if emptied is None else f"DATE'{emptied}'"
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION} = {value})")
+        _log(spark, table, f"{staging}/changes", version + 1, load_ts)
         _set_version(spark, table, version + 1, load_id)
         done = load_id
     discard(spark, f"{staging}/manifest/_SUCCESS")  # before the files, which may not go all at once
@@ -128,9 +138,53 @@ MANIFEST = StructType(
         StructField("load_id", StringType()),
         StructField("version", LongType()),
         StructField("touched", ArrayType(DateType())),
+        StructField("load_ts", TimestampType()),
     ]
 )
 
+# What loads did: a row of the history, taken away (-1) or put in (1), by the time and the number of the load.
+LOGGED = StructType(
+    [*schemas.GMV_HISTORY, StructField("sign", IntegerType()), StructField("logged_at", TimestampType()), StructField("load", LongType())]
+)
+
+
+def history_at(spark: SparkSession, table: str, load: int | datetime) -> DataFrame:
+    """The history as it was stored after a load: by its number, from 1, or the last one up to a time of loading.
+
+    A row of the table says since when and until when a value was valid, and the log says which loads it was in the
+    table: rows that were put in and not taken away again up to that load. Rows that are equal are as many as then.
+    """
+    path = _log_path(spark, table)
+    if not is_folder(spark, f"{path}/load=1"):
+        raise ValueError(f"the loads of {table} are not logged from the first one on")
+    up_to = F.col("load") <= load if isinstance(load, int) else F.col("logged_at") <= F.lit(load)
+    log = read_parquet(spark, path, LOGGED).filter(up_to)
+    rows = log.groupBy(*schemas.GMV_HISTORY.names).agg(F.sum("sign").alias("_n")).filter(F.col("_n") > 0)
+    times = F.explode(F.array_repeat(F.lit(True), F.col("_n").cast("int")))
+    return rows.select(*schemas.GMV_HISTORY.names, times.alias("_once")).drop("_once")
+
+
+def gmv_as_known(spark: SparkSession, table: str, when: date | str, load: int | datetime) -> DataFrame:
+    """The versions that were valid on a past day, as far as an earlier load knew."""
+    return gmv_as_of(history_at(spark, table, load), when)
+
+
+def _log(spark: SparkSession, table: str, changes: str, number: int, load_ts: datetime) -> None:
+    """Write what a load did, in a folder of its own, which a repetition replaces."""
+    rows = spark.read.schema(StructType([StructField("action", StringType()), *schemas.GMV_HISTORY])).parquet(changes)
+    columns = schemas.GMV_HISTORY.names
+    put_in = F.col("action").isin(INSERT, CLOSE)
+    gone = {"valid_to": F.lit(OPEN_END), "is_current": F.lit(True)}
+    before = rows.filter(F.col("action").isin(CLOSE, REMOVE)).withColumns(gone).select(*columns, F.lit(-1).alias("sign"))
+    after = rows.filter(put_in).select(*columns, F.lit(1).alias("sign"))
+    logged = before.unionByName(after).withColumn("logged_at", F.lit(load_ts))
+    logged.hint("rebalance").write.mode("overwrite").parquet(f"{_log_path(spark, table)}/load={number}")
+
+
+def _log_path(spark: SparkSession, table: str) -> str:
+    return _location(spark, table) + "-log"
+
+
 # Counts the loads of a table, in its properties, and names the last one by a digest, which needs no quotes.
 VERSION = "vendaria.loads"
 LAST = "vendaria.last"
@@ -157,8 +211,12 @@ def _set_version(spark: SparkSession, table: str, version: int, load_id: str) ->
 
 def _staging(spark: SparkSession, table: str) -> str:
     """Beside the table's own files, so that whoever loads the table next finds it."""
+    return _location(spark, table) + "-load"
+
+
+def _location(spark: SparkSession, table: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Location")
-    return described.first()["data_type"].rstrip("/") + "-load"
+    return described.first()["data_type"].rstrip("/")
 
 
 def _checked(rows: DataFrame, checks: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
