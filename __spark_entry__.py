@@ -12,9 +12,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
 
 from vendaria import schemas
+from vendaria.functions import parse_date, parse_timestamp
 from vendaria.operators.cdc import Feeds, consolidated_purchase, latest_feeds, latest_per_key, valid_purchase
 from vendaria.operators.gmv import (
     gmv_as_of,
@@ -27,16 +27,30 @@ from vendaria.operators.gmv import (
     gmv_period,
 )
 from vendaria.operators.history_audit import audit_history
-from vendaria.operators.quality import audit, null_audit, quality_gate, refers_to
+from vendaria.operators.quality import arrives_within, audit, null_audit, quality_gate, refers_to
 from vendaria.operators.scd2 import scd2_merge, stamp
 from vendaria.plans.history import gmv_as_known, history_at, load_gmv, stage_gmv
-from vendaria.plans.layers import read_bronze, write_bronze, write_gold, write_silver
+from vendaria.plans.layers import (
+    read_bronze,
+    read_gold,
+    read_silver,
+    refresh_layers,
+    write_bronze,
+    write_gold,
+    write_silver,
+)
 from vendaria.plans.reprocess import reprocess
 from vendaria.plans.sales import top_producers, top_products_per_producer
 from vendaria.plans.state import Kept, apply_batch, daily_totals
 from vendaria.sources import star
-from vendaria.sources.catalog import ensure_gmv_table, publish_view, read_table
-from vendaria.sources.files import read_csv, read_parquet, write_partitioned
+from vendaria.sources.catalog import (
+    create_table_from,
+    ensure_database,
+    ensure_gmv_table,
+    publish_view,
+    read_table,
+)
+from vendaria.sources.files import Checked, read_csv, read_csv_checked, read_parquet, write_partitioned
 from vendaria.sources.scratch import materialize, scratch_dir
 from vendaria.streaming.feeds import stream_gmv, tagged
 from vendaria.streaming.state import stream_gmv_by_state
@@ -106,6 +120,67 @@ def _roundtrip(table: str) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
+def _damaged(result: Callable[[Checked], DataFrame]):
+    """The purchases as lines of text, some with cells that do not fit and some with a cell too many."""
+
+    def query(spark, sf_dir):
+        base = scratch_dir(spark)
+        cells = {name: F.coalesce(F.col(name).cast("string"), F.lit("")) for name in schemas.PURCHASE.names}
+        cells["order_date"] = F.when(F.col("purchase_id") % 97 == 0, "soon").otherwise(cells["order_date"])
+        cells["producer_id"] = F.when(F.col("purchase_id") % 89 == 0, F.concat(F.lit("p"), "producer_id")).otherwise(
+            cells["producer_id"]
+        )
+        more = F.when(F.col("purchase_id") % 83 == 0, ",more").otherwise("")
+        lines = _purchase(spark, sf_dir).select(F.concat(F.concat_ws(",", *cells.values()), more).alias("value"))
+        lines.write.text(f"{base}/csv")
+        return result(read_csv_checked(spark, f"{base}/csv", schemas.PURCHASE, f"{base}/parsed", header=False))
+
+    return query
+
+
+def _rejected(checked: Checked) -> DataFrame:
+    """Lines by what is wrong with them, and those with nothing wrong."""
+    lines = F.count(F.lit(1)).alias("lines")
+    bad = checked.rejected.groupBy(F.coalesce("column", F.lit("number of cells")).alias("wrong")).agg(lines)
+    return bad.unionByName(checked.rows.agg(lines).select(F.lit("nothing").alias("wrong"), "lines"))
+
+
+def _table_from_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product items as a table that takes its columns from the data."""
+    base = scratch_dir(spark)
+    database = f"vendaria_{uuid.uuid4().hex}"
+    try:
+        ensure_database(spark, database, f"{base}/warehouse")
+        create_table_from(star.product_item(spark, sf_dir), f"{database}.product_item", "prod_item_partition")
+        return materialize(read_table(spark, f"{database}.product_item"), f"{base}/result")
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+def _times_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feeds' days and times as text, parsed; what is no day or time is NULL."""
+    feed = star.feeds(spark, sf_dir).purchase
+    every_other = F.col("buyer_id") % 2 == 0
+    text = F.when(every_other, F.col("transaction_datetime").cast("string")).otherwise("yesterday")
+    day = F.when(every_other, F.col("transaction_date").cast("string")).otherwise("2024-13-01")
+    return feed.select(
+        "purchase_id",
+        F.unix_micros(parse_timestamp(text, strict=False)).alias("micros"),
+        parse_date(day, strict=False).alias("day"),
+    )
+
+
+def _feeds_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feeds = star.feeds(spark, sf_dir)
+    return quality_gate(
+        *[
+            arrives_within(feeds.purchase, getattr(feeds, name), name, days, datetime.fromisoformat(FIRST_UNTIL))
+            for name in ("product_item", "extra_info")
+            for days in (1, 7)
+        ]
+    )
+
+
 def _quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     purchase, item = _purchase(spark, sf_dir), star.product_item(spark, sf_dir)
     item_key = ["prod_item_id", "prod_item_partition"]
@@ -305,6 +380,21 @@ def _layers(status_col: str | None = None):
     return query
 
 
+def _refreshed(result: Callable[[SparkSession, str, dict], DataFrame]):
+    """The layers after the records up to the first load, and then the later ones, have been taken in."""
+
+    def query(spark, sf_dir):
+        base = scratch_dir(spark)
+        kept = Kept(f"{base}/state", ids_per_block=IDS_PER_BLOCK)
+        deliveries = (star.feeds(spark, sf_dir, until=FIRST_UNTIL), star.feeds(spark, sf_dir, since=FIRST_UNTIL))
+        gate = lambda daily: quality_gate(audit(daily, ["transaction_date"], ["transaction_date", "subsidiary"]))
+        for number, delivery in enumerate(deliveries):
+            refresh_layers(spark, delivery, base, kept, number, checks=gate)
+        return result(spark, base, {name: df.schema for name, df in deliveries[0]._asdict().items()})
+
+    return query
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return _sales_queries() | (corpus.queries() if corpus else {})
 
@@ -313,6 +403,11 @@ def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ingest_roundtrip": _roundtrip("product_item"),
         "ingest_roundtrip_purchase": _roundtrip("purchase"),
+        "ingest_checked": _damaged(lambda checked: checked.rows),
+        "ingest_checked_rejected": _damaged(_rejected),
+        "ingest_table": _table_from_data,
+        "times_from_text": _times_from_text,
+        "quality_gate_feeds": _feeds_gate,
         "null_audit": lambda spark, sf_dir: null_audit(_purchase(spark, sf_dir)),
         "quality_gate": _quality_gate,
         "top_producers": _revenue(top_producers, IN_YEAR, year=YEAR),
@@ -336,9 +431,15 @@ def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "gmv_layers": _layers(),
         "gmv_layers_approved": _layers("status"),
+        "gmv_layers_refreshed": _refreshed(lambda spark, base, types: read_gold(spark, base)),
+        "gmv_layers_refreshed_purchase": _refreshed(lambda spark, base, types: read_silver(spark, base, types).purchase),
+        "gmv_layers_refreshed_item": _refreshed(lambda spark, base, types: read_silver(spark, base, types).product_item),
+        "gmv_layers_refreshed_bronze": _refreshed(
+            lambda spark, base, types: read_bronze(spark, base, types).extra_info
+        ),
         "gmv_late_days": _late_days,
         "gmv_late_days_kept": _two_batches(lambda spark, kept, changed: changed[0]),
-        "gmv_daily_kept": _two_batches(lambda spark, kept, changed: daily_totals(spark, kept, DateType())),
+        "gmv_daily_kept": _two_batches(lambda spark, kept, changed: daily_totals(spark, kept)),
         "gmv_scd2_initial": lambda spark, sf_dir: _first_load(spark, sf_dir).drop("load_timestamp"),
         "gmv_scd2_merge": _history,
         "gmv_scd2_merge_reference": lambda spark, sf_dir: _history(spark, sf_dir, "reference"),
@@ -499,6 +600,22 @@ def _feeds_sql(prefix: str = "", until: str | None = None, approved: bool = Fals
     return ",".join(ctes)
 
 
+def _feeds_gate_sql() -> str:
+    kinds = {"product_item": "'click', 'error'", "extra_info": "'view'"}
+    rules = [
+        f"""
+        SELECT 'arrives_within(purchase_id -> {name}, {days} days)' AS rule, count(*) AS violations
+        FROM (SELECT {_PURCHASE_ID} AS id, min(ts) + INTERVAL {days} DAY AS deadline FROM events
+              WHERE event_type IN ('purchase', 'signup') AND ts < TIMESTAMP '{FIRST_UNTIL}' GROUP BY id) p
+        WHERE deadline < TIMESTAMP '{FIRST_UNTIL}' AND NOT EXISTS (
+            SELECT 1 FROM events WHERE event_type IN ({kind}) AND {_PURCHASE_ID} = p.id AND ts <= deadline)
+        """
+        for name, kind in kinds.items()
+        for days in (1, 7)
+    ]
+    return f"SELECT rule, violations, violations = 0 AS passed FROM ({' UNION ALL '.join(rules)})"
+
+
 def _counted_sql(prefix: str = "") -> str:
     """What each purchase adds to a day and subsidiary."""
     return f"""
@@ -657,6 +774,27 @@ def _sales_sql() -> dict[str, str]:
     return {
         "ingest_roundtrip": f"WITH {_SALES} SELECT * FROM product_item",
         "ingest_roundtrip_purchase": f"WITH {_SALES} SELECT {_PURCHASE_COLUMNS} FROM purchase",
+        "ingest_checked": f"""
+            WITH {_SALES} SELECT {_PURCHASE_COLUMNS} FROM purchase
+            WHERE purchase_id % 97 <> 0 AND purchase_id % 89 <> 0 AND purchase_id % 83 <> 0
+        """,
+        "ingest_checked_rejected": f"""
+            WITH {_SALES}
+            SELECT unnest(['order_date', 'producer_id', 'number of cells', 'nothing']) AS wrong,
+                   unnest([count(*) FILTER (purchase_id % 97 = 0 AND purchase_id % 83 <> 0),
+                           count(*) FILTER (purchase_id % 89 = 0 AND purchase_id % 83 <> 0),
+                           count(*) FILTER (purchase_id % 83 = 0),
+                           count(*) FILTER (purchase_id % 97 <> 0 AND purchase_id % 89 <> 0 AND purchase_id % 83 <> 0)
+                          ]) AS lines
+            FROM purchase
+        """,
+        "ingest_table": f"WITH {_SALES} SELECT * FROM product_item",
+        "times_from_text": f"""
+            SELECT {_PURCHASE_ID} AS purchase_id, CASE WHEN user_id % 2 = 0 THEN epoch_us(ts) END AS micros,
+                   CASE WHEN user_id % 2 = 0 THEN CAST(ts AS DATE) END AS day
+            FROM events WHERE event_type IN ('purchase', 'signup')
+        """,
+        "quality_gate_feeds": _feeds_gate_sql(),
         "null_audit": _null_audit_sql(),
         "quality_gate": _quality_sql(),
         "top_producers": _top_producers_sql(in_year),
@@ -678,6 +816,15 @@ def _sales_sql() -> dict[str, str]:
         "gmv_daily_approved": f"WITH {_feeds_sql(approved=True)} SELECT * FROM daily",
         "gmv_layers": feed + "daily",
         "gmv_layers_approved": f"WITH {_feeds_sql(approved=True)} SELECT * FROM daily",
+        "gmv_layers_refreshed": feed + "daily",
+        "gmv_layers_refreshed_purchase": feed + "valid",
+        "gmv_layers_refreshed_item": feed + "item",
+        "gmv_layers_refreshed_bronze": f"""
+            SELECT ts AS transaction_datetime, CAST(ts AS DATE) AS transaction_date, {_PURCHASE_ID} AS purchase_id,
+                   CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 = 0 THEN 'nacional'
+                   ELSE 'internacional' END AS subsidiary
+            FROM events WHERE event_type = 'view'
+        """,
         "gmv_late_days": feed + late_days,
         "gmv_late_days_kept": f"""
             WITH {_feeds_sql("first_", FIRST_UNTIL)}, {_feeds_sql()},

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -64,6 +65,36 @@ def refers_to(df: DataFrame, columns: Sequence[str], parent: DataFrame, parent_n
     )
 
 
+def arrives_within(
+    df: DataFrame,
+    other: DataFrame,
+    other_name: str,
+    days: int,
+    until: datetime,
+    key: str = "purchase_id",
+    time: str = "transaction_datetime",
+) -> DataFrame:
+    """(rule, violations): keys of `df` for which `other` has nothing up to `days` after their first record.
+
+    Only keys whose time was up at `until` count, and only records before `until` are looked at; what comes too late
+    is a violation like what never comes. Each side is reduced to the first time of every key before they meet, so a
+    key with many records is one row. Records without a key or a time are left out.
+    """
+    firsts = []
+    for side in (df, other):
+        end = F.lit(str(until)).cast(side.schema[time].dataType)
+        seen = side.filter(F.col(key).isNotNull() & (F.col(time) < end))
+        firsts.append(seen.groupBy(key).agg(F.min(time).alias("_first")))
+    mine, theirs = firsts
+    deadline = F.col("_first") + F.make_dt_interval(F.lit(days))
+    end = F.lit(str(until)).cast(df.schema[time].dataType)
+    due = mine.select(key, deadline.alias("_deadline")).filter(F.col("_deadline") < end)
+    late = due.join(theirs, key, "left").filter(F.col("_first").isNull() | (F.col("_first") > F.col("_deadline")))
+    return late.agg(
+        F.lit(f"arrives_within({key} -> {other_name}, {days} days)").alias("rule"), F.count(F.lit(1)).alias("violations")
+    )
+
+
 def quality_gate(*rules: DataFrame) -> DataFrame:
     """(rule, violations, passed), one row per rule."""
     return reduce(DataFrame.unionByName, rules).withColumn("passed", F.col("violations") == 0)

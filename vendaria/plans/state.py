@@ -13,14 +13,15 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, DecimalType, LongType, StringType, StructField, StructType
 
 from vendaria.functions import exact, line_value, money
 from vendaria.operators.cdc import APPROVED, Feeds
-from vendaria.sources.scratch import discard, directories, materialize
+from vendaria.sources.parts import read_all_parts, read_parts, write_parts
+from vendaria.sources.scratch import discard, materialize
 
 DAY = "transaction_date"
-BLOCK, BATCH = "block", "batch"
+BLOCK = "block"
 
 
 class Rules(NamedTuple):
@@ -108,7 +109,7 @@ def state_changes(spark: SparkSession, records: Feeds, kept: Kept, batch_id: int
     new = newest(records, kept.rules).withColumn(BLOCK, kept.block())
     new = materialize(new, f"{staging}/new")
     blocks = [row[0] for row in new.select(BLOCK).distinct().collect()]
-    old = read_parts(spark, kept, "by_id", new.drop(BLOCK).schema, BLOCK, new.schema[BLOCK].dataType, blocks, batch_id)
+    old = read_parts(spark, f"{kept.path}/by_id", new.schema, BLOCK, blocks, batch_id)
     columns = ["purchase_id", *Feeds._fields]
     both = old.alias("old").join(
         new.alias("new"), F.col("old.purchase_id").eqNullSafe(F.col("new.purchase_id")), "full_outer"
@@ -121,7 +122,7 @@ def state_changes(spark: SparkSession, records: Feeds, kept: Kept, batch_id: int
         _either(BLOCK).alias(BLOCK),
     )
     rows = materialize(rows, f"{staging}/rows")
-    write_parts(rows.select("new.*", BLOCK), kept, "by_id", BLOCK, batch_id)
+    write_parts(rows.select("new.*", BLOCK), f"{kept.path}/by_id", BLOCK, batch_id)
     changes = rows.select(
         counted_value("old", kept.rules).alias("before"), counted_value("new", kept.rules).alias("after")
     )
@@ -140,12 +141,12 @@ def apply_changes(spark: SparkSession, changes: DataFrame, kept: Kept, batch_id:
     )
     delta = materialize(delta, f"{kept.path}/staging/{batch_id}/delta")
     days = [row[0] for row in delta.select(DAY).distinct().collect()]
-    old = read_parts(spark, kept, "totals", TOTALS, DAY, delta.schema[DAY].dataType, days, batch_id)
+    old = read_parts(spark, f"{kept.path}/totals", delta.schema, DAY, days, batch_id)
     total = F.sum(F.coalesce("total", F.lit(0))).cast(TOTALS["total"].dataType)
     sums = [total.alias("total"), F.sum("n_rows").alias("n_rows"), F.sum("n_values").alias("n_values")]
     totals = old.unionByName(delta).groupBy(DAY, "subsidiary").agg(*sums)
     totals = materialize(totals, f"{kept.path}/staging/{batch_id}/totals")
-    write_parts(totals, kept, "totals", DAY, batch_id)
+    write_parts(totals, f"{kept.path}/totals", DAY, batch_id)
     return _daily(totals, kept.rules), totals.select(DAY).distinct()
 
 
@@ -154,15 +155,15 @@ def clear_staging(spark: SparkSession, kept: Kept, batch_id: int) -> None:
     discard(spark, f"{kept.path}/staging/{batch_id}")
 
 
-def daily_totals(spark: SparkSession, kept: Kept, day_type: DataType) -> DataFrame:
+def daily_totals(spark: SparkSession, kept: Kept) -> DataFrame:
     """The daily value of all days, as the last batch left it."""
-    days = [name for name, _ in directories(spark, f"{kept.path}/totals")]
-    return _daily(read_parts(spark, kept, "totals", TOTALS, DAY, day_type, days, None), kept.rules)
+    return _daily(read_all_parts(spark, f"{kept.path}/totals", TOTALS, DAY), kept.rules)
 
 
 #: A group that no purchase counts in any more stays with 0 rows, so that its day has a newer part than before.
 TOTALS = StructType(
     [
+        StructField(DAY, DateType()),
         StructField("subsidiary", StringType()),
         StructField("total", DecimalType(38, 8)),
         StructField("n_rows", LongType()),
@@ -178,48 +179,3 @@ def _daily(totals: DataFrame, rules: Rules) -> DataFrame:
 
 def _either(column: str) -> Column:
     return F.coalesce(F.col(f"old.{column}"), F.col(f"new.{column}"))
-
-
-def read_parts(
-    spark: SparkSession,
-    kept: Kept,
-    name: str,
-    schema: StructType,
-    part_col: str,
-    part_type: DataType,
-    parts: list,
-    before: int | None,
-) -> DataFrame:
-    """The newest rows of some parts, of batches below `before` if given. Only these folders are listed and read.
-
-    With `before`, what is older than these rows goes: no batch starts from it any more.
-    """
-    found = []
-    for part in parts:
-        folder = f"{kept.path}/{name}/{part if isinstance(part, str) else f'{part_col}={_folder(part)}'}"
-        batches = sorted(int(b.partition("=")[2]) for b, _ in directories(spark, folder))
-        batches = [b for b in batches if before is None or b < before]
-        found += [f"{folder}/{BATCH}={b}" for b in batches[-1:]]
-        if before is not None:
-            for old in batches[:-1]:
-                discard(spark, f"{folder}/{BATCH}={old}")
-    stored = StructType([*schema.fields, StructField(part_col, part_type), StructField(BATCH, LongType())])
-    if not found:
-        return spark.createDataFrame([], stored).drop(BATCH)
-    return spark.read.schema(stored).option("basePath", f"{kept.path}/{name}").parquet(*found).drop(BATCH)
-
-
-def write_parts(rows: DataFrame, kept: Kept, name: str, part_col: str, batch_id: int) -> None:
-    """Each part whole, beside its older ones."""
-    (
-        rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
-        .hint("rebalance", F.col(part_col))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part_col, BATCH)
-        .parquet(f"{kept.path}/{name}")
-    )
-
-
-def _folder(part) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if part is None else str(part)

@@ -50,6 +50,11 @@ def directories(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     return sorted((p.getName(), p.toString()) for p in found if "=" in p.getName())
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, directory = _file_system(spark, path)
+    files.mkdirs(directory)
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     files, directory = _file_system(spark, path)
     return files.exists(directory)
