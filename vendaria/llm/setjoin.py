@@ -16,6 +16,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,19 +129,24 @@ def bits_may_be_similar(percent: int, n_longs: int, a: str = "_a", b: str = "_b"
     return (100 + percent) * differ <= (100 - percent) * (F.col(f"n{a}") + F.col(f"n{b}"))
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Rows of at most so many characters, or one row, with their texts."""
+def blocks(batches: Iterator[pa.RecordBatch], *text_cols: str) -> Iterator[tuple]:
+    """Rows of at most so many characters, or one row, with their texts by column.
+
+    Only the texts of one block are Python strings at a time.
+    """
     for batch in batches:
-        texts = [t or "" for t in batch.column(text_col).to_pylist()]
-        start = size = 0
-        for i, text in enumerate(texts):
-            if size and (size + len(text) > BLOCK_CHARS or i - start >= BLOCK_SETS):
-                yield batch.slice(start, i - start), texts[start:i]
-                start = i
-                size = 0
-            size += len(text) + 1
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        length = np.ones(batch.num_rows, np.int64)
+        for column in text_cols:
+            length += pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        total = np.cumsum(length)
+        start = 0
+        while start < batch.num_rows:
+            done = total[start - 1] if start else 0
+            end = int(np.searchsorted(total, done + BLOCK_CHARS, side="right"))
+            end = min(max(end, start + 1), start + BLOCK_SETS)
+            rows = batch.slice(start, end - start)
+            yield rows, *[[t or "" for t in rows.column(c).to_pylist()] for c in text_cols]
+            start = end
 
 
 def parts_of(items: Items) -> Iterator[Items]:
@@ -350,28 +356,25 @@ def verified(pairs: DataFrame, texts: DataFrame, tokenize: Tokenizer, percent: i
     `texts` holds the text of each set, with one item in it.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            size = (batch["text_a"].str.len() + batch["text_b"].str.len()).cumsum() // BLOCK_CHARS
-            for _, rows in batch.groupby(size, sort=False):
-                good = [_similar(rows.iloc[i : i + BLOCK_SETS], tokenize, percent) for i in range(0, len(rows), BLOCK_SETS)]
-                yield rows.loc[np.concatenate(good), ["a", "b"]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, text_a, text_b in blocks(batches, "text_a", "text_b"):
+            yield rows.select(["a", "b"]).filter(pa.array(_similar(text_a, text_b, tokenize, percent)))
 
     of_b = texts.select(F.col("set").alias("b"), F.col("text").alias("text_b"))
     of_a = texts.select(F.col("set").alias("a"), F.col("text").alias("text_a"))
-    return pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long")
+    return pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _similar(rows: pd.DataFrame, tokenize: Tokenizer, percent: int) -> np.ndarray:
+def _similar(text_a: list[str], text_b: list[str], tokenize: Tokenizer, percent: int) -> np.ndarray:
     """The sets of both sides by pair; a token that comes twice is in both."""
-    sides = []
-    for column in ("text_a", "text_b"):
-        items = tokenize(rows[column].tolist())
+    n, sides = len(text_a), []
+    for texts in (text_a, text_b):
+        items = tokenize(texts)
         sides.append(sorted_sets(items.owner, items.token))
-    sizes = sum(np.bincount(owner, minlength=len(rows)) for owner, _ in sides)
+    sizes = sum(np.bincount(owner, minlength=n) for owner, _ in sides)
     owner, token = (np.concatenate(x) for x in zip(*sides, strict=True))
     order = np.lexsort((token, owner))
     owner, token = owner[order], token[order]
     twice = (owner[1:] == owner[:-1]) & (token[1:] == token[:-1])
-    both = np.bincount(owner[1:][twice], minlength=len(rows))
+    both = np.bincount(owner[1:][twice], minlength=n)
     return 100 * both >= percent * (sizes - both)

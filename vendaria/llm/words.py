@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from typing import NamedTuple
 
 import numpy as np
@@ -46,7 +47,9 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * _FACTOR)
+#: Bytes that a word is hashed by, and of a longer one a cryptographic digest is taken.
+STEP, LONG = 8, 64
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(STEP + 1)], np.uint64)
 
 
 class Words(NamedTuple):
@@ -60,25 +63,38 @@ class Words(NamedTuple):
 
 
 def hashed_words(texts: list[str], lower: bool = False) -> Words:
-    """All words at a time: a word's hash is a polynomial of its bytes with the powers of an odd factor."""
+    """All words at a time, as `hashes` has them."""
     encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
-    data = np.frombuffer(b"\n".join([*encoded, b""]), np.uint8)
+    data = np.frombuffer(b"\n".join([*encoded, bytes(STEP)]), np.uint8)
     if lower:
         data = _LOWER[data]
-    apart = _IS_SEPARATOR[data]
+    apart = _IS_SEPARATOR[data[:-STEP]]
     change = np.flatnonzero(np.diff(apart, prepend=True))
     starts, lengths = change[::2], np.diff(change)[::2]  # every text ends with a separator
     text_ends = np.cumsum([len(e) + 1 for e in encoded], dtype=np.int64)
     text = np.searchsorted(text_ends, starts, side="right")
-    breaks = np.flatnonzero(data == 10)
+    breaks = np.flatnonzero(data[:-STEP] == 10)
     line = np.searchsorted(breaks, starts)
     first_line = np.searchsorted(breaks, text_ends - 1) + 1
     first_line = np.concatenate([[0], first_line])[: len(texts)]
-    if not len(starts):
-        return Words(np.zeros(0, np.uint64), text, line, first_line)
-    begin = np.cumsum(lengths) - lengths
-    offset = np.arange(int(lengths.sum()), dtype=np.int32) - np.repeat(begin.astype(np.int32), lengths)
-    powers = np.multiply.accumulate(np.full(int(lengths.max()), _FACTOR))
-    values = _BYTES[data[~apart]] * powers[offset]
-    token = mixed(np.add.reduceat(values, begin) + lengths.astype(np.uint64))
-    return Words(token, text, line, first_line)
+    return Words(hashes(data, starts, lengths), text, line, first_line)
+
+
+def hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash of the bytes from each start on. Behind the last ones STEP more bytes follow.
+
+    Eight bytes at a time are added and mixed in. A step is one-to-one in these, so words of up to eight bytes and one
+    length never share a hash; words of more than LONG bytes are hashed by their digest.
+    """
+    eights = np.ndarray(len(data) - STEP + 1, np.uint64, data.data, strides=(1,))
+    value = lengths.astype(np.uint64) * _FACTOR
+    left, done = np.arange(len(starts)), 0
+    while len(left) and done < LONG:
+        rest = lengths[left] - done
+        eight = eights[starts[left] + done] & _MASKS[np.minimum(rest, STEP)]
+        value[left] = mixed(value[left] * _FACTOR + eight)
+        left, done = left[rest > STEP], done + STEP
+    for i in left:
+        word = data[starts[i] : starts[i] + lengths[i]].tobytes()
+        value[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return mixed(value)
