@@ -2,6 +2,11 @@
 
 from pyspark.sql import types as T
 
+# Names that operators use inside, or might.
+_OWN = "own_key id key removed label toxicity mix copy first url_verdict".split()
+ODD_NAMES = ["size", "score", "a", "set", "text_key", "row", "copies", "0 odd.name", "word", "n"]
+ODD_NAMES += [prefix + name for name in _OWN for prefix in ("_", "__")]
+
 DOCS = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -9,8 +14,7 @@ DOCS = T.StructType(
         T.StructField("lang", T.StringType()),
         T.StructField("source", T.StringType()),
         T.StructField("n_chars", T.LongType()),
-        # Names that operators use inside, or might.
-        *[T.StructField(c, T.StringType()) for c in ("size", "score", "a", "set", "text_key", "row", "copies", "0 odd.name")],
+        *[T.StructField(c, T.StringType()) for c in ODD_NAMES],
     ]
 )
 
@@ -39,7 +43,7 @@ def documents(spark, rows=None):
             (10, prose(30, 9), "en", "web"),  # a repeated row
             (11, "é ß 漢字 \U0001f600 a\u00a0b\x1cc", "fr", "été"),
         ]
-    return spark.createDataFrame([(*r, None if r[1] is None else len(r[1]), *["own"] * 8) for r in rows], DOCS)
+    return spark.createDataFrame([(*r, None if r[1] is None else len(r[1]), *["own"] * len(ODD_NAMES)) for r in rows], DOCS)
 
 
 def labels(spark, rows=()):

@@ -143,7 +143,7 @@ def test_query_same_as_plain_comparison(spark, tmp_path):
 
 
 def test_edge_cases(spark):
-    docs = documents(spark).withColumn("periodic", F.lit("own")).withColumn("row", F.lit("own"))
+    docs = documents(spark).withColumn("periodic", F.lit("own"))
     found = find_runs(docs)
     assert found.columns == docs.columns
     rows = {r.doc_id: r.periodic for r in found.collect()}

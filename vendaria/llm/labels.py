@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vendaria.llm.names import unused
+
 
 def held_out(doc_id) -> F.Column:
     """Documents whose labels no model sees: a third, by the checksum of the id. A null id is not held out."""
@@ -23,15 +25,16 @@ def labelled_sample(
     documents that are fit to learn from. `columns` are computed for the sample alone.
     """
     wanted = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    wanted = wanted.groupBy("doc_id").agg(F.max(label).cast("int").alias("__label"))
+    (own,) = unused(docs, "label")
+    wanted = wanted.groupBy("doc_id").agg(F.max(label).cast("int").alias(own))
     fit = docs.filter(keep) if keep is not None else docs
     parts = []
     for value in (0, 1):
         # Twice as many as are wanted, as some may have no document that is fit.
-        ids = first_ids(wanted.filter(F.col("__label") == value), 2 * per_class)
+        ids = first_ids(wanted.filter(F.col(own) == value), 2 * per_class)
         found = first_rows(fit.join(F.broadcast(ids), "doc_id"), per_class)
-        parts.append(found.select("doc_id", "__label", *[c.alias(name) for name, c in columns.items()]).toPandas())
-    return pd.concat(parts, ignore_index=True).rename(columns={"__label": label})
+        parts.append(found.select("doc_id", F.col(own).alias(label), *[c.alias(name) for name, c in columns.items()]).toPandas())
+    return pd.concat(parts, ignore_index=True)
 
 
 def first_ids(rows: DataFrame, n: int) -> DataFrame:

@@ -22,15 +22,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vendaria.llm.names import unused
 from vendaria.llm.ngram_join import first_prefix
 from vendaria.llm.setjoin import (
     Items,
+    distinct_sets,
     entries,
     keyed,
     may_be_similar,
     measured,
     n_of,
     place_of,
+    position,
     texts_of,
     verified,
     within_bound,
@@ -76,11 +79,6 @@ def plain_prefix(percent: int):
     return prefix
 
 
-def position() -> Column:
-    """Where a line comes among all; lines of documents without an id come last."""
-    return F.struct(F.col("item_key").isNull().alias("no_id"), "item_key", "text_key", "number")
-
-
 _PAIRS_ARROW = pa.schema([(c, pa.int64()) for c in ("a", "b", "token", "set", "n", "place", "bits0")])
 
 
@@ -177,19 +175,19 @@ def _passes(n_a, place_a, bits_a, n_b, place_b, bits_b, percent: int) -> np.ndar
     return lengths & first & (most >= least) & ((100 + percent) * differ <= (100 - percent) * both)
 
 
-def repeated_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent: int) -> DataFrame:
-    """The sets (column `set`) for which a similar, different set comes earlier."""
+def repeated_sets(docs: DataFrame, sets: DataFrame, sketch, base: str, percent: int) -> DataFrame:
+    """The sets (column `set`) for which a similar, different set comes earlier. `sets` holds each set once."""
     found = entries(docs, lines, sketch, plain_prefix(percent), n_longs=1)
     pairs, shared = short_lists(found, percent, f"{base}/lists")
     none = shared.select("set").filter("false")
     pairs = materialize(pairs, f"{base}/pairs-0")
     gone = materialize(none, f"{base}/gone-none")
-    gone = _gone(docs, sizes, pairs, gone, f"{base}/round-0", percent)
+    gone = _gone(docs, sets, pairs, gone, f"{base}/round-0", percent)
     if shared.isEmpty():
         return gone
     tried = pairs
     names = materialize(shared.select("set").distinct(), f"{base}/names")
-    firsts = materialize(_firsts(sizes, names), f"{base}/firsts")
+    firsts = materialize(_firsts(sets, names), f"{base}/firsts")
     shared = materialize(shared.join(within_bound(firsts), "set"), f"{base}/placed")
     total, before = shared.count(), float("inf")
     left = _pairs_left(_with_state(shared, gone))
@@ -200,18 +198,17 @@ def repeated_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent:
         by = hubs[step - 1] if step <= len(hubs) else [step]
         state = materialize(_with_state(shared, gone), f"{base}/state-{step}")
         pairs = materialize(_hub_pairs(state, by, percent).join(tried, ["a", "b"], "left_anti"), f"{base}/pairs-{step}")
-        gone = _gone(docs, sizes, pairs, gone, f"{base}/round-{step}", percent)
+        gone = _gone(docs, sets, pairs, gone, f"{base}/round-{step}", percent)
         tried = materialize(tried.unionByName(pairs), f"{base}/tried-{step}")
         before, left = left, _pairs_left(_with_state(shared, gone))
     state = materialize(_with_state(shared, gone), f"{base}/state-rest")
     rest = materialize(_other_pairs(state, percent).join(tried, ["a", "b"], "left_anti"), f"{base}/pairs-rest")
-    return _gone(docs, sizes, rest, gone, f"{base}/rest", percent)
+    return _gone(docs, sets, rest, gone, f"{base}/rest", percent)
 
 
-def _firsts(sizes: DataFrame, names: DataFrame) -> DataFrame:
+def _firsts(sets: DataFrame, names: DataFrame) -> DataFrame:
     """Where each of the named sets comes first, and how often it comes."""
-    rows = sizes.filter("n > 0").join(within_bound(names), "set", "left_semi").groupBy("set")
-    return rows.agg(F.min(position()).alias("at"), F.count(F.lit(1)).alias("times"))
+    return sets.join(within_bound(names), "set", "left_semi").select("set", "at", "times")
 
 
 def _with_state(shared: DataFrame, gone: DataFrame) -> DataFrame:
@@ -256,15 +253,15 @@ def _other_pairs(state: DataFrame, percent: int) -> DataFrame:
     return _distinct_pairs(both)
 
 
-def _gone(docs, sizes, pairs, gone, base: str, percent: int) -> DataFrame:
+def _gone(docs, sets, pairs, gone, base: str, percent: int) -> DataFrame:
     """Verify pairs; the later set of a similar pair goes."""
     if pairs.isEmpty():
         return gone
     wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
-    texts = texts_of(docs, sizes, wanted, f"{base}-texts", lambda text, number: F.get(F.split(text, "\n"), number))
+    texts = texts_of(docs, sets, wanted, f"{base}-texts", lambda text, number: F.get(F.split(text, "\n"), number))
     links = materialize(verified(pairs, texts, lines, percent), f"{base}-verified")
     both = links.select(F.col("a").alias("set")).unionByName(links.select(F.col("b").alias("set"))).distinct()
-    firsts = materialize(_firsts(sizes, materialize(both, f"{base}-linked")), f"{base}-places")
+    firsts = materialize(_firsts(sets, materialize(both, f"{base}-linked")), f"{base}-places")
     of_a = firsts.select(F.col("set").alias("a"), F.col("at").alias("at_a"))
     of_b = firsts.select(F.col("set").alias("b"), F.col("at").alias("at_b"))
     ends = links.join(within_bound(of_a), "a").join(within_bound(of_b), "b")
@@ -285,9 +282,10 @@ def repeated_lines(
     base = scratch_dir(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
     sizes, sketch = measured(rows, lines, f"{base}/sizes")
-    gone = repeated_sets(rows, sizes, sketch, base, percent).withColumn("gone", F.lit(True))
-    often = sizes.filter("n > 0").groupBy("set").agg(F.min(position()).alias("first"), F.count(F.lit(1)).alias("times"))
-    often = materialize(often.filter("times > 1").drop("times"), f"{base}/often")
+    sets = distinct_sets(sizes, f"{base}/distinct")
+    gone = repeated_sets(rows, sets, sketch, base, percent).withColumn("gone", F.lit(True))
+    often = sets.filter("times > 1").select("set", F.col("at").alias("first"))
+    often = materialize(often, f"{base}/often")
     marked = sizes.join(within_bound(often), "set", "left").join(within_bound(gone), "set", "left")
     removed = (F.col("n") > 0) & (F.coalesce(position() > F.col("first"), F.lit(False)) | F.col("gone").isNotNull())
     per_doc = marked.groupBy(F.col("item_key").alias("doc_id"), "text_key").agg(
@@ -309,20 +307,19 @@ def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame
     `n_chars`, if there is such a column, is the new text's length. Other columns stay as they are.
     """
     base = scratch_dir(docs.sparkSession)
-    found = repeated_lines(docs, percent).filter(F.size("removed") > 0)
-    found = materialize(found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "removed"), f"{base}/lines")
-    found = found.withColumnRenamed("removed", "__removed")
+    own_key, id_, key, removed = unused(docs, "own_key", "id", "key", "removed")
+    found = repeated_lines(docs, percent).filter(F.size("removed") > 0).toDF(id_, key, "n_lines", removed)
+    found = materialize(found.drop("n_lines"), f"{base}/lines")
 
     @F.pandas_udf("string")
     def without(texts: pd.Series, removed: pd.Series) -> pd.Series:
         return pd.Series([_without(t, r) for t, r in zip(texts, removed, strict=True)], dtype=object)
 
-    key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = docs.withColumn("__own_key", key)
-    on = (F.col("__own_key") == F.col("__key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-    rows = rows.join(within_bound(found, F.size("__removed")), on, "left")
-    changed = F.col("__removed").isNotNull()
-    text = F.when(changed, without(F.when(changed, F.col("text")), F.col("__removed"))).otherwise(F.col("text"))
+    rows = docs.withColumn(own_key, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    on = (F.col(own_key) == F.col(key)) & F.col("doc_id").cast("long").eqNullSafe(F.col(id_))
+    rows = rows.join(within_bound(found, F.size(removed)), on, "left")
+    changed = F.col(removed).isNotNull()
+    text = F.when(changed, without(F.when(changed, F.col("text")), F.col(removed))).otherwise(F.col("text"))
     rows = rows.withColumn("text", text)
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)

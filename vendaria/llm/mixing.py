@@ -21,15 +21,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vendaria.llm.names import unused
 from vendaria.llm.words import n_words
 from vendaria.sources.scratch import materialize, scratch_dir
 
 #: Ranks are cut into so many bins for each source. One of them is sorted, for its source's mark.
 BINS = 1 << 14
 
-#: Makes a struct of no columns possible.
-_FIRST = "__mix_first"
-
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (3, 1, 2)
 
@@ -92,8 +90,9 @@ def mix(
     if not 0 <= share <= cap:
         raise ValueError("the share lies between 0 and the cap")
     base = scratch_dir(docs.sparkSession)
+    (first,) = unused(docs, "first")  # makes a struct of no columns possible
     rows = docs.drop(output).select(
-        F.struct(F.lit(0).alias(_FIRST), *[F.col(f"`{c}`") for c in docs.columns if c != output]).alias("row"),
+        F.struct(F.lit(0).alias(first), *[F.col(f"`{c}`") for c in docs.columns if c != output]).alias("row"),
         F.col(f"`{source_col}`").cast("string").alias("source"),
         F.col(f"`{id_col}`").alias("id"),
         F.coalesce(n_words(F.col("text")) if size is None else size, F.lit(0)).cast("long").alias("size"),
@@ -146,14 +145,18 @@ def mix(
     copies = F.when(F.col("size") > 0, F.col("whole") + F.col("again").cast("long")).otherwise(0)
     return done.select(
         "row.*", F.struct("size", "source_size", "target", copies.cast("long").alias("copies")).alias(output)
-    ).drop(_FIRST)
+    ).drop(first)
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each row of `docs` as often as `mix` says."""
-    taken = mix(docs, output="__mix", **options).filter("__mix.copies > 0")
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("__mix.copies").cast("int"))).alias("__copy")
-    return taken.select("*", copies).drop("__mix", "__copy")
+    """The mix itself: each row of `docs` as often as `mix` says, with its columns, whatever they are called.
+
+    Rows without a word are not in the mix; rows that repeat are documents of their own. An empty table gives no rows.
+    """
+    own, copy = unused(docs, "mix", "copy")
+    taken = mix(docs, output=own, **options).filter(F.col(f"{own}.copies") > 0)
+    copies = F.explode(F.array_repeat(F.lit(0), F.col(f"{own}.copies").cast("int"))).alias(copy)
+    return taken.select("*", copies).drop(own, copy)
 
 
 def _joined(rows: DataFrame, table: DataFrame, *keys: str) -> DataFrame:

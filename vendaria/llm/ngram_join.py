@@ -20,10 +20,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vendaria.llm.components import components
+from vendaria.llm.names import unused
 from vendaria.llm.setjoin import (
     Items,
     bit_columns,
     bits_may_be_similar,
+    distinct_sets,
     entries,
     folded,
     keyed,
@@ -107,8 +109,9 @@ def similar_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent:
     """`node` and `root` of all sets that are similar to another. `docs` and `sizes` as in `setjoin`."""
     shared = shared_entries(entries(docs, shingles, sketch, adaptive_prefix(percent)), percent, f"{base}/shared")
     names = materialize(shared.select("set").distinct(), f"{base}/sets")
-    bits = sizes.join(within_bound(names), "set", "left_semi").groupBy("set")
-    bits = materialize(bits.agg(*[F.first(c).alias(c) for c in ("n", *bit_columns(N_LONGS))]), f"{base}/bits")
+    sets = distinct_sets(sizes, f"{base}/distinct", N_LONGS)
+    bits = sets.join(within_bound(names), "set", "left_semi").select("set", "n", *bit_columns(N_LONGS))
+    bits = materialize(bits, f"{base}/bits")
     found = materialize(_no_links(shared), f"{base}/links-0")
     tried = materialize(_no_links(shared), f"{base}/tried-0")
     # Hubs are for long lists; a short one has few pairs.
@@ -119,7 +122,7 @@ def similar_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent:
         pairs, size = _hub_pairs(labelled, bits, tried, f"{base}/pairs-{step}", step, percent)
         if not size:
             break
-        found = _verified_links(docs, sizes, pairs, found, f"{base}/round-{step}", percent)
+        found = _verified_links(docs, sets, pairs, found, f"{base}/round-{step}", percent)
         labelled = _labelled(long, found, f"{base}/round-{step}")
         tried = materialize(tried.unionByName(pairs), f"{base}/tried-{step}")
         before, n_found = n_found, found.count()
@@ -127,7 +130,7 @@ def similar_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent:
             break
     labelled = _labelled(shared, found, f"{base}/all")
     rest = materialize(_multi_match(labelled, bits, percent).join(tried, ["a", "b"], "left_anti"), f"{base}/pairs-rest")
-    found = _verified_links(docs, sizes, rest, found, f"{base}/rest", percent)
+    found = _verified_links(docs, sets, rest, found, f"{base}/rest", percent)
     return components(found, f"{base}/components")
 
 
@@ -171,10 +174,10 @@ def _pairs_across(labelled: DataFrame, percent: int) -> int:
     return int(each.groupBy("token").agg(across.alias("pairs")).agg(F.sum("pairs")).first()[0] or 0)
 
 
-def _verified_links(docs, sizes, pairs, found, base: str, percent: int) -> DataFrame:
+def _verified_links(docs, sets, pairs, found, base: str, percent: int) -> DataFrame:
     """All links so far and those among the pairs."""
     wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
-    texts = texts_of(docs, sizes, wanted, f"{base}-texts")
+    texts = texts_of(docs, sets, wanted, f"{base}-texts")
     links = materialize(verified(pairs, texts, shingles, percent), f"{base}-verified")
     return materialize(found.unionByName(links), f"{base}-links")
 
@@ -265,14 +268,15 @@ def without_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     firsts = placed.groupBy("c").agg(F.min(position).alias("first"), F.count(F.lit(1)).alias("rows"))
     firsts = materialize(firsts.filter("rows > 1").drop("rows"), f"{base}/firsts")
     linked = placed.join(within_bound(firsts), "c").withColumn("later", position > F.col("first"))
-    linked = linked.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "later").count()
+    own_key, id_, key = unused(docs, "own_key", "id", "key")
+    linked = linked.groupBy("doc_id", "text_key", "later").count()
     linked = materialize(linked.filter("later OR count > 1"), f"{base}/copies")
-    copies, again = linked.filter("later").drop("later", "count"), linked.filter("NOT later").drop("later", "count")
+    copies, again = (linked.filter(c).select("doc_id", "text_key").toDF(id_, key) for c in ("later", "NOT later"))
     own = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.withColumn("__own_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    on = (F.col("__own_key") == F.col("__key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+    rows = docs.withColumn(own_key, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    on = (F.col(own_key) == F.col(key)) & F.col("doc_id").cast("long").eqNullSafe(F.col(id_))
     stay = rows.join(within_bound(copies), on, "left_anti")
     if again.isEmpty():
         return stay.select(*own)
-    once = stay.join(within_bound(again), on, "left_semi").dropDuplicates(["doc_id", "__own_key"]).select(*own)
+    once = stay.join(within_bound(again), on, "left_semi").dropDuplicates(["doc_id", own_key]).select(*own)
     return stay.join(within_bound(again), on, "left_anti").select(*own).unionByName(once)

@@ -322,14 +322,31 @@ def within_bound(table: DataFrame, length: Column | None = None) -> DataFrame:
     return F.broadcast(table) if table.agg(size).first()[0] <= BROADCAST_ROWS else table
 
 
-def texts_of(docs: DataFrame, sizes: DataFrame, wanted: DataFrame, path: str, part=None) -> DataFrame:
-    """set and text, from any one document, of the `wanted` sets (column `set`). `part` picks the item's own text.
+def position() -> Column:
+    """The order of items: by id, rows without one last, then by the text's hash and the item's number in it."""
+    return F.struct(F.col("item_key").isNull().alias("no_id"), "item_key", "text_key", "number")
 
-    A document may have no id, so ids are compared with nulls.
+
+def distinct_sets(sizes: DataFrame, path: str, n_longs: int = 0) -> DataFrame:
+    """Every set once: where it comes first (`at`), how many times, its size and bits.
+
+    It is made once, before any join, so that a set that much of the corpus has is counted by each task before the
+    shuffle; what follows finds each set in one row.
     """
-    places = sizes.join(wanted.distinct(), "set", "left_semi").groupBy("set")
-    places = places.agg(F.min(F.struct("item_key", "text_key", "number")).alias("at"))
-    places = places.select("set", F.col("at.item_key").alias("at_item"), F.col("at.text_key").alias("at_text"), "at.number")
+    columns = [F.first(c).alias(c) for c in ("n", *bit_columns(n_longs))]
+    rows = sizes.filter("n > 0").groupBy("set")
+    return materialize(rows.agg(F.min(position()).alias("at"), F.count(F.lit(1)).alias("times"), *columns), path)
+
+
+def texts_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame, path: str, part=None) -> DataFrame:
+    """set and text, from the first document that has it, of the `wanted` sets (column `set`).
+
+    `sets` is what `distinct_sets` returns. `part` picks the item's own text. A document may have no id, so ids are
+    compared with nulls.
+    """
+    places = sets.join(wanted.distinct(), "set", "left_semi").select(
+        "set", F.col("at.item_key").alias("at_item"), F.col("at.text_key").alias("at_text"), "at.number"
+    )
     places = materialize(places, f"{path}-places")
     text = F.col("text") if part is None else part(F.col("text"), F.col("number"))
     on = (F.col("text_key") == F.col("at_text")) & F.col("item_key").eqNullSafe(F.col("at_item"))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vendaria.llm.labels import labelled_sample
+from vendaria.llm.names import unused
 
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
@@ -259,5 +260,9 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", output:
 
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows whose score is below the threshold, with the columns they came with."""
-    return score(docs, model, output="__toxicity").filter(F.col("__toxicity") < threshold).drop("__toxicity")
+    """The rows whose score is below the threshold, with the columns they came with, whatever they are called.
+
+    A null, empty or wordless text has the score 0 and stays; rows that repeat go or stay together.
+    """
+    (own,) = unused(docs, "toxicity")
+    return score(docs, model, output=own).filter(F.col(own) < threshold).drop(own)

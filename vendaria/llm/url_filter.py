@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vendaria.llm.names import unused
+
 ALLOW, BLOCK = "allow", "block"
 
 #: A trie with so many rules takes a few hundred MB in each Python worker.
@@ -150,6 +152,10 @@ def judge_urls(
 
 
 def filter_urls(pages: DataFrame, rules: Iterable[Rule], url_col: str = "url", default: str = ALLOW) -> DataFrame:
-    """The rows whose url is allowed, with the columns they came with."""
-    judged = judge_urls(pages, rules, url_col, "__url_verdict", default)
-    return judged.filter(F.col("__url_verdict.verdict") == ALLOW).drop("__url_verdict")
+    """The rows whose url is allowed, with the columns they came with, whatever they are called.
+
+    A url without a host, such as a null one, has the verdict `default`. Repeated rows are judged alike.
+    """
+    (own,) = unused(pages, "url_verdict")
+    judged = judge_urls(pages, rules, url_col, own, default)
+    return judged.filter(F.col(f"{own}.verdict") == ALLOW).drop(own)
