@@ -25,11 +25,11 @@ from pyspark.sql import types as T
 
 from vendaria.llm.memo import Memo
 
-#: Entries of each generation of a worker's two memos: about 200 MB if all are full.
+#: Entries of each generation of a worker's two memos: about 150 MB if all are full.
 MEMO_SIZE = 1 << 18
 
 #: Characters encoded before rows are handed on, so that a batch of long texts is not held as ids all at once.
-OUTPUT_CHARS = 4_000_000
+OUTPUT_CHARS = 1_000_000
 
 _NOT_SPACE = regex.compile(r"\S+")
 _SEPARATORS = regex.compile("[\x1c-\x1f]")  # Python's split() takes these for white space, the file's pattern doesn't
@@ -128,13 +128,14 @@ class WordBpe:
         yield from _chunks(text[at:])
 
     def encoder(self, memo_size: int = MEMO_SIZE) -> Callable[[str | None], list[int]]:
-        """A function from text to ids that remembers pieces and chunks."""
-        known = Memo(self.encode_piece, memo_size)
+        """A function from text to ids that remembers chunks, and fewer of the pieces that new chunks are made of."""
+        known = Memo(self.encode_piece, max(1, memo_size // 2))
 
         def encode_part(part: str) -> tuple[int, ...]:
             if part in self.special:
                 return (self.special[part],)
-            return tuple(chain.from_iterable([known[piece] for piece in self.pieces(part)]))
+            found = [known[piece] for piece in self.pieces(part)]
+            return found[0] if len(found) == 1 else tuple(chain.from_iterable(found))
 
         parts = Memo(encode_part, memo_size)
         return lambda text: list(chain.from_iterable([parts[p] for p in self.parts(text)])) if text else []

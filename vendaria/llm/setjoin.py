@@ -147,6 +147,8 @@ def blocks(batches: Iterator[pa.RecordBatch], *text_cols: str) -> Iterator[tuple
             rows = batch.slice(start, end - start)
             yield rows, *[[t or "" for t in rows.column(c).to_pylist()] for c in text_cols]
             start = end
+    # The worker lives on, and what it keeps counts for the executor.
+    pa.default_memory_pool().release_unused()
 
 
 def parts_of(items: Items) -> Iterator[Items]:
