@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +66,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document's ids and decoded text."""
+    import public_tokenizers  # the other queries do without it
+
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     bpe = load_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
     ids = F.concat_ws(" ", F.col("token_ids").cast("array<string>"))
