@@ -1,4 +1,7 @@
-"""A training corpus from raw documents: stages that take and give documents, each written before the next reads it."""
+"""A training corpus from raw documents: stages that take and give documents, each written before the next reads it.
+
+Every stage takes an empty table, and other columns of any name, which it hands on.
+"""
 
 from __future__ import annotations
 
@@ -15,28 +18,37 @@ from vendaria.sources.scratch import materialize, scratch_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labels that are not held out, does not take for toxic."""
+    """Documents that the classifier, fitted on the labels that are not held out, does not take for toxic.
+
+    Null, empty and wordless texts stay, repeated rows go or stay together, and whole texts are scored.
+    """
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.without_toxic(docs, model)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that repeat an earlier one."""
+    """All documents, without lines that repeat an earlier one.
+
+    A text may become empty, never null; null and blank ones stay as they are. Rows that repeat are one document.
+    """
     return without_repeated_lines(docs)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, that with the smallest id, rows without one last.
+
+    Null, empty and blank texts are no copies and stay; of rows equal in id and text one stays.
+    """
     return without_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the sources' targets ask for."""
+    """Documents as often as the sources' targets ask for; without a word, not at all. A null source is one too."""
     return mixed(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the ids of their tokens."""
+    """Documents with the ids of their tokens; a null or empty text has none. Every row stays."""
     bpe = load_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
     return encode(docs, bpe).withColumn("n_tokens", F.size("token_ids").cast("long"))
 
