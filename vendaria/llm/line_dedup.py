@@ -39,7 +39,7 @@ from vendaria.llm.setjoin import (
     within_bound,
 )
 from vendaria.llm.words import hashed_words
-from vendaria.sources.scratch import materialize, scratch_dir
+from vendaria.sources.scratch import discard, materialize, scratch_dir
 
 #: Two lines of 40 words are similar if they differ in two.
 PERCENT = 90
@@ -260,6 +260,7 @@ def _gone(docs, sets, pairs, gone, base: str, percent: int) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
     texts = texts_of(docs, sets, wanted, f"{base}-texts", lambda text, number: F.get(F.split(text, "\n"), number))
     links = materialize(verified(pairs, texts, lines, percent), f"{base}-verified")
+    discard(docs.sparkSession, f"{base}-texts")  # the links are written
     both = links.select(F.col("a").alias("set")).unionByName(links.select(F.col("b").alias("set"))).distinct()
     firsts = materialize(_firsts(sets, materialize(both, f"{base}-linked")), f"{base}-places")
     of_a = firsts.select(F.col("set").alias("a"), F.col("at").alias("at_a"))

@@ -37,7 +37,7 @@ from vendaria.llm.setjoin import (
     within_bound,
 )
 from vendaria.llm.words import hashed_words
-from vendaria.sources.scratch import materialize, scratch_dir
+from vendaria.sources.scratch import discard, materialize, scratch_dir
 
 WIDTH = 5
 PERCENT = 75
@@ -179,6 +179,7 @@ def _verified_links(docs, sets, pairs, found, base: str, percent: int) -> DataFr
     wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
     texts = texts_of(docs, sets, wanted, f"{base}-texts")
     links = materialize(verified(pairs, texts, shingles, percent), f"{base}-verified")
+    discard(docs.sparkSession, f"{base}-texts")  # the links are written
     return materialize(found.unionByName(links), f"{base}-links")
 
 
