@@ -9,12 +9,18 @@ passing. Words that it labels with confidence, next to each other and outside of
 The field is trained in numpy on a bounded sample of documents, with the base spans as labels: its features are looser
 than the patterns, so it also knows what they miss, such as two numbers that run into each other. Documents without a
 digit or an @ never leave the JVM.
+
+Texts are taken in blocks of a number of characters, and edges a piece at a time, so that memory is bounded by the
+words of one block or of one longer text: some 400 bytes for each that holds a digit or an @.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -36,6 +42,10 @@ ITERATIONS = 8
 #: A word is labelled from this belief on.
 CONFIDENT = 0.9
 
+#: Characters of the texts that make one graph, if it is more than one text, and edges that are computed at a time.
+BLOCK_CHARS = 500_000
+EDGES = 1 << 15
+
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
@@ -43,7 +53,8 @@ _NUMBER = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
 _WORD = re.compile(r"\S+")
-_CORE = re.compile(r"[+(]*[0-9A-Za-z](?:.*[0-9A-Za-z])?\)?", re.DOTALL)
+_PLAIN = re.compile(r"[0-9A-Za-z]")
+_TO_LAST_PLAIN = re.compile(r".*[0-9A-Za-z]", re.DOTALL)
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -136,15 +147,25 @@ class Graph(NamedTuple):
     skip: np.ndarray  # pairs of the same word or digits, each with its next one
 
 
+def _core(word: str) -> tuple[int, int] | None:
+    """Where a word begins and ends without the marks around it; those of a number in brackets or with a + stay."""
+    first = _PLAIN.search(word)
+    if first is None:
+        return None
+    start, end = first.start(), _TO_LAST_PLAIN.match(word).end()
+    while start and word[start - 1] in "+(":
+        start -= 1
+    return start, end + word.startswith(")", end)
+
+
 def _form(word: str) -> tuple[str, str]:
     """A word's form with and without the lengths of its numbers."""
-    loose = _LETTERS.sub("a", word[:120])
+    loose = _LETTERS.sub("a", word)
     return _DIGITS.sub(lambda m: f"d{min(len(m.group()), 20)}", loose), _DIGITS.sub("d", loose)
 
 
-def _word_features(word: str) -> list[str]:
-    fine, coarse = _form(word)
-    digits = "".join(_DIGITS.findall(word[:120]))
+def _word_features(word: str, form: tuple[str, str], digits: str) -> list[str]:
+    fine, coarse = form
     out = ["bias", f"fine={fine}", f"coarse={coarse}", f"digits={min(len(digits), 20)}", f"at={word.count('@')}"]
     if 13 <= len(digits) <= 19:
         out.append(f"luhn={passes_luhn(digits)}")
@@ -155,37 +176,58 @@ def _word_features(word: str) -> list[str]:
 
 
 def graph_of(texts: list[str]) -> Graph:
-    text, starts, ends, features, owner, chain, skip = [], [], [], [], [], [], []
+    """Words count whole, however long: their forms and keys are hashed."""
+    text, starts, ends, chain = (array("q") for _ in range(4))
+    features, owner = array("i"), array("i")
+    same_word, same_digits = array("Q"), array("Q")  # keys of the words; those of few digits are 0
     for i, value in enumerate(texts):
-        last: dict[str, int] = {}
         before = (-1, "", "")  # the previous word's place as a node, its text and its form
         for m in _WORD.finditer(value):
             word = m.group()
-            core = _CORE.search(word) if any(c in "0123456789@" for c in word) else None
-            if core is None or not ("@" in core.group() or _DIGITS.search(core.group())):
-                before = -1, word.lower()[:40], ""
+            core = _core(word) if any(c in "0123456789@" for c in word) else None
+            bare = word[core[0] : core[1]] if core else ""
+            if not ("@" in bare or _DIGITS.search(bare)):
+                before = -1, word.lower(), ""
                 continue
-            node, bare = len(text), core.group()
+            node, form, digits = len(text), _form(bare), "".join(_DIGITS.findall(bare))
             text.append(i)
-            starts.append(m.start() + core.start())
-            ends.append(m.start() + core.end())
-            own = _word_features(bare)
-            form = _form(bare)[1]
+            starts.append(m.start() + core[0])
+            ends.append(m.start() + core[1])
+            own = _word_features(bare, form, digits)
             own.append(f"before={before[1] if before[0] < 0 else before[2]}")
             if before[0] >= 0:
-                chain.append((before[0], node))
-                features.append(_feature(f"after={form}"))
+                chain.extend((before[0], node))
+                features.append(_feature(f"after={form[1]}"))
                 owner.append(before[0])
-            features += map(_feature, own)
-            owner += [node] * len(own)
-            digits = "".join(_DIGITS.findall(bare[:120]))
-            for key in {f"word {bare.lower()}", f"digits {digits}" if len(digits) >= 4 else ""} - {""}:
-                if key in last and (not skip or skip[-1] != (last[key], node)):
-                    skip.append((last[key], node))
-                last[key] = node
-            before = node, word.lower()[:40], form
-    pairs = [np.array(e, np.int64).reshape(-1, 2) for e in (chain, skip)]
-    return Graph(*(np.array(c, np.int64) for c in (text, starts, ends, features, owner)), *pairs)
+            features.extend(map(_feature, own))
+            owner.extend([node] * len(own))
+            same_word.append(_key(bare.lower()))
+            same_digits.append(_key(digits) if len(digits) >= 4 else 0)
+            before = node, word.lower(), form[1]
+    of = np.array(text, np.int64)
+    skip = [_next_same(of, np.array(k, np.uint64)) for k in (same_word, same_digits)]
+    return Graph(
+        of,
+        np.array(starts, np.int64),
+        np.array(ends, np.int64),
+        np.array(features, np.int32),
+        np.array(owner, np.int32),
+        np.array(chain, np.int64).reshape(-1, 2),
+        np.unique(np.concatenate(skip), axis=0),
+    )
+
+
+def _key(text: str) -> int:
+    """Never 0 by chance worth counting, and equal for unlike words about as seldom."""
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
+def _next_same(text: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Pairs of each word and the next one in its text that has the same key."""
+    order = np.lexsort((key, text))  # stable: words of one key stay in order
+    one, two = order[:-1], order[1:]
+    same = (text[one] == text[two]) & (key[one] == key[two]) & (key[one] > 0)
+    return np.stack([one[same], two[same]], 1)
 
 
 def _feature(name: str) -> int:
@@ -200,34 +242,44 @@ class Field(NamedTuple):
     skip: np.ndarray
 
     def beliefs(self, graph: Graph) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Marginals of all words and of both kinds of edges, by loopy sum-product message passing."""
+        """Marginals of all words, and of both kinds of edges added up, by loopy sum-product message passing."""
         n, size = len(graph.text), len(LABELS)
         scores = np.zeros((n, size))
-        np.add.at(scores, graph.owner, self.unary[graph.feature])
-        edges = np.concatenate([graph.chain, graph.skip])
-        potential = np.concatenate(
-            [np.broadcast_to(p, (len(e), size, size)) for p, e in ((self.chain, graph.chain), (self.skip, graph.skip))]
-        )
-        one, two = edges[:, 0], edges[:, 1]
-        forth, back = np.zeros((len(edges), size)), np.zeros((len(edges), size))
+        for k in range(size):
+            scores[:, k] = np.bincount(graph.owner, self.unary[graph.feature, k], n)
+        kinds = [
+            # A kind's potential and edges, the messages to the second word of each, and those to the first.
+            (p, e, np.zeros((len(e), size)), np.zeros((len(e), size)))
+            for p, e in ((self.chain, graph.chain), (self.skip, graph.skip))
+        ]
 
         def gathered() -> np.ndarray:
             total = scores.copy()
-            np.add.at(total, two, forth)
-            np.add.at(total, one, back)
+            for _, edges, forth, back in kinds:
+                for k in range(size):
+                    total[:, k] += np.bincount(edges[:, 1], forth[:, k], n)
+                    total[:, k] += np.bincount(edges[:, 0], back[:, k], n)
             return total
 
-        for _ in range(ITERATIONS if len(edges) else 0):
+        for _ in range(ITERATIONS if any(len(e) for _, e, *_ in kinds) else 0):
             total = gathered()
-            new_forth = _log_sum(total[one][:, :, None] - back[:, :, None] + potential, 1)
-            new_back = _log_sum(total[two][:, None, :] - forth[:, None, :] + potential, 2)
-            forth = 0.5 * forth + 0.5 * (new_forth - new_forth.max(axis=1, keepdims=True))
-            back = 0.5 * back + 0.5 * (new_back - new_back.max(axis=1, keepdims=True))
+            for potential, edges, forth, back in kinds:
+                for at in _pieces(len(edges)):
+                    one, two = edges[at].T
+                    new_forth = _log_sum((total[one] - back[at])[:, :, None] + potential, 1)
+                    new_back = _log_sum((total[two] - forth[at])[:, None, :] + potential, 2)
+                    forth[at] = 0.5 * forth[at] + 0.5 * (new_forth - new_forth.max(axis=1, keepdims=True))
+                    back[at] = 0.5 * back[at] + 0.5 * (new_back - new_back.max(axis=1, keepdims=True))
         total = gathered()
-        nodes = _softmax(total)
-        joint = (total[one] - back)[:, :, None] + (total[two] - forth)[:, None, :] + potential
-        joint = _softmax(joint.reshape(len(edges), size * size)).reshape(-1, size, size)
-        return nodes, [joint[: len(graph.chain)], joint[len(graph.chain) :]]
+        pairs = []
+        for potential, edges, forth, back in kinds:
+            joint = np.zeros(size * size)
+            for at in _pieces(len(edges)):
+                one, two = edges[at].T
+                both = (total[one] - back[at])[:, :, None] + (total[two] - forth[at])[:, None, :] + potential
+                joint += _softmax(both.reshape(-1, size * size)).sum(axis=0)
+            pairs.append(joint.reshape(size, size))
+        return _softmax(total), pairs
 
     def spans(self, texts: list[str], base: list[list[Span]]) -> list[list[Span]]:
         """The base spans and what the field adds, by kind and start."""
@@ -236,23 +288,45 @@ class Field(NamedTuple):
         if len(graph.text):
             nodes, _ = self.beliefs(graph)
             label = np.where(nodes.max(axis=1) >= CONFIDENT, nodes.argmax(axis=1), 0)
-            joined = set(map(tuple, graph.chain.tolist()))
-            for i, kind, first, last in _runs(graph, label, joined, texts):
+            covered = [_covered(b) for b in base]
+            for i, kind, first, last in _runs(graph, label, texts):
                 a, b = int(graph.start[first]), int(graph.end[last])
-                if _plausible(kind, texts[i][a:b]) and all(b <= s.start or s.end <= a for s in out[i]):
+                starts, ends = covered[i]
+                near = bisect_left(starts, b) - 1  # the last stretch that begins before the new span ends
+                if _plausible(kind, texts[i][a:b]) and (near < 0 or ends[near] <= a):
                     out[i].append(Span(kind, a, b, False))
         return [sorted(s, key=lambda x: (KINDS.index(x.kind), x.start)) for s in out]
 
 
-def _runs(graph: Graph, label: np.ndarray, joined: set, texts: list[str]) -> Iterator[tuple[int, str, int, int]]:
+def _pieces(n: int) -> Iterator[slice]:
+    for i in range(0, n, EDGES):
+        yield slice(i, i + EDGES)
+
+
+def _covered(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans cover, apart and in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end in sorted((s.start, s.end) for s in spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def _runs(graph: Graph, label: np.ndarray, texts: list[str]) -> Iterator[tuple[int, str, int, int]]:
     """Words that make one span: a phone number or a card's groups in a row; others are spans by themselves."""
+    joined = np.zeros(len(label), bool)  # words that are followed by a node of their text
+    joined[graph.chain[:, 0]] = True
     node = 0
     while node < len(label):
         first, kind = node, LABELS[label[node]]
         text = texts[graph.text[node]]
         while (
             kind in ("card", "phone")
-            and (node, node + 1) in joined
+            and joined[node]
             and label[node + 1] == label[first]
             and text[graph.start[node + 1]] not in "+"
             and _n_digits(text[graph.start[first] : graph.end[node + 1]]) <= (19 if kind == "card" else 15)
@@ -314,7 +388,7 @@ def fit(texts: list[str], steps: int = 80, rate: float = 0.15, decay: float = 1e
         wrong = nodes - exact
         unary = np.zeros_like(params[0])
         np.add.at(unary, graph.feature, wrong[graph.owner])
-        gradients = [unary, *[j.sum(axis=0) - e for j, e in zip(joints, exact_pairs, strict=True)]]
+        gradients = [unary, *[j - e for j, e in zip(joints, exact_pairs, strict=True)]]
         for p, g, (m, v) in zip(params, gradients, moments, strict=True):
             g = g / n + decay / n * p
             m *= 0.9
@@ -361,9 +435,7 @@ def find_private(docs: DataFrame, field: Field, text_col: str = "text", output:
     @F.pandas_udf(_SPANS)
     def spans(texts: pd.Series) -> pd.Series:
         out: list = [[] for _ in texts]
-        at = [i for i, t in enumerate(texts) if t]
-        for i in range(0, len(at), 1000):
-            some = at[i : i + 1000]
+        for some in _blocks(texts):
             block = [texts.iloc[j] for j in some]
             for j, found in zip(some, shared.value.spans(block, [base_spans(t) for t in block]), strict=True):
                 out[j] = [s._asdict() for s in found]
@@ -373,6 +445,21 @@ def find_private(docs: DataFrame, field: Field, text_col: str = "text", output:
     return docs.withColumn(output, spans(F.when(may_be_private(text), text)))
 
 
+def _blocks(texts: pd.Series, chars: int = BLOCK_CHARS) -> Iterator[list[int]]:
+    """Places of texts that are neither null nor empty, in blocks of so many characters or of one longer text."""
+    block, size = [], 0
+    for i, text in enumerate(texts):
+        if not text:
+            continue
+        if block and size + len(text) > chars:
+            yield block
+            block, size = [], 0
+        block.append(i)
+        size += len(text)
+    if block:
+        yield block
+
+
 def as_text(spans: Column) -> Column:
     """kind:start:end, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

@@ -114,7 +114,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS
     ]
     digest = F.sha2(pii.as_text(base), 256).alias("base_sha256")
-    return found.select("doc_id", *counts, digest, pii.as_text(F.col("private")).alias("spans"))
+    every = F.size("private").cast("long").alias("n_spans")
+    return found.select("doc_id", *counts, digest, pii.as_text(F.col("private")).alias("spans"), every)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
