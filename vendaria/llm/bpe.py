@@ -7,13 +7,17 @@ skipped when they come up. Decoding concatenates the vocabulary strings of the i
 The vocabulary is read by the driver from a tokenizer file and broadcast; its size is that of the file. Python runs
 over Arrow batches, nothing is shuffled, and whole texts are encoded. A memo of encoded chunks, of bounded size, saves
 most of the work, as words repeat.
+
+Composition, lower case and the classes of letters and numbers come from Unicode tables, and Python, its regex package
+and the tokenizers library have those of different years: the library orders some marks as they are that Python sorts,
+and does not know the newest letters. Chunks beyond ASCII are therefore composed, lowered and split by the library's
+steps of these names. Merging is done here for all.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
-import unicodedata
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -42,6 +46,15 @@ def _byte_symbols() -> list[str]:
     return [chr(b if b in printable else next(free)) for b in range(256)]
 
 
+def _library_pieces(pattern: str) -> Callable[[str], list[str]]:
+    """Composes, lowers and splits by the tokenizers library's Unicode tables."""
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
+    lower = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+    split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+    return lambda chunk: [piece for piece, _ in split.pre_tokenize_str(lower.normalize_str(chunk))]
+
+
 class WordBpe:
     """A vocabulary of byte-level symbols with a word-end suffix, as in a tokenizers JSON file."""
 
@@ -73,6 +86,7 @@ class WordBpe:
             self._c_pieces = regex.compile(self._pieces)
             self._c_special = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
             self._c_bytes = _byte_symbols()
+            self._c_library = _library_pieces(self._pieces)
         return self._c_pieces, self._c_special, self._c_bytes
 
     def merge(self, symbols: list[int]) -> list[int]:
@@ -104,9 +118,8 @@ class WordBpe:
 
     def pieces(self, chunk: str) -> list[str]:
         """The words and marks of a text without white space or special tokens, in lower case."""
-        # Character by character: a final sigma is lowered like any other.
-        lowered = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        return self._compiled()[0].findall(lowered)
+        ascii_pieces = self._compiled()[0]
+        return ascii_pieces.findall(chunk.lower()) if chunk.isascii() else self._c_library(chunk)
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
         to_symbol = self._compiled()[2]
