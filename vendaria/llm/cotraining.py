@@ -62,7 +62,7 @@ _RUNS = re.compile(r"(.)\1+", re.DOTALL)
 
 
 def shape_of(word: str) -> str:
-    return _RUNS.sub(r"\1", word[:64].translate(_KINDS))
+    return _RUNS.sub(r"\1", word.translate(_KINDS))
 
 
 def _hash(text: str, size: int) -> int:
@@ -242,7 +242,7 @@ class CoTrained(NamedTuple):
         )
 
 
-def co_train(views: list[tuple[Rows, int]], y: np.ndarray, pools: list[list[Rows]], prior: float) -> list[Linear]:
+def co_train(views: list[tuple[Rows, int]], y: np.ndarray, pools: list[list[Rows]], prior: float, exchanged: int = EXCHANGED) -> list[Linear]:
     """The rounds. `views` and every pool hold the rows of each view; a quarter of the labelled ones calibrates."""
     prior = float(np.clip(prior, 0.01, 0.99))
     held = np.arange(len(y)) % 4 == 3
@@ -261,7 +261,7 @@ def co_train(views: list[tuple[Rows, int]], y: np.ndarray, pools: list[list[Rows
         for model, rows in zip(models, pool, strict=True):
             p = sigmoid(model.calibrated(rows.margins(model.weights)))
             sure = [np.flatnonzero(p >= CONFIDENT), np.flatnonzero(p <= 1 - CONFIDENT)]
-            sure = [s[np.argsort(-np.abs(p[s] - 0.5), kind="stable")][: EXCHANGED // 2] for s in sure]
+            sure = [s[np.argsort(-np.abs(p[s] - 0.5), kind="stable")][: exchanged // 2] for s in sure]
             given.append((np.concatenate(sure), np.repeat([1, 0], [len(s) for s in sure])))
         for other, (rows, labels) in enumerate(reversed(given)):
             seen, known = training[other]
@@ -271,10 +271,17 @@ def co_train(views: list[tuple[Rows, int]], y: np.ndarray, pools: list[list[Rows
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: int = POOL, rounds: int = ROUNDS
+    docs: DataFrame,
+    labels: DataFrame,
+    per_class: int = PER_CLASS,
+    pool: int = POOL,
+    rounds: int = ROUNDS,
+    exchanged: int = EXCHANGED,
 ) -> CoTrained:
     """Co-train on a bounded sample of labelled documents and bounded pools of unlabelled ones.
 
+    The bounds are of the fit alone: `per_class` labelled documents, `pool` unlabelled ones in each of the `rounds`, of
+    which each view hands over at most `exchanged`. Documents with null ids or texts beyond MAX_CHARS are not learnt from.
     The executors turn texts into features; only those come to the driver. Without labels of both classes every
     document has the score of the class that there is.
     """
@@ -304,7 +311,7 @@ def train(
     sizes = [TEXT_FEATURES, PAGE_FEATURES]
     pools = [rows_of(fresh.iloc[at : at + pool]) for at in range(0, len(fresh), pool)]
     prior = known[1] / total
-    models = co_train(list(zip(rows_of(sample), sizes, strict=True)), sample["quality"].to_numpy(int), pools, prior)
+    models = co_train(list(zip(rows_of(sample), sizes, strict=True)), sample["quality"].to_numpy(int), pools, prior, exchanged)
     return CoTrained(*models, float(np.clip(prior, 0.01, 0.99)))
 
 
