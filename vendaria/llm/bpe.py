@@ -19,9 +19,12 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -186,27 +189,33 @@ def encode(
     fields = [T.StructField(c, f.dataType, f.nullable) for c, f in zip(copied, kept, strict=True)]
     schema = T.StructType([*fields, *[T.StructField(f"new{i}", f.dataType) for i, f in enumerate(added)]])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # The text is sent once: as the column that is kept, if it is one.
+    at = next((i for i, f in enumerate(kept) if f.name == text_col and f.dataType == T.StringType()), len(kept))
+    own = [] if at < len(kept) else [F.col(f"`{text_col}`").cast("string").alias("text")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = shared.value
         to_ids, to_text = tokenizer.encoder(), tokenizer.decode
         for batch in batches:
-            for rows in _by_size(batch, "text"):
-                out = rows[copied].copy()
-                out["new0"] = [to_ids(t) for t in rows["text"]]
+            for rows in _by_size(batch, at):
+                ids = [to_ids(t) for t in rows.column(at).to_pylist()]
+                new = [pa.array(ids, pa.list_(pa.int32()))]
                 if decoded_col:
-                    out["new1"] = [to_text(ids) for ids in out["new0"]]
-                yield out
+                    new.append(pa.array(map(to_text, ids), rows.column(at).type))
+                yield pa.RecordBatch.from_arrays([*rows.columns[: len(copied)], *new], schema.names)
 
-    rows = docs.select(
-        *[F.col(f"`{f.name}`").alias(c) for f, c in zip(kept, copied, strict=True)], F.col(f"`{text_col}`").alias("text")
-    )
-    return rows.mapInPandas(run, schema).toDF(*[f.name for f in [*kept, *added]])
+    rows = docs.select(*[F.col(f"`{f.name}`").alias(c) for f, c in zip(kept, copied, strict=True)], *own)
+    return rows.mapInArrow(run, schema).toDF(*[f.name for f in [*kept, *added]])
 
 
-def _by_size(batch: pd.DataFrame, column: str) -> Iterator[pd.DataFrame]:
-    block = batch[column].str.len().fillna(0).cumsum() // OUTPUT_CHARS
-    for _, rows in batch.groupby(block, sort=False):
-        yield rows
+def _by_size(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """Rows in a row whose texts have OUTPUT_CHARS characters together, or one text that has more."""
+    sizes = pc.fill_null(pc.utf8_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    block = sizes.cumsum(dtype=np.int64) // OUTPUT_CHARS
+    starts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+    for first, last in pairwise(starts):
+        if first < last:
+            yield batch.slice(first, last - first)
 
 
 def decode(encoded: DataFrame, bpe: WordBpe, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
