@@ -190,6 +190,20 @@ def test_late_and_repeated_records_in_the_stream_s_state(spark, tmp_path, table)
     assert bag(gmv_current(read_table(spark, table)).collect()) == bag(now.collect())
 
 
+def test_the_stream_s_state_groups_ids(spark, tmp_path, table):
+    """A group for each id would cost a call for each."""
+    deliver(purchases(spark, (0, 1000), "2023-01-01", "2023-02-01"), f"{tmp_path}/landing")
+    deliver(purchases(spark, (500, 510), "2023-01-02", "2023-02-02"), f"{tmp_path}/landing")
+    types = {n: df.schema for n, df in purchases(spark, (0, 1), "2023-01-01", "2023-02-01")._asdict().items()}
+    arriving = Feeds(*[spark.readStream.schema(types[n]).parquet(f"{tmp_path}/landing/{n}") for n in Feeds._fields])
+    options = {"as_of": lambda b: LOADED[b], "load_ts": lambda b: TS, "location": f"{tmp_path}/db"}
+    query = kept_in_stream(spark, arriving, tmp_path, table, options)
+    query.awaitTermination()
+    assert sum(o["numRowsTotal"] for p in query.recentProgress[:1] for o in p["stateOperators"]) == 4
+    found = gmv_current(read_table(spark, table))
+    assert found.agg(F.sum("gmv_daily")).first()[0] == 2500.0
+
+
 def test_versions_are_ordered_as_in_spark():
     versions = [Version(), Version(None, 1), Version(1), Version(1, None, 2), Version(1, 0, 2), Version(2)]
     assert sorted(versions[::-1], key=Version.order) == versions

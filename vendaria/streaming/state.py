@@ -1,8 +1,9 @@
 """Keep the history up to date from streams, with the latest versions of every purchase in the stream's state.
 
-A group of the stream is a purchase id. Its state is the newest version of each feed, however late it comes: there is no
-watermark that could drop one, and no state ever ends. A micro-batch touches the ids it brings, and emits those that
-count otherwise than before.
+A group of the stream is a block of purchase ids in a row, as a call for each id would cost far more than its records.
+Its state is the newest version of each feed for every id of the block, however late it comes: there is no watermark
+that could drop one, and no state ever ends. A micro-batch touches the blocks of the ids it brings, and emits the ids
+that count otherwise than before.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import TimestampNTZType
+from pyspark.sql.types import IntegralType, TimestampNTZType
 
 from vendaria.functions import exact
 from vendaria.operators.cdc import Feeds
@@ -44,9 +45,12 @@ class Counted(NamedTuple):
     value: float | None = None
 
 
+#: Ids in a row that share a group; an id of another type than a whole number is a group of its own.
+IDS_PER_GROUP = 256
+#: By id, as lists of the same length.
 STATE = (
-    "p_time long, p_day int, p_status string, i_time long, i_value double, i_quantity long, "
-    "x_time long, x_subsidiary string"
+    "p_time array<long>, p_day array<int>, p_status array<string>, i_time array<long>, i_value array<double>, "
+    "i_quantity array<long>, x_time array<long>, x_subsidiary array<string>"
 )
 CHANGES = [f"{side}_{name}" for side in ("before", "after") for name in Counted._fields]
 CHANGES_SCHEMA = ", ".join(
@@ -105,25 +109,43 @@ def _version(row) -> Version:
     return Version(time, *{"p": (number, row.text), "i": (value, number), "x": (row.text, None)}[row.feed])
 
 
+def _versions(kept: tuple) -> dict[str, Version]:
+    return {"p": Version(*kept[:3]), "i": Version(*kept[3:6]), "x": Version(*kept[6:])}
+
+
 def value_changes(feeds: Feeds, rules: Rules) -> DataFrame:
     """A stream of (before, after) what a purchase counts, for those that a micro-batch changes."""
+    id_type = feeds.purchase.schema["purchase_id"].dataType
+    group = F.col("purchase_id")
+    if isinstance(id_type, IntegralType):
+        group = F.expr(f"purchase_id div {IDS_PER_GROUP}")
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        kept = state.get if state.exists else (None,) * 8
-        old = {"p": Version(*kept[:3]), "i": Version(*kept[3:6]), "x": Version(*kept[6:])}
-        new = dict(old)
+        known = key[0] is not None and key[0] == key[0]
+        kept = {id_: values for id_, *values in zip(*state.get, strict=True)} if state.exists else {}
+        none = (None,) * 8
+        new: dict[Any, dict[str, Version]] = {}
         for batch in batches:
             for row in batch.itertuples(index=False):
-                new[row.feed] = max(new[row.feed], _version(row), key=Version.order)
-        state.update((*new["p"], *new["i"], *new["x"][:2]))
-        known = key[0] is not None and key[0] == key[0]
-        before, after = (counted(known, v["p"], v["i"], v["x"], rules) for v in (old, new))
-        if before != after:
-            yield pd.DataFrame([[*before, *after]], columns=CHANGES, dtype=object)
-
-    changes = records(feeds, rules).groupBy("purchase_id").applyInPandasWithState(
-        run, CHANGES_SCHEMA, STATE, "update", "NoTimeout"
-    )
+                id_ = row.purchase_id if known else None
+                if id_ not in new:
+                    new[id_] = _versions(kept.get(id_, none))
+                versions = new[id_]
+                versions[row.feed] = max(versions[row.feed], _version(row), key=Version.order)
+        changes = []
+        for id_, versions in new.items():
+            both = (_versions(kept.get(id_, none)), versions)
+            before, after = (counted(known, v["p"], v["i"], v["x"], rules) for v in both)
+            if before != after:
+                changes.append([*before, *after])
+            kept[id_] = (*versions["p"], *versions["i"], *versions["x"][:2])
+        state.update(tuple(list(column) for column in zip(*[(id_, *values) for id_, values in kept.items()])))
+        if changes:
+            yield pd.DataFrame(changes, columns=CHANGES, dtype=object)
+
+    grouped = records(feeds, rules).withColumn("of_ids", group).groupBy("of_ids")
+    stored = f"ids array<{id_type.simpleString()}>, {STATE}"
+    changes = grouped.applyInPandasWithState(run, CHANGES_SCHEMA, stored, "update", "NoTimeout")
     return changes.select(*[_struct(side) for side in ("before", "after")])
 
 
