@@ -17,8 +17,9 @@ from vendaria.operators.cdc import Feeds
 from vendaria.operators.gmv import gmv_current, gmv_daily
 from vendaria.operators.scd2 import scd2_merge, stamp
 from vendaria.plans import state as plans
-from vendaria.plans.state import Kept, Rules, apply_batch, daily_totals
+from vendaria.plans.state import Kept, Rules, apply_batch, daily_totals, newest
 from vendaria.sources.catalog import read_table
+from vendaria.sources.parts import read_all_parts
 from vendaria.streaming.feeds import stream_gmv
 from vendaria.streaming.state import Version, _micros, counted, stream_gmv_by_state
 
@@ -127,6 +128,31 @@ def test_older_parts_go_and_untouched_ones_stay(spark, tmp_path):
     assert found == {"block=0": ["batch=2", "batch=3"], "block=1": ["batch=0"]}
 
 
+def test_blocks_in_a_row_share_a_folder(spark, tmp_path):
+    """Where a batch has most of 64; what it has of others is in their own folders, and the newer of both counts."""
+    kept = Kept(str(tmp_path / "kept"), ids_per_block=2)
+    folder, batches = tmp_path / "kept" / "by_id", []
+    for number, ids in enumerate([(-10, 400), (0, 4), (0, 100), (2, 6), (128, 140), (-2, 2)]):
+        records = purchases(spark, ids, f"2023-01-{number + 1:02d}", f"2023-02-{number + 1:02d}")
+        if number == 0:
+            nobody = records.purchase.filter("purchase_id = 7").withColumn("purchase_id", F.lit(None).cast("long"))
+            records = records._replace(purchase=records.purchase.unionByName(nobody))
+        batches.append(records)
+        apply_batch(spark, records, kept, number)
+        now = {tuple(r) for r in gmv_daily(union(batches)).collect()}
+        assert {tuple(r) for r in daily_totals(spark, kept).collect()} == now
+        if number == 0:
+            names = sorted(x.name for x in folder.iterdir() if "=" in x.name)
+            alone = [f"block={b}" for b in (*range(-5, 0), *range(192, 200), "__HIVE_DEFAULT_PARTITION__")]
+            assert set(names) == {*alone, "span=0", "span=1", "span=2"}
+    assert sorted(x.name for x in (folder / "span=0").iterdir()) == ["batch=2"]
+    stored = newest(batches[0], kept.rules).withColumn(plans.BLOCK, kept.block())
+    rows = read_all_parts(spark, str(folder), stored.schema, plans.BLOCK)
+    assert rows.count() == 411 and rows.select("purchase_id").distinct().count() == 411
+    some = plans.read_parts(spark, str(folder), stored.schema, plans.BLOCK, [0, 1, 2, 3, 64, None], 9)
+    assert {r[0] for r in some.select("purchase_id").collect()} == {None, -1, *range(8), 128, 129} and some.count() == 12
+
+
 def test_an_empty_batch_changes_nothing(spark, tmp_path):
     kept = Kept(str(tmp_path))
     nothing = Feeds(*[p.limit(0) for p in purchases(spark, (0, 1), "2023-01-01", "2023-02-01")])

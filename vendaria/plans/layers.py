@@ -26,7 +26,7 @@ from vendaria.operators.gmv import gmv_of
 from vendaria.operators.quality import audit, enforce, quality_gate
 from vendaria.plans.state import BLOCK, Kept, apply_batch, clear_staging
 from vendaria.sources.files import read_parquet, write_partitioned
-from vendaria.sources.parts import BATCH, read_all_parts, read_parts, write_parts
+from vendaria.sources.parts import BATCH, read_all_parts, read_parts, whole_spans, write_parts
 from vendaria.sources.scratch import discard, materialize
 
 DAY = "transaction_date"
@@ -138,7 +138,7 @@ def _refresh_silver(spark: SparkSession, name: str, feed: DataFrame, base: str,
     staging, status = f"{base}/staging/{batch_id}/{name}", kept.rules.status_col
     day, columns = getattr(SILVER_DAYS, name), feed.columns
     blocked = StructType([*feed.schema, StructField(BLOCK, LongType())])
-    blocks = [row[0] for row in feed.select(kept.block().cast("long")).distinct().collect()]
+    blocks = whole_spans([row[0] for row in feed.select(kept.block().cast("long")).distinct().collect()])
     old = read_parts(spark, f"{base}/latest/{name}", blocked, BLOCK, blocks, batch_id).select(*columns)
     first = [c for c in (*getattr(VALUE_COLUMNS, name), *([status] if status else [])) if c in columns]
     latest = latest_per_key(old.unionByName(feed), "purchase_id", tiebreak=first)

@@ -2,8 +2,8 @@
 
 Two tables of files. `by_id` has the latest version of each feed for every purchase id, in blocks of ids in a row.
 `totals` has the exact sums by day and subsidiary. A batch reads the blocks of its ids and the days whose sums they
-change, and writes these anew beside the old ones, under its number: `block=7/batch=12`. The state before a batch is in
-the highest number below its own, so a batch that is repeated starts from the same rows and replaces what it left.
+change, and writes these anew beside the old ones, under its number: `block=7/batch=12`, or where it has most blocks of
+64 in a row, all of them in one folder. The state before a batch is in the highest number below its own, so a batch that is repeated starts from the same rows and replaces what it left.
 Batches must come one after another, each when the one before has ended.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql.types import DateType, DecimalType, LongType, StringType, Struc
 
 from vendaria.functions import exact, line_value, money
 from vendaria.operators.cdc import APPROVED, Feeds
-from vendaria.sources.parts import read_all_parts, read_parts, write_parts
+from vendaria.sources.parts import read_all_parts, read_parts, whole_spans, write_parts
 from vendaria.sources.scratch import discard, materialize
 
 DAY = "transaction_date"
@@ -108,7 +108,7 @@ def state_changes(spark: SparkSession, records: Feeds, kept: Kept, batch_id: int
     discard(spark, staging)
     new = newest(records, kept.rules).withColumn(BLOCK, kept.block())
     new = materialize(new, f"{staging}/new")
-    blocks = [row[0] for row in new.select(BLOCK).distinct().collect()]
+    blocks = whole_spans([row[0] for row in new.select(BLOCK).distinct().collect()])
     old = read_parts(spark, f"{kept.path}/by_id", new.schema, BLOCK, blocks, batch_id)
     columns = ["purchase_id", *Feeds._fields]
     both = old.alias("old").join(

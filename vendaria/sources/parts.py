@@ -2,10 +2,14 @@
 
 The rows before a batch are those of the highest number below its own. So a batch that is repeated, because the first
 try was lost on the way, starts from the same rows and replaces what that left. Batches must come one after another.
+
+A folder costs time whatever it holds, so numbered parts in a row share one, `span=3/batch=12`, if a batch has most of
+them. It must have them all then (`whole_spans`), so that of a part's own folder and its span's the newer one counts.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +19,20 @@ from pyspark.sql.types import LongType, StructField, StructType
 from vendaria.sources.scratch import directories, discard, make_folder
 
 BATCH = "batch"
+SPAN = "span"
+#: A span has 2^6 parts.
+SPAN_BITS = 6
+MOST = (1 << SPAN_BITS) // 2
+#: From so many parts on the names of all parts' folders are listed at once.
+MANY = 64
+
+
+def whole_spans(parts: Sequence[int | None]) -> list[int | None]:
+    """The numbered parts, and the others of those spans that most parts are among them."""
+    times = Counter(p >> SPAN_BITS for p in parts if p is not None)
+    full = {span for span, n in times.items() if n >= MOST}
+    others = [p for p in parts if p is None or p >> SPAN_BITS not in full]
+    return others + [p for span in sorted(full) for p in _parts_of(span)]
 
 
 def read_parts(
@@ -24,43 +42,126 @@ def read_parts(
 
     Older rows of them go: no batch starts from them any more.
     """
-    found = []
+    names = {name for name, _ in directories(spark, path)} if len(parts) > MANY else None
+
+    def earlier(name: str) -> list[int]:
+        return [b for b in _batches(spark, f"{path}/{name}") if b < before] if names is None or name in names else []
+
+    newest = {}
+    if _is_numbered(schema, part_col):
+        for span in {p >> SPAN_BITS for p in parts if p is not None}:
+            batches = earlier(f"{SPAN}={span}")
+            for old in batches[:-1]:
+                discard(spark, f"{path}/{SPAN}={span}/{BATCH}={old}")
+            newest |= {span: batches[-1]} if batches else {}
+    found, in_span = [], []
     for part in parts:
-        folder = f"{path}/{_folder(part_col, part)}"
-        batches = [b for b in _batches(spark, folder) if b < before]
-        found += [f"{folder}/{BATCH}={b}" for b in batches[-1:]]
-        for old in batches[:-1]:
-            discard(spark, f"{folder}/{BATCH}={old}")
-    return _read(spark, path, schema, part_col, found)
+        name = _folder(part_col, part)
+        batches = earlier(name)
+        shared = newest.get(part >> SPAN_BITS, -1) if newest and part is not None else -1
+        own = [b for b in batches if b > shared][-1:]
+        if own:
+            found.append(f"{path}/{name}/{BATCH}={own[0]}")
+        elif shared >= 0:
+            in_span.append(part)
+        for old in batches:
+            if old not in own:
+                discard(spark, f"{path}/{name}/{BATCH}={old}")
+    return _read(spark, path, schema, part_col, found, newest, in_span)
 
 
 def read_all_parts(spark: SparkSession, path: str, schema: StructType, part_col: str) -> DataFrame:
     """The newest rows of all parts, between two batches."""
-    newest = [(folder, _batches(spark, folder)) for _, folder in directories(spark, path)]
-    return _read(spark, path, schema, part_col, [f"{f}/{BATCH}={b[-1]}" for f, b in newest if b])
+    folders = {name: _batches(spark, folder) for name, folder in directories(spark, path)}
+    last = {name: batches[-1] for name, batches in folders.items() if batches}
+    newest = {int(name.partition("=")[2]): b for name, b in last.items() if name.startswith(f"{SPAN}=")}
+    found, own = [], set()
+    for name, batch in last.items():
+        column, _, part = name.partition("=")
+        if column != part_col:
+            continue
+        number = int(part) if newest and part.lstrip("-").isdigit() else None
+        if number is None or batch > newest.get(number >> SPAN_BITS, -1):
+            found.append(f"{path}/{name}/{BATCH}={batch}")
+            own.add(number)
+    in_span = [p for span in newest for p in _parts_of(span) if p not in own]
+    return _read(spark, path, schema, part_col, found, newest, in_span)
 
 
 def write_parts(rows: DataFrame, path: str, part_col: str, batch_id: int, parts: Sequence = ()) -> None:
-    """Each part whole, beside its older ones. Those of `parts` that have no rows become empty."""
+    """Each part whole, beside its older ones. Those of `parts` that have no rows become empty.
+
+    Numbered rows are read more than once, so they should be stored.
+    """
+    spark = rows.sparkSession
+    if _is_numbered(rows.schema, part_col):
+        span = F.shiftright(part_col, SPAN_BITS)
+        times = rows.select(F.col(part_col)).distinct().groupBy(span.alias(SPAN)).count()
+        full = [row[0] for row in times.filter((F.col("count") >= MOST) & F.col(SPAN).isNotNull()).collect()]
+        if full:
+            shared = F.coalesce(span.isin(full), F.lit(False))
+            # In order, so that the files can be read by part.
+            _write(rows.filter(shared).withColumn(SPAN, span), path, SPAN, batch_id, [part_col])
+            rows = rows.filter(~shared)
+    _write(rows, path, part_col, batch_id)
+    for part in parts:
+        make_folder(spark, f"{path}/{_folder(part_col, part)}/{BATCH}={batch_id}")
+
+
+def _write(rows: DataFrame, path: str, part_col: str, batch_id: int, order: Sequence[str] = ()) -> None:
+    rows = rows.withColumn(BATCH, F.lit(batch_id).cast("long")).hint("rebalance", F.col(part_col))
+    if order:
+        rows = rows.sortWithinPartitions(part_col, BATCH, *order)
     (
-        rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
-        .hint("rebalance", F.col(part_col))
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(part_col, BATCH)
         .parquet(path)
     )
-    for part in parts:
-        make_folder(rows.sparkSession, f"{path}/{_folder(part_col, part)}/{BATCH}={batch_id}")
 
 
-def _read(spark: SparkSession, path: str, schema: StructType, part_col: str, folders: list[str]) -> DataFrame:
-    if not folders:
+def _read(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    part_col: str,
+    folders: list[str],
+    newest: dict[int, int],
+    in_span: Sequence[int],
+) -> DataFrame:
+    """The rows in folders of parts, and of the parts that are in their span's newest batch."""
+    rows = []
+    if folders:
+        rows.append(_stored(spark, path, schema, part_col, folders))
+    times = Counter(p >> SPAN_BITS for p in in_span)
+    for whole in (True, False):
+        spans = {span for span, n in times.items() if (n == 1 << SPAN_BITS) == whole}
+        if spans:
+            shared = _stored(spark, path, schema, SPAN, [f"{path}/{SPAN}={s}/{BATCH}={newest[s]}" for s in sorted(spans)])
+            wanted = [p for p in in_span if p >> SPAN_BITS in spans]
+            rows.append(shared if whole else shared.filter(F.col(part_col).isin(wanted)))
+    if not rows:
         return spark.createDataFrame([], schema)
-    stored = StructType([*[f for f in schema if f.name != part_col], schema[part_col], StructField(BATCH, LongType())])
+    first, *others = rows
+    for more in others:
+        first = first.unionByName(more)
+    return first
+
+
+def _stored(spark: SparkSession, path: str, schema: StructType, folder_col: str, folders: list[str]) -> DataFrame:
+    in_path = schema[folder_col] if folder_col in schema.names else StructField(folder_col, LongType())
+    stored = StructType([*[f for f in schema if f.name != folder_col], in_path, StructField(BATCH, LongType())])
     return spark.read.schema(stored).option("basePath", path).parquet(*folders).select(*schema.names)
 
 
+def _is_numbered(schema: StructType, part_col: str) -> bool:
+    return isinstance(schema[part_col].dataType, LongType)
+
+
+def _parts_of(span: int) -> range:
+    return range(span << SPAN_BITS, (span + 1) << SPAN_BITS)
+
+
 def _batches(spark: SparkSession, folder: str) -> list[int]:
     return sorted(int(name.partition("=")[2]) for name, _ in directories(spark, folder))
 
