@@ -142,6 +142,12 @@ def test_query_same_as_plain_comparison(spark, tmp_path):
     assert sum(row[1] > 0 for row in got) > 10
 
 
+def test_one_python_worker_for_a_task_of_the_query(spark, tmp_path, capsys):
+    documents(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    registry.op11_periodic_runs(spark, str(tmp_path)).explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+
+
 def test_edge_cases(spark):
     docs = documents(spark).withColumn("periodic", F.lit("own"))
     found = find_runs(docs)
