@@ -1,4 +1,5 @@
 import public_tokenizers
+import pyarrow as pa
 from edge_cases import documents, prose
 from test_llm_joins import kept_lines, linked, roots_of, shingle_sets
 from tokenizers import Tokenizer
@@ -21,6 +22,24 @@ def test_every_operator_has_a_query():
     assert set(registry.oracle_sql()) <= set(names)
 
 
+def test_a_stage_sends_rows_to_python_in_small_batches(spark):
+    """Rows of 16 MB, half of them in one text, by any stage's session; no row is lost."""
+    texts = spark.range(2_001, numPartitions=1).selectExpr(
+        "id AS doc_id", "repeat('word ', IF(id = 1000, 1600000, 800)) AS text", "'a' AS source"
+    )
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    corpus_pipeline.mix_sources(spark, texts, SF_DIR)
+    found = texts.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in found) == 2_001
+    limit = corpus_pipeline.BATCH_BYTES + 10_000
+    assert all(r["bytes"] <= limit + 8_000_000 for r in found)
+    assert sum(r["bytes"] > limit for r in found) == 1
+
+
 def test_each_stage_does_its_work_on_what_the_last_one_kept(spark, tmp_path):
     """Every stage against a plain version of itself, on the whole of its own input."""
     given = spark.read.parquet(f"{SF_DIR}/documents.parquet")

@@ -18,8 +18,9 @@ from __future__ import annotations
 
 import heapq
 import json
+from array import array
 from collections.abc import Callable, Iterator
-from itertools import chain, pairwise
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -143,24 +144,39 @@ class WordBpe:
             at = found.end()
         yield from _chunks(text[at:])
 
-    def encoder(self, memo_size: int = MEMO_SIZE) -> Callable[[str | None], list[int]]:
-        """A function from text to ids that remembers chunks, and fewer of the pieces that new chunks are made of."""
-        known = Memo(self.encode_piece, max(1, memo_size // 2))
+    def packed_encoder(self, memo_size: int = MEMO_SIZE) -> Callable[[str | None], bytes]:
+        """A function from text to ids, as 32-bit numbers in a row.
+
+        It remembers chunks, and fewer of the pieces that new chunks are made of.
+        """
+        known = Memo(lambda piece: _packed(self.encode_piece(piece)), max(1, memo_size // 2))
 
-        def encode_part(part: str) -> tuple[int, ...]:
+        def encode_part(part: str) -> bytes:
             if part in self.special:
-                return (self.special[part],)
-            found = [known[piece] for piece in self.pieces(part)]
-            return found[0] if len(found) == 1 else tuple(chain.from_iterable(found))
+                return _packed((self.special[part],))
+            return b"".join([known[piece] for piece in self.pieces(part)])
 
         parts = Memo(encode_part, memo_size)
-        return lambda text: list(chain.from_iterable([parts[p] for p in self.parts(text)])) if text else []
+        return lambda text: b"".join([parts[p] for p in self.parts(text)]) if text else b""
+
+    def encoder(self, memo_size: int = MEMO_SIZE) -> Callable[[str | None], list[int]]:
+        """A function from text to ids."""
+        packed = self.packed_encoder(memo_size)
+        return lambda text: _unpacked(packed(text)).tolist()
 
     def decode(self, ids) -> str:
         """The vocabulary strings of the ids, joined by a blank: the file names no decoder that would do more."""
         return " ".join(map(self.strings.__getitem__, ids))
 
 
+def _packed(ids: tuple[int, ...]) -> bytes:
+    return array("i", ids).tobytes()
+
+
+def _unpacked(ids: bytes) -> np.ndarray:
+    return np.frombuffer(ids, np.int32)
+
+
 def _chunks(text: str) -> list[str]:
     return _NOT_SPACE.findall(text) if _SEPARATORS.search(text) else text.split()
 
@@ -172,12 +188,18 @@ def load_tokenizer(path: str) -> WordBpe:
 
 
 def encode(
-    docs: DataFrame, bpe: WordBpe, text_col: str = "text", ids_col: str = "token_ids", decoded_col: str | None = None
+    docs: DataFrame,
+    bpe: WordBpe,
+    text_col: str = "text",
+    ids_col: str = "token_ids",
+    decoded_col: str | None = None,
+    memo_size: int = MEMO_SIZE,
 ) -> DataFrame:
     """Add the token ids of each whole text and, if a name is given, their decoded text.
 
     Every row stays, in place. A null text counts as empty and has no ids. Columns of the new names are replaced,
-    the others kept. Very long texts are split into chunks like any other; no text is cut.
+    the others kept. Very long texts are split into chunks like any other; no text is cut. A smaller memo takes less
+    memory and more time.
     """
     kept = [f for f in docs.schema.fields if f.name not in (ids_col, decoded_col)]
     added = [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
@@ -195,13 +217,15 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = shared.value
-        to_ids, to_text = tokenizer.encoder(), tokenizer.decode
+        to_ids, to_text = tokenizer.packed_encoder(memo_size), tokenizer.decode
         for batch in batches:
             for rows in _by_size(batch, at):
                 ids = [to_ids(t) for t in rows.column(at).to_pylist()]
-                new = [pa.array(ids, pa.list_(pa.int32()))]
+                ends = np.cumsum([0, *map(len, ids)]) // np.dtype(np.int32).itemsize
+                new = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_unpacked(b"".join(ids))))]
                 if decoded_col:
-                    new.append(pa.array(map(to_text, ids), rows.column(at).type))
+                    texts = [to_text(_unpacked(i).tolist()) for i in ids]
+                    new.append(pa.array(texts, rows.column(at).type))
                 yield pa.RecordBatch.from_arrays([*rows.columns[: len(copied)], *new], schema.names)
 
     rows = docs.select(*[F.col(f"`{f.name}`").alias(c) for f, c in zip(kept, copied, strict=True)], *own)
