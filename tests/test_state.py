@@ -153,6 +153,34 @@ def test_blocks_in_a_row_share_a_folder(spark, tmp_path):
     assert {r[0] for r in some.select("purchase_id").collect()} == {None, -1, *range(8), 128, 129} and some.count() == 12
 
 
+def test_many_blocks_apart_share_the_folders_of_their_spans(spark, tmp_path):
+    """Of spans that a batch has little of; each block's newest rows count, wherever they are, and older folders go."""
+    kept = Kept(str(tmp_path / "kept"), ids_per_block=2)
+    folder, batches = tmp_path / "kept" / "by_id", []
+    folders = lambda: sorted(f"{x.name}/{b.name}" for x in folder.iterdir() if "=" in x.name for b in x.iterdir())
+    for number, (ids, step) in enumerate([((-300, 600), 6), ((0, 50), 1), ((-256, 700), 6), ((6, 8), 1), ((-300, 600), 6), ((-300, 600), 6)]):
+        records = purchases(spark, ids, f"2023-01-{number + 1:02d}", f"2023-02-{number + 1:02d}")
+        of_step = lambda p: p.filter(f"purchase_id % {step} = 0")  # noqa: B023, E731
+        records = Feeds(*[of_step(p) for p in records])
+        if number == 0:
+            nobody = records.purchase.limit(1).withColumn("purchase_id", F.lit(None).cast("long"))
+            records = records._replace(purchase=records.purchase.unionByName(nobody))
+        batches.append(records)
+        for _ in range(1 + (number == 2)):  # repeated, it replaces its own
+            apply_batch(spark, records, kept, number)
+        now = {tuple(r) for r in gmv_daily(union(batches)).collect()}
+        assert {tuple(r) for r in daily_totals(spark, kept).collect()} == now
+        stored = newest(batches[0], kept.rules).withColumn(plans.BLOCK, kept.block())
+        rows = read_all_parts(spark, str(folder), stored.schema, plans.BLOCK).drop(plans.BLOCK)
+        assert bag(rows.collect()) == bag(newest(union(batches), kept.rules).collect())
+        if number == 0:
+            assert folders() == sorted(["block=__HIVE_DEFAULT_PARTITION__/batch=0", *[f"some={s}/batch=0" for s in range(-3, 5)]])
+    assert {f"some={s}/batch=4" for s in range(-3, 5)} < set(folders())
+    assert not {f"some={s}/batch=0" for s in range(-3, 5)} & set(folders())
+    some = plans.read_parts(spark, str(folder), stored.schema, plans.BLOCK, [0, 1, 3, 5, 6, 349, -150, None], 9)
+    assert {r[0] for r in some.select("purchase_id").collect()} == {None, 0, 1, 2, 3, 6, 7, 10, 11, 12, 13, 698, -300} - {698}
+
+
 def test_an_empty_batch_changes_nothing(spark, tmp_path):
     kept = Kept(str(tmp_path))
     nothing = Feeds(*[p.limit(0) for p in purchases(spark, (0, 1), "2023-01-01", "2023-02-01")])

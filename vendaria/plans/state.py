@@ -3,7 +3,7 @@
 Two tables of files. `by_id` has the latest version of each feed for every purchase id, in blocks of ids in a row.
 `totals` has the exact sums by day and subsidiary. A batch reads the blocks of its ids and the days whose sums they
 change, and writes these anew beside the old ones, under its number: `block=7/batch=12`, or where it has most blocks of
-64 in a row, all of them in one folder. The state before a batch is in the highest number below its own, so a batch that is repeated starts from the same rows and replaces what it left.
+64 in a row, all of them in one folder; of many other blocks, those of 64 in a row share one too. The state before a batch is in the highest number below its own, so a batch that is repeated starts from the same rows and replaces what it left.
 Batches must come one after another, each when the one before has ended.
 """
 
