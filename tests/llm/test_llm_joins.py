@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edge_cases import documents, prose
 
@@ -332,3 +333,52 @@ def test_queries(spark):
     assert {r["doc_id"]: r["n_shingles"] for r in rows} == {i: len(s) for i, s in sets.items()}
     removed = kept_lines(texts, line_dedup.PERCENT)
     assert {r["doc_id"]: r["removed"] for r in op3_line_dedup(spark, sf_dir).collect()} == removed
+
+
+def test_ngram_join_sends_small_batches_to_python(spark):
+    """16 MB of texts in one partition, by the operator's session; no row is lost."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.unset(setting)
+    try:
+        ngram_components(documents(spark, [(1, "a b c d e f", "en", "s")]))
+        texts = spark.range(2_000, numPartitions=1).selectExpr("id AS doc_id", "repeat('word ', 1600) AS text")
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+        found = texts.mapInArrow(sizes, "rows long, bytes long").collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert sum(r["rows"] for r in found) == 2_000
+    assert all(r["bytes"] <= setjoin.BATCH_BYTES + 10_000 for r in found)
+
+
+def test_pairs_of_the_multi_match_are_hashed_and_the_rows_apart_are_written(spark, monkeypatch):
+    """The last round's stage sorts for its one join only, and what it no longer needs is gone."""
+    plans, folders = [], []
+    multi_match, discard = ngram_join._multi_match, ngram_join.discard
+
+    def seen(rows, bits, percent):
+        out = multi_match(rows, bits, percent)
+        plans.append(out._jdf.queryExecution().sparkPlan().toString())
+        return out
+
+    monkeypatch.setattr(ngram_join, "_multi_match", seen)
+    monkeypatch.setattr(ngram_join, "discard", lambda s, path: (folders.append(path.rsplit("/", 1)[1]), discard(s, path)))
+    texts = [(i, t) for i, t in enumerate(near_copies(6, 5, words=40, seed=3))]
+    rows = ngram_components(documents(spark, [(i, t, "en", "s") for i, t in texts])).collect()
+    sets = shingle_sets(texts)
+    expected = roots_of(sets, linked(sets, 75))
+    assert {r["doc_id"]: r["component_id"] for r in rows} == expected
+    (plan,) = plans
+    assert "SortAggregate" not in plan and "LeftSemi" not in plan
+    assert {"shared", "long", "all-labelled"} <= set(folders)
+
+
+def test_the_sketch_holds_large_counters_whole(spark, tmp_path):
+    """Four bytes a counter, as counted by hand."""
+    docs = documents(spark, [(i, "the same five words here", "en", "s") for i in range(300)])
+    _, sketch = setjoin.measured(setjoin.keyed(docs, "doc_id", "text"), ngram_join.shingles, str(tmp_path / "s"))
+    assert sketch.counts.dtype == np.uint32 and sketch.counts.sum() == 300 and sketch.counts.max() == 300

@@ -22,12 +22,14 @@ from pyspark.sql import functions as F
 from vendaria.llm.components import components
 from vendaria.llm.names import unused
 from vendaria.llm.setjoin import (
+    PLACE_BITS,
     Items,
     bit_columns,
     bits_may_be_similar,
     distinct_sets,
     entries,
     folded,
+    in_small_batches,
     keyed,
     may_be_similar,
     measured,
@@ -129,7 +131,10 @@ def similar_sets(docs: DataFrame, sizes: DataFrame, sketch, base: str, percent:
         if n_found == before or _pairs_across(labelled, percent) <= total:
             break
     labelled = _labelled(shared, found, f"{base}/all")
-    rest = materialize(_multi_match(labelled, bits, percent).join(tried, ["a", "b"], "left_anti"), f"{base}/pairs-rest")
+    apart = materialize(_apart(labelled), f"{base}/apart")
+    for done in ("shared", "long", "all-labelled", *[f"round-{k}-labelled" for k in range(1, MOST_ROUNDS + 1)]):
+        discard(docs.sparkSession, f"{base}/{done}")  # what follows reads only the rows apart
+    rest = materialize(_multi_match(apart, bits, percent).join(tried, ["a", "b"], "left_anti"), f"{base}/pairs-rest")
     found = _verified_links(docs, sets, rest, found, f"{base}/rest", percent)
     return components(found, f"{base}/components")
 
@@ -190,16 +195,25 @@ def _labelled(rows: DataFrame, found: DataFrame, base: str) -> DataFrame:
     return materialize(labelled, f"{base}-labelled")
 
 
-def _multi_match(labelled: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components that share enough prefix tokens to be similar.
+def _apart(labelled: DataFrame) -> DataFrame:
+    """The entries whose token is in different components.
+
+    They are written before they are joined: each sort and each hash table of a task holds a page of memory of its own,
+    and so much the more at a time the more of them one stage has.
+    """
+    apart = labelled.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
+    return labelled.join(apart.select("token"), "token", "left_semi")
+
+
+def _multi_match(apart: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components that share enough prefix tokens to be similar. `apart` is what `_apart` returns.
 
     The larger set of a pair asks for its number of matches l. If both have a tokens in common, the l-th of them is at
     place n - a + l - 1 at most in either set, so only tokens up to there count, with the least a that makes the sets
     similar. For the smaller set that is the indexed part of its prefix. Shared tokens up to the last one that was
     found, and the fewer of what follows in either set, bound the intersection.
     """
-    apart = labelled.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
-    rows = labelled.join(apart.select("token"), "token", "left_semi").join(within_bound(bits.drop("n")), "set")
+    rows = apart.join(within_bound(bits.drop("n")), "set")
     columns = ["set", "n", "place", "own", "c", *bit_columns(N_LONGS)]
     small = rows.filter(_is_indexed(percent)).select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
     large = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in columns])
@@ -212,12 +226,15 @@ def _multi_match(labelled: DataFrame, bits: DataFrame, percent: int) -> DataFram
         & (F.col("place_b") <= F.col("n_b") - least + F.col("own_b") - 1)
     )
     both = small.join(large, "token").filter(matched)
+    # Both places in one number, which a hash table can hold; a struct would be sorted.
+    last = F.shiftleft(F.col("place_a").cast("long"), PLACE_BITS).bitwiseOR(F.col("place_b").cast("long"))
     pairs = both.groupBy("set_a", "set_b").agg(
         F.count(F.lit(1)).alias("common"),
-        F.max(F.struct("place_a", "place_b")).alias("last"),
+        F.max(last).alias("last"),
         *[F.first(c).alias(c) for c in ("n_a", "n_b", "own_b")],
     )
-    follow = F.least(F.col("n_a") - F.col("last.place_a"), F.col("n_b") - F.col("last.place_b")) - 1
+    last_a, last_b = F.shiftright("last", PLACE_BITS), F.col("last").bitwiseAND((1 << PLACE_BITS) - 1)
+    follow = F.least(F.col("n_a") - last_a, F.col("n_b") - last_b) - 1
     enough = (100 + percent) * (F.col("common") + follow) >= percent * (F.col("n_a") + F.col("n_b"))
     pairs = pairs.filter((F.col("common") >= F.col("own_b")) & enough)
     return pairs.select(*_pair(F.col("set_a"), F.col("set_b")))
@@ -247,6 +264,7 @@ def ngram_components(
 
 def _placed(docs: DataFrame, percent: int, id_col: str, text_col: str, base: str) -> DataFrame:
     """doc_id, text_key, n_shingles and c, which names the component, for every row of `docs`."""
+    in_small_batches(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
     sizes, sketch = measured(rows, shingles, f"{base}/sizes", N_LONGS)
     roots = similar_sets(rows, sizes, sketch, base, percent).withColumnsRenamed({"node": "set", "root": "c"})

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vendaria.llm.words import mixed
@@ -31,9 +31,18 @@ CHUNK = 1 << 13
 BLOCK_SETS = 1 << 16
 BLOCK_CHARS = 1_000_000
 
+#: Bytes of rows that a task sends to Python at once, the last row whole, as all tasks share the executors' memory.
+#: Spark's own limit is 64 MB, which a task holds several times.
+BATCH_BYTES = 4 << 20
+
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
+def in_small_batches(spark: SparkSession) -> None:
+    """From now on the session sends rows to Python in batches of BATCH_BYTES."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 class Items(NamedTuple):
     """The sets of a block of texts: each item's text and number in it, and all tokens with the item they are in.
 
@@ -205,7 +214,8 @@ def measured(docs: DataFrame, tokenize: Tokenizer, path: str, n_longs: int = 0)
         for batch, texts in blocks(batches, "text"):
             for part in parts_of(tokenize(texts)):
                 owner, token = sorted_sets(part.owner, part.token)
-                counts += np.bincount(_slots(token), minlength=len(counts))
+                slots, found = np.unique(_slots(token), return_counts=True)
+                counts[slots] += found  # without a second table of all counters
                 sizes, names = fingerprints(owner, token, len(part.text))
                 n = len(sizes)
                 columns = [
@@ -237,7 +247,8 @@ def measured(docs: DataFrame, tokenize: Tokenizer, path: str, n_longs: int = 0)
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     for row in _summed(_summed(pieces, "chunk", "salt"), "chunk").select("chunk", "counts").toLocalIterator():
         counts[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["counts"], np.int64)
-    return sizes, Sketch(counts)
+    # Every worker holds the counters, so they go in half the memory if they fit.
+    return sizes, Sketch(counts if counts.max() >> 32 else counts.astype(np.uint32))
 
 
 def _slots(token: np.ndarray) -> np.ndarray:
