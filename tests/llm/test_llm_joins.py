@@ -355,6 +355,34 @@ def test_ngram_join_sends_small_batches_to_python(spark):
     assert all(r["bytes"] <= setjoin.BATCH_BYTES + 10_000 for r in found)
 
 
+def test_line_dedup_sends_and_scans_small_batches(spark, tmp_path):
+    """16 MB of texts in one partition and in one file, by the operator's session; no row is lost."""
+    settings = ["spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize"]
+    before = [spark.conf.get(c) for c in settings]
+    for c in settings:
+        spark.conf.unset(c)
+    try:
+        repeated_lines(documents(spark, [(1, "a b c d e f", "en", "s")]))
+        texts = spark.range(2_000, numPartitions=1).selectExpr("id AS doc_id", "repeat('word ', 1600) AS text")
+        texts.write.parquet(str(tmp_path / "texts"))
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+        found = texts.mapInArrow(sizes, "rows long, bytes long").collect()
+        scan = spark.read.parquet(str(tmp_path / "texts"))
+        assert len(scan.collect()) == 2_000
+        to_rows = scan._jdf.queryExecution().executedPlan().child()
+        batches = to_rows.metrics().apply("numInputBatches").value()
+    finally:
+        for c, value in zip(settings, before, strict=True):
+            spark.conf.set(c, value)
+    assert sum(r["rows"] for r in found) == 2_000
+    assert all(r["bytes"] <= setjoin.BATCH_BYTES + 10_000 for r in found)
+    assert batches >= 2_000 / setjoin.SCAN_ROWS
+
+
 def test_pairs_of_the_multi_match_are_hashed_and_the_rows_apart_are_written(spark, monkeypatch):
     """The last round's stage sorts for its one join only, and what it no longer needs is gone."""
     plans, folders = [], []

@@ -28,6 +28,7 @@ from vendaria.llm.setjoin import (
     Items,
     distinct_sets,
     entries,
+    in_small_batches,
     keyed,
     may_be_similar,
     measured,
@@ -280,6 +281,7 @@ def repeated_lines(
     by the texts' hash. Documents without an id come after all others. An empty table gives no rows. Other columns are
     ignored.
     """
+    in_small_batches(docs.sparkSession)
     base = scratch_dir(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
     sizes, sketch = measured(rows, lines, f"{base}/sizes")
